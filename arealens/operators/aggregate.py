@@ -303,9 +303,15 @@ def histogram(df: DataFrame, year: str, value: str) -> DataFrame:
     return binned.groupBy(year, "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
+def pearson(x: str, y: str) -> Column:
+    """Pearson correlation as an aggregate; null when one side does not vary."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def correlations(df: DataFrame, response: str, predictors: Sequence[str]) -> DataFrame:
     """Pearson correlation of each predictor with the response; undefined ones left out."""
-    row = df.agg(*[F.corr(F.col(p).cast("double"), F.col(response).cast("double")).alias(p) for p in predictors])
+    row = df.agg(*[pearson(p, response).alias(p) for p in predictors])
     tall = row.unpivot([], list(predictors), "Variable", "r")
     return tall.where(F.col("r").isNotNull() & ~F.isnan("r"))
 

@@ -160,11 +160,32 @@ def reindex(reference: DataFrame, table: DataFrame, on: str | Sequence[str], fil
     ])
 
 
+# Fixed value: source name of areas whose values are extrapolated.
+EXTRAPOLATED = "EXTRAP"
+
+
+def enrich_sources(areas: DataFrame, key: str,
+                   sources: Mapping[str, Sequence[tuple[str, DataFrame | None, str]]]) -> DataFrame:
+    """Survey tables joined to areas, with a flag column per group naming the source.
+
+    `sources` maps a flag column to (source name, table or None, its key). A group
+    without its tables adds no columns and is flagged as extrapolated.
+    """
+    out = areas
+    for flag, tables in sources.items():
+        present = [(name, df, k) for name, df, k in tables if df is not None]
+        for _, df, k in present:
+            out = extend(out, df, key, k)
+        complete = len(present) == len(tables) and present
+        out = out.withColumn(flag, F.lit(present[0][0] if complete else EXTRAPOLATED))
+    return out
+
+
 def stack_years(frames: Mapping[int | str, DataFrame], year_col: str = "Year") -> DataFrame:
-    """Yearly tables stacked by column name. The year of a table that lacks the column is its own."""
+    """Yearly tables stacked by column name; tables without a year column get theirs."""
     out = None
     for year, df in frames.items():
-        part = with_year(df, year, year_col)
+        part = df if year_col in df.columns else with_year(df, year, year_col)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from arealens.functions.scalar import clip_zero
+from arealens.operators.aggregate import pearson
 from arealens.operators.joins import replace_rows
 from arealens.operators.spatial import nearest
 from arealens.predicates import area_criteria
@@ -81,7 +82,7 @@ def correlation_p_values(df: DataFrame, response: str, predictors: Sequence[str]
     The default takes twice the upper tail, so that a negative correlation is never
     significant. One row of correlations reaches the driver.
     """
-    row = df.agg(F.count(F.lit(1)).alias("__n"), *[F.corr(p, response).alias(p) for p in predictors]).first().asDict()
+    row = df.agg(F.count(F.lit(1)).alias("__n"), *[pearson(p, response).alias(p) for p in predictors]).first().asDict()
     free = row["__n"] - 2
     out = {}
     for p in predictors:
