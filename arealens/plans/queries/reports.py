@@ -21,7 +21,7 @@ PARCEL_COLS = {"FOLIO": K, "cust": "o_custkey", "Yr": "CAST(year(o_orderdate) AS
                "LND_VAL": "o_totalprice * 1.25", "NO_RES_UNTS": "CAST(o_custkey % 4 AS DOUBLE)", "DOR_UC": "CAST(o_custkey % 103 AS INT)"}
 ECON_COLS = {"Total_Employment": f"CAST({K} % 11 AS DOUBLE)", "Total_Population": f"CAST({K} % 13 AS DOUBLE)", "Total_Commutes": f"CAST({K} % 17 AS DOUBLE)", **SECTOR_COLS, **MODE_COLS}
 CONT_COLS = {"Developable_Area": f"CAST({K} % 29 AS DOUBLE) / 8", "Max_Contiguity": f"CAST({K} % 19 AS DOUBLE) / 16", "Max_Scaled_Area": f"CAST({K} % 31 AS DOUBLE) / 4"}
-CENT_COLS = {"CentIdx": f"CAST({K} % 23 AS DOUBLE) / 8"}
+CENT_COLS = {"CentIdx": f"CAST({K} % 23 AS DOUBLE) / 4"}
 _BIN = "CASE WHEN {0} <= 5 THEN '0 to 5 minutes' WHEN {0} <= 10 THEN '5 to 10 minutes' WHEN {0} <= 15 THEN '10 to 15 minutes' WHEN {0} <= 20 THEN '15 to 20 minutes' WHEN {0} <= 25 THEN '20 to 25 minutes' WHEN {0} <= 30 THEN '25 to 30 minutes' ELSE 'over 30 minutes' END"
 WALK_COLS = {"min_time_stn_walk": f"CAST({K} % 40 AS DOUBLE)", "min_time_park_walk": f"CAST({K} % 35 AS DOUBLE)",
              "bin_stn_walk": _BIN.format(f"({K} % 40)"), "bin_park_walk": _BIN.format(f"({K} % 35)")}
@@ -53,8 +53,8 @@ def _located(spark, sf, points, key, x, y):
     return point_in_polygon(points.select(key, x, y), areas, x, y, "rings").select("SummID", key)
 
 
-def build(spark, sf, year: int | str = YEAR, only_year: int | None = None):
-    """The snapshot of the stand-in layers and tables; `only_year` keeps the parcels of one order year."""
+def build(spark, sf, outputs=None, year: int | str = YEAR, only_year: int | None = None):
+    """The snapshot of the stand-in layers and tables; `only_year` takes the parcels of one order year."""
     parcels = _read(spark, sf, PARCEL_COLS, "orders")
     if only_year is not None:
         parcels = parcels.where(F.col("Yr") == only_year)
@@ -76,7 +76,7 @@ def build(spark, sf, year: int | str = YEAR, only_year: int | None = None):
     tables = {
         "EconDemog_parcels": _read(spark, sf, {"FOLIO": K, **ECON_COLS}, "orders"), "LandUseCodes_parcels": uses,
         "Contiguity_parcels": _read(spark, sf, {"FOLIO": K, **CONT_COLS}, "orders"), "Centrality_parcels": _read(spark, sf, {"FOLIO": K, **CENT_COLS}, "orders"),
-        "WalkTime_parcels": _read(spark, sf, {"FOLIO": K, **WALK_COLS}, f"orders WHERE o_orderstatus <> 'P'"),
+        "WalkTime_parcels": _read(spark, sf, {"FOLIO": K, **WALK_COLS}, "orders WHERE o_orderstatus <> 'P'"),
         "WalkTimeIdeal_parcels": _read(spark, sf, {"FOLIO": K, **IDEAL_COLS}, "orders"),
         "Imperviousness_census_blocks": _read(spark, sf, BLOCK_COLS, "customer"), "TripStats_TAZ": _read(spark, sf, {"TAZ": "s_suppkey", **TRIP_COLS}, "supplier"),
         "BikeFac_summaryareas": _read(spark, sf, {"SummID": "r_regionkey", **BIKE_COLS}, "region"),
@@ -96,7 +96,7 @@ def build(spark, sf, year: int | str = YEAR, only_year: int | None = None):
         ("SummaryAreas", "TransitRidership"): _located(spark, sf, stops, "TRANSIT_ID", "px", "py"),
         ("Census_Blocks", "TransitRidership"): stops.select((F.col("TRANSIT_ID") % 100).alias("GEOID10"), "TRANSIT_ID"),
     }
-    return report.snapshot(layers, tables, members, year)
+    return report.snapshot(layers, tables, members, year, outputs)
 
 
 # --- check SQL ------------------------------------------------------------
@@ -133,7 +133,7 @@ _RATIOS = """"NO_RES_UNTS" / nullif("RES_AREA" / 43560.0, 0) AS "RES_DENS", "Tot
  coalesce(100.0 * ("Transit" + "NonMotor" + "AllOther") / nullif("Total_Commutes", 0), 0.0) AS "SHR_NONAUTO", "TV_NSD" / nullif("LND_SQFOOT", 0) AS "TV_SF", "JV" / nullif("LND_SQFOOT", 0) AS "JV_SF", "LND_VAL" / nullif("LND_SQFOOT", 0) AS "LV_SF" """
 _CHECK = [*_AREA_SUMS, "Transit", "NonMotor", "AllOther", "Drove", "Median_Contiguity", "Scaled_Area", "HCJobs", "EdJobs", *_GROUPS,
           "RES_DENS", "NRES_DENS", "JHRatio", "SHR_NONAUTO", "TV_SF", "JV_SF", "LV_SF"]
-_AREA_MORE = ["TOT_LVG_AREA", "min_time_stn_walk", "min_time_park_walk", "DirIdx_stn", "DirIdx_park", "stn_in_15", "park_in_15", "CentIdxFA",
+_AREA_MORE = ["TOT_LVG_AREA", "min_time_stn_walk", "min_time_park_walk", "DirIdx_stn", "DirIdx_park", "CentIdxFA",
               "BlockArea", "DevHighArea", "IMP_PCT", "BlockFlrAr", "DevHiFlrAr", "HH15MinW", "TotalJobs30MinB", "AvgMinHHT", "TotalJobs60MinA", "VMT_ALL", "AVG_TIME_FROM", "VMT_PER_ACT_TO", "CentIdx_raw", "ON", "OFF", "TOTAL",
               "Park_Acres", "FAR", "CentIdx", "GRID_DENS", "TotalJobsin30W", "HHin30A", "W_JHBal", "Prop_stn15", "SHR_RES_UNTS", "SHR_JOBS", "SHR_LVG_AREA", "TV_IDX", "LV_IDX"]
 
@@ -143,7 +143,7 @@ def _mean(column: str) -> str:
 
 
 AREA_SQL = f"""WITH {PAR_SQL}, w AS (SELECT "SummID", count(*) AS "NParcels", {_WIDE}, sum("TOT_LVG_AREA") AS "TOT_LVG_AREA", avg(coalesce(min_time_stn_walk, 0.0)) AS min_time_stn_walk,
-  avg(coalesce(min_time_park_walk, 0.0)) AS min_time_park_walk, median(DirIdx_stn) AS "DirIdx_stn", median(DirIdx_park) AS "DirIdx_park", sum(stn_in_15) AS stn_in_15, sum(park_in_15) AS park_in_15,
+  avg(coalesce(min_time_park_walk, 0.0)) AS min_time_park_walk, median(DirIdx_stn) AS "DirIdx_stn", median(DirIdx_park) AS "DirIdx_park", CAST(sum(stn_in_15) AS BIGINT) AS stn_in_15, CAST(sum(park_in_15) AS BIGINT) AS park_in_15,
   sum("TOT_LVG_AREA" * "CentIdx_PAR") AS "CentIdxFA" FROM ap GROUP BY 1),
  bl AS ({_select(BLOCK_COLS, "customer")}), b AS (SELECT "SummID", count(*) AS "NBlocks", sum("TotalArea") AS "BlockArea", sum("DevHighArea") AS "DevHighArea", avg("IMP_PCT") AS "IMP_PCT", sum("TotalArea" * "TOT_LVG_AREA") AS "BlockFlrAr",
   sum("DevHighArea" * "TOT_LVG_AREA") AS "DevHiFlrAr", avg(CAST(id % 43 AS DOUBLE)) AS "CentIdx_raw" FROM pin JOIN bl ON id = "GEOID10" GROUP BY 1),
@@ -156,13 +156,13 @@ AREA_SQL = f"""WITH {PAR_SQL}, w AS (SELECT "SummID", count(*) AS "NParcels", {_
   "CentIdxFA" / nullif("TOT_LVG_AREA", 0) AS "CentIdx", "NBlocks" / ("LND_SQFOOT" / (43560.0 * 640.0)) AS "GRID_DENS", tj15 + "TotalJobs30MinB" AS "TotalJobsin30W", "HH15MinW" + hh30 AS "HHin30A",
   (tj15 + "TotalJobs30MinB") / nullif("HH15MinW" + hh30, 0) AS "W_JHBal", 100.0 * stn_in_15 / "NParcels" AS "Prop_stn15", "NO_RES_UNTS" / u AS "SHR_RES_UNTS", "Total_Employment" / j AS "SHR_JOBS", "TOT_LVG_AREA" / l AS "SHR_LVG_AREA",
   ("TV_NSD" / "LND_SQFOOT") / (tv / ls) AS "TV_IDX", ("LND_VAL" / "LND_SQFOOT") / (lv / ls) AS "LV_IDX" FROM ar LEFT JOIN w USING ("SummID") LEFT JOIN b USING ("SummID") LEFT JOIN s USING ("SummID") LEFT JOIN t USING ("SummID"), r)
-SELECT "SummID", "Name", "Corridor", "NParcels", "NBlocks", {", ".join(f'round("{c}", 4) AS "{c}"' for c in (*_CHECK, *_AREA_MORE))} FROM x"""
+SELECT "SummID", "Name", "Corridor", "NParcels", "NBlocks", stn_in_15, park_in_15, {", ".join(f'round("{c}", 4) AS "{c}"' for c in (*_CHECK, *_AREA_MORE))} FROM x"""
 
 
 @register("snapshot_areas", with_views("v_points v_areas v_targets", AREA_SQL))
 def snapshot_areas(spark, sf):
-    out = build(spark, sf)["SummaryAreas"]
-    return rounded(out.select("SummID", "Name", "Corridor", "NParcels", "NBlocks", *_CHECK, *_AREA_MORE))
+    out = build(spark, sf, ["SummaryAreas"])["SummaryAreas"]
+    return rounded(out.select("SummID", "Name", "Corridor", "NParcels", "NBlocks", "stn_in_15", "park_in_15", *_CHECK, *_AREA_MORE))
 
 
 @register("snapshot_blocks", with_views("v_points v_areas", f"""
@@ -170,12 +170,12 @@ WITH {PAR_SQL}, w AS (SELECT cust AS "GEOID10", {_WIDE} FROM par GROUP BY 1),
  t AS (SELECT p_partkey % 100 AS "GEOID10", sum(p_size) AS "ON" FROM part GROUP BY 1), x AS (SELECT c_custkey AS "GEOID10", w.* EXCLUDE ("GEOID10"), {_RATIOS} FROM customer LEFT JOIN w ON c_custkey = w."GEOID10")
 SELECT x."GEOID10", {", ".join(f'round("{c}", 4) AS "{c}"' for c in _CHECK)}, CAST(t."ON" AS DOUBLE) AS "ON" FROM x LEFT JOIN t ON x."GEOID10" = t."GEOID10" """))
 def snapshot_blocks(spark, sf):
-    out = build(spark, sf)["Census_Blocks"]
+    out = build(spark, sf, ["Census_Blocks"])["Census_Blocks"]
     return rounded(out.select("GEOID10", *_CHECK, "ON"))
 
 
 def _long(name: str):
-    return lambda spark, sf: rounded(build(spark, sf)[name])
+    return lambda spark, sf: rounded(build(spark, sf, [name])[name])
 
 
 _LU_DOM = "CASE \"GN_VA_LU\" " + " ".join(f"WHEN '{n}' THEN {i}" for n, i in rs.LAND_USE_ORDER.mapping.items()) + " ELSE -1 END"
@@ -233,8 +233,8 @@ def _by_use(year: int) -> str:
     return f"""SELECT a."SummID", a."Name", a."Corridor", "GN_VA_LU", {_LU_DOM} AS "LU_CAT_DOM", sum("NO_RES_UNTS") AS u, sum("JV") AS jv, median("JV_SF") AS med FROM ap JOIN ar a USING ("SummID") WHERE "Yr" = {year} GROUP BY 1, 2, 3, 4, 5"""
 
 
-def _trend(spark, sf):
-    return report.trend({1996: build(spark, sf, 1996, 1996), 1998: build(spark, sf, 1998, 1998)})
+def _trend(spark, sf, name):
+    return report.trend({y: build(spark, sf, [name], y, y) for y in (1996, 1998)})
 
 
 @register("trend_attributes_diff", with_views(_VIEWS, f"""
@@ -242,7 +242,7 @@ WITH {PAR_SQL}, b AS ({_by_use(1996)}), t AS ({_by_use(1998)})
 SELECT b."SummID", b."Name", b."Corridor", b."GN_VA_LU", b."LU_CAT_DOM", round(coalesce(t.u, 0) - b.u, 2) AS "NO_RES_UNTS", round(coalesce(t.jv, 0) - b.jv, 2) AS "JV", round(coalesce(t.med, 0) - b.med, 4) AS "JV_SF"
 FROM b LEFT JOIN t ON b."SummID" = t."SummID" AND b."GN_VA_LU" = t."GN_VA_LU" """))
 def trend_attributes_diff(spark, sf):
-    out = _trend(spark, sf)["AttrByLU_diff"]
+    out = _trend(spark, sf, "AttrByLU")["AttrByLU_diff"]
     return out.select("SummID", "Name", "Corridor", "GN_VA_LU", "LU_CAT_DOM", F.round("NO_RES_UNTS", 2).alias("NO_RES_UNTS"), F.round("JV", 2).alias("JV"), F.round("JV_SF", 4).alias("JV_SF"))
 
 
@@ -250,21 +250,21 @@ def trend_attributes_diff(spark, sf):
 WITH {PAR_SQL} SELECT "SummID", "GN_VA_LU", CAST(1996 AS DOUBLE) AS "Year", round(u, 2) AS "NO_RES_UNTS", round(jv, 2) AS "JV" FROM ({_by_use(1996)})
 UNION ALL SELECT "SummID", "GN_VA_LU", CAST(1998 AS DOUBLE), round(u, 2), round(jv, 2) FROM ({_by_use(1998)})"""))
 def trend_attributes_by_year(spark, sf):
-    return rounded(_trend(spark, sf)["AttrByLU_byYear"].select("SummID", "GN_VA_LU", "Year", "NO_RES_UNTS", "JV"), 2)
+    return rounded(_trend(spark, sf, "AttrByLU")["AttrByLU_byYear"].select("SummID", "GN_VA_LU", "Year", "NO_RES_UNTS", "JV"), 2)
 
 
 @register("trend_areas_diff", with_views(_VIEWS, f"""
 WITH {PAR_SQL}, s AS (SELECT "SummID", "Yr", sum("NO_RES_UNTS") AS u, sum("TOT_LVG_AREA") AS l, count(*) AS n FROM ap GROUP BY 1, 2)
 SELECT b."SummID", round(t.u - b.u, 2) AS "NO_RES_UNTS", round(t.l - b.l, 2) AS "TOT_LVG_AREA", t.n - b.n AS "NParcels" FROM (SELECT * FROM s WHERE "Yr" = 1996) b JOIN (SELECT * FROM s WHERE "Yr" = 1998) t USING ("SummID")"""))
 def trend_areas_diff(spark, sf):
-    return rounded(_trend(spark, sf)["SummaryAreas_diff"].select("SummID", "NO_RES_UNTS", "TOT_LVG_AREA", "NParcels"), 2)
+    return rounded(_trend(spark, sf, "SummaryAreas")["SummaryAreas_diff"].select("SummID", "NO_RES_UNTS", "TOT_LVG_AREA", "NParcels"), 2)
 
 
 @register("near_term_trend", with_views(_VIEWS, f"""
 WITH {PAR_SQL}, s AS (SELECT "SummID", "Yr", sum("JV") AS jv FROM ap GROUP BY 1, 2)
 SELECT b."SummID" AS "RowID", round(t.jv - b.jv, 2) AS "JV" FROM (SELECT * FROM s WHERE "Yr" = 1997) b JOIN (SELECT * FROM s WHERE "Yr" = 1998) t USING ("SummID")"""))
 def near_term_trend(spark, sf):
-    out = report.near_term_trend(build(spark, sf, 1997, 1997), build(spark, sf, "NearTerm", 1998))
+    out = report.near_term_trend(build(spark, sf, ["SummaryAreas"], 1997, 1997), build(spark, sf, ["SummaryAreas"], "NearTerm", 1998), 1997)
     return rounded(report.rename_keys(out)["SummaryAreas_diff"].select("RowID", "JV"), 2)
 
 

@@ -19,8 +19,8 @@ from arealens.specs import CalcSpec, FeatureSpec, SummarySpec, TableSpec, apply_
 Members = Mapping[tuple[str, str], DataFrame]
 
 
-def _enough(df: DataFrame, spec: CalcSpec) -> bool:
-    """Whether the columns of a spec exist; optional layers and tables may be absent."""
+def _inputs(spec: CalcSpec) -> set[str]:
+    """Columns a spec reads; optional layers and tables may lack them."""
     wanted: set[str] = set()
 
     def note(name: str) -> Column:
@@ -29,16 +29,18 @@ def _enough(df: DataFrame, spec: CalcSpec) -> bool:
 
     for _, build in spec.expand():
         build(note)
-    return wanted <= set(df.columns)
+    return wanted
 
 
 def calculate(frames: Mapping[str, DataFrame], specs: Sequence[CalcSpec]) -> dict[str, DataFrame]:
     """Calculated fields on every layer or table they belong to, where their inputs exist."""
     out = dict(frames)
     for name, df in out.items():
+        known = set(df.columns)
         for spec in specs:
-            if name in spec.tables and _enough(df, spec):
+            if name in spec.tables and _inputs(spec) <= known:
                 df = apply_calcs(df, name, [spec])
+                known |= {n for n, _ in spec.expand()}
         out[name] = df
     return out
 
@@ -72,34 +74,48 @@ def region_references(areas: DataFrame, parcels: DataFrame) -> DataFrame:
 
 
 def snapshot(layers: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], members: Members, year: int | str,
+             outputs: Sequence[str] | None = None,
              feature_specs: Sequence[FeatureSpec] = rs.LAYERS, table_specs: Sequence[TableSpec] = rs.TABLES,
              enrich: Sequence[SummarySpec] = rs.ENRICH, elongate: Sequence[SummarySpec] = rs.ELONGATE,
              modes: Sequence[str] = rs.MODES) -> dict[str, DataFrame]:
-    """All report tables of one year.
+    """Report tables of one year: all, or the layers and long tables named in `outputs`.
 
     `members` maps (target layer, source layer) to rows of target key and source key.
-    Summaries whose layers or membership are absent are left out. Nothing runs until a
-    result is written, and every result prunes the columns it does not need.
+    Summaries whose layers or membership are absent are left out. Only what the outputs
+    need is planned; nothing runs until a result is written.
     """
+    def wanted(name: str) -> bool:
+        return outputs is None or name in outputs
+
     number = int(PSEUDO_YEARS.get(year, year))
-    joined = join_specs(layers, tables, feature_specs, table_specs)
+    area = rs.AREAS.name
+    access_tables = {f"ActivityByTime_{m}": m for m in modes}
+    from_areas = {s.out for s in elongate if s.source.name == area} | set(access_tables)
+    enriched = {s.target.name for s in enrich if wanted(s.target.name)}
+    if any(wanted(n) for n in from_areas):
+        enriched.add(area)
+    planned = [s for s in enrich if s.target.name in enriched]
+    planned += [s for s in elongate if wanted(s.out)]
+    used = {n for s in planned for n in (s.target.name, s.source.name)} | {n for n in layers if wanted(n)}
+    if area in enriched:
+        used.add(rs.PARCELS.name)
+
+    joined = join_specs({n: df for n, df in layers.items() if n in used}, tables, feature_specs, table_specs)
     joined = {n: df if "Year" in df.columns else df.withColumn("Year", F.lit(number)) for n, df in joined.items()}
     base = calculate(joined, rs.PRECALCS)
     out = dict(base)
-    for spec in enrich:
+    for spec in planned:
         pair = (spec.target.name, spec.source.name)
-        if pair not in members or spec.target.name not in out or spec.source.name not in base:
+        if spec.out or pair not in members or not set(pair) <= set(base):
             continue
         # Sources are the layers before enrichment, so results do not depend on the order of the specs.
         made = summarise_spec(spec, base[spec.target.name].select(spec.target.key), base[spec.source.name], members[pair], number)
         out[spec.target.name] = extend(out[spec.target.name], made, spec.target.key, spec.target.key, append_only=False)
     longs: dict[str, DataFrame] = {}
-    for spec in elongate:
-        if spec.target.name not in out:
-            continue
+    for spec in planned:
         own = spec.target.name == spec.source.name
         pair = (spec.target.name, spec.source.name)
-        if not own and (pair not in members or spec.source.name not in base):
+        if not spec.out or not set(pair) <= set(base) or (not own and pair not in members):
             continue
         needed = {i for c in spec.consolidate for i in c.inputs} | set(spec.melt.inputs if spec.melt else ())
         if own and not needed <= set(out[spec.target.name].columns):
@@ -107,15 +123,13 @@ def snapshot(layers: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], m
         labels = [g.name for g in rs.AREA_GROUP]
         target = out[spec.target.name] if own else base[spec.target.name].select(*labels)
         longs[spec.out] = summarise_spec(spec, target, base[spec.source.name], None if own else members[pair], number)
-    area = rs.AREAS.name
     if area in out:
-        for mode in modes:
-            columns = [f"{a}{b}Min{mode[0]}" for a in rs.ACTIVITIES for b in TIME_BREAKS]
-            if set(columns) <= set(out[area].columns):
-                longs[f"ActivityByTime_{mode}"] = long_access(
-                    out[area], list(rs.AREA_INDEX), rs.ACTIVITIES, TIME_BREAKS, mode, number)
-    out = calculate({**out, **longs}, rs.CALCS)
-    if area in out and rs.PARCELS.name in base and "NO_RES_UNTS" in out[area].columns:
+        known = set(out[area].columns)
+        for name, mode in access_tables.items():
+            if wanted(name) and {f"{a}{b}Min{mode[0]}" for a in rs.ACTIVITIES for b in TIME_BREAKS} <= known:
+                longs[name] = long_access(out[area], list(rs.AREA_INDEX), rs.ACTIVITIES, TIME_BREAKS, mode, number)
+    out = calculate({n: df for n, df in {**out, **longs}.items() if wanted(n)}, rs.CALCS)
+    if area in out and area in enriched and rs.PARCELS.name in base:
         out[area] = region_references(out[area], base[rs.PARCELS.name])
     return out
 
@@ -149,6 +163,6 @@ def trend(snapshots: Mapping[int | str, Mapping[str, DataFrame]], base: int | st
     return out
 
 
-def near_term_trend(current: Mapping[str, DataFrame], near_term: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def near_term_trend(current: Mapping[str, DataFrame], near_term: Mapping[str, DataFrame], current_year: int) -> dict[str, DataFrame]:
     """The same comparison from the current snapshot to the near-term one."""
-    return trend({"Current": current, "NearTerm": near_term}, "Current", "NearTerm")
+    return trend({current_year: current, "NearTerm": near_term}, current_year, "NearTerm")
