@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from arealens.functions.scalar import bin_label, bin_labels, divide, finite, infinite_to_zero, recode, row_mean, row_min
 from arealens.operators.joins import merge_many, merge_outer
-from arealens.skew import spread_join
+from arealens.skew import JoinAdvice, advise, is_small, spread_join
 
 TIME_BREAKS = (15, 30, 45, 60)
 
 
 def access_summary(skim: DataFrame, zones: DataFrame, origin: str, destination: str, impedance: str, zone: str,
                    activities: Sequence[str], breaks: Sequence[int] = TIME_BREAKS, units: str = "Min",
-                   join_by: str = "D", hot: Sequence[int] | None = None) -> DataFrame:
+                   join_by: str = "D", advice: JoinAdvice | None = None) -> DataFrame:
     """Activities within reach by time bin, and the activity-weighted mean time, per zone.
 
     `join_by` "D" joins activities at the destination and reports by origin; "O" the other
@@ -28,7 +28,7 @@ def access_summary(skim: DataFrame, zones: DataFrame, origin: str, destination:
     joined_end, report = (destination, origin) if join_by == "D" else (origin, destination)
     acts = zones.select(F.col(zone).alias(joined_end), *[F.col(a).cast("double").alias(a) for a in activities])
     # The zone table repeats no key; hot zones of the skim are split across tasks.
-    rows = spread_join(skim.select(origin, destination, impedance), acts, joined_end, "inner", hot)
+    rows = spread_join(skim.select(origin, destination, impedance), acts, joined_end, "inner", advice)
     rows = rows.withColumn("__bin", bin_label(F.col(impedance), breaks, units))
     time = F.col(impedance).cast("double")
     usable = time.isNull() | finite(time).isNotNull()
@@ -45,8 +45,10 @@ def access_by_zone(skim: DataFrame, zones: DataFrame, origin: str, destination:
                    by_destination: Sequence[str], by_origin: Sequence[str], breaks: Sequence[int] = TIME_BREAKS,
                    units: str = "Min") -> DataFrame:
     """Access to destinations and from origins, one row per zone."""
-    to = access_summary(skim, zones, origin, destination, impedance, zone, by_destination, breaks, units, "D")
-    fro = access_summary(skim, zones, origin, destination, impedance, zone, by_origin, breaks, units, "O")
+    # One check of the zone table's size serves both joins; a long one needs the hot keys of each end.
+    small = JoinAdvice(small=True) if is_small(zones) else None
+    to = access_summary(skim, zones, origin, destination, impedance, zone, by_destination, breaks, units, "D", small)
+    fro = access_summary(skim, zones, origin, destination, impedance, zone, by_origin, breaks, units, "O", small)
     return merge_outer(to.withColumnRenamed(origin, zone), fro.withColumnRenamed(destination, zone), zone)
 
 
@@ -126,11 +128,14 @@ def join_legs(access: DataFrame, ride: DataFrame, origin: str = "OName", destina
         enter = enter.join(origins.select(F.col(origins.columns[0]).alias("__o")), "__o", "left_semi")
     if destinations is not None:
         leave = leave.join(destinations.select(F.col(destinations.columns[0]).alias("__d")), "__d", "left_semi")
-    aboard = enter.join(legs(ride, "__board", "__alight", "__t2"), "__board")
+    # Busy stops may hold much of either table, so their rows are split on both sides.
+    rides = legs(ride, "__board", "__alight", "__t2")
+    aboard = spread_join(enter, rides, "__board", advice=advise(enter, rides, "__board", unique=False))
     best = aboard.groupBy("__o", "__alight").agg(F.min(F.col("__t1") + F.col("__t2")).alias("__t12"))
     if cutoff is not None:
         best = best.where(F.col("__t12") <= cutoff)
-    through = best.join(leave, "__alight").select("__o", "__d", (F.col("__t12") + F.col("__t3")).alias(time))
+    off = advise(ride.select(F.col(destination).alias("__alight")), leave, "__alight", unique=False)
+    through = spread_join(best, leave, "__alight", advice=off).select("__o", "__d", (F.col("__t12") + F.col("__t3")).alias(time))
     if cutoff is not None:
         through = through.where(F.col(time) <= cutoff)
     return through.groupBy(F.col("__o").alias(origin), F.col("__d").alias(destination)).agg(F.min(time).alias(time))

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from arealens.operators.joins import add_by_key, difference, numeric_columns, update
 from arealens.operators.model import COMMUTE_MODES, GROUPS, HISPANIC, SECTORS
 from arealens.predicates import DEVELOPED_CODES, NON_RESIDENTIAL_CODES, RESIDENT_LAND_USES, SECTOR_LAND_USES
-from arealens.skew import spread_join
+from arealens.skew import JoinAdvice, advise, spread_join
 
 
 def allocate_to_parcels(parcels: DataFrame, areas: DataFrame, area: str, parcel: str, land_use: str, living: str,
                         land: str, sectors: Sequence[str] = SECTORS, groups: Sequence[str] = (*HISPANIC, *GROUPS),
                         totals: Sequence[str] = HISPANIC, modes: Sequence[str] = COMMUTE_MODES,
-                        where: Column | None = None, hot: Sequence[int] | None = None) -> DataFrame:
+                        where: Column | None = None, advice: JoinAdvice | None = None) -> DataFrame:
     """Parcel values `{variable}_PAR` whose sums give the area values back.
 
     Jobs of a sector go to building area of the sector's land uses; where an area has
@@ -53,7 +53,9 @@ def allocate_to_parcels(parcels: DataFrame, areas: DataFrame, area: str, parcel:
     values = areas.select(area, *[
         F.greatest(F.coalesce(F.col(v).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(v)
         for v in (*sectors, *groups, *modes)])
-    joined = spread_join(rows, sums.join(values, area), area, "inner", hot)
+    # The level sums have no more rows than the area table, so its size decides.
+    advice = advise(source, areas, area) if advice is None else advice
+    joined = spread_join(rows, sums.join(values, area), area, "inner", advice)
 
     def share(variable: str) -> Column:
         own, mine = F.col(f"__s_{variable}"), masks[variable]

@@ -18,7 +18,7 @@ from arealens.operators.aggregate import min_argmin_count
 from arealens.operators.joins import compose_edges
 from arealens.operators.spatial import beyond_distance_of_lines, within_distance, within_distance_of_lines
 from arealens.session import cut
-from arealens.skew import first_per_key, hot_keys, spread_join
+from arealens.skew import JoinAdvice, first_per_key, hot_keys, is_small, spread_join
 
 MAX_ROUNDS = 10_000
 
@@ -76,15 +76,17 @@ def od_cost(edges: DataFrame, origins: DataFrame, cutoff: float, cost: str = "co
     steps = steps.where(F.col(f"__e_{cost}") <= float(cutoff))
     # Of parallel edges only the best can lie on a least-cost path.
     steps = cut(steps.groupBy("__from", "__to").agg(F.min(F.struct(*[f"__e_{c}" for c in sums])).alias("__e")))
-    busy = hot_keys(steps, ["__from"])
+    few = is_small(steps)
+    hubs = () if few else tuple(hot_keys(steps, ["__from"]))
     start = origins.select(F.col(origins.columns[0]).alias("origin")).distinct()
     state = start.select("origin", F.col("origin").alias("node"),
                          F.struct(*[F.lit(0.0).alias(c) for c in sums]).alias("path"), F.lit(True).alias("fresh"))
     state = cut(state)
     for _ in range(MAX_ROUNDS):
         delta = state.where("fresh").select("origin", F.col("node").alias("__from"), "path")
-        # Many paths may stand at one busy node, so the state is the long side of this join.
-        reached = spread_join(delta, steps, "__from", "inner", busy).select(
+        # Hubs hold many edges; nodes many origins have just reached hold many paths.
+        advice = JoinAdvice(few, () if few else tuple(hot_keys(delta, ["__from"])), hubs)
+        reached = spread_join(delta, steps, "__from", "inner", advice).select(
             "origin", F.col("__to").alias("node"),
             F.struct(*[(F.col("path")[c] + F.col("__e")[f"__e_{c}"]).alias(c) for c in sums]).alias("path"),
             F.lit(True).alias("__new"))
@@ -186,23 +188,28 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    few = is_small(nodes)
     links = cut(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
     def mark(df: DataFrame) -> tuple:
         row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         return row[0], row[1]
 
+    def busy(df: DataFrame) -> JoinAdvice:
+        """A node's smallest neighbour is one row; the node itself may have very many neighbours."""
+        return JoinAdvice(small=True) if few else JoinAdvice(hot=tuple(hot_keys(df, ["u"])))
+
     before = mark(links)
     for _ in range(MAX_ROUNDS):
         # Larger neighbours: each learns the smallest node its neighbour knows.
         around = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        outward = spread_join(around, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        outward = spread_join(around, least, "u", advice=busy(around)).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = outward.where("u <> v").distinct()
         # Smaller neighbours, and the node itself, point at the smallest of them.
         links = cut(links)
         least = links.groupBy("u").agg(F.min("v").alias("m"))
-        inward = spread_join(links, least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        inward = spread_join(links, least, "u", advice=busy(links)).select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = cut(inward.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         after = mark(links)
         if after == before:

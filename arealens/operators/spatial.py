@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from arealens import skew
 from arealens.functions.geometry import segment_distance, straight_line_pieces, vertex_pairs
-from arealens.skew import spread_join
+from arealens.skew import JoinAdvice, hot_keys, spread_join
 
 Box = tuple[str, str, str, str]
 LEVEL_STEP = 2
@@ -36,17 +37,15 @@ def _cells(low: Column, high: Column, side: Column) -> Column:
     return F.sequence(F.floor(low / side), F.floor(high / side))
 
 
-def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, hot: Sequence[int] | None = None,
-             by: Sequence[str] = ()) -> DataFrame:
+def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, by: Sequence[str] = ()) -> DataFrame:
     """All pairs of rows whose boxes overlap or touch. Column names of both sides must differ, except `by`.
 
     `left` is the longer table, best with points or boxes smaller than the right ones.
-    The grid sizes in use are a handful of numbers and are read to the driver.
+    The grid sizes in use and the number of boxes at each are a handful of numbers, read to the driver.
     """
     levelled = right.withColumn("__level", _level(rbox))
-    levels = sorted(r[0] for r in levelled.select("__level").distinct().collect() if r[0] is not None)
-    if not levels:
-        levels = [0]
+    counts = levelled.groupBy("__level").agg(F.count(F.lit(1)).alias("n")).collect()
+    levels = sorted(r["__level"] for r in counts if r["__level"] is not None) or [0]
     side = F.pow(F.lit(2.0), F.col("__level"))
 
     def on_grid(df: DataFrame, box: Box) -> DataFrame:
@@ -57,7 +56,14 @@ def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, hot: Seque
         )
 
     spread = on_grid(left.withColumn("__level", F.explode(F.array(*[F.lit(v) for v in levels]))), lbox)
-    pairs = spread_join(spread, on_grid(levelled, rbox), ["__level", "__cx", "__cy", *by], "inner", hot)
+    keys = ["__level", "__cx", "__cy", *by]
+    boxes = on_grid(levelled, rbox)
+    # A box lies in at most four cells, so the count of boxes bounds the gridded table.
+    if sum(r["n"] for r in counts) * 4 <= skew.SMALL_ROWS:
+        advice = JoinAdvice(small=True)
+    else:
+        advice = JoinAdvice(hot=tuple(hot_keys(spread, keys)), hot_right=tuple(hot_keys(boxes, keys)))
+    pairs = spread_join(spread, boxes, keys, "inner", advice)
     corner_x = F.greatest(F.col(lbox[0]).cast("double"), F.col(rbox[0]).cast("double"))
     corner_y = F.greatest(F.col(lbox[1]).cast("double"), F.col(rbox[1]).cast("double"))
     overlap = (
@@ -97,12 +103,11 @@ def ring_edges(rings: str | Column) -> Column:
     return F.flatten(F.transform(rings, vertex_pairs))
 
 
-def point_in_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, rings: str,
-                     hot: Sequence[int] | None = None) -> DataFrame:
+def point_in_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, rings: str) -> DataFrame:
     """Points joined to the polygons that hold them: one row per (point, polygon); areas may overlap."""
     pts = points.withColumns({"__px": F.col(x).cast("double"), "__py": F.col(y).cast("double")})
     boxed = with_box(polygons, rings).withColumn("__edges", ring_edges(rings)).drop(rings)
-    pairs = box_join(pts, ("__px", "__py", "__px", "__py"), boxed, ("__bx1", "__by1", "__bx2", "__by2"), hot)
+    pairs = box_join(pts, ("__px", "__py", "__px", "__py"), boxed, ("__bx1", "__by1", "__bx2", "__by2"))
     hits = pairs.where(inside_rings(F.col("__px"), F.col("__py"), F.col("__edges")))
     return hits.drop("__px", "__py", "__edges", "__bx1", "__by1", "__bx2", "__by2")
 

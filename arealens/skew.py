@@ -8,6 +8,7 @@ windows and running numbers do not combine, and are handled here.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,51 +19,121 @@ from arealens.session import cut
 HOT_SHARE = 0.01
 HOT_SPLITS = 512
 SAMPLE_SHARE = 0.02
-SMALL_INPUT = 200_000
+SMALL_SAMPLE = 2_000
+SMALL_ROWS = 50_000
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def is_small(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether a table has at most `rows` rows; counts no further than that."""
+    rows = SMALL_ROWS if rows is None else rows
+    return df.limit(rows + 1).count() <= rows
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that may hold at least `share` of the rows; at most 1/share of them.
+    """Hashes of the keys that hold at least `share` of the rows; at most 1/share of them.
 
-    The frequent-item count is one pass with bounded memory over the key columns of a
-    sample. It may name a key that is not hot, which costs a little replication; it
-    changes no result.
+    A sketch of bounded size counts the frequent keys of a sample in one pass over the
+    key columns. A key named wrongly costs a little replication and changes no result.
     """
-    hashed = df.select(_key_hash(keys).alias("h"))
-    sampled = hashed.sample(False, SAMPLE_SHARE, seed=7)
-    if sampled.limit(SMALL_INPUT // 100).count() < SMALL_INPUT // 100:
+    sampled = df.select(_key_hash(keys).alias("h")).sample(False, SAMPLE_SHARE, seed=7)
+    top = F.expr(f"approx_top_k(h, {int(1 / share)}, {int(10 / share)})")
+    row = sampled.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    if row["n"] < SMALL_SAMPLE:
         return []
-    found = sampled.stat.freqItems(["h"], share).first()[0]
-    return [int(v) for v in found if v is not None]
+    return [int(t["item"]) for t in row["top"] if t["item"] is not None and t["count"] >= share * row["n"]]
+
+
+@dataclass(frozen=True)
+class JoinAdvice:
+    """What is known about a join: whether the right side may be broadcast, and the hot keys of both sides."""
+
+    small: bool = False
+    hot: tuple[int, ...] = ()
+    hot_right: tuple[int, ...] = ()
+
+
+def advise(left: DataFrame, right: DataFrame, on: str | Sequence[str], unique: bool = True) -> JoinAdvice:
+    """Advice for joining two tables. `unique` says that the right side repeats no key."""
+    keys = [on] if isinstance(on, str) else list(on)
+    if is_small(right):
+        return JoinAdvice(small=True)
+    return JoinAdvice(hot=tuple(hot_keys(left, keys)), hot_right=() if unique else tuple(hot_keys(right, keys)))
 
 
-def spread_join(facts: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-                hot: Sequence[int] | None = None, splits: int = HOT_SPLITS) -> DataFrame:
-    """Equi-join of a long table to a shorter one, with hot keys of the long table split.
+def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
+                advice: JoinAdvice | None = None, splits: int = HOT_SPLITS) -> DataFrame:
+    """Equi-join in which hot keys are split over many tasks. The left side is the longer one.
 
-    Rows of `facts` with a hot key get one of `splits` salts and the matching rows of
-    `dim` are repeated once per salt. Other keys carry salt 0, so nothing else is
-    repeated. A `dim` under Spark's own broadcast limit is still broadcast by the planner.
+    A right side with a checked, small number of rows is broadcast. Otherwise the rows of
+    a key that is hot on one side get one of `splits` salts there, and the other side's
+    rows of that key are repeated once per salt. A key hot on both sides is split on
+    both, into about the square root of `splits` parts each. Other keys are not touched.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"spread_join keeps or drops rows of the long side; {how!r} is not possible")
-    if hot is None:
-        hot = hot_keys(facts, keys)
+        raise ValueError(f"spread_join keeps or drops rows of the left side; {how!r} is not possible")
+    advice = advise(left, right, keys) if advice is None else advice
+    if advice.small:
+        return left.join(F.broadcast(right), keys, how)
+    if advice.hot_right and how != "inner":
+        raise ValueError("only an inner join can split the right side")
+    if not advice.hot and not advice.hot_right:
+        return left.join(right, keys, how)
+    a, b = _salted(left, right, keys, keys, advice, splits)
+    return a.join(b, [*keys, "__salt_l", "__salt_r"], how).drop("__salt_l", "__salt_r")
+
+
+def _salted(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], advice: JoinAdvice,
+            splits: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with salt columns `__salt_l` and `__salt_r`, 0 but for hot keys."""
+    both = sorted(set(advice.hot) & set(advice.hot_right))
+    only_left = sorted(set(advice.hot) - set(both))
+    only_right = sorted(set(advice.hot_right) - set(both))
+    root = max(int(splits ** 0.5), 2)
+
+    def parts(keys: Sequence[str], mine: Sequence[int]) -> Column:
+        """Into how many parts a side's rows of a key are split."""
+        count = F.lit(1)
+        if mine:
+            count = F.when(_key_hash(keys).isin(list(mine)), splits).otherwise(count)
+        if both:
+            count = F.when(_key_hash(keys).isin(both), root).otherwise(count)
+        return count
+
+    def salt(df: DataFrame, keys: Sequence[str], own: str, other: str, mine: Sequence[int], theirs: Sequence[int]) -> DataFrame:
+        row = F.xxhash64(*[F.col(c) for c in df.columns])
+        return df.withColumns({
+            own: F.pmod(row, parts(keys, mine)).cast("int"),
+            other: F.explode(F.sequence(F.lit(0), parts(keys, theirs) - 1)),
+        })
+
+    return (salt(left, left_keys, "__salt_l", "__salt_r", only_left, only_right),
+            salt(right, right_keys, "__salt_r", "__salt_l", only_right, only_left))
+
+
+def join_to_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a table of one row per group to the groups' rows; null keys match. Hot groups are split.
+
+    The number of groups is counted on the rows' key columns, which combines on the map
+    side, so that `groups` itself, often a costly aggregate, is computed once.
+    """
+    keys = list(keys)
+    renamed = groups.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    drop = [f"__r_{k}" for k in keys]
+    if is_small(rows.select(*keys).distinct()):
+        return rows.join(F.broadcast(renamed), same, how).drop(*drop)
+    hot = hot_keys(rows, keys)
     if not hot:
-        return facts.join(dim, keys, how)
-    row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
-    is_hot = _key_hash(keys).isin(list(hot))
-    left = facts.withColumn("__salt", F.when(is_hot, F.pmod(row_hash, F.lit(splits))).otherwise(F.lit(0)).cast("int"))
-    right = dim.withColumn(
-        "__salt",
-        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))),
-    )
-    return left.join(right, keys + ["__salt"], how).drop("__salt")
+        return rows.join(renamed, same, how).drop(*drop)
+    a, b = _salted(rows, renamed, keys, drop, JoinAdvice(hot=tuple(hot)), HOT_SPLITS)
+    b = b.withColumnsRenamed({"__salt_l": "__r_salt_l", "__salt_r": "__r_salt_r"})
+    salts = [F.col("__salt_l") == F.col("__r_salt_l"), F.col("__salt_r") == F.col("__r_salt_r")]
+    return a.join(b, [*same, *salts], how).drop(*drop, "__salt_l", "__salt_r", "__r_salt_l", "__r_salt_r")
 
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
@@ -73,12 +144,7 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, C
     """
     keys = list(keys)
     sums = df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
-    renamed = sums.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *totals.keys())
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-        cond = c if cond is None else cond & c
-    return df.join(renamed, cond, "left").drop(*[f"__k_{k}" for k in keys])
+    return join_to_groups(df, sums, keys, "left").select(*df.columns, *totals)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool = False) -> DataFrame:
@@ -111,15 +177,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str])
     bounds = long.groupBy(*group).agg(
         F.percentile_approx("__v", [0.4997, 0.5003], 10000).alias("__b"),
         F.count(F.lit(1)).alias("__n"),
-    ).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(group)], "__b", "__n")
-    match = None
-    for i, k in enumerate(group):
-        c = F.col(k).eqNullSafe(F.col(f"__k{i}"))
-        match = c if match is None else match & c
+    )
     below = F.col("__v") < F.col("__b")[0]
     inside = F.col("__v") <= F.col("__b")[1]
     counted = (
-        long.join(bounds, match)
+        join_to_groups(long, bounds, group)
         .where(inside)
         .groupBy(*group, "__n", F.when(~below, F.col("__v")).alias("__c"))
         .agg(F.count(F.lit(1)).alias("__cnt"))
