@@ -58,17 +58,18 @@ def normal_density(x: Column, mean: Column, sd: Column) -> Column:
 def combine_levels(estimates: DataFrame, categories: Sequence[str] = CATEGORIES, region: str = REGION) -> DataFrame:
     """Every combination of one level per category, with the four estimates and errors.
 
-    The levels of a category are a short list, built by joins on a constant key.
+    The levels of the four categories are the rows of one published table, a few each.
+    They are put in one row of four lists, and the lists are opened one after another.
     """
     used = estimates.where((F.col("Fuel") == "Total Energy") & (F.col("End_Use") == "Total"))
     used = used.where((F.col("Category") != "Division") | (F.col("Level") == region))
-    out = None
-    for i, c in enumerate(categories):
-        part = used.where(F.col("Category") == c).select(
-            F.lit(1).alias("__one"), F.col("Level").alias(c),
-            F.struct(F.col("Estimate").alias("m"), F.col("SE").alias("s")).alias(f"__e{i}"))
-        out = part if out is None else out.join(part, "__one")
-    return out.select(*categories, F.array(*[F.col(f"__e{i}") for i in range(len(categories))]).alias("dists"))
+    entry = F.struct(F.col("Level").alias("l"), F.struct(F.col("Estimate").alias("m"), F.col("SE").alias("s")).alias("e"))
+    out = used.where(F.col("Category").isin(list(categories))).agg(*[
+        F.array_sort(F.collect_list(F.when(F.col("Category") == c, entry))).alias(f"__c{i}") for i, c in enumerate(categories)])
+    for i in range(len(categories)):
+        out = out.withColumn(f"__c{i}", F.explode(f"__c{i}"))
+    return out.select(*[F.col(f"__c{i}.l").alias(c) for i, c in enumerate(categories)],
+                      F.array(*[F.col(f"__c{i}.e") for i in range(len(categories))]).alias("dists"))
 
 
 def energy_by_type(estimates: DataFrame, step: float = 0.001, categories: Sequence[str] = CATEGORIES,

@@ -245,20 +245,19 @@ def merge_layers(layers: Mapping[str, DataFrame], tag: str | None = None) -> Dat
 
 
 def clean_parcels(shapes: DataFrame, attributes: DataFrame, shape_key: str, attribute_key: str, key: str = "FOLIO",
-                  geometry: str = "geometry", width: int = 12, renames: Mapping[str, str] | None = None) -> DataFrame:
-    """Parcels from shapes and an attribute table.
+                  geometry: str = "geometry", width: int = 12,
+                  renames: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parcels from shapes and an attribute table: one row per parcel, and the parcels' pieces.
 
-    Shapes without geometry are dropped, pieces of one parcel counted and kept together
-    in sorted order, ids padded, attributes renamed and joined.
+    Shapes without geometry are dropped and the pieces of a parcel counted; ids of the
+    attribute table are padded, its columns renamed and joined. The pieces stay rows of
+    their own, so a parcel of very many pieces is no problem.
     """
     from arealens.functions.scalar import zero_pad
 
-    pieces = (
-        shapes.where(F.col(geometry).isNotNull())
-        .groupBy(F.col(shape_key).alias(key))
-        .agg(F.count(F.lit(1)).alias("NumPieces"), F.array_sort(F.collect_list(geometry)).alias("parts"))
-    )
+    pieces = shapes.where(F.col(geometry).isNotNull()).select(F.col(shape_key).alias(key), geometry)
+    counted = pieces.groupBy(key).agg(F.count(F.lit(1)).alias("NumPieces"))
     table = attributes.withColumn(key, zero_pad(F.col(attribute_key), width))
     if attribute_key != key:
         table = table.drop(attribute_key)
-    return extend(pieces, table.withColumnsRenamed(dict(renames or {})), key, key)
+    return extend(counted, table.withColumnsRenamed(dict(renames or {})), key, key), pieces

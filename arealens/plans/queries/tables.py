@@ -204,4 +204,5 @@ def clean_parcels(spark, sf):
         F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("PARCELNO"),
         F.struct(F.col("o_totalprice").alias("x"), F.col("o_orderkey").cast("double").alias("y")).alias("geometry"))
     attributes = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("PARCEL_ID"), "c_acctbal")
-    return op.clean_parcels(shapes, attributes, "PARCELNO", "PARCEL_ID", renames={"c_acctbal": "JV"}).drop("parts")
+    parcels, _ = op.clean_parcels(shapes, attributes, "PARCELNO", "PARCEL_ID", renames={"c_acctbal": "JV"})
+    return parcels

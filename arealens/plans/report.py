@@ -12,7 +12,7 @@ from arealens.operators.access import TIME_BREAKS, long_access
 from arealens.operators.aggregate import column_sums, summarize
 from arealens.operators.joins import PSEUDO_YEARS, difference, extend, feature_difference, join_specs, stack_years
 from arealens.plans import report_specs as rs
-from arealens.skew import attach_scalars
+from arealens.skew import advise, attach_scalars, spread_join
 from arealens.specs import CalcSpec, FeatureSpec, SummarySpec, TableSpec, apply_calcs
 
 # Reading order of a membership table: the target layer's key, then the source layer's.
@@ -48,9 +48,13 @@ def calculate(frames: Mapping[str, DataFrame], specs: Sequence[CalcSpec]) -> dic
 def members_joined(target: DataFrame, source: DataFrame, members: DataFrame, target_spec: FeatureSpec,
                    source_spec: FeatureSpec) -> DataFrame:
     """Source features once per target they lie in, with the target's own columns that the source lacks."""
-    labels = [c for c in target.columns if c == target_spec.key or c not in source.columns]
-    linked = members.select(target_spec.key, source_spec.key)
-    return linked.join(source, source_spec.key).join(target.select(*labels), target_spec.key)
+    linked = members.select(target_spec.key, source_spec.key).join(source, source_spec.key)
+    labels = [c for c in target.columns if c != target_spec.key and c not in source.columns]
+    if not labels:
+        return linked
+    # One area may hold much of the features; who is hot is read from the membership alone.
+    labelled = target.select(target_spec.key, *labels)
+    return spread_join(linked, labelled, target_spec.key, advice=advise(members, labelled, target_spec.key))
 
 
 def summarise_spec(spec: SummarySpec, targets: DataFrame, source: DataFrame, members: DataFrame | None, year: int) -> DataFrame:

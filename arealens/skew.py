@@ -65,7 +65,7 @@ def advise(left: DataFrame, right: DataFrame, on: str | Sequence[str], unique: b
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
-                advice: JoinAdvice | None = None, splits: int = HOT_SPLITS) -> DataFrame:
+                advice: JoinAdvice | None = None, splits: int | None = None) -> DataFrame:
     """Equi-join in which hot keys are split over many tasks. The left side is the longer one.
 
     A right side with a checked, small number of rows is broadcast. Otherwise the rows of
@@ -83,7 +83,7 @@ def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
         raise ValueError("only an inner join can split the right side")
     if not advice.hot and not advice.hot_right:
         return left.join(right, keys, how)
-    a, b = _salted(left, right, keys, keys, advice, splits)
+    a, b = _salted(left, right, keys, keys, advice, splits or HOT_SPLITS)
     return a.join(b, [*keys, "__salt_l", "__salt_r"], how).drop("__salt_l", "__salt_r")
 
 

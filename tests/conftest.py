@@ -23,6 +23,7 @@ def force_split(monkeypatch):
     monkeypatch.setattr(skew, "SMALL_ROWS", 0)
     monkeypatch.setattr(skew, "SMALL_SAMPLE", 1)
     monkeypatch.setattr(skew, "SAMPLE_SHARE", 1.0)
+    monkeypatch.setattr(skew, "HOT_SPLITS", 9)
     return skew
 
 

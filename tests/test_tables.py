@@ -76,8 +76,9 @@ def test_sources_are_flagged(spark, base):
 def test_clean_parcels(spark):
     shapes = spark.createDataFrame([("000000000007", (1.0, 2.0)), ("000000000007", (0.0, 1.0)), ("000000000008", None)], "PARCELNO string, geometry struct<x:double,y:double>")
     table = spark.createDataFrame([("7", 100.0)], "PARCEL_ID string, JUST double")
-    out = joins.clean_parcels(shapes, table, "PARCELNO", "PARCEL_ID", renames={"JUST": "JV"})
+    out, pieces = joins.clean_parcels(shapes, table, "PARCELNO", "PARCEL_ID", renames={"JUST": "JV"})
     assert rows(out, "FOLIO", "NumPieces", "JV") == [("000000000007", 2, 100.0)]
+    assert pieces.count() == 2
 
 
 # --- summaries ------------------------------------------------------------
