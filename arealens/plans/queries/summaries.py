@@ -33,8 +33,8 @@ def summarize_wide(spark, sf):
         _orders(spark, sf), Col("c_nationkey", rename="nation"),
         [AggCol("o_orderkey", rename="n_orders", method="size"), AggCol("o_totalprice"), AggCol("bal", rename="mean_bal", method="mean")],
         [Consolidation("both", ("o_totalprice", "bal")), Consolidation("prod", ("o_totalprice", "bal"), fold="product")])
-    return rounded(out.withColumn("prod", F.col("prod") / 1e6).withColumnsRenamed({}), 4).withColumns(
-        {c: F.round(c, 2) for c in ("o_totalprice", "both", "prod")})
+    return out.select("nation", "n_orders", F.round("o_totalprice", 2).alias("o_totalprice"), F.round("mean_bal", 4).alias("mean_bal"),
+                      F.round("both", 2).alias("both"), F.round(F.col("prod") / 1e6, 2).alias("prod"))
 
 
 PRIORITY_ORDER = DomainCol("PRIO_DOM", {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "5-LOW": 5})
