@@ -249,7 +249,15 @@ def _nearest(points: DataFrame, key: str, x: str, y: str, items: DataFrame, box:
         F.lit(0).cast("bigint").alias("__cx"), F.lit(0).cast("bigint").alias("__cy"))
     per_point = Window.partitionBy("__pk")
     for level in range(1, depth + 1):
-        opened = state.join(pyramid(level), [*by, "__cx", "__cy"]).withColumns({"__near": nearest_possible, "__sure": surely_within})
+        if level == 1 and not by:
+            # The first level is at most 16 cells, the same for all points: one list, opened on each point.
+            first_cells = pyramid(1).drop("__cx", "__cy")
+            listed = first_cells.agg(F.collect_list(F.struct(*first_cells.columns)).alias("__cells")).scalar()
+            opened = state.drop("__cx", "__cy").withColumn("__cells", listed).withColumn("__cell", F.explode("__cells"))
+            opened = opened.select("__pk", "__px", "__py", "__cell.*")
+        else:
+            opened = state.join(pyramid(level), [*by, "__cx", "__cy"])
+        opened = opened.withColumns({"__near": nearest_possible, "__sure": surely_within})
         if radius is not None:
             opened = opened.where(F.col("__near") <= float(radius) ** 2)
         # The window holds the few cells one point still follows. The factor guards against rounding.

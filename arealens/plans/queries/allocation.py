@@ -248,7 +248,7 @@ def near_term_increment(spark, sf):
 @register("zone_estimates", with_views("v_points v_zones", f"""
 WITH j AS (SELECT c_custkey AS id, CAST(c_custkey % 5 AS DOUBLE) AS u, c_acctbal AS a FROM customer),
  l AS (SELECT zone, zone % 5 AS taz, sum(u) AS hh, sum(a) AS jobs, sum(u + a) AS total FROM v_points p JOIN j USING (id) JOIN v_zones ON {INSIDE} WHERE zone < 20 GROUP BY 1, 2),
- r AS (SELECT n_nationkey AS zone, n_nationkey % 5 AS taz, 10.0 AS hh, 20.0 AS jobs, 30.0 AS total, 7.0 AS enroll FROM nation),
+ r AS (SELECT n_nationkey AS zone, n_nationkey % 5 AS taz, CAST(10 AS DOUBLE) AS hh, CAST(20 AS DOUBLE) AS jobs, CAST(30 AS DOUBLE) AS total, CAST(7 AS DOUBLE) AS enroll FROM nation),
  z AS (SELECT l.zone, l.taz, l.hh, l.jobs, l.total, r.enroll FROM l JOIN r USING (zone) UNION ALL SELECT * FROM r WHERE zone NOT IN (SELECT zone FROM l))
 SELECT taz, round(sum(hh), 2) AS hh, round(sum(jobs), 2) AS jobs, round(sum(total), 2) AS total, round(sum(enroll), 2) AS enroll FROM z GROUP BY 1"""))
 def zone_estimates(spark, sf):

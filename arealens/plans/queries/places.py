@@ -70,7 +70,7 @@ def centroid_area(spark, sf):
 
 
 @register("parcel_centroids", """
-SELECT o_orderkey, round((o_custkey % 900) + (10 + o_orderkey % 50) / 2.0, 4) AS cx, round((o_orderkey % 900) + 4.0, 4) AS cy, CAST((10 + o_orderkey % 50) * 8 AS DOUBLE) AS size FROM orders""")
+SELECT o_orderkey, round((o_custkey % 900) + (10 + o_orderkey % 50) / 2.0, 4) AS cx, CAST((o_orderkey % 900) + 4 AS DOUBLE) AS cy, CAST((10 + o_orderkey % 50) * 8 AS DOUBLE) AS size FROM orders""")
 def parcel_centroids(spark, sf):
     c = F.col
     lots = table(spark, sf, "orders").select(

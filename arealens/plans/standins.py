@@ -50,8 +50,15 @@ VIEWS: dict[str, str] = {
 }
 
 
+_OPENED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A supplied table. Opening one reads file footers, so each is opened once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _OPENED[key]
 
 
 def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
