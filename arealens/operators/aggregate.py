@@ -71,6 +71,19 @@ def summarize(df: DataFrame, group: Col | Sequence[Col], aggs: AggCol | Sequence
     return result.select(*ordered).withColumnsRenamed({g.name: g.out for g in group})
 
 
+def consolidate(df: DataFrame, keep: Sequence[str], renames: Mapping[str, str], folds: Sequence[Consolidation]) -> DataFrame:
+    """Base columns, renamed columns and row folds of a wide table, nulls at the folds' defaults."""
+    defaults: dict[str, float] = {}
+    for f in folds:
+        defaults.update(f.defaults())
+    missing = sorted((set(defaults) | set(keep) | set(renames)) - set(df.columns))
+    if missing:
+        raise ValueError(f"columns missing from the input: {missing}")
+    types = dict(df.dtypes)
+    values = {n: F.coalesce(F.col(n), F.lit(d).cast(types[n])) for n, d in defaults.items()}
+    return df.select(*keep, *[F.col(old).alias(new) for old, new in renames.items()], *[f.of(values).alias(f.name) for f in folds])
+
+
 def count_rows(df: DataFrame, group: Sequence[str], out: str = "count", null_value=None, skip_nulls: bool = False) -> DataFrame:
     """Row count per group."""
     source = df.dropna() if skip_nulls else df if null_value is None else df.fillna(null_value)

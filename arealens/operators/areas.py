@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arealens.operators.joins import merge_layers
 from arealens.operators.spatial import centre_in_area, within_distance, within_distance_of_lines
 from arealens.skew import number_rows
 
@@ -96,6 +97,12 @@ def summary_members(areas: DataFrame, in_corridor: DataFrame, in_station: DataFr
     return by_station.unionByName(whole).unionByName(every).unionByName(outside)
 
 
+def merge_subset(layers: Mapping[str, DataFrame], areas: DataFrame, key: str, x: str = "x", y: str = "y",
+                 rings: str = "rings", tag: str | None = None) -> DataFrame:
+    """Layers cut down to the features with their centre in an area, then stacked."""
+    return merge_layers({n: centre_in_area(df, areas, x, y, rings, key) for n, df in layers.items()}, tag)
+
+
 def zones_by_year(zones: DataFrame, county: DataFrame | None, years: Sequence[int], key: str, x: str = "x", y: str = "y",
                   rings: str = "rings") -> DataFrame:
     """Zones with their centre in the county (all zones without one), once per year."""

@@ -160,6 +160,15 @@ def reach_rings(edges: DataFrame, facilities: DataFrame, breaks: Sequence[float]
     return costs.withColumn("ring", ring)
 
 
+def reach_cells(cells: DataFrame, lines: DataFrame, key: str, x: str, y: str, ring: str, trim: float = 100.0,
+                facility: str | None = None) -> DataFrame:
+    """Places within `trim` of reached lines, with the lowest ring: of all facilities together, or of each."""
+    ends = ("x1", "y1", "x2", "y2")
+    extra = [facility] if facility else []
+    near = within_distance_of_lines(cells.select(key, x, y), lines.select(*ends, ring, *extra), x, y, trim, ends)
+    return near.groupBy(key, *extra).agg(F.min(ring).alias(ring))
+
+
 # --- centrality -----------------------------------------------------------
 
 def centrality_of(paths: DataFrame, node: str, cost: str) -> DataFrame:
@@ -187,7 +196,8 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     logarithm of the graph's size, not with its diameter.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    # Written once: the edges may come from a long plan that rounds must not repeat.
+    nodes = cut(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct())
     few = is_small(nodes)
     links = cut(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 

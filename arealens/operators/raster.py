@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from arealens.functions.scalar import SQFT_PER_ACRE
 from arealens.operators.network import components
 from arealens.operators.spatial import inside_rings, ring_edges, with_box
+from arealens.session import cut
 from arealens.skew import exact_median, null_safe_join
 
 # Names of a cell's neighbours and where they lie, (row step, column step).
@@ -55,6 +56,16 @@ def assign_chunks(df: DataFrame, x: str, y: str, chunks: int = 20, out: str = "C
     return df.withColumn(out, (place(y, y0, height, rows) * cols + place(x, x0, width, cols)).cast("int"))
 
 
+def cells_in_extent(cells: DataFrame, areas: DataFrame, x: str, y: str, rings: str, dx: float, dy: float,
+                    out: str = "CellArea") -> DataFrame:
+    """Cells inside the bounding box of all areas, with the area of a cell. The box is read by scalar subqueries."""
+    boxed = with_box(areas, rings)
+    box = boxed.agg(F.min("__bx1").alias("x1"), F.min("__by1").alias("y1"), F.max("__bx2").alias("x2"), F.max("__by2").alias("y2"))
+    edge = {c: box.select(c).scalar() for c in ("x1", "y1", "x2", "y2")}
+    inside = (F.col(x) >= edge["x1"]) & (F.col(x) <= edge["x2"]) & (F.col(y) >= edge["y1"]) & (F.col(y) <= edge["y2"])
+    return cells.where(inside).withColumn(out, F.lit(float(dx * dy)))
+
+
 def rasterise(polygons: DataFrame, key: str, rings: str, size: float, keep: Sequence[str] = ()) -> DataFrame:
     """Cells whose centre lies in a polygon: (key, row, col). Where polygons overlap the largest key wins.
 
@@ -79,7 +90,8 @@ def developable_parts(cells: DataFrame, mask: DataFrame, parcel: str, out: str =
     """
     free = cells.join(mask.select("row", "col").distinct(), ["row", "col"], "left_anti")
     shift = 1 << 31
-    numbered = free.withColumn("__id", F.col("row").cast("bigint") * F.lit(2 * shift) + F.col("col").cast("bigint") + F.lit(shift))
+    number = F.col("row").cast("bigint") * F.lit(2 * shift) + F.col("col").cast("bigint") + F.lit(shift)
+    numbered = cut(free.withColumn("__id", number))
     pairs = None
     for dr, dc in ((0, 1), (1, 0)):
         other = numbered.select((F.col("row") - dr).alias("row"), (F.col("col") - dc).alias("col"), parcel,
@@ -87,7 +99,7 @@ def developable_parts(cells: DataFrame, mask: DataFrame, parcel: str, out: str =
         step = numbered.join(other, ["row", "col", parcel]).select(F.col("__id").alias("src"), "dst")
         pairs = step if pairs is None else pairs.unionByName(step)
     loops = numbered.select(F.col("__id").alias("src"), F.col("__id").alias("dst"))
-    labels = components(pairs.unionByName(loops))
+    labels = cut(components(pairs.unionByName(loops)))
     return numbered.join(labels.withColumnsRenamed({"node": "__id", "component": out}), "__id").drop("__id")
 
 

@@ -369,3 +369,19 @@ def study_bbox(spark, sf):
         (c("n") / 100).alias("north"), (c("s") / 100).alias("south"), (c("e") / 100).alias("east"), (c("w") / 100).alias("west"),
         geo.box_is_valid(c("n") / 100, c("s") / 100, c("e") / 100, c("w") / 100).alias("valid"),
         geo.box_is_valid(c("n"), c("s"), c("e"), c("w")).alias("raw_valid"))
+
+
+@register("merged_subset", with_views("v_points v_targets v_areas", f"""
+WITH a AS (SELECT * FROM v_areas WHERE area < 2), m AS (SELECT 'lots' AS layer, id, x, y FROM v_points UNION ALL SELECT 'stops', target, tx, ty FROM v_targets)
+SELECT layer, id FROM m WHERE EXISTS (SELECT 1 FROM a WHERE {INSIDE})"""))
+def merged_subset(spark, sf):
+    stops = view(spark, sf, "v_targets").select(F.col("target").alias("id"), F.col("tx").alias("x"), F.col("ty").alias("y"))
+    area = boxes(view(spark, sf, "v_areas").where("area < 2"), "area")
+    return ar.merge_subset({"lots": view(spark, sf, "v_points").select("id", "x", "y"), "stops": stops}, area, "id", tag="layer").select("layer", "id")
+
+
+@register("reach_places", with_views("v_points v_lines", f"""
+SELECT id, min(CASE WHEN line % 3 = 0 THEN CAST(15 AS DOUBLE) ELSE CAST(30 AS DOUBLE) END) AS ring FROM v_points JOIN v_lines ON {SEG} <= 25 GROUP BY 1"""))
+def reach_places(spark, sf):
+    lines = view(spark, sf, "v_lines").withColumn("ring", F.when(F.col("line") % 3 == 0, 15.0).otherwise(30.0))
+    return nw.reach_cells(view(spark, sf, "v_points"), lines, "id", "x", "y", "ring", 25.0)

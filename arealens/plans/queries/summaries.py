@@ -411,3 +411,10 @@ def park_and_class_percent(spark, sf):
         F.sum(F.when(any_of(5).on(c("lu")), c("living")).otherwise(0)).alias("part"))
     return sums.select("zone", F.round(sc.density(c("land"), c("units"), 1000), 2).alias("PARK_AC_PER1000"),
                        F.round(sc.percent(c("part"), c("living")), 6).alias("NONDEV_FA_SHR"))
+
+
+@register("consolidated_zones", with_views("v_zone_data", """
+SELECT id, hh AS "HH", CAST(jobs * 2 + 1 AS BIGINT) AS "OffJobs", hh * jobs AS "Mixed" FROM v_zone_data"""))
+def consolidated_zones(spark, sf):
+    zones = view(spark, sf, "v_zone_data").withColumns({"a": F.col("jobs"), "b": F.col("jobs") + 1, "c": F.lit(None).cast("bigint")})
+    return op.consolidate(zones, ["id"], {"hh": "HH"}, [Consolidation("OffJobs", ("a", "b", "c")), Consolidation("Mixed", ("hh", "a"), fold="product")])

@@ -227,3 +227,15 @@ def test_long_access(spark):
     out = access.long_access(df, ["id"], ["HH"], (15, 30), "Walk", 2019)
     assert rows(out) == [(1, "HH", 15, 0, 5.0, 2019), (1, "HH", 30, 15, 0.0, 2019)]
     assert list(access.access_columns(["HH"], (15,), "Bike")) == ["HH15Min", "AvgMinHH"]
+
+
+def test_regional_zone_table_is_consolidated(spark):
+    from arealens.plans import report_specs as rs
+
+    names = ["MAZ", *rs.REGIONAL_RENAMES, *dict.fromkeys(i for c in rs.REGIONAL_SUMS for i in c.inputs)]
+    df = spark.createDataFrame([tuple(range(len(names)))], names)
+    out = aggregate.consolidate(df, ["MAZ"], rs.REGIONAL_RENAMES, rs.REGIONAL_SUMS)
+    assert out.columns == ["MAZ", "HH", "TotalJobs", "HCJobs", "RsrcJobs", "ConsJobs", "EdJobs", "IndJobs", "OffJobs", "OthJobs", "EnrollAdlt", "EnrollK12"]
+    assert out.first()["EnrollK12"] == sum(names.index(i) for i in rs.REGIONAL_SUMS[-1].inputs)
+    with pytest.raises(ValueError):
+        aggregate.consolidate(df.drop("emp_retail"), ["MAZ"], {}, rs.REGIONAL_SUMS)
