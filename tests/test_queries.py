@@ -37,14 +37,14 @@ def test_query(spark, con, name):
     assert sorted(found) == columns
     order = [found.index(c) for c in columns]
 
-    def key(row):
-        return tuple((v is None, f"{v:.2f}" if isinstance(v, float) else str(v)) for v in row)
+    def ordered(rows, places):
+        return sorted(rows, key=lambda row: tuple((v is None, f"{v:.{places}f}" if isinstance(v, float) else str(v)) for v in row))
 
-    want = sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=key)
-    got = sorted((tuple(r[c] for c in columns) for r in df.collect()), key=key)
+    want = [tuple(r[i] for i in order) for r in cursor.fetchall()]
+    got = [tuple(r[c] for c in columns) for r in df.collect()]
     assert len(got) == len(want)
-    for g, w in zip(got, want):
-        assert all(same(x, y) for x, y in zip(g, w)), (name, g, w)
+    # Rows are lined up by rounded values; a value next to a rounding step may line up only at fewer places.
+    assert any(all(same(x, y) for g, w in zip(ordered(got, places), ordered(want, places)) for x, y in zip(g, w)) for places in (6, 4, 2)), name
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
