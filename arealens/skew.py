@@ -115,17 +115,19 @@ def _salted(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_k
             salt(right, right_keys, "__salt_r", "__salt_l", only_right, only_left))
 
 
-def join_to_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def join_to_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner",
+                   small: bool | None = None) -> DataFrame:
     """Join a table of one row per group to the groups' rows; null keys match. Hot groups are split.
 
     The number of groups is counted on the rows' key columns, which combines on the map
-    side, so that `groups` itself, often a costly aggregate, is computed once.
+    side, so that `groups` itself, often a costly aggregate, is computed once. `small`
+    tells the outcome where the caller has counted already.
     """
     keys = list(keys)
     renamed = groups.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
     drop = [f"__r_{k}" for k in keys]
-    if is_small(rows.select(*keys).distinct()):
+    if is_small(rows.select(*keys).distinct()) if small is None else small:
         return rows.join(F.broadcast(renamed), same, how).drop(*drop)
     hot = hot_keys(rows, keys)
     if not hot:
@@ -181,7 +183,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str])
     below = F.col("__v") < F.col("__b")[0]
     inside = F.col("__v") <= F.col("__b")[1]
     counted = (
-        join_to_groups(long, bounds, group)
+        join_to_groups(long, bounds, group, small=is_small(df.select(*keys).distinct(), SMALL_ROWS // max(len(names), 1)))
         .where(inside)
         .groupBy(*group, "__n", F.when(~below, F.col("__v")).alias("__c"))
         .agg(F.count(F.lit(1)).alias("__cnt"))
