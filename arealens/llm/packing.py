@@ -25,9 +25,7 @@ from pyspark.sql import functions as F
 from arealens.llm.common import chunked, stored
 
 CAPACITY = 2048
-CACHE_WORDS = 300_000
-#: Words of letters that both libraries class alike: a space first, no white space last.
-PLAIN = re.compile("(?: [ \\n!-~\u00a1-\u024f]*[!-~\u00a1-\u024f])\\Z").match
+PLAIN = re.compile("[\\t-\\r -~\u00a1-\u024f]*").fullmatch
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
 
 
@@ -111,89 +109,32 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Encoder:
-    """Token ids of texts. A cut before a space that follows no white space never splits a token, so words are encoded once each."""
+    """Token ids of texts by a byte-level vocabulary file.
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    Texts of ASCII and Latin letters, which both libraries class alike, go through the faster
+    of the two over the same vocabulary; any other text goes through the one the file is for.
+    """
+
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()  # a byte-level vocabulary writes each byte as one character
-        self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        self.widths[list(vocabulary.values())] = [len(token) for token in vocabulary]
-        import public_tokenizers
-        import tiktoken
-
         special = set(self.tokenizer.get_added_tokens_decoder())
         shown = _byte_letters()
-        ranks = {bytes(shown[c] for c in token): i for token, i in vocabulary.items() if i not in special}
+        ranks = {bytes(shown[c] for c in token): i for token, i in self.tokenizer.get_vocab().items() if i not in special}
         self.twin = tiktoken.Encoding("twin", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
-        self.cache_words = cache_words
-
-    def learn(self, words: list[str]) -> None:
-        """Encode words not met before: plain ones together, by a faster library over the same vocabulary, the others singly."""
-        plain = [w for w in words if PLAIN(w)]
-        rest = [w for w in words if not PLAIN(w)]
-        for word, encoding in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.known[word] = np.asarray(encoding.ids, "<u4").tobytes()
-        for at in range(0, len(plain), 1000):
-            some = plain[at:at + 1000]
-            ids = np.asarray(self.twin.encode_ordinary("".join(some)), "<u4")
-            ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(w.encode()) for w in some]), "right").tolist()
-            body, a = ids.tobytes(), 0
-            for word, b in zip(some, ends):
-                self.known[word] = body[4 * a:4 * b]
-                a = b
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, without special tokens."""
-        parts: list[str] = []
-        counts = []
-        for text in texts:
-            own = text.split(" ")
-            if "  " in text or any(p and p[-1].isspace() for p in own):
-                joined = [own[0]]
-                for p in own[1:]:  # a space after white space belongs to what stands before it
-                    if not joined[-1] or joined[-1][-1].isspace():
-                        joined[-1] += " " + p
-                    else:
-                        joined.append(p)
-                own = joined
-            counts.append(len(own))
-            parts.append("\n" + own[0])  # marks the start of a text: no other part begins so where it stands for " " + part
-            parts += own[1:]
-        starts = np.zeros(len(parts), bool)
-        starts[np.cumsum([0, *counts[:-1]])] = True
-        coded = pa.array(parts, pa.string()).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        # The same string may stand for a first part and for a later one that begins with a line break.
-        both = np.zeros((2, len(words)), bool)
-        both[starts.astype(int), index] = True
-        keys = [w[1:] if first else " " + w for first in (0, 1) for w, used in zip(words, both[first]) if used]
-        slot = np.full((2, len(words)), -1)
-        slot[0, both[0]] = np.arange(both[0].sum())
-        slot[1, both[1]] = np.arange(both[1].sum()) + both[0].sum()
-        new = [k for k in keys if k not in self.known]
-        if len(self.known) + len(new) > self.cache_words:
-            self.known = {}
-            new = list(dict.fromkeys(keys))
-        self.learn(new)
-        bodies = [self.known[k] for k in keys]
-        lengths = np.array([len(b) // 4 for b in bodies], np.int64)
-        offsets = np.cumsum(lengths) - lengths
-        flat = np.frombuffer(b"".join(bodies), "<u4")
-        place = slot[starts.astype(int), index]
-        size = lengths[place]
-        ends = np.cumsum(size)
-        take = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(offsets[place] - (ends - size), size)
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
-        ids = flat[take]
-        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, without special tokens, as little-endian unsigned 32-bit numbers."""
+        if PLAIN(text):
+            return np.array(self.twin.encode_ordinary(text), "<u4")
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 def pieces_of(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int) -> DataFrame:
@@ -207,8 +148,8 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, path: str, capacity:
         seen: dict[int, int] = {}
         for ids, texts in chunked(batches):
             rows = []
-            for doc, tokens in zip(ids, encoder.encode([(t or b"").decode("utf-8", "replace") for t in texts])):
-                tokens = np.append(tokens, np.uint32(0)).astype("<u4")
+            for doc, text in zip(ids, texts):
+                tokens = np.append(encoder.encode((text or b"").decode("utf-8", "replace")), np.zeros(1, "<u4"))
                 number = -(-len(tokens) // capacity)
                 cuts = [0] + [len(tokens) - (number - k) * capacity for k in range(1, number + 1)]
                 for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
