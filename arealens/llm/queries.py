@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.llm import packing, quality, simhash, substring
+from arealens.llm import decontam, packing, quality, simhash, substring
 from arealens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pu_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
