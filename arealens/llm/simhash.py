@@ -50,16 +50,24 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
     return int(np.packbits(2 * counts > len(hashes)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp) of every row; null, empty and blank texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED,
+                 extra: Column | None = None) -> DataFrame:
+    """(doc_id, fp, h) of every row; null, empty and blank texts have fingerprint 0. h is `extra`, a long, or null."""
 
     def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in chunked(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())],
-                                             ["doc_id", "fp"])
+        for ids, texts, more in chunked(batches):
+            prints = [fingerprint(t, shingle, seed) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, prints, more)], ["doc_id", "fp", "h"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(mark, "doc_id long, fp long")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       (F.lit(None) if extra is None else extra).cast("long").alias("h"))
+    return slim.mapInArrow(mark, "doc_id long, fp long, h long")
+
+
+def _components_of(prints: DataFrame) -> DataFrame:
+    """(fp, least, root) of distinct fingerprints with their smallest id `least`; equal roots are one component."""
+    roots = stored(components(links(prints)))
+    return prints.join(roots, prints.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
 
 
 def _ring(fp: Column, start: int) -> Column:
@@ -119,7 +127,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     marked = stored(fingerprints(docs, id_col, text_col, shingle, seed))
     prints = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = stored(components(links(prints)))
-    named = prints.join(roots, prints.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = _components_of(prints)
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(named.join(names, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, that are the smallest of their component: least id, null last, then least hash of the text.
+
+    Of rows that share id and text one stays.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("h").alias("h"))
+    text = F.col(text_col).cast("string")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    marked = stored(fingerprints(slim, "doc_id", "text", extra=F.xxhash64("text")))
+    prints = stored(marked.groupBy("fp").agg(F.min(key).alias("least")))
+    first = _components_of(prints).groupBy("root").agg(F.min("least").alias("least"))
+    first = first.select(F.col("least.id").alias("__id"), F.col("least.h").alias("__h"))
+    own = docs.withColumn("__hash", F.xxhash64(text))
+    kept = own.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")), "left_semi")
+    return kept.dropDuplicates([id_col, "__hash"]).select(*docs.columns)
