@@ -211,10 +211,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = None
     for index in slices(benchmark, item_col, item_text_col, q, share):
-        sent = spark.sparkContext.broadcast(index)  # at most SLICE_CHARS characters and as many hashes
+        sent = spark.sparkContext.broadcast((index.ids, index.items, q, share))  # at most SLICE_CHARS characters, or one item
 
         def search(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            own = sent.value
+            own = Index(*sent.value)
             for ids, texts in chunked(batches):
                 rows = []
                 for doc, text in zip(ids, texts):
