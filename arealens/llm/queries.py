@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.llm import decontam, packing, pii, quality, simhash, substring
+from arealens.llm import decontam, packing, pii, ppm, quality, simhash, substring
 from arealens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op7_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(read_table(spark, sf_dir, "documents"))
     counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.BASE]
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
+@query
+def op3_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(read_table(spark, sf_dir, "documents"))
