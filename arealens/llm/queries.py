@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.llm import decontam, packing, pii, ppm, quality, simhash, substring
+from arealens.llm import ann, decontam, packing, pii, ppm, quality, simhash, substring
 from arealens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,9 @@ def op7_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_robust_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
