@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.llm import ann, decontam, packing, pii, ppm, quality, simhash, substring
+from arealens.llm import ann, decontam, licences, packing, pages, pii, ppm, quality, simhash, substring
 from arealens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,14 @@ def op3_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_robust_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op8_line_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pages.extract(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op9_dice_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read_table(spark, sf_dir, "documents"))
