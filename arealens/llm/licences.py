@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 LEAST = 0.8
 ANCHORS = 3
+BROADCAST_ROWS = 50_000
 
 #: Usual notices of well-known licences.
 TEMPLATES = (
@@ -56,13 +57,14 @@ def template_words(text: str) -> list[str]:
 
 
 def template_table(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> DataFrame:
-    """(template, licence, size, bigram, times): the bigrams of each template and its number of bigrams."""
+    """(template, licence, size, bigram, times): the bigrams of each template and its number of bigrams; broadcast if short."""
     rows = []
     for n, (licence, text) in enumerate(templates):
         words = template_words(text)
         pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
         rows += [(n, licence, len(pairs), p, pairs.count(p)) for p in sorted(set(pairs))]
-    return spark.createDataFrame(rows, "template int, licence string, size int, bigram string, times int")
+    table = spark.createDataFrame(rows, "template int, licence string, size int, bigram string, times int")
+    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 
 def _windows(flat: Column, templates: tuple[tuple[str, str], ...]) -> list[Column]:
