@@ -154,8 +154,8 @@ def usable(vec: Column) -> Column:
     return F.coalesce(vec.isNotNull() & whole & F.exists(vec, lambda v: v != 0), F.lit(False))
 
 
-def build_index(vectors: DataFrame, id_col: str, vec_col: str, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
-    """Graphs of all usable vectors as a written table (shard, body), and the number of shards.
+def build_index(vectors: DataFrame, id_col: str, vec_col: str, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int, int]:
+    """Graphs of all usable vectors as a written table (shard, body), the number of shards, and the vectors' length.
 
     Only vectors of the commonest length take part. Rows are dealt out by position, so rows
     that repeat one id or one vector are spread over the shards.
@@ -163,7 +163,7 @@ def build_index(vectors: DataFrame, id_col: str, vec_col: str, shard_rows: int =
     good = vectors.where(usable(F.col(vec_col))).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     sizes = good.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     if not sizes:
-        return vectors.sparkSession.createDataFrame([], "shard int, body binary"), 0
+        return vectors.sparkSession.createDataFrame([], "shard int, body binary"), 0, 0
     dims, rows = sizes[0]["d"], sizes[0]["n"]
     shards = -(-rows // shard_rows)
     place = F.monotonically_increasing_id()
@@ -182,7 +182,7 @@ def build_index(vectors: DataFrame, id_col: str, vec_col: str, shard_rows: int =
         }).replace_schema_metadata({"start": str(graph.start)}))
         return pa.table({"shard": table["shard"].slice(0, 1), "body": pa.array([body], pa.binary())})
 
-    return stored(dealt.groupBy("shard").applyInArrow(build, "shard int, body binary")), shards
+    return stored(dealt.groupBy("shard").applyInArrow(build, "shard int, body binary")), shards, dims
 
 
 def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20,
@@ -195,9 +195,9 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
     an id the one with the least vector asks; null ids ask nothing and are not found. Empty
     tables give an empty table; other columns are ignored.
     """
-    index, shards = build_index(vectors.where(F.col(id_col).isNotNull()), id_col, vec_col, shard_rows)
+    index, shards, dims = build_index(vectors.where(F.col(id_col).isNotNull()), id_col, vec_col, shard_rows)
     result = "query_id long, vec_id long, score double"
-    asked = queries.where(usable(F.col(vec_col)) & F.col(id_col).isNotNull())
+    asked = queries.where(usable(F.col(vec_col)) & F.col(id_col).isNotNull() & (F.size(vec_col) == dims))
     one = stored(asked.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(F.col(vec_col).cast("array<double>")).alias("vec")))
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,8 +228,7 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
             for packed in right["queries"].to_pylist():
                 own = unpack(packed)
                 q, names = _matrix(own["vec"]), own["id"].to_pylist()
-                fits = q.shape[1] == x.shape[1]
-                for at in range(0, len(q) if fits else 0, BATCH):
+                for at in range(0, len(q), BATCH):
                     some = q[at:at + BATCH]
                     unit = np.concatenate([some / np.linalg.norm(some, axis=1)[:, None], np.zeros((len(some), 1))], axis=1).astype(np.float32)
                     met, _ = graph.search(unit, min(max(beam, k + 1), len(x)))
