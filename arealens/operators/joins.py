@@ -181,11 +181,15 @@ def enrich_sources(areas: DataFrame, key: str,
     return out
 
 
-def stack_years(frames: Mapping[int | str, DataFrame], year_col: str = "Year") -> DataFrame:
-    """Yearly tables stacked by column name; tables without a year column get theirs."""
+def stack_years(frames: Mapping[int | str, DataFrame], year_col: str = "Year", keep_year: bool = False) -> DataFrame:
+    """Yearly tables stacked by column name, each with its year.
+
+    A year column that a table has already is rewritten, unless `keep_year` says that it is
+    the table's own time axis.
+    """
     out = None
     for year, df in frames.items():
-        part = df if year_col in df.columns else with_year(df, year, year_col)
+        part = df if keep_year and year_col in df.columns else with_year(df, year, year_col)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 

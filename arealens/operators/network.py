@@ -20,8 +20,6 @@ from arealens.operators.spatial import beyond_distance_of_lines, within_distance
 from arealens.session import cut
 from arealens.skew import JoinAdvice, first_per_key, hot_keys, is_small, spread_join
 
-MAX_ROUNDS = 10_000
-
 
 # --- edges ----------------------------------------------------------------
 
@@ -82,7 +80,7 @@ def od_cost(edges: DataFrame, origins: DataFrame, cutoff: float, cost: str = "co
     state = start.select("origin", F.col("origin").alias("node"),
                          F.struct(*[F.lit(0.0).alias(c) for c in sums]).alias("path"), F.lit(True).alias("fresh"))
     state = cut(state)
-    for _ in range(MAX_ROUNDS):
+    while True:
         delta = state.where("fresh").select("origin", F.col("node").alias("__from"), "path")
         # Hubs hold many edges; nodes many origins have just reached hold many paths.
         advice = JoinAdvice(few, () if few else tuple(hot_keys(delta, ["__from"])), hubs)
@@ -210,7 +208,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
         return JoinAdvice(small=True) if few else JoinAdvice(hot=tuple(hot_keys(df, ["u"])))
 
     before = mark(links)
-    for _ in range(MAX_ROUNDS):
+    while True:
         # Larger neighbours: each learns the smallest node its neighbour knows.
         around = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

@@ -105,7 +105,8 @@ def snapshot(layers: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], m
         used.add(rs.PARCELS.name)
 
     joined = join_specs({n: df for n, df in layers.items() if n in used}, tables, feature_specs, table_specs)
-    joined = {n: df if "Year" in df.columns else df.withColumn("Year", F.lit(number)) for n, df in joined.items()}
+    # A year column from another year's table must not reach the report.
+    joined = {n: df.withColumn("Year", F.lit(number)) for n, df in joined.items()}
     base = calculate(joined, rs.PRECALCS)
     out = dict(base)
     for spec in planned:

@@ -32,7 +32,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints: the session's `spark.checkpoint.dir`.
 
     A temporary folder is used only where the setting is absent and Spark runs in
-    one process, because on a cluster other executors could not read it.
+    one process, as in tests; several processes need not share one, so there it is an error.
     """
     context = spark.sparkContext
     stated = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,7 +43,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return stated
     if current:
         return current
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can read")
     folder = tempfile.mkdtemp(prefix="arealens-checkpoint-")
     context.setCheckpointDir(folder)

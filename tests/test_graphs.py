@@ -170,3 +170,11 @@ def test_grid_shape(width, height, shape):
     assert r * c == 20 and abs(r / c - height / width) == best
     if (width, height) != (10, 10):
         assert abs(r / c - height / width) <= abs(shape[0] / shape[1] - height / width)
+
+
+def test_long_chain_is_followed_to_its_end(spark):
+    chain = spark.createDataFrame([(i, i + 1, 1.0) for i in range(24)], "src int, dst int, cost double")
+    far = network.od_cost(chain, spark.createDataFrame([(0,)], "node int"), 100.0)
+    assert sorted((r.node, r.cost) for r in far.collect()) == [(i, float(i)) for i in range(25)]
+    assert {r.component for r in network.components(chain).collect()} == {0}
+    assert not hasattr(network, "MAX_ROUNDS")

@@ -239,3 +239,9 @@ def test_regional_zone_table_is_consolidated(spark):
     assert out.first()["EnrollK12"] == sum(names.index(i) for i in rs.REGIONAL_SUMS[-1].inputs)
     with pytest.raises(ValueError):
         aggregate.consolidate(df.drop("emp_retail"), ["MAZ"], {}, rs.REGIONAL_SUMS)
+
+
+def test_stack_years_rewrites_a_wrong_year(spark):
+    stale = spark.createDataFrame([(1, 2018)], "k int, Year int")
+    assert rows(joins.stack_years({2019: stale}), "k", "Year") == [(1, 2019)]
+    assert rows(joins.stack_years({2019: stale}, keep_year=True), "k", "Year") == [(1, 2018)]
