@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealens.functions.geometry import project
@@ -42,16 +44,54 @@ def to_points(df: DataFrame, x: str, y: str, from_epsg: int = 4326, to_epsg: int
 def publish(tables: Mapping[str, DataFrame], path: str, year_col: str = "Year") -> None:
     """Write each table under `path`, replacing only the years it holds.
 
-    All tables are written to a staging folder first. The published ones are touched
-    only after every staged write has succeeded, so a failure leaves the old result.
+    All tables are written to a staging folder first. A published table is copied aside
+    before it is touched; if any write fails, every table touched so far is put back and
+    the error is raised, so a failure leaves the old result. A table that was not there
+    before is left empty then.
     """
     spark = next(iter(tables.values())).sparkSession
-    staging = f"{path.rstrip('/')}/_staging"
+    root, run = path.rstrip("/"), uuid.uuid4().hex
+    staging, previous = f"{root}/_staging-{run}", f"{root}/_previous-{run}"
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{staging}/{name}")
-    for name, df in tables.items():
-        staged = spark.read.schema(df.schema).parquet(f"{staging}/{name}")
-        writer = staged.write.mode("overwrite")
-        if year_col in df.columns:
-            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(year_col)
-        writer.parquet(f"{path.rstrip('/')}/{name}")
+        df.write.parquet(f"{staging}/{name}")
+    touched: list[tuple[str, DataFrame, bool]] = []
+    try:
+        for name, df in tables.items():
+            staged = spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+            old = _read_if_there(spark, f"{root}/{name}")
+            if old is None:
+                back = staged.limit(0)
+            else:
+                old.write.parquet(f"{previous}/{name}")
+                back = spark.read.schema(old.schema).parquet(f"{previous}/{name}")
+            touched.append((f"{root}/{name}", back, year_col in back.columns))
+            _replace(staged, f"{root}/{name}", year_col)
+    except Exception:
+        for target, back, yearly in touched:
+            writer = back.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            (writer.partitionBy(year_col) if yearly else writer).parquet(target)
+        raise
+    finally:
+        _delete(spark, staging)
+    _delete(spark, previous)
+
+
+def _replace(df: DataFrame, target: str, year_col: str) -> None:
+    writer = df.write.mode("overwrite")
+    if year_col in df.columns:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(year_col)
+    writer.parquet(target)
+
+
+def _read_if_there(spark: SparkSession, target: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -141,3 +141,25 @@ def test_codes_and_derivations(spark):
     assert (out["Drove"], out["NonMotor"], out["AllOther"], out["SOV_Share"], out["HOV_Share"]) == (5.0, 2.0, 0.0, 0.5, 0.2)
     none = raw.withColumn("B08301_001E", F.lit(0.0))
     assert catalog.derive_commute(catalog.rename_codes(none, catalog.COMMUTE_TABLE, catalog.COMMUTE_CODES)).first()["SOV_Share"] is None
+
+
+def test_publish_puts_the_old_result_back_when_a_later_write_fails(spark, tmp_path, monkeypatch):
+    path, one = str(tmp_path / "out"), spark.createDataFrame([(1, 2018), (2, 2019)], "k int, Year int")
+    writers.publish({"a": one, "b": one}, path)
+    replace = writers._replace
+
+    def breaks(df, target, year_col):
+        replace(df, target, year_col)
+        if target.endswith("b"):
+            raise OSError("no space")
+
+    monkeypatch.setattr(writers, "_replace", breaks)
+    new = spark.createDataFrame([(9, 2019), (9, 2020)], "k int, Year int")
+    with pytest.raises(OSError):
+        writers.publish({"a": new, "b": new, "c": new}, path)
+    for name in ("a", "b"):
+        assert rows(spark.read.parquet(f"{path}/{name}"), "k", "Year") == [(1, 2018), (2, 2019)]
+    monkeypatch.setattr(writers, "_replace", replace)
+    writers.publish({"a": new}, path)
+    assert rows(spark.read.parquet(f"{path}/a"), "k", "Year") == [(1, 2018), (9, 2019), (9, 2020)]
+    assert not [p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("_staging")]
