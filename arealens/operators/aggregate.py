@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealens.predicates import Or
-from arealens.skew import attach_scalars, exact_median, null_safe_join, with_group_totals
+from arealens.session import cut
+from arealens.skew import attach_scalars, exact_median, null_safe_join, spread_join, with_group_totals
 from arealens.specs import MEDIAN, AggCol, Col, Consolidation, Melt, aggregate
 
 
@@ -58,13 +59,16 @@ def summarize(df: DataFrame, group: Col | Sequence[Col], aggs: AggCol | Sequence
             domains[melt.domain.name] = melt.domain.of(F.col(melt.label))
 
     medians = {out: src for out, src, method in measures if method == MEDIAN}
+    if medians:
+        # Read several times by the medians and once by the other methods.
+        rows = cut(rows)
     simple = [aggregate(method, F.col(src)).alias(out) for out, src, method in measures if method != MEDIAN]
     if simple:
         result = rows.groupBy(*keys).agg(*simple)
         if medians:
-            result = null_safe_join(result, exact_median(rows, keys, medians), keys)
+            result = null_safe_join(result, exact_median(rows, keys, medians, written=True), keys)
     else:
-        result = exact_median(rows, keys, medians) if medians else rows.select(*keys).distinct()
+        result = exact_median(rows, keys, medians, written=True) if medians else rows.select(*keys).distinct()
     # A domain depends on its label alone, so it is added once per group, not once per row.
     result = result.withColumns(domains) if domains else result
     ordered = keys + list(domains) + [out for out, _, _ in measures]
@@ -203,17 +207,22 @@ def crosswalk_roll_up(blocks: DataFrame, crosswalk: DataFrame, block: str, cross
         raise ValueError("origin-destination files need od_crosswalk_roll_up")
     counts = [c for c in blocks.columns if any(ch.isdigit() for ch in c)]
     to_level = crosswalk.select(F.col(crosswalk_block).alias(block), level)
-    joined = blocks.select(block, *counts).join(to_level, block, "left")
+    # One row per block before the join: a block with very many rows arrives as one per map task.
+    per_block = blocks.groupBy(block).agg(*[F.sum(c).alias(c) for c in counts])
+    joined = per_block.join(to_level, block, "left")
     return joined.where(F.col(level).isNotNull()).groupBy(level).agg(*[F.sum(c).alias(c) for c in counts])
 
 
 def od_crosswalk_roll_up(flows: DataFrame, crosswalk: DataFrame, ends: tuple[str, str], crosswalk_block: str,
                          level: str, columns: Sequence[str]) -> DataFrame:
     """Both ends of a flow mapped to a larger geography and summed by pair."""
-    out = flows
+    out, kept = flows, list(ends)
     for i, end in enumerate(ends, 1):
-        out = out.join(crosswalk.select(F.col(crosswalk_block).alias(end), F.col(level).alias(f"{level}{i}")), end)
-    return out.groupBy(f"{level}1", f"{level}2").agg(*[F.sum(c).alias(c) for c in columns])
+        # Sums of what is still told apart; the block of a large employer may stay hot, so its rows are split.
+        out = out.groupBy(*kept).agg(*[F.sum(c).alias(c) for c in columns])
+        out = spread_join(out, crosswalk.select(F.col(crosswalk_block).alias(end), F.col(level).alias(f"{level}{i}")), end)
+        kept[i - 1] = f"{level}{i}"
+    return out.groupBy(*kept).agg(*[F.sum(c).alias(c) for c in columns])
 
 
 # --- land-use diversity ---------------------------------------------------
@@ -311,7 +320,7 @@ def histogram(df: DataFrame, year: str, value: str) -> DataFrame:
     """Counts per year in bins of width max / sqrt(n)."""
     per_year = df.groupBy(year).agg(F.max(value).alias("__max"), F.count(F.lit(1)).alias("__n"))
     width = F.col("__max") / F.sqrt(F.col("__n"))
-    joined = df.select(year, value).join(per_year, year)
+    joined = spread_join(df.select(year, value), per_year, year)
     binned = joined.withColumn("bin", F.floor(F.try_divide(F.col(value), width)).cast("bigint"))
     return binned.groupBy(year, "bin").agg(F.count(F.lit(1)).alias("n"))
 

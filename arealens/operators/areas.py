@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from arealens.operators.joins import merge_layers
 from arealens.operators.spatial import centre_in_area, within_distance, within_distance_of_lines
-from arealens.skew import number_rows
+from arealens.session import cut
+from arealens.skew import number_rows, spread_join
 
 # Names and ids of the areas that are not single stations.
 ALL_CORRIDORS = "(All corridors)"
@@ -87,13 +88,18 @@ def summary_members(areas: DataFrame, in_corridor: DataFrame, in_station: DataFr
 
     `in_corridor` is (feature, corridor), `in_station` is (feature, station id).
     """
+    areas, in_corridor, in_station = cut(areas), cut(in_corridor), cut(in_station)
     single = areas.where(F.col(station) >= 0).select(out, station, corridor)
-    by_station = single.join(in_station.withColumnRenamed(in_station.columns[1], station), station).select(out, key)
-    whole = areas.where(F.col(station) == ENTIRE[0]).select(out, corridor).join(in_corridor, corridor).select(out, key)
-    near_stop = single.join(in_station.withColumnRenamed(in_station.columns[1], station), station).select(key, corridor).distinct()
-    every = areas.where(F.col(station) == ALL_STATIONS[0]).select(out, corridor).join(near_stop, corridor).select(out, key)
+    # The corridor of all corridors holds every member, so joins on stations and corridors split hot keys.
+    at_station = spread_join(in_station.withColumnRenamed(in_station.columns[1], station), single, station)
+    by_station = at_station.select(out, key)
+    near_stop = at_station.select(key, corridor).distinct()
     rest = in_corridor.join(near_stop, [key, corridor], "left_anti")
-    outside = areas.where(F.col(station) == OUTSIDE[0]).select(out, corridor).join(rest, corridor).select(out, key)
+
+    def members(kind: int, features: DataFrame) -> DataFrame:
+        return spread_join(features, areas.where(F.col(station) == kind).select(out, corridor), corridor).select(out, key)
+
+    whole, every, outside = members(ENTIRE[0], in_corridor), members(ALL_STATIONS[0], near_stop), members(OUTSIDE[0], rest)
     return by_station.unionByName(whole).unionByName(every).unionByName(outside)
 
 

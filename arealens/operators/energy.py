@@ -9,6 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arealens.session import cut
+from arealens.skew import spread_join
+
 # Category names, the region, and the classes of housing, size and age.
 CATEGORIES = ("Division", "Housing unit", "Year", "SQFT")
 REGION = "South Atlantic"
@@ -101,5 +104,7 @@ def energy_to_parcels(parcels: DataFrame, energy: DataFrame, key: str, land_use:
         housing_type(code, F.coalesce(F.col(units), F.lit(0))).alias("Housing unit"),
         size_class(F.coalesce(F.col(living).cast("double"), F.lit(0.0))).alias("SQFT"),
         age_class(F.coalesce(F.col(built), F.lit(0))).alias("Year"))
-    joined = labelled.join(energy.select(*CATEGORIES, F.col("Energy").alias("BTU_RES")), list(CATEGORIES), "left")
+    # One row per household type, costly to find: written, then checked and joined.
+    types = cut(energy.select(*CATEGORIES, F.col("Energy").alias("BTU_RES")))
+    joined = spread_join(labelled, types, list(CATEGORIES), "left")
     return joined.select(key, F.coalesce("BTU_RES", F.lit(0.0)).alias("BTU_RES"))

@@ -19,6 +19,7 @@ from arealens.operators.joins import replace_rows
 from arealens.operators.spatial import nearest
 from arealens.predicates import area_criteria
 from arealens.session import cut
+from arealens.skew import spread_join
 
 # Model variables, responses and the categories of each share group.
 BASE_YEAR = 2013
@@ -218,7 +219,7 @@ def donor_years(wanted: DataFrame, observed: DataFrame, year: str = "Year", out:
 def shares_with_donors(shares: DataFrame, wanted: DataFrame, keys: Sequence[str], year: str = "Year") -> DataFrame:
     """Shares for wanted years, taken from the closest observed year."""
     donors = donor_years(wanted, shares, year)
-    return donors.join(shares.withColumnRenamed(year, "DonorYear"), "DonorYear").select(
+    return spread_join(shares.withColumnRenamed(year, "DonorYear"), donors, "DonorYear").select(
         *keys, year, "DonorYear", *[c for c in shares.columns if c not in (*keys, year)])
 
 

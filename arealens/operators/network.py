@@ -18,7 +18,7 @@ from arealens.operators.aggregate import min_argmin_count
 from arealens.operators.joins import compose_edges
 from arealens.operators.spatial import beyond_distance_of_lines, within_distance, within_distance_of_lines
 from arealens.session import cut
-from arealens.skew import JoinAdvice, first_per_key, hot_keys, is_small, spread_join
+from arealens.skew import JoinAdvice, advise, first_per_key, hot_keys, is_small, spread_join
 
 
 # --- edges ----------------------------------------------------------------
@@ -133,7 +133,7 @@ def reach_edges(edges: DataFrame, facilities: DataFrame, cutoff: float, overlap:
         F.col("origin").alias("facility"), F.col("node").alias(dst), F.col("cost").alias("from_cost"),
         *[F.col(c).alias(f"from_{c}") for c in carry])
     lines = edges.select(src, dst, F.col(cost).cast("double").alias("__cost")).distinct()
-    reached = costs.join(lines, dst).where(F.col("from_cost") < float(cutoff))
+    reached = spread_join(costs, lines, dst, advice=advise(costs, lines, dst, unique=False)).where(F.col("from_cost") < float(cutoff))
     reached = reached.select(
         "facility", src, dst, "from_cost",
         F.least(F.col("from_cost") + F.col("__cost"), F.lit(float(cutoff))).alias("to_cost"),

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from arealens.functions.scalar import code_text, drop_suffix_if, field_arithmetic, flag_contains, money, zero_pad
 from arealens.operators.joins import update
-from arealens.skew import exact_median, first_per_key, null_safe_join
+from arealens.session import cut
+from arealens.skew import exact_median, first_per_key, null_safe_join, spread_join
 
 # Permit codes and the parcel field each permit unit corresponds to.
 PEDESTRIAN = "PD"
@@ -38,7 +39,7 @@ def clean_permits(permits: DataFrame, categories: DataFrame, land_uses: DataFram
             rows = rows.where(~F.col(column).contains(mark))
     rows = rows.withColumn("CAT_CODE", drop_suffix_if(F.col("CAT_CODE"), PEDESTRIAN, len(PEDESTRIAN)))
     lookup = categories.join(land_uses, "DOR_UC")
-    coded = rows.join(lookup, "CAT_CODE").drop("CONST_COST", "ADMIN_COST", "CAT_CODE")
+    coded = spread_join(rows, lookup, "CAT_CODE").drop("CONST_COST", "ADMIN_COST", "CAT_CODE")
     return coded if points is None else coded.join(points.select(key, "X", "Y"), key)
 
 
@@ -57,7 +58,7 @@ def unit_reference(parcels: DataFrame, permits: DataFrame, land_use: str, living
     used = parcels.select(
         land_use, area.alias("__area"),
         *[F.try_divide(area, F.coalesce(field_arithmetic(f), F.lit(0.0))).alias(column_of[f]) for f in fields])
-    used = used.join(pairs.select(land_use).distinct(), land_use, "left_semi")
+    used = spread_join(used, pairs.select(land_use).distinct(), land_use, "left_semi")
     medians = exact_median(used, [land_use], {"__area_med": "__area", **{f"{c}_med": c for c in column_of.values()}})
     joined = null_safe_join(pairs, medians, [land_use])
     factor = F.when(F.col(unit) == area_unit, F.lit(1.0))
@@ -75,7 +76,9 @@ def unit_reference(parcels: DataFrame, permits: DataFrame, land_use: str, living
 def permit_roll_up(permits: DataFrame, reference: DataFrame, key: str, land_use: str, unit: str, quantity: str, cost: str,
                    unit_counts: Mapping[str, Sequence[str]] = UNIT_COUNTS) -> DataFrame:
     """New building area, cost and unit counts per parcel, with the land use that gains most area."""
-    rows = permits.where(F.col(quantity) >= 0).join(reference, [land_use, unit], "left")
+    # One row per land use and unit, made of medians: written, then checked and joined.
+    reference = cut(reference)
+    rows = spread_join(permits.where(F.col(quantity) >= 0), reference, [land_use, unit], "left")
     value = F.col(quantity).cast("double")
     multiplier, overwrite = F.col("Multiplier"), F.col("Overwrite")
     new_area = (

@@ -21,15 +21,17 @@ from pyspark.sql.window import Window
 
 from arealens import skew
 from arealens.functions.geometry import segment_distance, straight_line_pieces, vertex_pairs
+from arealens.session import cut
 from arealens.skew import JoinAdvice, hot_keys, spread_join
 
 Box = tuple[str, str, str, str]
 LEVEL_STEP = 2
+LEAST_LEVEL = -20
 
 
 def _level(box: Box) -> Column:
     """Exponent of the grid for a box: cells of side 2^level, at least the box's longer side."""
-    size = F.greatest(F.col(box[2]) - F.col(box[0]), F.col(box[3]) - F.col(box[1]), F.lit(2.0 ** -20))
+    size = F.greatest(F.col(box[2]) - F.col(box[0]), F.col(box[3]) - F.col(box[1]), F.lit(2.0 ** LEAST_LEVEL))
     return (F.ceil(F.log2(size) / LEVEL_STEP) * LEVEL_STEP).cast("int")
 
 
@@ -40,13 +42,22 @@ def _cells(low: Column, high: Column, side: Column) -> Column:
 def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, by: Sequence[str] = ()) -> DataFrame:
     """All pairs of rows whose boxes overlap or touch. Column names of both sides must differ, except `by`.
 
-    `left` is the longer table, best with points or boxes smaller than the right ones.
-    The grid sizes in use and the number of boxes at each are a handful of numbers, read to the driver.
+    `left` is the longer table. Boxes of two sizes meet on the grid of the larger one, so
+    a box of either side lies in at most four cells per size of the other side. The sizes
+    in use, the number of boxes at each and their bytes are read to the driver.
     """
-    levelled = right.withColumn("__level", _level(rbox))
-    counts = levelled.groupBy("__level").agg(F.count(F.lit(1)).alias("n")).collect()
-    levels = sorted(r["__level"] for r in counts if r["__level"] is not None) or [0]
-    side = F.pow(F.lit(2.0), F.col("__level"))
+    boxed = right.withColumn("__rl", _level(rbox))
+    counts = boxed.where(F.col("__rl").isNotNull()).groupBy("__rl").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(skew.row_bytes(right)).alias("b")).collect()
+    levels = sorted(r["__rl"] for r in counts) or [0]
+    # Left boxes below the least right size need no grid of their own.
+    if lbox[0] == lbox[2] and lbox[1] == lbox[3]:
+        own, left_levels = F.lit(levels[0]), [levels[0]]
+    else:
+        own = F.greatest(_level(lbox), F.lit(levels[0]))
+        found = left.select(own.alias("v")).where(F.col("v").isNotNull()).distinct().collect()
+        left_levels = sorted(r["v"] for r in found) or [levels[0]]
+    side = F.pow(F.lit(2.0), F.greatest("__ll", "__rl"))
 
     def on_grid(df: DataFrame, box: Box) -> DataFrame:
         x1, y1, x2, y2 = (F.col(c).cast("double") for c in box)
@@ -55,11 +66,15 @@ def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, by: Sequen
             .withColumn("__cy", F.explode(_cells(y1, y2, side)))
         )
 
-    spread = on_grid(left.withColumn("__level", F.explode(F.array(*[F.lit(v) for v in levels]))), lbox)
-    keys = ["__level", "__cx", "__cy", *by]
-    boxes = on_grid(levelled, rbox)
-    # A box lies in at most four cells, so the count of boxes bounds the gridded table.
-    if sum(r["n"] for r in counts) * 4 <= skew.SMALL_ROWS:
+    def any_of(values: Sequence[int]) -> Column:
+        return F.explode(F.array(*[F.lit(v) for v in values]))
+
+    spread = on_grid(left.withColumn("__ll", own).withColumn("__rl", any_of(levels)), lbox)
+    keys = ["__ll", "__rl", "__cx", "__cy", *by]
+    boxes = on_grid(boxed.withColumn("__ll", any_of(left_levels)), rbox)
+    # At most four cells per size of the left boxes, so the counts bound the gridded table.
+    copies = 4 * len(left_levels)
+    if sum(r["n"] for r in counts) * copies <= skew.SMALL_ROWS and sum(r["b"] for r in counts) * copies <= skew.SMALL_BYTES:
         advice = JoinAdvice(small=True)
     else:
         advice = JoinAdvice(hot=tuple(hot_keys(spread, keys)), hot_right=tuple(hot_keys(boxes, keys)))
@@ -72,7 +87,7 @@ def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, by: Sequen
     )
     # A pair that shares several cells is kept only in the cell of the overlap's lower corner.
     home = (F.floor(corner_x / side) == F.col("__cx")) & (F.floor(corner_y / side) == F.col("__cy"))
-    return pairs.where(overlap & home).drop("__level", "__cx", "__cy")
+    return pairs.where(overlap & home).drop("__ll", "__rl", "__cx", "__cy")
 
 
 # --- polygons -------------------------------------------------------------
@@ -231,7 +246,7 @@ def _nearest(points: DataFrame, key: str, x: str, y: str, items: DataFrame, box:
         )
         cells = cells.withColumns({
             "__cx": F.floor(F.col("__ncx") / FANOUT), "__cy": F.floor(F.col("__ncy") / FANOUT)})
-        return F.broadcast(cells) if level <= BROADCAST_DEPTH and not by else cells
+        return cells
 
     px, py = F.col("__px"), F.col("__py")
 
@@ -248,6 +263,15 @@ def _nearest(points: DataFrame, key: str, x: str, y: str, items: DataFrame, box:
         F.col(key).alias("__pk"), *by, F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"),
         F.lit(0).cast("bigint").alias("__cx"), F.lit(0).cast("bigint").alias("__cy"))
     per_point = Window.partitionBy("__pk")
+
+    def descend(cells: DataFrame) -> DataFrame:
+        """The state joined to cells. Points of one group or one dense place share a key, so hot keys are split."""
+        keys = [*by, "__cx", "__cy"]
+        if skew.is_small(cells):
+            return state.join(F.broadcast(cells), keys)
+        kept = cut(state)
+        return spread_join(kept, cells, keys, "inner", JoinAdvice(hot=tuple(hot_keys(kept, keys))))
+
     for level in range(1, depth + 1):
         if level == 1 and not by:
             # The first level is at most 16 cells, the same for all points: one list, opened on each point.
@@ -255,8 +279,10 @@ def _nearest(points: DataFrame, key: str, x: str, y: str, items: DataFrame, box:
             listed = first_cells.agg(F.collect_list(F.struct(*first_cells.columns)).alias("__cells")).scalar()
             opened = state.drop("__cx", "__cy").withColumn("__cells", listed).withColumn("__cell", F.explode("__cells"))
             opened = opened.select("__pk", "__px", "__py", "__cell.*")
+        elif level <= BROADCAST_DEPTH and not by:
+            opened = state.join(F.broadcast(pyramid(level)), ["__cx", "__cy"])
         else:
-            opened = state.join(pyramid(level), [*by, "__cx", "__cy"])
+            opened = descend(pyramid(level))
         opened = opened.withColumns({"__near": nearest_possible, "__sure": surely_within})
         if radius is not None:
             opened = opened.where(F.col("__near") <= float(radius) ** 2)
@@ -268,7 +294,7 @@ def _nearest(points: DataFrame, key: str, x: str, y: str, items: DataFrame, box:
     # Of items with one shape, the first by `order` is enough.
     first = F.min(F.struct(F.col(order).alias("__ord"), *[F.col(t) for t in take]))
     leaves = leaves.groupBy(*by, "__cx", "__cy", *shape).agg(first.alias("__item"))
-    found = state.join(leaves, [*by, "__cx", "__cy"]).withColumn("__d", distance(px, py))
+    found = descend(leaves).withColumn("__d", distance(px, py))
     if radius is not None:
         found = found.where(F.col("__d") <= float(radius))
     best = found.groupBy("__pk").agg(F.min(F.struct(F.col("__d"), F.col("__item"))).alias("__w"))

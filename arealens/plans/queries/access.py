@@ -97,13 +97,13 @@ def zone_vmt_loaded(spark, sf):
 
 
 @register("transit_skim_join", with_views("v_flag_skim", """
-WITH acc AS (SELECT o, d, minutes FROM v_flag_skim WHERE flag = 'A'), ride AS (SELECT o, d, minutes FROM v_flag_skim WHERE flag = 'R')
+WITH acc AS (SELECT o, d, minutes FROM v_flag_skim WHERE flag = 'A'), ride AS (SELECT o, d, minutes FROM v_flag_skim WHERE flag <> 'A')
 SELECT a.o AS OName, e.o AS DName, min(a.minutes + r.minutes + e.minutes) AS Minutes
 FROM acc a JOIN ride r ON a.d = r.o JOIN acc e ON r.d = e.d
 WHERE a.minutes <= 6 AND r.minutes <= 6 AND e.minutes <= 6 AND a.minutes + r.minutes + e.minutes <= 6 GROUP BY 1, 2"""))
 def transit_skim_join(spark, sf):
     skim = view(spark, sf, "v_flag_skim").withColumnsRenamed({"o": "OName", "d": "DName", "minutes": "Minutes"})
-    return op.join_legs(skim.where("flag = 'A'"), skim.where("flag = 'R'"), cutoff=6.0)
+    return op.join_legs(skim.where("flag = 'A'"), skim.where("flag <> 'A'"), cutoff=6.0)
 
 
 @register("best_transit_time", with_views("v_flag_skim", """

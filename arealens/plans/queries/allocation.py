@@ -295,7 +295,7 @@ def permit_clean(spark, sf):
 
 
 PERMIT_ROWS = """SELECT l_orderkey AS folio, CAST(l_partkey % 40 AS INT) AS lu, CASE l_linenumber WHEN 1 THEN 'sq. ft.' WHEN 2 THEN 'unit' WHEN 3 THEN 'acre' WHEN 4 THEN 'room' ELSE 'screen' END AS unit_name,
- l_quantity AS qty, l_extendedprice AS cost FROM lineitem WHERE l_returnflag = 'R'"""
+ l_quantity AS qty, l_extendedprice AS cost FROM lineitem"""
 _REFERENCE = f"""u AS (SELECT DISTINCT lu, unit_name FROM ({PERMIT_ROWS})),
  m AS (SELECT lu, median(living) AS area, median(CASE WHEN units <> 0 THEN living / units END) AS per_unit, median(CASE WHEN land <> 0 THEN living / (land / 43560) END) AS per_acre FROM v_parcels GROUP BY 1),
  ref AS (SELECT u.lu, u.unit_name, CASE WHEN unit_name = 'sq. ft.' THEN 1.0 WHEN unit_name IN ('unit', 'room') THEN per_unit WHEN unit_name = 'acre' THEN per_acre ELSE -1.0 END AS mult,

@@ -82,13 +82,13 @@ def centrality(spark, sf):
     return rounded(op.network_centrality(view(spark, sf, "v_edges"), CUTOFF), 6)
 
 
-# Stops ride on lines flagged R, zones reach stops on those flagged A; stop numbers are shifted.
+# Stops ride on lines flagged R or N, zones reach stops on those flagged A; stop numbers are shifted.
 SKIM_CUT = 3.0
 LEGS = """SELECT l_suppkey AS o, l_partkey % (SELECT count(*) FROM supplier) AS d, min(l_quantity) AS minutes, l_returnflag AS flag FROM lineitem GROUP BY 1, 2, 4"""
 
 
 @register("full_skim", f"""
-WITH RECURSIVE legs AS ({LEGS}), ride AS (SELECT o + 100000 AS src, d + 100000 AS dst, minutes FROM legs WHERE flag = 'R'),
+WITH RECURSIVE legs AS ({LEGS}), ride AS (SELECT o + 100000 AS src, d + 100000 AS dst, min(minutes) AS minutes FROM legs WHERE flag <> 'A' GROUP BY 1, 2),
  acc AS (SELECT o AS src, d + 100000 AS dst, minutes FROM legs WHERE flag = 'A'),
  e AS (SELECT * FROM ride UNION ALL SELECT * FROM acc UNION ALL SELECT dst, src, minutes FROM acc),
  walk(origin, node, cost) AS (SELECT s_suppkey, s_suppkey, CAST(0 AS DOUBLE) FROM supplier WHERE s_suppkey IN (SELECT src FROM acc)
@@ -96,7 +96,7 @@ WITH RECURSIVE legs AS ({LEGS}), ride AS (SELECT o + 100000 AS src, d + 100000 A
 SELECT origin AS "OName", node AS "DName", min(cost) AS "Minutes" FROM walk WHERE node < 100000 GROUP BY 1, 2""")
 def full_skim(spark, sf):
     legs = run_sql(spark, sf, LEGS)
-    ride = legs.where("flag = 'R'").select((F.col("o") + 100000).alias("OName"), (F.col("d") + 100000).alias("DName"), F.col("minutes").alias("Minutes"))
+    ride = legs.where("flag <> 'A'").groupBy((F.col("o") + 100000).alias("OName"), (F.col("d") + 100000).alias("DName")).agg(F.min("minutes").alias("Minutes"))
     acc = legs.where("flag = 'A'").select(F.col("o").alias("OName"), (F.col("d") + 100000).alias("DName"), F.col("minutes").alias("Minutes"))
     zones = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("node"))
     return op.full_skim(ride, acc, zones, zones, SKIM_CUT, ["Minutes"])

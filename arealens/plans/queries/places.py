@@ -45,17 +45,17 @@ def area_sums(spark, sf):
 
 
 @register("centre_in_area", with_views("v_points v_areas", f"""
-SELECT id FROM v_points WHERE EXISTS (SELECT 1 FROM v_areas WHERE area < 2 AND {INSIDE})"""))
+SELECT id FROM v_points WHERE EXISTS (SELECT 1 FROM v_areas WHERE {INSIDE})"""))
 def centre_in_area(spark, sf):
-    county = boxes(view(spark, sf, "v_areas").where("area < 2"), "area")
+    county = boxes(view(spark, sf, "v_areas"), "area")
     return sp.centre_in_area(view(spark, sf, "v_points"), county, "x", "y", "rings", "id").select("id")
 
 
 @register("zones_by_year", with_views("v_points v_areas", f"""
-SELECT id, Year FROM (SELECT id FROM v_points WHERE EXISTS (SELECT 1 FROM v_areas WHERE area < 2 AND {INSIDE})),
+SELECT id, Year FROM (SELECT id FROM v_points WHERE EXISTS (SELECT 1 FROM v_areas WHERE {INSIDE})),
  (SELECT CAST(2014 AS INT) AS Year UNION ALL SELECT CAST(2015 AS INT))"""))
 def zones_by_year(spark, sf):
-    county = boxes(view(spark, sf, "v_areas").where("area < 2"), "area")
+    county = boxes(view(spark, sf, "v_areas"), "area")
     return ar.zones_by_year(view(spark, sf, "v_points"), county, [2014, 2015], "id").select("id", "Year")
 
 
@@ -280,12 +280,12 @@ def _stations_long(spark, sf):
 LONG_SQL = f"""st AS ({STATIONS}), sl AS (SELECT "StnId", "Name", "Status", tx, ty, 'Green' AS "Corridor" FROM st WHERE "Green" = 1
  UNION ALL SELECT "StnId", "Name", "Status", tx, ty, 'East-West' FROM st WHERE "EastWest" = 1 UNION ALL SELECT "StnId", "Name", "Status", tx, ty, '(All corridors)' FROM st)"""
 # Corridor lines: the lines of the suppliers by nation group.
-CORRIDOR_SQL = f"""al AS (SELECT CASE WHEN kind < 8 THEN 'Green' ELSE 'East-West' END AS "Corridor", x1, y1, x2, y2 FROM v_lines WHERE kind < 15),
+CORRIDOR_SQL = f"""al AS (SELECT CASE WHEN kind < 8 THEN 'Green' ELSE 'East-West' END AS "Corridor", x1, y1, x2, y2 FROM v_lines),
  co AS (SELECT DISTINCT id, "Corridor" FROM v_points JOIN al ON {SEG} <= 40), cm AS (SELECT * FROM co UNION ALL SELECT DISTINCT id, '(All corridors)' FROM co)"""
 
 
 def _corridor_members(spark, sf):
-    lines = view(spark, sf, "v_lines").where("kind < 15").withColumn("Corridor", F.when(F.col("kind") < 8, "Green").otherwise("East-West"))
+    lines = view(spark, sf, "v_lines").withColumn("Corridor", F.when(F.col("kind") < 8, "Green").otherwise("East-West"))
     return ar.corridor_members(view(spark, sf, "v_points"), lines, "id", "x", "y", "Corridor", 40.0)
 
 
@@ -372,11 +372,11 @@ def study_bbox(spark, sf):
 
 
 @register("merged_subset", with_views("v_points v_targets v_areas", f"""
-WITH a AS (SELECT * FROM v_areas WHERE area < 2), m AS (SELECT 'lots' AS layer, id, x, y FROM v_points UNION ALL SELECT 'stops', target, tx, ty FROM v_targets)
+WITH a AS (SELECT * FROM v_areas), m AS (SELECT 'lots' AS layer, id, x, y FROM v_points UNION ALL SELECT 'stops', target, tx, ty FROM v_targets)
 SELECT layer, id FROM m WHERE EXISTS (SELECT 1 FROM a WHERE {INSIDE})"""))
 def merged_subset(spark, sf):
     stops = view(spark, sf, "v_targets").select(F.col("target").alias("id"), F.col("tx").alias("x"), F.col("ty").alias("y"))
-    area = boxes(view(spark, sf, "v_areas").where("area < 2"), "area")
+    area = boxes(view(spark, sf, "v_areas"), "area")
     return ar.merge_subset({"lots": view(spark, sf, "v_points").select("id", "x", "y"), "stops": stops}, area, "id", tag="layer").select("layer", "id")
 
 

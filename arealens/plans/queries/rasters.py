@@ -100,10 +100,10 @@ def contiguity_by_parcel(spark, sf):
 
 
 @register("cells_in_extent", with_views("v_cells v_areas", """
-WITH b AS (SELECT min(xmin) AS a, min(ymin) AS b, max(xmax) AS c, max(ymax) AS d FROM v_areas WHERE area IN (1, 2)),
+WITH b AS (SELECT min(xmin) AS a, min(ymin) AS b, max(xmax) AS c, max(ymax) AS d FROM v_areas),
  s AS (SELECT row_no, col_no, val, col_no * 20 + 10 AS x, (row_no % 100) * 10 + 5 AS y FROM v_cells)
 SELECT row_no, col_no, val, CAST(200 AS DOUBLE) AS "CellArea" FROM s, b WHERE x >= a AND x <= c AND y >= b AND y <= d"""))
 def cells_in_extent(spark, sf):
     cells = view(spark, sf, "v_cells").select("row_no", "col_no", "val", (F.col("col_no") * 20 + 10).alias("x"), ((F.col("row_no") % 100) * 10 + 5).alias("y"))
-    areas = boxes(view(spark, sf, "v_areas").where("area IN (1, 2)"), "area")
+    areas = boxes(view(spark, sf, "v_areas"), "area")
     return op.cells_in_extent(cells, areas, "x", "y", "rings", 20.0, 10.0).drop("x", "y")

@@ -233,8 +233,8 @@ def _by_use(year: int) -> str:
     return f"""SELECT a."SummID", a."Name", a."Corridor", "GN_VA_LU", {_LU_DOM} AS "LU_CAT_DOM", sum("NO_RES_UNTS") AS u, sum("JV") AS jv, median("JV_SF") AS med FROM ap JOIN ar a USING ("SummID") WHERE "Yr" = {year} GROUP BY 1, 2, 3, 4, 5"""
 
 
-def _trend(spark, sf, name):
-    return report.trend({y: build(spark, sf, [name], y, y) for y in (1996, 1998)})
+def _trend(spark, sf, name, years=(1996, 1998)):
+    return report.trend({y: build(spark, sf, [name], y, y) for y in years})
 
 
 @register("trend_attributes_diff", with_views(_VIEWS, f"""
@@ -247,10 +247,12 @@ def trend_attributes_diff(spark, sf):
 
 
 @register("trend_attributes_by_year", with_views(_VIEWS, f"""
-WITH {PAR_SQL} SELECT "SummID", "GN_VA_LU", CAST(1996 AS DOUBLE) AS "Year", round(u, 2) AS "NO_RES_UNTS", round(jv, 2) AS "JV" FROM ({_by_use(1996)})
-UNION ALL SELECT "SummID", "GN_VA_LU", CAST(1998 AS DOUBLE), round(u, 2), round(jv, 2) FROM ({_by_use(1998)})"""))
+WITH {PAR_SQL} SELECT "SummID", "GN_VA_LU", CAST("Yr" AS INT) AS "Year", round(sum("NO_RES_UNTS"), 2) AS "NO_RES_UNTS", round(sum("JV"), 2) AS "JV"
+FROM ap JOIN ar a USING ("SummID") GROUP BY 1, 2, 3"""))
 def trend_attributes_by_year(spark, sf):
-    return rounded(_trend(spark, sf, "AttrByLU")["AttrByLU_byYear"].select("SummID", "GN_VA_LU", "Year", "NO_RES_UNTS", "JV"), 2)
+    # Every year that the parcels hold.
+    first, last = run_sql(spark, sf, "SELECT min(year(o_orderdate)), max(year(o_orderdate)) FROM orders").first()
+    return rounded(_trend(spark, sf, "AttrByLU", range(first, last + 1))["AttrByLU_byYear"].select("SummID", "GN_VA_LU", "Year", "NO_RES_UNTS", "JV"), 2)
 
 
 @register("trend_areas_diff", with_views(_VIEWS, f"""

@@ -191,10 +191,13 @@ def ridership_by_stop(spark, sf):
 @register("pivot_by_type", """
 SELECT c_nationkey, coalesce(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END), 0.0) > 0 AS has_urgent,
   round(coalesce(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END), 0.0), 2) AS "1-URGENT",
-  round(coalesce(sum(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_totalprice END), 0.0), 2) AS "4-NOT_SPECIFIED"
+  round(coalesce(sum(CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice END), 0.0), 2) AS "2-HIGH",
+  round(coalesce(sum(CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_totalprice END), 0.0), 2) AS "3-MEDIUM",
+  round(coalesce(sum(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_totalprice END), 0.0), 2) AS "4-NOT_SPECIFIED",
+  round(coalesce(sum(CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice END), 0.0), 2) AS "5-LOW"
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 def pivot_by_type(spark, sf):
-    out = op.pivot_sum(_orders(spark, sf), ["c_nationkey"], "o_orderpriority", "o_totalprice", ["1-URGENT", "4-NOT SPECIFIED"])
+    out = op.pivot_sum(_orders(spark, sf), ["c_nationkey"], "o_orderpriority", "o_totalprice", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
     return rounded(out.withColumn("has_urgent", F.col("`1-URGENT`") > 0), 2)
 
 
@@ -288,13 +291,15 @@ def keep_first_by_key(spark, sf):
 # --- checks and exploration -----------------------------------------------
 
 @register("yearly_totals", f"""
-WITH b AS (SELECT yr, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END) AS a, sum(CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0.0 END) AS b FROM ({ORDERS}) GROUP BY 1)
-SELECT yr, 'done' AS Sector, round(a, 2) AS Total FROM b UNION ALL SELECT yr, 'open', round(b, 2) FROM b""")
+WITH b AS (SELECT yr, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END) AS a, sum(CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0.0 END) AS b,
+  sum(CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN o_totalprice ELSE 0.0 END) AS c FROM ({ORDERS}) GROUP BY 1)
+SELECT yr, 'done' AS Sector, round(a, 2) AS Total FROM b UNION ALL SELECT yr, 'open', round(b, 2) FROM b UNION ALL SELECT yr, 'part', round(c, 2) FROM b""")
 def yearly_totals(spark, sf):
     rows = _orders(spark, sf).withColumns({
         "done": F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0),
-        "open": F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice")).otherwise(0.0)})
-    return rounded(op.yearly_totals(rows, "yr", ["done", "open"]), 2)
+        "open": F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice")).otherwise(0.0),
+        "part": F.when(~F.col("o_orderstatus").isin("F", "O"), F.col("o_totalprice")).otherwise(0.0)})
+    return rounded(op.yearly_totals(rows, "yr", ["done", "open", "part"]), 2)
 
 
 @register("histogram_counts", f"""
@@ -380,16 +385,19 @@ def time_bins(spark, sf):
 
 
 @register("floor_share_by_class", with_views("v_parcels", """
-WITH a AS (SELECT zone, sum(land * living) AS t, sum(CASE WHEN lu < 20 THEN land * living ELSE 0 END) AS nd, sum(CASE WHEN lu >= 20 THEN land * living ELSE 0 END) AS hi FROM v_parcels GROUP BY 1)
-SELECT zone, 'NonDevArea' AS DevStatus, round(CASE WHEN t = 0 THEN 0 ELSE nd / t END, 6) AS FA_SHR FROM a
-UNION ALL SELECT zone, 'DevHighArea', round(CASE WHEN t = 0 THEN 0 ELSE hi / t END, 6) FROM a"""))
+WITH p AS (SELECT zone, land * living AS floor, CASE WHEN lu < 20 THEN 'NonDevArea' WHEN lu < 40 THEN 'DevOSArea' WHEN lu < 60 THEN 'DevLowArea' WHEN lu < 80 THEN 'DevMedArea' ELSE 'DevHighArea' END AS cls FROM v_parcels),
+ t AS (SELECT zone, sum(floor) AS t FROM p GROUP BY 1), s AS (SELECT zone, cls, sum(floor) AS s FROM p GROUP BY 1, 2),
+ c AS (SELECT unnest(['NonDevArea', 'DevOSArea', 'DevLowArea', 'DevMedArea', 'DevHighArea']) AS cls)
+SELECT t.zone, c.cls AS DevStatus, round(CASE WHEN t = 0 THEN 0 ELSE coalesce(s, 0) / t END, 6) AS FA_SHR FROM t CROSS JOIN c LEFT JOIN s ON s.zone = t.zone AND s.cls = c.cls"""))
 def floor_share_by_class(spark, sf):
     c = F.col
     floor = c("land") * c("living")
+    bounds = {"NonDevArea": (0, 20), "DevOSArea": (20, 40), "DevLowArea": (40, 60), "DevMedArea": (60, 80), "DevHighArea": (80, 1000)}
     sums = view(spark, sf, "v_parcels").groupBy("zone").agg(
-        F.sum(floor).alias("t"), F.sum(F.when(c("lu") < 20, floor).otherwise(0)).alias("nd"), F.sum(F.when(c("lu") >= 20, floor).otherwise(0)).alias("hi"))
-    tall = sums.withColumn("DevStatus", F.explode(F.array(F.lit("NonDevArea"), F.lit("DevHighArea"))))
-    share = ind.class_floor_share(c("DevStatus"), {"NonDevArea": c("nd"), "DevHighArea": c("hi")}, c("t"))
+        F.sum(floor).alias("t"),
+        *[F.sum(F.when((c("lu") >= low) & (c("lu") < high), floor).otherwise(0)).alias(n) for n, (low, high) in bounds.items()])
+    tall = sums.withColumn("DevStatus", F.explode(F.array(*[F.lit(n) for n in bounds])))
+    share = ind.class_floor_share(c("DevStatus"), {n: c(n) for n in bounds}, c("t"))
     return tall.select("zone", "DevStatus", F.round(share, 6).alias("FA_SHR"))
 
 

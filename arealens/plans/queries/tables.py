@@ -11,6 +11,12 @@ from arealens.plans.standins import run_sql, table, view, with_views
 from arealens.specs import FeatureSpec, TableSpec
 
 YEARLY = "SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS yr, sum(o_totalprice) AS price, count(*) AS n FROM orders GROUP BY 1, 2"
+WHOLE = "SELECT o_custkey, sum(o_totalprice) AS price, count(*) AS n FROM orders GROUP BY 1"
+# Tables of two or three periods, which together hold every order.
+HALVES = """SELECT o_custkey, CASE WHEN year(o_orderdate) < 1998 THEN 'early' ELSE 'late' END AS period,
+ sum(o_totalprice) AS price, count(*) AS n FROM orders GROUP BY 1, 2"""
+THIRDS = """SELECT o_custkey, CASE WHEN year(o_orderdate) < 1997 THEN 'early' WHEN year(o_orderdate) < 1999 THEN 'middle' ELSE 'late' END AS period,
+ sum(o_totalprice) AS price, count(*) AS n FROM orders GROUP BY 1, 2"""
 
 
 def _yearly(spark, sf):
@@ -21,6 +27,14 @@ def _year(spark, sf, y):
     return _yearly(spark, sf).where(F.col("yr") == y).drop("yr")
 
 
+def _whole(spark, sf):
+    return run_sql(spark, sf, WHOLE)
+
+
+def _period(spark, sf, name, periods=HALVES):
+    return run_sql(spark, sf, periods).where(F.col("period") == name).drop("period")
+
+
 @register("extend_table", """
 SELECT c_custkey, c_acctbal, s.n AS n_orders, round(s.p, 2) AS price FROM customer LEFT JOIN
  (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS p FROM orders GROUP BY 1) s ON c_custkey = o_custkey""")
@@ -31,83 +45,83 @@ def extend_table(spark, sf):
 
 
 @register("attribute_join", f"""
-WITH y AS ({YEARLY}) SELECT c_custkey, c_acctbal, coalesce(round(price, 2), NULL) AS price_1997, n AS n_1997
-FROM customer LEFT JOIN (SELECT * FROM y WHERE yr = 1997) ON c_custkey = o_custkey""")
+SELECT c_custkey, c_acctbal, coalesce(round(price, 2), NULL) AS price_all, n AS n_all
+FROM customer LEFT JOIN ({WHOLE}) ON c_custkey = o_custkey""")
 def attribute_join(spark, sf):
-    right = _year(spark, sf, 1997).withColumn("c_acctbal", F.lit(-1.0))
+    right = _whole(spark, sf).withColumn("c_acctbal", F.lit(-1.0))
     out = op.join_attributes(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), right, "c_custkey", "o_custkey",
-                             None, {"price": "price_1997", "n": "n_1997"})
-    return out.withColumn("price_1997", F.round("price_1997", 2))
+                             None, {"price": "price_all", "n": "n_all"})
+    return out.withColumn("price_all", F.round("price_all", 2))
 
 
 @register("spec_joins", f"""
-WITH y AS ({YEARLY}) SELECT c_custkey, a.n AS n_1996, b.n AS n_1997 FROM customer
-LEFT JOIN (SELECT * FROM y WHERE yr = 1996) a ON c_custkey = a.o_custkey LEFT JOIN (SELECT * FROM y WHERE yr = 1997) b ON c_custkey = b.o_custkey""")
+WITH y AS ({HALVES}) SELECT c_custkey, a.n AS n_early, b.n AS n_late FROM customer
+LEFT JOIN (SELECT * FROM y WHERE period = 'early') a ON c_custkey = a.o_custkey LEFT JOIN (SELECT * FROM y WHERE period = 'late') b ON c_custkey = b.o_custkey""")
 def spec_joins(spark, sf):
     layers = {"Parcels": table(spark, sf, "customer").select("c_custkey")}
-    tables = {"Econ_parcels": _year(spark, sf, 1996), "Walk_PARCELS": _year(spark, sf, 1997), "Other_blocks": _year(spark, sf, 1998)}
-    specs = [TableSpec("Econ_parcels", "o_custkey", ("n",), {"n": "n_1996"}), TableSpec("Walk_PARCELS", "o_custkey", ("n",), {"n": "n_1997"}),
+    tables = {"Econ_parcels": _period(spark, sf, "early"), "Walk_PARCELS": _period(spark, sf, "late"), "Other_blocks": _whole(spark, sf)}
+    specs = [TableSpec("Econ_parcels", "o_custkey", ("n",), {"n": "n_early"}), TableSpec("Walk_PARCELS", "o_custkey", ("n",), {"n": "n_late"}),
              TableSpec("Other_blocks", "o_custkey")]
     return op.join_specs(layers, tables, [FeatureSpec("Parcels", "c_custkey")], specs)["Parcels"]
 
 
 @register("multi_merge_suffix", f"""
-WITH y AS ({YEARLY}), a AS (SELECT * FROM y WHERE yr = 1996), b AS (SELECT * FROM y WHERE yr = 1997), c AS (SELECT * FROM y WHERE yr = 1998)
+WITH y AS ({THIRDS}), a AS (SELECT * FROM y WHERE period = 'early'), b AS (SELECT * FROM y WHERE period = 'middle'), c AS (SELECT * FROM y WHERE period = 'late')
 SELECT o_custkey, a.n AS n_A, b.n AS n_B, c.n AS n_C, round(a.price, 2) AS price_A, round(b.price, 2) AS price_B, round(c.price, 2) AS price_C
 FROM a FULL JOIN b USING (o_custkey) FULL JOIN c USING (o_custkey)""")
 def multi_merge_suffix(spark, sf):
-    return rounded(op.merge_many([_year(spark, sf, y) for y in (1996, 1997, 1998)], "o_custkey", ("_A", "_B", "_C"), "full"), 2)
+    return rounded(op.merge_many([_period(spark, sf, p, THIRDS) for p in ("early", "middle", "late")], "o_custkey", ("_A", "_B", "_C"), "full"), 2)
 
 
 @register("merge_inner", f"""
-WITH y AS ({YEARLY}), a AS (SELECT * FROM y WHERE yr = 1996), b AS (SELECT * FROM y WHERE yr = 1997)
+WITH y AS ({HALVES}), a AS (SELECT * FROM y WHERE period = 'early'), b AS (SELECT * FROM y WHERE period = 'late')
 SELECT o_custkey, a.n AS n_A, b.n AS n_B, round(a.price, 2) AS price_A, round(b.price, 2) AS price_B FROM a JOIN b USING (o_custkey)""")
 def merge_inner(spark, sf):
-    return rounded(op.merge_many([_year(spark, sf, y) for y in (1996, 1997)], "o_custkey", ("_A", "_B")), 2)
+    return rounded(op.merge_many([_period(spark, sf, p) for p in ("early", "late")], "o_custkey", ("_A", "_B")), 2)
 
 
 @register("local_regional_patch", f"""
-WITH y AS ({YEARLY}), l AS (SELECT o_custkey AS maz, n AS hh FROM y WHERE yr = 1997),
- r AS (SELECT o_custkey AS maz, n AS hh, price AS enroll FROM y WHERE yr = 1998)
+WITH y AS ({HALVES}), l AS (SELECT o_custkey AS maz, n AS hh FROM y WHERE period = 'early'),
+ r AS (SELECT o_custkey AS maz, n AS hh, price AS enroll FROM y WHERE period = 'late')
 SELECT maz, l.hh, round(r.enroll, 2) AS enroll FROM l JOIN r USING (maz)
 UNION ALL SELECT maz, hh, round(enroll, 2) FROM r WHERE maz NOT IN (SELECT maz FROM l)""")
 def local_regional_patch(spark, sf):
-    local = _year(spark, sf, 1997).select(F.col("o_custkey").alias("maz"), F.col("n").alias("hh"))
-    regional = _year(spark, sf, 1998).select(F.col("o_custkey").alias("maz"), F.col("n").alias("hh"), F.col("price").alias("enroll"))
+    local = _period(spark, sf, "early").select(F.col("o_custkey").alias("maz"), F.col("n").alias("hh"))
+    regional = _period(spark, sf, "late").select(F.col("o_custkey").alias("maz"), F.col("n").alias("hh"), F.col("price").alias("enroll"))
     return rounded(op.patch(local, regional, "maz"), 2)
 
 
 @register("key_reconcile", f"""
-WITH y AS ({YEARLY}), a AS (SELECT * FROM y WHERE yr = 1996), b AS (SELECT * FROM y WHERE yr = 1997)
+WITH y AS ({HALVES}), a AS (SELECT * FROM y WHERE period = 'early'), b AS (SELECT * FROM y WHERE period = 'late')
 SELECT 'shapes' AS side, o_custkey AS k, n FROM a WHERE o_custkey IN (SELECT o_custkey FROM b)
 UNION ALL SELECT 'table', o_custkey, n FROM b WHERE o_custkey IN (SELECT o_custkey FROM a)""")
 def key_reconcile(spark, sf):
-    left, right = op.reconcile(_year(spark, sf, 1996), _year(spark, sf, 1997).withColumnRenamed("o_custkey", "key"), "o_custkey", "key")
+    left, right = op.reconcile(_period(spark, sf, "early"), _period(spark, sf, "late").withColumnRenamed("o_custkey", "key"), "o_custkey", "key")
     return left.select(F.lit("shapes").alias("side"), F.col("o_custkey").alias("k"), "n").unionByName(
         right.select(F.lit("table").alias("side"), F.col("key").alias("k"), "n"))
 
 
 @register("key_update", f"""
-WITH y AS ({YEARLY}) SELECT c_custkey, coalesce(round(price, 2), c_acctbal) AS c_acctbal, c_mktsegment FROM customer
-LEFT JOIN (SELECT * FROM y WHERE yr = 1997) ON c_custkey = o_custkey""")
+SELECT c_custkey, coalesce(round(price, 2), c_acctbal) AS c_acctbal, c_mktsegment FROM customer
+LEFT JOIN ({WHOLE}) ON c_custkey = o_custkey""")
 def key_update(spark, sf):
-    newer = _year(spark, sf, 1997).select(F.col("o_custkey").alias("c_custkey"), F.round("price", 2).alias("c_acctbal"))
+    newer = _whole(spark, sf).select(F.col("o_custkey").alias("c_custkey"), F.round("price", 2).alias("c_acctbal"))
     return op.update(table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment"), newer, "c_custkey")
 
 
 @register("key_add", f"""
-WITH y AS ({YEARLY}), a AS (SELECT * FROM y WHERE yr = 1996), b AS (SELECT * FROM y WHERE yr = 1997)
+WITH y AS ({HALVES}), a AS (SELECT * FROM y WHERE period = 'early'), b AS (SELECT * FROM y WHERE period = 'late')
 SELECT o_custkey, round(a.price + b.price, 2) AS price, a.n + b.n AS n, CAST(NULL AS DOUBLE) AS extra FROM a FULL JOIN b USING (o_custkey)""")
 def key_add(spark, sf):
-    a = _year(spark, sf, 1996).withColumn("extra", F.lit(1))
-    return rounded(op.add_by_key(a, _year(spark, sf, 1997), "o_custkey"), 2)
+    a = _period(spark, sf, "early").withColumn("extra", F.lit(1))
+    return rounded(op.add_by_key(a, _period(spark, sf, "late"), "o_custkey"), 2)
 
 
 @register("reindex_fill", f"""
-WITH y AS ({YEARLY}) SELECT c_custkey, coalesce(round(price, 2), 0.0) AS price, coalesce(n, 0) AS n FROM customer
-LEFT JOIN (SELECT * FROM y WHERE yr = 1997) ON c_custkey = o_custkey""")
+SELECT c_custkey, coalesce(round(price, 2), 0.0) AS price, coalesce(n, 0) AS n FROM customer
+LEFT JOIN ({WHOLE}) ON c_custkey = o_custkey""")
 def reindex_fill(spark, sf):
-    t = _year(spark, sf, 1997).withColumnRenamed("o_custkey", "c_custkey")
+    t = _whole(spark, sf).withColumnRenamed("o_custkey", "c_custkey")
     return rounded(op.reindex(table(spark, sf, "customer"), t, "c_custkey"), 2)
 
 
@@ -125,17 +139,20 @@ def lookup_recode(spark, sf):
 
 
 @register("source_flags", f"""
-WITH y AS ({YEARLY}) SELECT c_custkey, n AS jobs, 'LODES' AS "JOBS_SRC", 'EXTRAP' AS "DEM_SRC" FROM customer
-LEFT JOIN (SELECT * FROM y WHERE yr = 1997) ON c_custkey = o_custkey""")
+SELECT c_custkey, n AS jobs, 'LODES' AS "JOBS_SRC", 'EXTRAP' AS "DEM_SRC" FROM customer
+LEFT JOIN ({WHOLE}) ON c_custkey = o_custkey""")
 def source_flags(spark, sf):
-    jobs = _year(spark, sf, 1997).select("o_custkey", F.col("n").alias("jobs"))
+    jobs = _whole(spark, sf).select("o_custkey", F.col("n").alias("jobs"))
     return op.enrich_sources(table(spark, sf, "customer").select("c_custkey"), "c_custkey",
                              {"JOBS_SRC": [("LODES", jobs, "o_custkey")], "DEM_SRC": [("ACS", None, "o_custkey")]})
 
 
-@register("stack_years", f"SELECT o_custkey, n, yr AS Year FROM ({YEARLY}) WHERE yr IN (1996, 1997) UNION ALL SELECT o_custkey, n, 9998 FROM ({YEARLY}) WHERE yr = 1998")
+@register("stack_years", f"""
+SELECT o_custkey, n, CASE WHEN yr = (SELECT max(year(o_orderdate)) FROM orders) THEN 9998 ELSE yr END AS Year FROM ({YEARLY})""")
 def stack_years(spark, sf):
-    frames = {y: _year(spark, sf, v).drop("price") for y, v in ((1996, 1996), (1997, 1997), ("NearTerm", 1998))}
+    # Every year of the orders; the last one stands for the near term.
+    first, last = run_sql(spark, sf, "SELECT min(year(o_orderdate)), max(year(o_orderdate)) FROM orders").first()
+    frames = {"NearTerm" if y == last else y: _year(spark, sf, y).drop("price") for y in range(first, last + 1)}
     return op.stack_years(frames)
 
 
@@ -186,11 +203,11 @@ def skim_to_edges(spark, sf):
 
 
 @register("replace_and_unresolved", f"""
-WITH y AS ({YEARLY}), a AS (SELECT o_custkey, n FROM y WHERE yr = 1996), b AS (SELECT o_custkey, n FROM y WHERE yr = 1997)
+WITH y AS ({HALVES}), a AS (SELECT o_custkey, n FROM y WHERE period = 'early'), b AS (SELECT o_custkey, n FROM y WHERE period = 'late')
 SELECT 'table' AS part, o_custkey, n FROM a WHERE o_custkey NOT IN (SELECT o_custkey FROM b) UNION ALL SELECT 'table', o_custkey, n FROM b
 UNION ALL SELECT 'open', c_custkey, 0 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM a UNION SELECT o_custkey FROM b)""")
 def replace_and_unresolved(spark, sf):
-    a, b = (_year(spark, sf, y).drop("price") for y in (1996, 1997))
+    a, b = (_period(spark, sf, p).drop("price") for p in ("early", "late"))
     both = op.replace_rows(a, b, "o_custkey")
     wanted = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
     left = op.unresolved(wanted, both, "o_custkey").withColumn("n", F.lit(0).cast("bigint"))

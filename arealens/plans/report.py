@@ -1,7 +1,8 @@
-"""Snapshot of a year, and trends over years, as lazy plans over DataFrames."""
+"""Snapshot of a year, and trends over years, as plans over DataFrames."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from arealens.operators.access import TIME_BREAKS, long_access
 from arealens.operators.aggregate import column_sums, summarize
 from arealens.operators.joins import PSEUDO_YEARS, difference, extend, feature_difference, join_specs, stack_years
 from arealens.plans import report_specs as rs
+from arealens.session import cut
 from arealens.skew import advise, attach_scalars, spread_join
 from arealens.specs import CalcSpec, FeatureSpec, SummarySpec, TableSpec, apply_calcs
 
@@ -108,6 +110,10 @@ def snapshot(layers: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], m
     # A year column from another year's table must not reach the report.
     joined = {n: df.withColumn("Year", F.lit(number)) for n, df in joined.items()}
     base = calculate(joined, rs.PRECALCS)
+    # A layer that several summaries read is joined and calculated once, then read from where it was written.
+    readers = Counter(s.source.name for s in planned if s.source.name != s.target.name)
+    readers.update(s.target.name for s in planned)
+    base = {n: cut(df) if readers[n] > 1 else df for n, df in base.items()}
     out = dict(base)
     for spec in planned:
         pair = (spec.target.name, spec.source.name)

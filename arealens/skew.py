@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from arealens.session import cut
@@ -21,16 +23,41 @@ HOT_SPLITS = 512
 SAMPLE_SHARE = 0.02
 SMALL_SAMPLE = 2_000
 SMALL_ROWS = 50_000
+SMALL_BYTES = 64 << 20
+MEDIAN_MARGIN = 0.0003
+MEDIAN_WIDER = 0.01
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def is_small(df: DataFrame, rows: int | None = None) -> bool:
-    """Whether a table has at most `rows` rows; counts no further than that."""
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(value, F.lit(0).cast("bigint"), lambda n, e: n + _value_bytes(e, kind.elementType))
+    elif isinstance(kind, T.MapType):
+        size = (_value_bytes(F.map_keys(value), T.ArrayType(kind.keyType))
+                + _value_bytes(F.map_values(value), T.ArrayType(kind.valueType)))
+    elif isinstance(kind, T.StructType):
+        size = reduce(lambda a, f: a + _value_bytes(value[f.name], f.dataType), kind.fields, F.lit(0))
+    else:
+        size = F.lit(0)
+    return (F.lit(8) + F.coalesce(size, F.lit(0))).cast("bigint")
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: 8 for each value, inside nested ones too, and the length of texts."""
+    return reduce(lambda a, f: a + _value_bytes(F.col(f"`{f.name}`"), f.dataType), df.schema.fields, F.lit(0).cast("bigint"))
+
+
+def is_small(df: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
+    """Whether a table has at most `rows` rows and `size` bytes; looks at no more than that many rows."""
     rows = SMALL_ROWS if rows is None else rows
-    return df.limit(rows + 1).count() <= rows
+    size = SMALL_BYTES if size is None else size
+    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
+    return seen["n"] <= rows and (seen["b"] or 0) <= size
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
@@ -68,9 +95,10 @@ def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
                 advice: JoinAdvice | None = None, splits: int | None = None) -> DataFrame:
     """Equi-join in which hot keys are split over many tasks. The left side is the longer one.
 
-    A right side with a checked, small number of rows is broadcast. Otherwise the rows of
+    A right side of a checked, small size is broadcast. Otherwise the rows of
     a key that is hot on one side get one of `splits` salts there, and the other side's
-    rows of that key are repeated once per salt. A key hot on both sides is split on
+    rows of that key are repeated once per salt. Salts go by a row's position in its
+    written table, so equal rows are spread as well. A key hot on both sides is split on
     both, into about the square root of `splits` parts each. Other keys are not touched.
     """
     keys = [on] if isinstance(on, str) else list(on)
@@ -105,7 +133,10 @@ def _salted(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_k
         return count
 
     def salt(df: DataFrame, keys: Sequence[str], own: str, other: str, mine: Sequence[int], theirs: Sequence[int]) -> DataFrame:
-        row = F.xxhash64(*[F.col(c) for c in df.columns])
+        if mine or both:
+            # Positions stay the same when a task is run again only if the table is written.
+            df = cut(df)
+        row = F.xxhash64(F.monotonically_increasing_id())
         return df.withColumns({
             own: F.pmod(row, parts(keys, mine)).cast("int"),
             other: F.explode(F.sequence(F.lit(0), parts(keys, theirs) - 1)),
@@ -158,16 +189,22 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], l
     return df.groupBy(*keys).agg(pick.alias("__row")).select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], written: bool = False) -> DataFrame:
     """Exact medians per group: `columns` maps output name to input column. Nulls are skipped.
 
     A plain median keeps every distinct value of a group in one task. Here a mergeable
     sketch gives two bounds around the middle of each group, a combinable count tells
     how many values lie below them, and only the values between the bounds are ranked.
-    Should the bounds miss the middle, the job fails rather than give a wrong median.
+    Groups whose middle the bounds missed are done again with wider ones, at last with
+    their least and greatest value. The input is read several times, so its keys and
+    values are written once, unless it is `written` already.
     """
     keys = list(keys)
     names = list(columns)
+    if not names:
+        return df.select(*keys).distinct()
+    if not written:
+        df = cut(df.select(*dict.fromkeys([*keys, *columns.values()])))
     long = (
         df.select(*keys, F.explode(F.array(*[
             F.struct(F.lit(n).alias("m"), F.col(columns[n]).cast("double").alias("v")) for n in names
@@ -176,14 +213,28 @@ def exact_median(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str])
         .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     )
     group = keys + ["__m"]
-    bounds = long.groupBy(*group).agg(
-        F.percentile_approx("__v", [0.4997, 0.5003], 10000).alias("__b"),
-        F.count(F.lit(1)).alias("__n"),
-    )
+    few = is_small(df.select(*keys).distinct(), SMALL_ROWS // len(names))
+    medians = cut(_middles(long, group, MEDIAN_MARGIN, few))
+    for margin in (MEDIAN_WIDER, None):
+        missed = medians.where(F.col("__med").isNull()).drop("__med")
+        if missed.isEmpty():
+            break
+        again = _middles(join_to_groups(long, missed, group, "left_semi"), group, margin, few)
+        medians = cut(medians.where(F.col("__med").isNotNull()).unionByName(again))
+    wide = medians.groupBy(*keys).agg(*[F.max(F.when(F.col("__m") == n, F.col("__med"))).alias(n) for n in names])
+    return null_safe_join(df.select(*keys).distinct(), wide, keys, "left")
+
+
+def _middles(long: DataFrame, group: Sequence[str], margin: float | None, few: bool) -> DataFrame:
+    """Median `__med` of `__v` per group, null where the bounds missed it. Without a margin the bounds are the extremes."""
+    ends = F.array(F.min("__v"), F.max("__v"))
+    if margin is not None:
+        ends = F.percentile_approx("__v", [0.5 - margin, 0.5 + margin], 10000)
+    bounds = long.groupBy(*group).agg(ends.alias("__b"), F.count(F.lit(1)).alias("__n"))
     below = F.col("__v") < F.col("__b")[0]
     inside = F.col("__v") <= F.col("__b")[1]
     counted = (
-        join_to_groups(long, bounds, group, small=is_small(df.select(*keys).distinct(), SMALL_ROWS // max(len(names), 1)))
+        join_to_groups(long, bounds, group, small=few)
         .where(inside)
         .groupBy(*group, "__n", F.when(~below, F.col("__v")).alias("__c"))
         .agg(F.count(F.lit(1)).alias("__cnt"))
@@ -198,14 +249,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str])
         F.max(F.when((start < high) & (upto >= high), F.col("__c"))).alias("__hi"),
     )
     middle = (F.col("__lo") + F.col("__hi")) / 2
-    checked = F.when(middle.isNotNull(), middle).otherwise(
-        F.raise_error(F.lit("median bounds missed the middle of a group")).cast("double"))
-    medians = ranked.select(*keys, "__m", checked.alias("__med"))
-    wide = medians.groupBy(*keys).agg(*[F.max(F.when(F.col("__m") == n, F.col("__med"))).alias(n) for n in names])
-    if len(names) == 0:
-        return df.select(*keys).distinct()
-    groups = df.select(*keys).distinct()
-    return null_safe_join(groups, wide, keys, "left")
+    return join_to_groups(bounds.select(*group), ranked.select(*group, middle.alias("__med")), group, "left", small=few)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
