@@ -325,9 +325,9 @@ def histogram(df: DataFrame, year: str, value: str) -> DataFrame:
     return binned.groupBy(year, "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def pearson(x: str, y: str) -> Column:
+def pearson(x: str | Column, y: str | Column) -> Column:
     """Pearson correlation as an aggregate; null when one side does not vary."""
-    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    a, b = ((F.col(c) if isinstance(c, str) else c).cast("double") for c in (x, y))
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 

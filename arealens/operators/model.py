@@ -6,8 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,15 +82,58 @@ def correlation_p_values(df: DataFrame, response: str, predictors: Sequence[str]
     The default takes twice the upper tail, so that a negative correlation is never
     significant. One row of correlations reaches the driver.
     """
-    row = df.agg(F.count(F.lit(1)).alias("__n"), *[pearson(p, response).alias(p) for p in predictors]).first().asDict()
-    free = row["__n"] - 2
-    out = {}
-    for p in predictors:
-        r = row[p]
-        if r is None or r != r or free <= 0:
-            continue
-        t = r * math.sqrt(free / (1 - r * r)) if abs(r) < 1 else math.copysign(math.inf, r)
-        out[p] = (r, 2 * t_tail(abs(t) if two_sided else t, free))
+    return _screen(df, {response: F.lit(True)}, predictors, two_sided)[response]
+
+
+def _screen(df: DataFrame, responses: Mapping[str, Column], predictors: Sequence[str],
+            two_sided: bool) -> dict[str, dict[str, tuple[float, float]]]:
+    """`correlation_p_values` of many responses, each on the rows its condition takes, in one aggregate."""
+    sums = []
+    for i, (response, taken) in enumerate(responses.items()):
+        sums.append(F.count(F.when(taken, 1)).alias(f"n{i}"))
+        sums += [pearson(F.when(taken, F.col(p)), F.when(taken, F.col(response))).alias(f"r{i}_{j}") for j, p in enumerate(predictors)]
+    row = df.agg(*sums).first()
+    found: dict[str, dict[str, tuple[float, float]]] = {}
+    for i, response in enumerate(responses):
+        free, out = row[f"n{i}"] - 2, {}
+        for j, p in enumerate(predictors):
+            r = row[f"r{i}_{j}"]
+            if r is None or r != r or free <= 0:
+                continue
+            t = r * math.sqrt(free / (1 - r * r)) if abs(r) < 1 else math.copysign(math.inf, r)
+            out[p] = (r, 2 * t_tail(abs(t) if two_sided else t, free))
+        found[response] = out
+    return found
+
+
+def _least_squares(df: DataFrame, responses: Mapping[str, Column], chosen: Mapping[str, Sequence[str]]) -> dict[str, dict[str, float]]:
+    """Coefficients and constant per response from means and covariances, which one aggregate gives for all.
+
+    What reaches the driver is a square of numbers per response, as wide as its chosen
+    predictors. Where predictors depend on each other, the shortest solution is taken.
+    """
+    fitted = {r: list(chosen[r]) for r in responses if chosen[r]}
+    sums = []
+    for i, (response, names) in enumerate(fitted.items()):
+        values = [F.when(responses[response], F.col(n).cast("double")) for n in [*names, response]]
+        sums += [F.avg(v).alias(f"m{i}_{j}") for j, v in enumerate(values)]
+        sums += [F.covar_pop(v, w).alias(f"c{i}_{j}_{k}") for j, v in enumerate(values) for k, w in enumerate(values) if j <= k]
+    if not sums:
+        return {}
+    row = df.agg(*sums).first()
+    out: dict[str, dict[str, float]] = {}
+    for i, (response, names) in enumerate(fitted.items()):
+        wide = len(names)
+        square = np.array([[row[f"c{i}_{min(j, k)}_{max(j, k)}"] for k in range(wide)] for j in range(wide)])
+        with_response = np.array([row[f"c{i}_{j}_{wide}"] for j in range(wide)])
+        scale = np.sqrt(np.diag(square))
+        unit = square / np.outer(scale, scale)
+        if np.linalg.matrix_rank(unit, tol=1e-10) == wide:
+            slopes = np.linalg.solve(unit, with_response / scale) / scale
+        else:
+            slopes = np.linalg.pinv(square, hermitian=True) @ with_response
+        out[response] = dict(zip(names, map(float, slopes)))
+        out[response][INTERCEPT] = row[f"m{i}_{wide}"] - sum(v * row[f"m{i}_{j}"] for j, v in enumerate(map(float, slopes)))
     return out
 
 
@@ -110,23 +152,17 @@ def fit_models(df: DataFrame, responses: Mapping[str, Sequence[int]], predictors
                two_sided: bool = False, intercept: bool = False) -> DataFrame:
     """One linear model per response on its observed years, as a table of coefficients (0 where not used).
 
+    Two aggregates serve all responses: one screens the predictors, one gives the sums of the fits.
+
     With `intercept`, the constant is kept as a row of its own; by default it is fitted
     and then left out, so that predictions are inputs times coefficients.
     """
     filled = df.withColumns({p: F.coalesce(F.col(p).cast("double"), F.lit(0.0)) for p in predictors})
     filled = filled.withColumns({r: F.coalesce(F.col(r).cast("double"), F.lit(0.0)) for r in responses})
-    found: dict[str, dict[str, float]] = {}
-    for response, years in responses.items():
-        data = filled.where(F.col(year).isin([int(y) for y in years]))
-        chosen = choose_predictors(correlation_p_values(data, response, predictors, two_sided))
-        if not chosen:
-            found[response] = {}
-            continue
-        vectors = VectorAssembler(inputCols=chosen, outputCol="__x").transform(data)
-        model = LinearRegression(featuresCol="__x", labelCol=response, solver="normal", regParam=0.0).fit(vectors)
-        found[response] = dict(zip(chosen, [float(c) for c in model.coefficients]))
-        if intercept:
-            found[response][INTERCEPT] = float(model.intercept)
+    taken = {r: F.col(year).isin([int(y) for y in years]) for r, years in responses.items()}
+    screened = _screen(filled, taken, predictors, two_sided)
+    fits = _least_squares(filled, taken, {r: choose_predictors(p) for r, p in screened.items()})
+    found = {r: {n: c for n, c in fits.get(r, {}).items() if intercept or n != INTERCEPT} for r in responses}
     names = [p for p in [*predictors, INTERCEPT] if any(p in f for f in found.values())]
     schema = T.StructType([T.StructField("Variable", T.StringType())] + [T.StructField(r, T.DoubleType()) for r in responses])
     rows = [(n, *[found[r].get(n, 0.0) for r in responses]) for n in names]
@@ -270,20 +306,28 @@ def extrapolate_years(frames: Mapping[int, DataFrame], observed: Mapping[str, Se
     lists; every fit and prediction is a Spark job over all areas.
     """
     known = {r: sorted(ys) for r, ys in observed.items()}
-    done: dict[int, DataFrame] = {}
-    history: DataFrame | None = None
+
+    def stack(parts: Sequence[DataFrame]) -> DataFrame:
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    written = cut(stack([df.withColumn(year, F.lit(int(y))) for y, df in frames.items()]))
+    plain: list[int] = []
+    predicted: list[DataFrame] = []
+
+    def so_far() -> DataFrame:
+        return stack([written.where(F.col(year).isin(plain)), *predicted])
+
     for y in sorted(frames):
-        frame = frames[y].withColumn(year, F.lit(int(y)))
         absent = {r: ys for r, ys in known.items() if y not in ys}
-        if absent and history is not None:
-            fits = fit_models(history, {r: ys for r, ys in absent.items()}, predictors, year, two_sided=True, intercept=True)
-            made = apply_models(frame, fits, [key])
-            frame = cut(frame.drop(*absent).join(made, key))
-            for r in absent:
-                known[r] = sorted([*known[r], y])
-        done[y] = frame
-        history = frame if history is None else history.unionByName(frame, allowMissingColumns=True)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), done.values())
+        if not absent or not (plain or predicted):
+            plain.append(int(y))
+            continue
+        fits = fit_models(so_far(), absent, predictors, year, two_sided=True, intercept=True)
+        frame = written.where(F.col(year) == int(y))
+        predicted.append(cut(frame.drop(*absent).join(apply_models(frame, fits, [key]), key)))
+        for r in absent:
+            known[r] = sorted([*known[r], y])
+    return so_far()
 
 
 def extrapolate_constant_shares(frames: Mapping[int, DataFrame], observed: Mapping[str, Sequence[int]], touch: DataFrame,
@@ -294,8 +338,8 @@ def extrapolate_constant_shares(frames: Mapping[int, DataFrame], observed: Mappi
     Shares without counts come from touching areas of the year, then from the nearest
     one; years without observation carry the area's last shares forward.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                     [df.withColumn(year, F.lit(int(y))) for y, df in frames.items()])
+    stacked = cut(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                         [df.withColumn(year, F.lit(int(y))) for y, df in frames.items()]))
     keys = [key, year]
     fits = fit_models(stacked, observed, predictors, year, two_sided=True, intercept=True)
     totals = cut(apply_models(stacked, fits, keys))
