@@ -182,9 +182,24 @@ def project(lon: Column, lat: Column, epsg: int) -> Column:
 
 # --- bounding boxes -------------------------------------------------------
 
+STUDY_GROWTH = 1609.34  # about a mile, so that networks are whole at the edge of a study area
+
+
 def box_is_valid(north: Column, south: Column, east: Column, west: Column) -> Column:
     """North and south inside (-90, 90), east and west inside (-180, 180), ends left out."""
     def inside(c: Column, limit: float) -> Column:
         return (c > -limit) & (c < limit)
 
     return inside(north, 90) & inside(south, 90) & inside(east, 180) & inside(west, 180)
+
+
+def grown_box(north: Column, south: Column, east: Column, west: Column, by: float = STUDY_GROWTH) -> dict[str, Column]:
+    """A box in degrees grown by a distance in the metres of web Mercator, again in degrees."""
+    def lon(c: Column, step: float) -> Column:
+        return F.degrees((F.radians(c) * F.lit(GRS80_A) + F.lit(step)) / F.lit(GRS80_A))
+
+    def lat(c: Column, step: float) -> Column:
+        y = F.log(F.tan(F.lit(math.pi / 4) + F.radians(c) / 2)) * F.lit(GRS80_A) + F.lit(step)
+        return F.degrees(2 * F.atan(F.exp(y / F.lit(GRS80_A))) - F.lit(math.pi / 2))
+
+    return {"north": lat(north, by), "south": lat(south, -by), "east": lon(east, by), "west": lon(west, -by)}

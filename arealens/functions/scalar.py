@@ -79,11 +79,19 @@ def geoid(*levels: Column) -> Column:
 
 # --- dates ----------------------------------------------------------------
 
+DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-M-d", "yyyy/M/d", "M/d/yyyy H:m:s", "M/d/yyyy H:m", "M/d/yyyy", "d-MMM-yyyy", "MMM d, yyyy")
+
+
 def date_from_unix(c: Column) -> Column:
     """Timestamp from unix seconds or milliseconds: only the first ten digits count."""
     return F.timestamp_seconds(F.substring(c.cast("string"), 1, 10).cast("bigint"))
 
 
+def date_from_text(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+    """Timestamp from text in the first of the formats that fits; null where none does."""
+    return F.coalesce(*[F.try_to_timestamp(F.trim(c), F.lit(f)) for f in formats])
+
+
 def date_parts(ts: Column) -> dict[str, Column]:
     return {"DAY": F.dayofmonth(ts), "MONTH": F.month(ts), "YEAR": F.year(ts)}
 

@@ -114,3 +114,10 @@ def zones_by_year(zones: DataFrame, county: DataFrame | None, years: Sequence[in
     """Zones with their centre in the county (all zones without one), once per year."""
     kept = zones if county is None else centre_in_area(zones, county, x, y, rings, key)
     return kept.withColumn("Year", F.explode(F.array(*[F.lit(int(v)) for v in years])))
+
+
+def single_parts(df: DataFrame, parts: str, rings: str = "rings", part: str = "part") -> DataFrame:
+    """Features of several polygons as one row per polygon, numbered from 1; rows without polygons are left out."""
+    others = [c for c in df.columns if c != parts]
+    opened = df.select(*others, F.posexplode(parts).alias("__pos", rings))
+    return opened.where(F.col(rings).isNotNull()).withColumn(part, F.col("__pos") + 1).drop("__pos")

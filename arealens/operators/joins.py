@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arealens.skew import first_per_key
+from arealens.skew import first_per_key, number_rows
 from arealens.specs import FeatureSpec, TableSpec
 
 
@@ -242,10 +242,15 @@ def unresolved(wanted: DataFrame, found: DataFrame, on: str | Sequence[str]) ->
     return wanted.select(*keys).distinct().join(found.select(*keys), keys, "left_anti")
 
 
-def merge_layers(layers: Mapping[str, DataFrame], tag: str | None = None) -> DataFrame:
-    """Layers stacked by column name, with the layer's name as a column if `tag` is given."""
+def merge_layers(layers: Mapping[str, DataFrame], tag: str | None = None, new_id: str | None = None,
+                 order: Sequence[str] = ()) -> DataFrame:
+    """Layers stacked by column name, with the layer's name as a column if `tag` is given.
+
+    `new_id` names a running id from 1 over the merged rows in the order of the `order` columns.
+    """
     parts = [df.withColumn(tag, F.lit(name)) if tag else df for name, df in layers.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return number_rows(merged, [F.col(c) for c in order], new_id, start=1) if new_id else merged
 
 
 def clean_parcels(shapes: DataFrame, attributes: DataFrame, shape_key: str, attribute_key: str, key: str = "FOLIO",

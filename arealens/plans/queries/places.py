@@ -359,6 +359,42 @@ def merged_layers(spark, sf):
     return merge_layers({"parks": view(spark, sf, "v_points").drop("w"), "stations": stations}, "layer")
 
 
+@register("merged_numbered", with_views("v_points v_targets", """
+SELECT layer, id, row_number() OVER (ORDER BY layer, id) AS new_id FROM
+ (SELECT 'parks' AS layer, id FROM v_points UNION ALL SELECT 'stations', target FROM v_targets)"""))
+def merged_numbered(spark, sf):
+    stations = view(spark, sf, "v_targets").select(F.col("target").alias("id"))
+    return merge_layers({"parks": view(spark, sf, "v_points").select("id"), "stations": stations}, "layer", "new_id", ["layer", "id"])
+
+
+@register("single_parts", with_views("v_points", """
+SELECT id, CAST(k AS INT) AS part, CAST(1 + id % 3 AS DOUBLE) * k AS size FROM v_points, (SELECT unnest([1, 2, 3]) AS k)
+WHERE k <= 1 + id % 2 OR id % 5 = 0"""))
+def single_parts(spark, sf):
+    c = F.col
+
+    def strip(k):
+        return F.array(geo.box_ring(c("x"), c("y") + 10 * k, c("x") + (1 + c("id") % 3), c("y") + 10 * k + k))
+
+    shapes = view(spark, sf, "v_points").select("id", F.when(c("id") % 5 == 0, F.array(strip(1), strip(2), strip(3)))
+                                                .when(c("id") % 2 == 1, F.array(strip(1), strip(2))).otherwise(F.array(strip(1))).alias("shape"))
+    return rounded(ar.single_parts(shapes, "shape").select("id", "part", geo.polygon_area(c("rings")).alias("size")), 6)
+
+
+_MERCATOR = "6378137 * ln(tan(pi() / 4 + radians({0}) / 2))"
+
+
+@register("study_box_grown", with_views("v_points", f"""
+WITH b AS (SELECT max(y) / 100 AS n, min(y) / 100 AS s, max(x) / 100 AS e, min(x) / 100 AS w FROM v_points)
+SELECT round(degrees(2 * atan(exp(({_MERCATOR.format("n")} + 1609.34) / 6378137)) - pi() / 2), 9) AS north,
+ round(degrees(2 * atan(exp(({_MERCATOR.format("s")} - 1609.34) / 6378137)) - pi() / 2), 9) AS south,
+ round(e + degrees(1609.34 / 6378137), 9) AS east, round(w - degrees(1609.34 / 6378137), 9) AS west FROM b"""))
+def study_box_grown(spark, sf):
+    box = view(spark, sf, "v_points").agg(F.max("y").alias("n"), F.min("y").alias("s"), F.max("x").alias("e"), F.min("x").alias("w"))
+    grown = geo.grown_box(*[F.col(c) / 100 for c in "nsew"])
+    return box.select(*[F.round(c, 9).alias(n) for n, c in grown.items()])
+
+
 @register("study_bbox", with_views("v_points", """
 SELECT max(y) / 100 AS north, min(y) / 100 AS south, max(x) / 100 AS east, min(x) / 100 AS west,
   max(y) / 100 < 90 AND min(y) / 100 > -90 AND max(x) / 100 < 180 AND min(x) / 100 > -180 AS valid, max(y) < 90 AS raw_valid FROM v_points"""))

@@ -147,6 +147,18 @@ def date_parts(spark, sf):
     return table(spark, sf, "events").select("event_id", *[c.alias(n) for n, c in sc.date_parts(ts).items()])
 
 
+@register("date_parts_text", """
+SELECT o_orderkey, CAST(day(o_orderdate) AS INT) AS "DAY", CAST(month(o_orderdate) AS INT) AS "MONTH", CAST(year(o_orderdate) AS INT) AS "YEAR" FROM orders""")
+def date_parts_text(spark, sf):
+    formats = ("yyyy-MM-dd", "M/d/yyyy", "yyyy/MM/dd", "MMM d, yyyy")
+    written = F.when(F.col("o_orderkey") % 4 == 0, F.date_format("o_orderdate", formats[0]))
+    for i, f in enumerate(formats[1:], 1):
+        written = written.when(F.col("o_orderkey") % 4 == i, F.date_format("o_orderdate", f))
+    ts = sc.date_from_text(F.col("written"))
+    rows = table(spark, sf, "orders").select("o_orderkey", written.alias("written"))
+    return rows.select("o_orderkey", *[c.alias(n) for n, c in sc.date_parts(ts).items()])
+
+
 @register("text_functions", """
 SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), 13, '0') AS padded, concat(p_brand, '-long-name') AS kept,
  CASE WHEN contains(p_name, 'ring') THEN 1 ELSE 0 END AS flagged, CASE WHEN contains(p_name, 'ring') THEN substr(p_name, 1, length(p_name) - 2) ELSE p_name END AS trimmed,

@@ -137,10 +137,9 @@ def _salted(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_k
             # Positions stay the same when a task is run again only if the table is written.
             df = cut(df)
         row = F.xxhash64(F.monotonically_increasing_id())
-        return df.withColumns({
-            own: F.pmod(row, parts(keys, mine)).cast("int"),
-            other: F.explode(F.sequence(F.lit(0), parts(keys, theirs) - 1)),
-        })
+        # The own salt is drawn before rows are repeated, so that all copies of a row have the same.
+        salted = df.withColumn(own, F.pmod(row, parts(keys, mine)).cast("int"))
+        return salted.withColumn(other, F.explode(F.sequence(F.lit(0), parts(keys, theirs) - 1)))
 
     return (salt(left, left_keys, "__salt_l", "__salt_r", only_left, only_right),
             salt(right, right_keys, "__salt_r", "__salt_l", only_right, only_left))

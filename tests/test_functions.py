@@ -164,3 +164,10 @@ def test_predicates(spark):
         Comp("~", 1)
     with pytest.raises(TypeError):
         And([span(1, 2)])
+
+
+def test_dates_from_text(spark):
+    texts = ["2019-03-07", "3/7/2019", " 03/07/2019 14:05:00", "2019/3/7", "7-Mar-2019", "Mar 7, 2019", "2019-03-07T01:02:03", "no date", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", *[c.alias(n) for n, c in s.date_parts(s.date_from_text(F.col("t"))).items()])
+    assert [tuple(r)[1:] for r in got.orderBy("i").collect()] == [(7, 3, 2019)] * 7 + [(None, None, None)] * 3

@@ -115,3 +115,40 @@ def test_attach_scalars(spark):
     df = spark.range(3)
     total = df.agg(F.sum("id").alias("t"))
     assert rows(skew.attach_scalars(df, total, {"all": "t"})) == [(0, 3), (1, 3), (2, 3)]
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark, force_split):
+    facts = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 300).cast("bigint").alias("k"), F.lit(1).alias("v"))
+    dim = spark.range(0, 300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    advice = skew.advise(facts, dim, "k")
+    a, _ = skew._salted(facts, dim, ["k"], ["k"], advice, 9)
+    assert a.where("k = 7").select("__salt_l").distinct().count() == 9
+    got = skew.spread_join(facts, dim, "k", advice=advice)
+    assert rows(got, "k", "v", "w") == rows(facts.join(dim, "k"), "k", "v", "w")
+
+
+@pytest.mark.parametrize("margin", [-0.2, -0.4])
+def test_exact_median_widens_bounds_that_missed(spark, monkeypatch, margin):
+    df = lopsided(spark, 3000).withColumn("k", F.when(F.col("k") != 11, F.col("k") % 20))
+    monkeypatch.setattr(skew, "MEDIAN_MARGIN", margin)
+    monkeypatch.setattr(skew, "MEDIAN_WIDER", margin)
+    got = {r["k"]: r["m"] for r in skew.exact_median(df, ["k"], {"m": "v"}).collect()}
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r["k"], []).append(r["v"])
+    assert got == {k: statistics.median(v) for k, v in groups.items()}
+
+
+def test_few_but_long_rows_are_not_small(spark):
+    df = spark.range(100).select("id", F.array_repeat(F.struct(F.lit(1.0).alias("x"), F.lit(2.0).alias("y")), 1000).alias("edges"))
+    assert skew.is_small(df)
+    assert not skew.is_small(df, size=100 * 1000 * 16)
+    assert not skew.is_small(df, rows=99)
+    assert skew.is_small(df.select("id"), size=800)
+
+
+def test_row_bytes_takes_nulls_and_nested_values(spark):
+    df = spark.createDataFrame([(None, None, None, None), ("abc", {"k": "vv"}, [["a"], []], (1, "xy"))],
+                               "s string, m map<string,string>, a array<array<string>>, t struct<n:int,u:string>")
+    small, large = (r[0] for r in df.select(skew.row_bytes(df).alias("b")).orderBy("b").collect())
+    assert 0 < small < large

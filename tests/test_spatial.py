@@ -191,3 +191,30 @@ def test_walk_times(spark):
     assert [(r["OName"], r["DName"]) for r in remote.collect()] == [(2, "S")]
     assert remote.first()["Minutes"] == pytest.approx((90 + 70) * 60 / (3 * 1609.344))
     assert math.isfinite(remote.first()["Minutes"])
+
+
+@pytest.mark.parametrize("forced", [False, True])
+def test_very_long_line_against_tiny_polygons(spark, request, forced):
+    if forced:
+        request.getfixturevalue("force_split")
+    boxes = [(i, [[(i * 10.0, i * 10.0), (i * 10.0 + 0.5, i * 10.0), (i * 10.0 + 0.5, i * 10.0 + 0.5), (i * 10.0, i * 10.0 + 0.5), (i * 10.0, i * 10.0)]]) for i in range(40)]
+    lines = spark.createDataFrame([(1, -5.0, -5.0, 1e6, 1e6), (2, 0.1, 0.1, 0.2, 0.1), (3, 900.0, 0.0, 901.0, 0.0)], "line int, x1 double, y1 double, x2 double, y2 double")
+    got = spatial.line_length_in_polygons(lines, spark.createDataFrame(boxes, POLYGONS), "rings")
+    found = {(r["line"], r["poly"]): r["inside"] for r in got.collect()}
+    assert set(found) == {(1, i) for i in range(40)} | {(2, 0)}
+    assert found[2, 0] == pytest.approx(0.1)
+    assert all(v == pytest.approx(0.5 * 2 ** 0.5, rel=1e-6) for (line, _), v in found.items() if line == 1)
+
+
+def test_polygons_of_no_size_meet_long_lines(spark):
+    lines = spark.createDataFrame([(1, 0.0, 0.0, 1e5, 1e5)], "line int, x1 double, y1 double, x2 double, y2 double")
+    places = spark.createDataFrame([(i, float(i), float(i)) for i in range(30)], "id int, px double, py double")
+    got = spatial.box_join(lines, ("x1", "y1", "x2", "y2"), places, ("px", "py", "px", "py"))
+    assert rows(got, "line", "id") == [(1, i) for i in sorted(range(30), key=str)]
+
+
+def test_nearest_by_group_with_a_hot_group_and_equal_points(spark, force_split):
+    points = spark.range(300).select("id", F.lit(5.0).alias("x"), F.lit(5.0).alias("y"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("g"))
+    items = spark.createDataFrame([(7, 1.0, 5.0, "b"), (8, 5.0, 8.0, "a"), (9, 90.0, 8.0, "a")], "t int, tx double, ty double, g string")
+    got = spatial.nearest(points, items, "id", "x", "y", "tx", "ty", "t", by=["g"])
+    assert rows(got.groupBy("t", "dist").count()) == [(7, 4.0, 200), (8, 3.0, 100)]

@@ -245,3 +245,23 @@ def test_stack_years_rewrites_a_wrong_year(spark):
     stale = spark.createDataFrame([(1, 2018)], "k int, Year int")
     assert rows(joins.stack_years({2019: stale}), "k", "Year") == [(1, 2019)]
     assert rows(joins.stack_years({2019: stale}, keep_year=True), "k", "Year") == [(1, 2018)]
+
+
+def test_crosswalks_with_a_hot_block_and_equal_rows(spark, force_split):
+    flows = spark.range(600).select(F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 20).cast("string")).alias("w"),
+                                    (F.col("id") % 4).cast("string").alias("h"), F.lit(1).alias("S000"))
+    cross = spark.createDataFrame([("hot", "A"), *[(str(i), "A" if i < 10 else "B") for i in range(20)]], "blk string, lev string")
+    got = aggregate.od_crosswalk_roll_up(flows, cross, ("w", "h"), "blk", "lev", ["S000"])
+    want = {}
+    for r in flows.collect():
+        k = ("A" if r["w"] == "hot" or int(r["w"]) < 10 else "B", "A")
+        want[k] = want.get(k, 0) + 1
+    assert {(r["lev1"], r["lev2"]): r["S000"] for r in got.collect()} == want
+    one = aggregate.crosswalk_roll_up(flows.withColumnRenamed("S000", "C000"), cross, "w", "blk", "lev")
+    assert sum(r["C000"] for r in one.collect()) == 600
+
+
+def test_merged_layers_get_new_ids(spark):
+    a = spark.createDataFrame([(2,), (1,)], "id int")
+    got = joins.merge_layers({"b": a, "a": a}, "layer", "new", ["layer", "id"])
+    assert rows(got, "new", "layer", "id") == [(1, "a", 1), (2, "a", 2), (3, "b", 1), (4, "b", 2)]
