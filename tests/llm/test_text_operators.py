@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from arealens.llm import ann, decontam, licences, packing, pages, pii, ppm, quality, simhash, substring
+from arealens.llm import ann, decontam, licences, packing, pages, pii, ppm, quality, shingles, simhash, substring
 from arealens.llm.common import components
 
 SF = "/root/testdata/sf0.001"
@@ -240,6 +240,66 @@ def test_simhash_links_of_crowded_buckets(spark, bucket):
         frozenset(p for p in named if named[p] == r) for r in set(named.values()))
 
 
+def shingles_by_hand(t):
+    w = WORD.findall((t or "").translate(LOWER))
+    return {" ".join(w[k:k + 5]) for k in range(len(w) - 4)} or ({" ".join(w)} if w else set())
+
+
+def near_copies_by_hand(rows, least=0.8):
+    """Least id of each component."""
+    sets = [(i, shingles_by_hand(t)) for i, t in rows]
+    root = {i: i for i, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[:n]:
+            if a == b or least * max(len(a), len(b)) <= min(len(a), len(b)) and len(a & b) >= least * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {find(i) for i, _ in sets}
+
+
+def near_copies(seed):
+    """Texts of 60 to 200 words, each with copies in which none to a few words are changed, and chains of such copies."""
+    rng, out = random.Random(seed), []
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    for family in range(12):
+        base = [word() for _ in range(rng.randint(60, 200))]
+        for copy in range(30 if family else 150):
+            one = list(base)
+            for at in rng.sample(range(len(one)), rng.choice([0, 1, 1, 2, 3, 5, 8])):
+                one[at] = word()
+            base = one if family % 3 == 2 else base
+            out.append(" ".join(one).capitalize())
+    rng.shuffle(out)
+    return list(enumerate(out))
+
+
+def test_near_copies(spark):
+    rows = near_copies(1)
+    assert 12 < len(near_copies_by_hand(rows)) < len(rows) / 2
+    kept = shingles.keep_one(table(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(near_copies_by_hand(rows)) and all(r.text == dict(rows)[r.doc_id] for r in kept)
+
+
+def test_near_copies_odd_rows(spark, docs, rows):
+    kept = shingles.keep_one(docs).collect()
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    assert bag(r.doc_id for r in kept) == bag(ordered[n][0] for n in near_copies_by_hand([(n, t) for n, (_, t) in enumerate(ordered)]))
+
+
+def test_pipeline_stage_finds_near_copies(spark):
+    import corpus_pipeline
+
+    rows = near_copies(2)
+    kept = dict(corpus_pipeline.STAGES)["near duplicates"](spark, table(spark, rows), "")
+    assert {r.doc_id for r in kept.collect()} == near_copies_by_hand(rows)
+
+
 def test_quality_held_out(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     truth = {r.doc_id: r.quality for r in labels.collect()}
@@ -450,6 +510,7 @@ EMPTY = {
     "ppm": lambda d, s: ppm.score(d),
     "simhash": lambda d, s: simhash.near_duplicates(d),
     "keep_one": lambda d, s: simhash.keep_one(d),
+    "shingles": lambda d, s: shingles.keep_one(d),
     "quality": lambda d, s: quality.classify(d, s.createDataFrame([], "doc_id long, quality int")),
     "pii": lambda d, s: pii.find_spans(d),
     "redact": lambda d, s: pii.redact(d),
