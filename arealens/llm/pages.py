@@ -4,9 +4,9 @@ Method: line-block distribution. Markup is stripped into lines, one per block of
 an empty line where a container begins or ends. The text lengths of `WINDOW` lines are summed
 from each line on. Where the sums surge above `SURGE` the main text begins, and it ends where
 they dive to nothing; lines between are kept. Text in menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments by readers is left out beforehand. If
-the lines kept stand in an article or main element, the text is that element's, so short
-lines at its edges stay.
+notices, adverts, forms, scripts, styles and comments by readers is left out beforehand.
+Where lines kept stand in an article or main element, all its lines are kept with them, so
+short lines at its edges stay; lines kept outside stay as well.
 """
 
 from __future__ import annotations
@@ -53,14 +53,18 @@ def _unwanted(tag: str, rest: str, inside: bool) -> bool:
     """Whether an element holds no main text. A header inside an article is its heading."""
     if tag in LEFT_OUT or (tag == "header" and not inside):
         return True
-    if tag in ("html", "body", "main", "article") or "=" not in rest and "hidden" not in rest:
+    if tag in ("html", "body") or "=" not in rest and "hidden" not in rest:
         return False
     given = _attributes(rest)
     if "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "").lower() in ROLES:
         return True
     if re.search(r"display\s*:\s*none", given.get("style", "")):
         return True
-    found = MARKS.search(f"{given.get('class', '')} {given.get('id', '')}")
+    names = f"{given.get('class', '')} {given.get('id', '')}"
+    if tag in ("main", "article"):
+        # Names here often tell of the layout around (has-sidebar), so a mark counts only where a name begins with it.
+        return tag == "article" and any(MARKS.match(name) for name in names.split() if not (inside and name.lower() in ("header", "search")))
+    found = MARKS.search(names)
     return bool(found) and not (inside and found[0].strip(" _-\t\n").lower() in ("header", "search"))
 
 
@@ -166,17 +170,13 @@ def main_text(page: str | None) -> str:
             i = j
         else:
             i += 1
-    if not any(keep) and lines:
+    if not any(keep):
         # No surge: a short page, whose main text is where the most text stands.
-        top = max(range(len(lines)), key=sums.__getitem__)
-        for j in range(top, min(top + WINDOW, len(lines))):
-            keep[j] = sizes[j] > 0
+        top = max(range(len(lines)), key=sums.__getitem__, default=0)
+        keep = [top <= j < top + WINDOW and n > 0 for j, n in enumerate(sizes)]
+    plain = [k and linked <= LINKED * len(t) for (t, linked, _), k in zip(lines, keep)]
     found = {a for (_, _, a), k in zip(lines, keep) if k and a}
-    if not found:
-        found = {a for t, _, a in lines if a and t}
-    if found:
-        return " ".join(t for t, _, a in lines if t and a in found)
-    return " ".join(t for (t, linked, _), k in zip(lines, keep) if k and t and linked <= LINKED * len(t))
+    return " ".join(t for (t, _, a), k in zip(lines, plain) if t and (k or a in found))
 
 
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

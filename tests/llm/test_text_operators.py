@@ -418,6 +418,18 @@ def test_page_text(page, want):
     assert pages.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<div><p>{PARA}</p><p>{PARA}</p></div><article><p>Teaser.</p></article>", f"{PARA} {PARA} Teaser."),
+    (f"<div><p>{PARA}</p></div><p><a href=x>one</a><p><a href=x>two</a><p><a href=x>three</a><article><p>Teaser.</p></article>", PARA),
+    (f"<div><p>{PARA}</p></div><p><a href=x>one</a><p><a href=x>two</a><p><a href=x>three</a><article><h2>Head</h2><p>{PARA}</p></article>", f"{PARA} Head {PARA}"),
+    (f"<div><p>{PARA}</p></div><article class='comment byuser'><p>{PARA}!</p></article><article role=complementary><p>{PARA}!</p></article>"
+     f"<article hidden><p>{PARA}!</p></article><main aria-hidden=true><p>{PARA}!</p></main>", PARA),
+    (f"<main class=with-sidebar><article class='post has-sidebar' id=post-1><p>{PARA}</p></article></main>", PARA),
+])
+def test_page_text_outside_articles(page, want):
+    assert pages.main_text(page) == want
+
+
 def test_pages_table(spark):
     found = spark.read.parquet(f"{SF}/pages.parquet").withColumn("text", F.lit("clash"))
     for r in pages.extract(found).collect():
