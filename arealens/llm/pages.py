@@ -6,7 +6,8 @@ from each line on. Where the sums surge above `SURGE` the main text begins, and
 they dive to nothing; lines between are kept. Text in menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and comments by readers is left out beforehand.
 Where lines kept stand in an article or main element, all its lines are kept with them, so
-short lines at its edges stay; lines kept outside stay as well.
+short lines at its edges stay; lines kept outside stay as well. Without a surge, every line
+that is not mostly links is kept.
 """
 
 from __future__ import annotations
@@ -71,20 +72,22 @@ def _unwanted(tag: str, rest: str, inside: bool) -> bool:
 def lines_of(page: str) -> Iterator[tuple[str, int, int]]:
     """Lines of a page's wanted text: (text, characters of it in links, number of its article or main element, 0 for none).
 
-    An empty line stands where a container begins or ends.
+    An empty line stands where a container begins or ends, one where several do.
     """
     stack: list[tuple[str, bool, int]] = []  # open elements: tag, whether unwanted, article number before
     open_tags: dict[str, int] = {}
     unwanted = links = article = articles = 0
     parts: list[str] = []
     linked = 0
+    parted = True
 
     def flush() -> Iterator[tuple[str, int, int]]:
-        nonlocal linked
+        nonlocal linked, parted
         text = SPACES.sub(" ", "".join(parts)).strip(" ")
         parts.clear()
         if text:
             yield text, linked, article
+            parted = False
         linked = 0
 
     def pop() -> None:
@@ -116,8 +119,9 @@ def lines_of(page: str) -> Iterator[tuple[str, int, int]]:
             continue
         if tag in BLOCKS:
             yield from flush()
-            if tag in CONTAINERS:
+            if tag in CONTAINERS and not parted:
                 yield "", 0, article
+                parted = True
         if token[1]:
             if open_tags.get(tag):
                 while stack[-1][0] != tag:
@@ -171,9 +175,8 @@ def main_text(page: str | None) -> str:
         else:
             i += 1
     if not any(keep):
-        # No surge: a short page, whose main text is where the most text stands.
-        top = max(range(len(lines)), key=sums.__getitem__, default=0)
-        keep = [top <= j < top + WINDOW and n > 0 for j, n in enumerate(sizes)]
+        # No surge: a page of short lines.
+        keep = [n > 0 for n in sizes]
     plain = [k and linked <= LINKED * len(t) for (t, linked, _), k in zip(lines, keep)]
     found = {a for (_, _, a), k in zip(lines, keep) if k and a}
     return " ".join(t for (t, _, a), k in zip(lines, plain) if t and (k or a in found))

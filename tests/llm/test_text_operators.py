@@ -418,6 +418,9 @@ def test_page_text(page, want):
     assert pages.main_text(page) == want
 
 
+VERSE = [f"Line {n} of a poem, so short" for n in range(40)]
+
+
 @pytest.mark.parametrize("page, want", [
     (f"<div><p>{PARA}</p><p>{PARA}</p></div><article><p>Teaser.</p></article>", f"{PARA} {PARA} Teaser."),
     (f"<div><p>{PARA}</p></div><p><a href=x>one</a><p><a href=x>two</a><p><a href=x>three</a><article><p>Teaser.</p></article>", PARA),
@@ -430,6 +433,16 @@ def test_page_text_outside_articles(page, want):
     assert pages.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div>" + "".join(f"<p>{x}</p>" for x in VERSE) + "</div>", " ".join(VERSE).replace("  ", " ")),
+    ("<div>" + "".join(f"<p>{x[:12]}</p>" for x in VERSE) + "</div>", " ".join(x[:12].strip() for x in VERSE)),
+    ("<ol>" + "".join(f"<li>Step {n}</li>" for n in range(30)) + "</ol><ul><li><a href=x>elsewhere</a></ul>", " ".join(f"Step {n}" for n in range(30))),
+    (f"<div><div><div><p>{PARA}</p></div></div></div><div><div><div><p>The end.</p></div></div></div>", f"{PARA} The end."),
+])
+def test_page_text_of_short_lines(page, want):
+    assert pages.main_text(page) == want
+
+
 def test_pages_table(spark):
     found = spark.read.parquet(f"{SF}/pages.parquet").withColumn("text", F.lit("clash"))
     for r in pages.extract(found).collect():
