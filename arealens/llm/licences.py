@@ -4,8 +4,10 @@ Method: texts are brought to lower-case words and compared to licence templates
 coefficient over bags of word bigrams: twice the shared bigrams over the sum of both numbers.
 At a coefficient of t a region of n bigrams can only match templates of n * t / (2 - t) to
 n * (2 - t) / t bigrams, so most regions meet no template at all. Regions are the lines of a
-text, and, for notices inside a line or over several, windows of a template's length at
-each place where one of its first bigrams stands.
+text, and, for notices inside a line or over several, windows of a template's length, placed
+by each of its telling bigrams that the text holds. A region that matches a template of s
+bigrams holds at least s * t / (2 - t) of them, so a text without any of s - s * t / (2 - t) + 1
+chosen ones is not looked at.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,9 @@ from pyspark.sql import functions as F
 LEAST = 0.8
 ANCHORS = 3
 BROADCAST_ROWS = 50_000
+#: Words of which two in a row tell nothing of a licence.
+COMMON = frozenset("a above all an and any are as at be by copies do following for from free have has if in is it limitation may no not of on or "
+                   "other over person provided so subject such that the this to under use version whom with without work you".split())
 
 #: Usual notices of well-known licences.
 TEMPLATES = (
@@ -67,12 +73,24 @@ def template_table(spark: SparkSession, templates: tuple[tuple[str, str], ...])
     return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 
-def _windows(flat: Column, templates: tuple[tuple[str, str], ...]) -> list[Column]:
-    """For each template, the pieces of a text that have its length around one of its first bigrams."""
+def _anchors(words: list[str], least: float) -> tuple[list[int], list[int]]:
+    """Places of a template's bigrams: enough that any match holds one, and all that place windows.
+
+    The first `ANCHORS` and all that are not two common words place windows.
+    """
+    size = len(words) - 1
+    by = sorted(range(size), key=lambda j: ((words[j] in COMMON) + (words[j + 1] in COMMON), j))
+    enough = size - ceil(size * least / (2 - least) - 1e-9) + 1
+    telling = [j for j in by if not (words[j] in COMMON and words[j + 1] in COMMON)]
+    return by[:enough], sorted({*by[:enough], *telling, *range(min(ANCHORS, size))})
+
+
+def _windows(flat: Column, templates: tuple[tuple[str, str], ...], least: float) -> list[Column]:
+    """For each template, the pieces of a text that have its length around one of its bigrams."""
     out = []
     for _, text in templates:
         words = template_words(text)
-        for j in range(min(ANCHORS, len(words) - 1)):
+        for j in _anchors(words, least)[1]:
             anchor = f"{words[j]} {words[j + 1]}"
             ahead = r"(?:[^ ]++ ){0,%d}" % j if j else ""
             pattern = rf"(?<![^ ]){ahead}{anchor}(?![^ ])(?: [^ ]++){{0,{len(words) - 2 - j}}}+"
@@ -80,13 +98,13 @@ def _windows(flat: Column, templates: tuple[tuple[str, str], ...]) -> list[Colum
     return out
 
 
-def _anchored(templates: tuple[tuple[str, str], ...]) -> str:
-    """A pattern that finds any anchor of the templates in one pass, by first word and second."""
+def _anchored(templates: tuple[tuple[str, str], ...], least: float) -> str:
+    """A pattern that finds in one pass, by first word and second, a bigram that a match must hold or one of the first."""
     after: dict[str, set[str]] = {}
     for _, text in templates:
         words = template_words(text)
-        for a, b in list(zip(words, words[1:]))[:ANCHORS]:
-            after.setdefault(a, set()).add(b)
+        for j in {*_anchors(words, least)[0], *range(min(ANCHORS, len(words) - 1))}:
+            after.setdefault(words[j], set()).add(words[j + 1])
     return "(?<![^ ])(?:" + "|".join(f"{a} (?:{'|'.join(sorted(b))})" for a, b in sorted(after.items())) + ")(?![^ ])"
 
 
@@ -120,7 +138,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         lines = F.transform(F.split(p, "\n"), region(True))
         flat = F.regexp_replace(p, r" ?\n[ \n]*", " ")
         # A value bound by a lambda is computed once, however many templates look at it.
-        windows = F.flatten(F.transform(F.array(flat), lambda f: F.when(f.rlike(_anchored(templates)), F.concat(*_windows(f, templates))).otherwise(
+        windows = F.flatten(F.transform(F.array(flat), lambda f: F.when(f.rlike(_anchored(templates, least)), F.array_distinct(F.concat(*_windows(f, templates, least)))).otherwise(
             F.array().cast("array<string>"))))
         return F.filter(F.concat(lines, F.transform(windows, region(False))), lambda r: fits(r))
 

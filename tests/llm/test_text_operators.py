@@ -488,6 +488,32 @@ def test_licences(spark, rows):
     assert got[7000, "MIT"] == (1.0, 1) and got[7001, "MIT"][0] == 1.0 and got[7002, "CC-BY-SA-4.0"] == (1.0, 3)
 
 
+def licences_at_every_word(rows, least=0.8):
+    """Licences of all windows of a template's length."""
+    known = [(name, licences.template_words(t)) for name, t in licences.TEMPLATES]
+    pairs = lambda w: collections.Counter(zip(w, w[1:]))
+    return {(i, name) for i, t in rows for name, w in known for flat in [re.findall(r"[a-z0-9]+", t.lower())] for k in range(len(flat))
+            if 2 * sum((pairs(flat[k:k + len(w)]) & pairs(w)).values()) >= least * (len(flat[k:k + len(w)]) + len(w) - 2)
+            and len(flat[k:k + len(w)]) > 1}
+
+
+def test_licences_without_their_opening(spark):
+    rng, rows, want = random.Random(3), [], set()
+    for n, (name, t) in enumerate(licences.TEMPLATES):
+        words = t.split()
+        if len(words) < 20:
+            continue
+        for how in range(4):
+            own = [words[4:], ["zz"] * 4 + words[4:], words[:3] + ["changed"] + words[4:], ["one", "two"] + words[5:9] + ["zz"] + words[9:]][how]
+            body = ["zzz%d" % rng.randrange(99) for _ in range(12)] + own + ["yyy%d" % rng.randrange(99) for _ in range(12)]
+            rows.append((10 * n + how, "\n".join(" ".join(body[k:k + 7]) for k in range(0, len(body), 7))))
+    want = licences_at_every_word(rows)
+    assert len({i for i, _ in want}) >= len(rows) - 6
+    got = {(r.doc_id, r.licence) for r in licences.scan(table(spark, rows)).collect()}
+    # A window counts for its best template only.
+    assert got <= want and {i for i, _ in got} == {i for i, _ in want}
+
+
 def edits_by_hand(item, text):
     before = [0] * (len(text) + 1)
     for i, x in enumerate(item):
