@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.llm import ann, decontam, licences, packing, pages, pii, ppm, quality, simhash, substring
+from arealens.llm import ann, decontam, licences, oracles, packing, pages, pii, ppm, prefix_trie, quality, resampling, secret_scan, simhash, substring
 from arealens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,28 @@ def op8_line_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_dice_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
+    counts = [secret_scan.count_of(F.col("base"), k.name).alias(f"n_{k.name}") for k in secret_scan.BASE]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        secret_scan.written(F.col("spans")).alias("spans"))
+
+
+ORACLES |= {
+    "op11_importance_resampling": oracles.IMPORTANCE_RESAMPLING,
+    "op12_conversation_prefix_trie": oracles.CONVERSATION_PREFIX_TRIE,
+    "op13_secret_scan": oracles.SECRET_SCAN,
+}
