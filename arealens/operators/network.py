@@ -1,9 +1,8 @@
 """Shortest-path tables, reach, centrality, components and walk times on edge tables.
 
-Paths are relaxed for all origins at once. A round joins the costs improved in the last
-round to the edges and keeps the least cost per (origin, node); the cutoff bounds the
-state. Each round's state is written to the shared checkpoint folder, so lineage stays
-one round long and a lost executor costs one round at most.
+Paths are searched from all origins at once, see `arealens.operators.paths`. Each round's
+findings are written to the shared checkpoint folder, so lineage stays one round long and
+a lost executor costs one round at most.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from arealens.functions.scalar import grid_distance, straight_distance, walk_minutes, walk_time_bin
 from arealens.operators.aggregate import min_argmin_count
 from arealens.operators.joins import compose_edges
+from arealens.operators.paths import least_paths, total
 from arealens.operators.spatial import beyond_distance_of_lines, within_distance, within_distance_of_lines
 from arealens.session import cut
 from arealens.skew import JoinAdvice, advise, first_per_key, hot_keys, is_small, spread_join
@@ -61,42 +61,16 @@ def skim_edges(skim: DataFrame, origin: str, destination: str, attributes: Seque
 # --- shortest paths -------------------------------------------------------
 
 def od_cost(edges: DataFrame, origins: DataFrame, cutoff: float, cost: str = "cost", src: str = "src", dst: str = "dst",
-            destinations: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
+            destinations: DataFrame | None = None, carry: Sequence[str] = (), width: float | None = None) -> DataFrame:
     """Least cost from each origin to each node within the cutoff: (origin, node, cost).
 
     Costs must not be negative. `origins` and `destinations` are one-column tables of
     nodes. `carry` names further edge columns added up along the least-cost path; of
-    equally cheap paths the one with the smallest sums is taken.
+    equally cheap paths the one with the smallest sums is taken. `width` is the cost a slot
+    of the search covers; it changes the number of rounds, never the result.
     """
     sums = [cost, *carry]
-    steps = edges.select(F.col(src).alias("__from"), F.col(dst).alias("__to"),
-                         *[F.col(c).cast("double").alias(f"__e_{c}") for c in sums])
-    steps = steps.where(F.col(f"__e_{cost}") <= float(cutoff))
-    # Of parallel edges only the best can lie on a least-cost path.
-    steps = cut(steps.groupBy("__from", "__to").agg(F.min(F.struct(*[f"__e_{c}" for c in sums])).alias("__e")))
-    few = is_small(steps)
-    hubs = () if few else tuple(hot_keys(steps, ["__from"]))
-    start = origins.select(F.col(origins.columns[0]).alias("origin")).distinct()
-    state = start.select("origin", F.col("origin").alias("node"),
-                         F.struct(*[F.lit(0.0).alias(c) for c in sums]).alias("path"), F.lit(True).alias("fresh"))
-    state = cut(state)
-    while True:
-        delta = state.where("fresh").select("origin", F.col("node").alias("__from"), "path")
-        # Hubs hold many edges; nodes many origins have just reached hold many paths.
-        advice = JoinAdvice(few, () if few else tuple(hot_keys(delta, ["__from"])), hubs)
-        reached = spread_join(delta, steps, "__from", "inner", advice).select(
-            "origin", F.col("__to").alias("node"),
-            F.struct(*[(F.col("path")[c] + F.col("__e")[f"__e_{c}"]).alias(c) for c in sums]).alias("path"),
-            F.lit(True).alias("__new"))
-        reached = reached.where(F.col("path")[cost] <= float(cutoff))
-        both = state.select("origin", "node", "path", F.lit(False).alias("__new")).unionByName(reached)
-        merged = both.groupBy("origin", "node").agg(
-            F.min("path").alias("path"), F.min(F.when(~F.col("__new"), F.col("path"))).alias("__old"))
-        state = cut(merged.select("origin", "node", "path",
-                                  (F.col("__old").isNull() | (F.col("path") < F.col("__old"))).alias("fresh")))
-        if state.where("fresh").isEmpty():
-            break
-    out = state.select("origin", "node", *[F.col("path")[c].alias(c) for c in sums])
+    out = least_paths(edges, origins, cutoff, sums, src, dst, width).select("origin", "node", *[total(sums, c).alias(c) for c in sums])
     if destinations is not None:
         out = out.join(destinations.select(F.col(destinations.columns[0]).alias("node")).distinct(), "node", "left_semi")
         out = out.select("origin", "node", *sums)

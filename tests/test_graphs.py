@@ -58,6 +58,46 @@ def test_od_cost_carries_other_costs_along_the_path(spark):
     assert rows(out) == [(1, 1, 0.0, 0.0), (1, 2, 1.0, 5.0), (1, 3, 2.0, 1.0)]
 
 
+@pytest.mark.parametrize("width", [0.5, 2.0, 5.0, 100.0])
+def test_od_cost_does_not_depend_on_the_width_of_slots(spark, width):
+    rng = np.random.default_rng(9)
+    pairs = [(int(a), int(b), float(c)) for a, b, c in zip(rng.integers(0, 40, 160), rng.integers(0, 40, 160), rng.integers(0, 6, 160))]
+    edges = spark.createDataFrame(pairs + [(None, 1, 1.0), (1, None, 1.0), (3, 4, None)], "src long, dst long, cost double")
+    out = network.od_cost(edges, spark.range(0, 40, 3), 7.0, width=width)
+    assert {(r.origin, r.node): r.cost for r in out.collect()} == {(o, n): c for o in range(0, 40, 3) for n, c in dijkstra(pairs, o, 7.0).items()}
+
+
+def test_od_cost_writes_each_path_about_once(spark, monkeypatch):
+    from arealens.operators import paths
+
+    places = []
+    made = paths.PathFiles.__init__
+    monkeypatch.setattr(paths.PathFiles, "__init__", lambda self, first: (made(self, first), places.append(self))[0])
+    chain = spark.range(300).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit(1.0).alias("cost"))
+    out = network.od_cost(chain, spark.range(301), 12.0, width=3.0)
+    pairs = sum(min(12, 300 - i) + 1 for i in range(301))
+    assert out.count() == pairs
+    written = spark.read.parquet(places[0].path)
+    # A chain reaches each pair by one path, so each is written once; the state of earlier rounds is never written again.
+    assert written.count() == pairs and written.select("step").distinct().count() == 13
+    # The findings are the only rows shuffled; paths known already are read bucket by bucket.
+    assert not spark.catalog.tableExists(places[0].name)
+
+
+def test_known_paths_are_not_shuffled(spark):
+    from arealens.operators import paths
+
+    files = paths.PathFiles(spark.range(50).select(F.col("id").alias("origin"), F.col("id").alias("node"), F.lit(0.0).alias("path")))
+    found = spark.range(80).select(F.col("id").alias("origin"), F.col("id").alias("node"), F.lit(1.0).alias("path")).groupBy("origin", "node").agg(
+        F.min("path").alias("path")).where("path is not null")
+    better = files.better(found)
+    plan = better._jdf.queryExecution().executedPlan().toString()
+    # Only the findings are shuffled, on both sides of the comparison, which at run time is one shuffle read twice.
+    assert plan.count("Exchange hashpartitioning") == 2 and "SelectedBucketsCount" in plan
+    assert sorted(r.origin for r in better.collect()) == list(range(50, 80))
+    files.best()
+
+
 def test_od_cost_to_destinations(spark, streets):
     edges = spark.createDataFrame(streets, "src long, dst long, cost double")
     out = network.od_cost(edges, spark.range(1), 12.0, destinations=spark.range(5, 9))
