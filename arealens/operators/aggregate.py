@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,58 +22,111 @@ def _listed(items, kind) -> list:
     return found
 
 
+class Summary(NamedTuple):
+    """What one summary groups by and computes."""
+
+    group: Sequence[Col]
+    aggs: Sequence[AggCol] = ()
+    consolidate: Sequence[Consolidation] = ()
+    melt: Melt | None = None
+
+
 def summarize(df: DataFrame, group: Col | Sequence[Col], aggs: AggCol | Sequence[AggCol] = (),
               consolidate: Sequence[Consolidation] = (), melt: Melt | None = None) -> DataFrame:
     """Null defaults, row folds, unpivot, domains, grouping and aggregation, as the specs say.
 
     Nulls are replaced before anything is aggregated, so they count in means and medians.
     """
-    group, aggs, consolidate = _listed(group, Col), _listed(aggs, AggCol), _listed(consolidate, Consolidation)
-    defaults = {c.name: c.default for c in [*group, *aggs]}
-    for c in consolidate:
-        defaults.update(c.defaults())
-    if melt:
-        defaults.update(melt.defaults())
-    missing = sorted(set(defaults) - set(df.columns))
-    if missing:
-        raise ValueError(f"columns missing from the input: {missing}")
-    types = dict(df.dtypes)
-    values = {n: F.coalesce(F.col(n), F.lit(d).cast(types[n])) for n, d in defaults.items()}
+    return summarize_all(df, [Summary(group, aggs, consolidate, melt)])[0]
 
-    rows = df.select(
-        *[values[g.name].alias(g.name) for g in group],
-        *[values[a.name].alias(f"__v_{a.name}") for a in {a.name: a for a in aggs}.values()],
-        *[c.of(values).alias(f"__v_{c.name}") for c in consolidate],
-        *([values[i].cast("double").alias(f"__m_{i}") for i in melt.inputs] if melt else []),
-    )
-    keys = [g.name for g in group]
-    measures = [(a.out, f"__v_{a.name}", a.method) for a in aggs]
-    measures += [(c.name, f"__v_{c.name}", c.method) for c in consolidate]
-    domains: dict[str, Column] = {g.domain.name: g.domain.of(F.col(g.name)) for g in group if g.domain}
-    if melt:
-        pairs = F.array(*[F.struct(F.lit(i).alias("l"), F.col(f"__m_{i}").alias("v")) for i in melt.inputs])
-        rows = rows.withColumn("__pair", F.explode(pairs)).select(
-            "*", F.col("__pair.l").alias(melt.label), F.col("__pair.v").alias(f"__v_{melt.value}"))
-        keys.append(melt.label)
-        measures.append((melt.value, f"__v_{melt.value}", melt.method))
-        if melt.domain:
-            domains[melt.domain.name] = melt.domain.of(F.col(melt.label))
 
-    medians = {out: src for out, src, method in measures if method == MEDIAN}
+def summarize_all(df: DataFrame, summaries: Sequence[Summary]) -> list[DataFrame]:
+    """Several summaries of one table in one aggregation over grouping sets, split after.
+
+    The table is read once for all sums, means and counts, and once more for medians. A
+    measure that several summaries share is computed once per grouping set. Melted columns are
+    aggregated side by side and turned into rows afterwards, so no row is repeated for them.
+    """
+    types = dict(df.dtypes)
+    inputs: dict[tuple, tuple[str, Column]] = {}
+    measures: dict[tuple, str] = {}
+
+    def held(tag: tuple, value: Column, prefix: str) -> str:
+        """Name of an input column, made once for equal expressions."""
+        return inputs.setdefault((prefix, *tag), (f"__{prefix}{len(inputs)}", value))[0]
+
+    plans = []
+    for group, aggs, consolidate, melt in summaries:
+        group, aggs, consolidate = _listed(group, Col), _listed(aggs, AggCol), _listed(consolidate, Consolidation)
+        defaults = {c.name: c.default for c in [*group, *aggs]}
+        for c in consolidate:
+            defaults.update(c.defaults())
+        if melt:
+            defaults.update(melt.defaults())
+        missing = sorted(set(defaults) - set(df.columns))
+        if missing:
+            raise ValueError(f"columns missing from the input: {missing}")
+        values = {n: F.coalesce(F.col(n), F.lit(d).cast(types[n])) for n, d in defaults.items()}
+
+        def measured(source: str, method) -> str:
+            return measures.setdefault((source, method), f"__a{len(measures)}")
+
+        keys = [(g, held((g.name, defaults[g.name]), values[g.name], "k")) for g in group]
+        outs = [(a.out, measured(held((a.name, defaults[a.name]), values[a.name], "v"), a.method)) for a in aggs]
+        outs += [(c.name, measured(held((c.name, c.inputs, c.fold, tuple(defaults[i] for i in c.inputs)), c.of(values), "v"), c.method)) for c in consolidate]
+        cells = [(i, measured(held((i, defaults[i], "double"), values[i].cast("double"), "v"), melt.method)) for i in melt.inputs] if melt else []
+        plans.append((keys, outs, melt, cells))
+
+    rows = df.select(*[value.alias(name) for name, value in inputs.values()])
+    key_names = [name for (kind, *_), (name, _) in inputs.items() if kind == "k"]
+    sets = list(dict.fromkeys(tuple(sorted({name for _, name in keys}, key=key_names.index)) for keys, *_ in plans))
+    medians = {out: source for (source, method), out in measures.items() if method == MEDIAN}
     if medians:
-        # Read several times by the medians and once by the other methods.
+        # Read by the medians as well as by the other methods.
         rows = cut(rows)
-    simple = [aggregate(method, F.col(src)).alias(out) for out, src, method in measures if method != MEDIAN]
-    if simple:
-        result = rows.groupBy(*keys).agg(*simple)
-        if medians:
-            result = null_safe_join(result, exact_median(rows, keys, medians, written=True), keys)
+    simple = [F.count(F.lit(1)).alias("__rows"), *[aggregate(m, F.col(source)).alias(out) for (source, m), out in measures.items() if m != MEDIAN]]
+    numbers = {s: sum(1 << (len(key_names) - 1 - i) for i, k in enumerate(key_names) if k not in s) for s in sets}
+    if len(sets) == 1:
+        result = rows.groupBy(*sets[0]).agg(*simple).withColumn("__set", F.lit(numbers[sets[0]]).cast("bigint"))
     else:
-        result = exact_median(rows, keys, medians, written=True) if medians else rows.select(*keys).distinct()
-    # A domain depends on its label alone, so it is added once per group, not once per row.
-    result = result.withColumns(domains) if domains else result
-    ordered = keys + list(domains) + [out for out, _, _ in measures]
-    return result.select(*ordered).withColumnsRenamed({g.name: g.out for g in group})
+        result = rows.groupingSets([list(s) for s in sets], *key_names).agg(F.grouping_id().cast("bigint").alias("__set"), *simple)
+    if medians:
+        wanted = {s: {measure for keys, outs, _, cells in plans if set(s) == {n for _, n in keys} for _, measure in outs + cells} & set(medians) for s in sets}
+        result = _with_medians(result, rows, sets, numbers, key_names, medians, wanted)
+    if len(plans) > 1:
+        # A small table; each summary takes its grouping set from it.
+        result = cut(result)
+    return [_split(result, numbers[tuple(sorted({n for _, n in keys}, key=key_names.index))], keys, outs, melt, cells) for keys, outs, melt, cells in plans]
+
+
+def _with_medians(result: DataFrame, rows: DataFrame, sets: Sequence[tuple[str, ...]], numbers: Mapping[tuple[str, ...], int], keys: Sequence[str],
+                  medians: Mapping[str, str], wanted: Mapping[tuple[str, ...], set[str]]) -> DataFrame:
+    """Medians of all grouping sets in one selection; rows go to the sets that need any."""
+    types = dict(rows.dtypes)
+    asked = [s for s in sets if wanted[s]]
+    copies = F.explode(F.array(*[F.struct(
+        F.lit(numbers[s]).cast("bigint").alias("__set"),
+        *[(F.col(k) if k in s else F.lit(None).cast(types[k])).alias(k) for k in keys],
+        *[(F.col(source) if out in wanted[s] else F.lit(None)).cast("double").alias(out) for out, source in medians.items()]) for s in asked]))
+    spread = rows.select(copies.alias("__c")).select("__c.*")
+    found = exact_median(spread, ["__set", *keys], {out: out for out in medians}, written=True)
+    return null_safe_join(result, found, ["__set", *keys])
+
+
+def _split(result: DataFrame, number: int, keys: Sequence[tuple[Col, str]], outs: Sequence[tuple[str, str]], melt: Melt | None,
+           cells: Sequence[tuple[str, str]]) -> DataFrame:
+    """One summary's rows and columns of the common aggregate, with its domains and its melted column as rows."""
+    own = result.where(F.col("__set") == number)
+    columns = [F.col(name).alias(g.out) for g, name in keys]
+    domains = {g.domain.name: g.domain.of(F.col(name)) for g, name in keys if g.domain}
+    if melt:
+        pairs = F.array(*[F.struct(F.lit(label).alias("l"), F.col(name).alias("v")) for label, name in cells])
+        own = own.where("__rows > 0").withColumn("__pair", F.explode(pairs))
+        columns.append(F.col("__pair.l").alias(melt.label))
+        outs = [*outs, (melt.value, "__pair.v")]
+        if melt.domain:
+            domains[melt.domain.name] = melt.domain.of(F.col("__pair.l"))
+    return own.select(*columns, *[c.alias(n) for n, c in domains.items()], *[F.col(name).alias(out) for out, name in outs])
 
 
 def consolidate(df: DataFrame, keep: Sequence[str], renames: Mapping[str, str], folds: Sequence[Consolidation]) -> DataFrame:

@@ -9,6 +9,7 @@ from arealens.plans import report, report_specs as rs
 from arealens.plans.queries import register, rounded
 from arealens.plans.queries.places import INSIDE, boxes
 from arealens.plans.standins import run_sql, table, view, with_views
+from arealens.session import cut
 
 YEAR = 2019
 K = "o_orderkey"
@@ -53,6 +54,17 @@ def _located(spark, sf, points, key, x, y):
     return point_in_polygon(points.select(key, x, y), areas, x, y, "rings").select("SummID", key)
 
 
+def _located_layers(spark, sf, layers):
+    """The same for several layers of points in one join, written once since several summaries read it. `layers` holds (points, key, x, y)."""
+    every = None
+    for i, (points, key, x, y) in enumerate(layers):
+        own = points.select(F.lit(i).alias("layer"), F.col(key).cast("bigint").alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
+        every = own if every is None else every.unionByName(own)
+    areas = boxes(view(spark, sf, "v_areas"), "area").withColumnRenamed("area", "SummID")
+    found = cut(point_in_polygon(every, areas, "x", "y", "rings").select("layer", "SummID", "id"))
+    return [found.where(F.col("layer") == i).select("SummID", F.col("id").alias(key)) for i, (_, key, _, _) in enumerate(layers)]
+
+
 def build(spark, sf, outputs=None, year: int | str = YEAR, only_year: int | None = None):
     """The snapshot of the stand-in layers and tables; `only_year` takes the parcels of one order year."""
     parcels = _read(spark, sf, PARCEL_COLS, "orders")
@@ -82,10 +94,9 @@ def build(spark, sf, outputs=None, year: int | str = YEAR, only_year: int | None
         "BikeFac_summaryareas": _read(spark, sf, {"SummID": "r_regionkey", **BIKE_COLS}, "region"),
         **{f"Access_{s}_{m}": _read(spark, sf, {s.upper(): "s_suppkey", **ACCESS}, "supplier") for s, m in (("maz", "Walk"), ("maz", "Bike"), ("taz", "Auto"), ("taz", "Transit"))},
     }
-    points = view(spark, sf, "v_points")
-    in_areas = _located(spark, sf, points, "id", "x", "y")
+    in_areas, near, stops_in = _located_layers(spark, sf, [
+        (view(spark, sf, "v_points"), "id", "x", "y"), (targets, "target", "tx", "ty"), (stops, "TRANSIT_ID", "px", "py")])
     by_block = parcels.select("FOLIO", F.col("cust").alias("id"))
-    near = _located(spark, sf, targets, "target", "tx", "ty")
     members = {
         ("Census_Blocks", "Parcels"): parcels.select(F.col("cust").alias("GEOID10"), "FOLIO"),
         ("SummaryAreas", "Parcels"): in_areas.join(by_block, "id").select("SummID", "FOLIO"),
@@ -93,7 +104,7 @@ def build(spark, sf, outputs=None, year: int | str = YEAR, only_year: int | None
         ("SummaryAreas", "nodes_bike"): in_areas.withColumnRenamed("id", "NODE_ID"),
         ("SummaryAreas", "MAZ"): near.withColumnRenamed("target", "MAZ"), ("SummaryAreas", "TAZ"): near.withColumnRenamed("target", "TAZ"),
         ("SummaryAreas", "Park_points"): near.withColumnRenamed("target", "PARK_PT_ID"),
-        ("SummaryAreas", "TransitRidership"): _located(spark, sf, stops, "TRANSIT_ID", "px", "py"),
+        ("SummaryAreas", "TransitRidership"): stops_in,
         ("Census_Blocks", "TransitRidership"): stops.select((F.col("TRANSIT_ID") % 100).alias("GEOID10"), "TRANSIT_ID"),
     }
     return report.snapshot(layers, tables, members, year, outputs)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arealens.functions.scalar import divide
 from arealens.operators.access import TIME_BREAKS, long_access
-from arealens.operators.aggregate import column_sums, summarize
+from arealens.operators.aggregate import Summary, column_sums, summarize_all
 from arealens.operators.joins import PSEUDO_YEARS, difference, extend, feature_difference, join_specs, stack_years
 from arealens.plans import report_specs as rs
 from arealens.session import cut
@@ -59,12 +59,12 @@ def members_joined(target: DataFrame, source: DataFrame, members: DataFrame, tar
     return spread_join(linked, labelled, target_spec.key, advice=advise(members, labelled, target_spec.key))
 
 
-def summarise_spec(spec: SummarySpec, targets: DataFrame, source: DataFrame, members: DataFrame | None, year: int) -> DataFrame:
-    """One summary spec: over the target layer itself, or over the source features in it."""
-    rows = targets if members is None else members_joined(targets, source, members, spec.target, spec.source)
+def summarise_specs(specs: Sequence[SummarySpec], targets: DataFrame, source: DataFrame, members: DataFrame | None, year: int) -> list[DataFrame]:
+    """All specs of one target and source in one membership join and one aggregation, over the target layer itself or the source features in it."""
+    rows = targets if members is None else members_joined(targets, source, members, specs[0].target, specs[0].source)
     if "Year" not in rows.columns:
         rows = rows.withColumn("Year", F.lit(year))
-    return summarize(rows, list(spec.group), list(spec.aggs), list(spec.consolidate), spec.melt)
+    return summarize_all(rows, [Summary(s.group, s.aggs, s.consolidate, s.melt) for s in specs])
 
 
 def region_references(areas: DataFrame, parcels: DataFrame) -> DataFrame:
@@ -88,7 +88,8 @@ def snapshot(layers: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], m
 
     `members` maps (target layer, source layer) to rows of target key and source key.
     Summaries whose layers or membership are absent are left out. Only what the outputs
-    need is planned; nothing runs until a result is written.
+    need is planned. All summaries of one layer to another share one join and one aggregation.
+    Layers read more than once, sizes and hot keys are worked out while planning.
     """
     def wanted(name: str) -> bool:
         return outputs is None or name in outputs
@@ -110,30 +111,42 @@ def snapshot(layers: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], m
     # A year column from another year's table must not reach the report.
     joined = {n: df.withColumn("Year", F.lit(number)) for n, df in joined.items()}
     base = calculate(joined, rs.PRECALCS)
-    # A layer that several summaries read is joined and calculated once, then read from where it was written.
-    readers = Counter(s.source.name for s in planned if s.source.name != s.target.name)
-    readers.update(s.target.name for s in planned)
-    base = {n: cut(df) if readers[n] > 1 else df for n, df in base.items()}
-    out = dict(base)
+    pairs: dict[tuple[str, str], list[SummarySpec]] = {}
     for spec in planned:
         pair = (spec.target.name, spec.source.name)
-        if spec.out or pair not in members or not set(pair) <= set(base):
+        if set(pair) <= set(base) and (pair in members or spec.target.name == spec.source.name):
+            pairs.setdefault(pair, []).append(spec)
+    # A layer that several pairs read is joined and calculated once, then read from where it was written.
+    readers = Counter(source for target, source in pairs if source != target)
+    readers.update(target for target, _ in pairs)
+    readers.update([rs.PARCELS.name] if area in enriched and wanted(area) else [])
+    base = {n: cut(df) if readers[n] > 1 else df for n, df in base.items()}
+    out, longs = dict(base), {}
+    group_labels = [g.name for g in rs.AREA_GROUP]
+    for (target, source), specs in pairs.items():
+        if target == source:
             continue
         # Sources are the layers before enrichment, so results do not depend on the order of the specs.
-        made = summarise_spec(spec, base[spec.target.name].select(spec.target.key), base[spec.source.name], members[pair], number)
-        out[spec.target.name] = extend(out[spec.target.name], made, spec.target.key, spec.target.key, append_only=False)
-    longs: dict[str, DataFrame] = {}
-    for spec in planned:
-        own = spec.target.name == spec.source.name
-        pair = (spec.target.name, spec.source.name)
-        if not spec.out or not set(pair) <= set(base) or (not own and pair not in members):
+        labels = group_labels if any(s.out for s in specs) else [specs[0].target.key]
+        made = summarise_specs(specs, base[target].select(*labels), base[source], members[target, source], number)
+        for spec, table in zip(specs, made):
+            if spec.out:
+                longs[spec.out] = table
+            else:
+                out[target] = extend(out[target], table, spec.target.key, spec.target.key, append_only=False)
+    for (target, source), specs in pairs.items():
+        if target != source:
             continue
-        needed = {i for c in spec.consolidate for i in c.inputs} | set(spec.melt.inputs if spec.melt else ())
-        if own and not needed <= set(out[spec.target.name].columns):
-            continue
-        labels = [g.name for g in rs.AREA_GROUP]
-        target = out[spec.target.name] if own else base[spec.target.name].select(*labels)
-        longs[spec.out] = summarise_spec(spec, target, base[spec.source.name], None if own else members[pair], number)
+
+        def needs(s: SummarySpec) -> set[str]:
+            return {i for c in s.consolidate for i in c.inputs} | set(s.melt.inputs if s.melt else ())
+
+        own = [s for s in specs if s.out and needs(s) <= set(out[target].columns)]
+        if own:
+            if wanted(target):
+                # The enriched layer is a result and the source of others.
+                out[target] = cut(out[target])
+            longs |= zip([s.out for s in own], summarise_specs(own, out[target], out[target], None, number))
     if area in out:
         known = set(out[area].columns)
         for name, mode in access_tables.items():

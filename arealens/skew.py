@@ -24,8 +24,8 @@ SAMPLE_SHARE = 0.02
 SMALL_SAMPLE = 2_000
 SMALL_ROWS = 50_000
 SMALL_BYTES = 64 << 20
-MEDIAN_MARGIN = 0.0003
-MEDIAN_WIDER = 0.01
+MEDIAN_DIGITS = 4096
+MEDIAN_RANKED = 4096
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
@@ -191,15 +191,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], l
 def exact_median(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], written: bool = False) -> DataFrame:
     """Exact medians per group: `columns` maps output name to input column. Nulls are skipped.
 
-    A plain median keeps every distinct value of a group in one task. Here a mergeable
-    sketch gives two bounds around the middle of each group, a combinable count tells
-    how many values lie below them, and only the values between the bounds are ranked.
-    Groups whose middle the bounds missed are done again with wider ones, at last with
-    their least and greatest value. The input is read several times, so its keys and
-    values are written once, unless it is `written` already.
+    A plain median keeps every distinct value of a group in one task. Here all groups are
+    narrowed at once by radix selection: a value's digit is its place between the least and
+    the greatest value left in its group, rows are counted per digit, and only the digit
+    that holds the middle goes on. Counts combine on the map side. A group is ranked once
+    at most MEDIAN_RANKED rows of it are left, so no task sees more of a group than that or
+    than MEDIAN_DIGITS counts. The input is read several times, so its keys and values are
+    written once, unless it is `written` already.
     """
-    keys = list(keys)
-    names = list(columns)
+    keys, names = list(keys), list(columns)
     if not names:
         return df.select(*keys).distinct()
     if not written:
@@ -212,43 +212,58 @@ def exact_median(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],
         .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     )
     group = keys + ["__m"]
-    few = is_small(df.select(*keys).distinct(), SMALL_ROWS // len(names))
-    medians = cut(_middles(long, group, MEDIAN_MARGIN, few))
-    for margin in (MEDIAN_WIDER, None):
-        missed = medians.where(F.col("__med").isNull()).drop("__med")
-        if missed.isEmpty():
-            break
-        again = _middles(join_to_groups(long, missed, group, "left_semi"), group, margin, few)
-        medians = cut(medians.where(F.col("__med").isNotNull()).unionByName(again))
-    wide = medians.groupBy(*keys).agg(*[F.max(F.when(F.col("__m") == n, F.col("__med"))).alias(n) for n in names])
-    return null_safe_join(df.select(*keys).distinct(), wide, keys, "left")
-
-
-def _middles(long: DataFrame, group: Sequence[str], margin: float | None, few: bool) -> DataFrame:
-    """Median `__med` of `__v` per group, null where the bounds missed it. Without a margin the bounds are the extremes."""
-    ends = F.array(F.min("__v"), F.max("__v"))
-    if margin is not None:
-        ends = F.percentile_approx("__v", [0.5 - margin, 0.5 + margin], 10000)
-    bounds = long.groupBy(*group).agg(ends.alias("__b"), F.count(F.lit(1)).alias("__n"))
-    below = F.col("__v") < F.col("__b")[0]
-    inside = F.col("__v") <= F.col("__b")[1]
-    counted = (
-        join_to_groups(long, bounds, group, small=few)
-        .where(inside)
-        .groupBy(*group, "__n", F.when(~below, F.col("__v")).alias("__c"))
-        .agg(F.count(F.lit(1)).alias("__cnt"))
-    )
-    run = Window.partitionBy(*group).orderBy(F.col("__c").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    low = F.floor((F.col("__n") + 1) / 2)
-    high = F.floor(F.col("__n") / 2) + 1
-    upto = F.col("__cum")
-    start = upto - F.col("__cnt")
-    ranked = counted.withColumn("__cum", F.sum("__cnt").over(run)).groupBy(*group).agg(
-        F.max(F.when((start < low) & (upto >= low), F.col("__c"))).alias("__lo"),
-        F.max(F.when((start < high) & (upto >= high), F.col("__c"))).alias("__hi"),
-    )
-    middle = (F.col("__lo") + F.col("__hi")) / 2
-    return join_to_groups(bounds.select(*group), ranked.select(*group, middle.alias("__med")), group, "left", small=few)
+    # Of each group: values between which the middle lies, how many rows they span, and the ranks of the middle among those.
+    rows = F.count(F.lit(1))
+    state = cut(long.groupBy(*group).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), rows.alias("__n")).withColumns({
+        "__low": F.floor((F.col("__n") + 1) / 2), "__high": F.floor(F.col("__n") / 2) + 1, "__med": F.lit(None).cast("double")}))
+    few = is_small(state)
+    wide = F.col("__med").isNull() & (F.col("__lo") < F.col("__hi")) & (F.col("__n") > MEDIAN_RANKED)
+    while not state.where(wide).isEmpty():
+        state = cut(state.where(~wide).unionByName(_narrowed(long, state.where(wide), group, few)))
+    alone = state.where(F.col("__med").isNotNull() | (F.col("__lo") == F.col("__hi")))
+    alone = alone.select(*group, F.coalesce("__med", "__lo").alias("__med"))
+    medians = alone.unionByName(_ranked(long, state.where(F.col("__med").isNull() & (F.col("__lo") < F.col("__hi"))), group, few))
+    wide_rows = medians.groupBy(*keys).agg(*[F.max(F.when(F.col("__m") == n, F.col("__med"))).alias(n) for n in names])
+    return null_safe_join(df.select(*keys).distinct(), wide_rows, keys, "left")
+
+
+def _left_of(long: DataFrame, state: DataFrame, group: Sequence[str], few: bool) -> DataFrame:
+    """Values that lie between the bounds of their group."""
+    bounded = join_to_groups(long, state.select(*group, "__lo", "__hi", "__low", "__high"), group, small=few)
+    return bounded.where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+
+
+def _ranked(long: DataFrame, state: DataFrame, group: Sequence[str], few: bool) -> DataFrame:
+    """Medians of groups with few rows left, by counting equal values and ranking the rest."""
+    counted = _left_of(long, state, group, few).groupBy(*group, "__low", "__high", "__v").agg(F.count(F.lit(1)).alias("__cnt"))
+    run = Window.partitionBy(*group).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    upto, low, high = F.col("__upto"), F.col("__low"), F.col("__high")
+    before = upto - F.col("__cnt")
+    return counted.withColumn("__upto", F.sum("__cnt").over(run)).groupBy(*group).agg(
+        ((F.max(F.when((before < low) & (upto >= low), F.col("__v"))) + F.max(F.when((before < high) & (upto >= high), F.col("__v")))) / 2).alias("__med"))
+
+
+def _narrowed(long: DataFrame, state: DataFrame, group: Sequence[str], few: bool) -> DataFrame:
+    """State of groups after one digit. Where the two middle ranks part, they are the ends of two digits and the group is done."""
+    v, lo, hi, last = F.col("__v"), F.col("__lo"), F.col("__hi"), MEDIAN_DIGITS - 1
+    # Halves, so that the range cannot overflow. The ends have digits of their own in any case, so every round takes values away.
+    share = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)
+    inner = F.when(share.isNull() | F.isnan(share), 1).otherwise(F.least(F.greatest(F.floor(share * MEDIAN_DIGITS), F.lit(0)), F.lit(last)))
+    digit = F.when(v == lo, 0).when(v == hi, last).otherwise(inner).cast("int")
+    counted = _left_of(long, state, group, few).withColumn("__d", digit).groupBy(*group, "__low", "__high", "__d").agg(
+        F.count(F.lit(1)).alias("__cnt"), F.min("__v").alias("__least"), F.max("__v").alias("__most"))
+    run = Window.partitionBy(*group).orderBy("__d").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("__upto", F.sum("__cnt").over(run)).withColumn("__before", F.col("__upto") - F.col("__cnt"))
+    cell = F.struct("__d", "__cnt", "__before", "__least", "__most")
+
+    def holding(rank: str) -> Column:
+        return F.max(F.when((F.col("__before") < F.col(rank)) & (F.col("__upto") >= F.col(rank)), cell))
+
+    a, b = F.col("__a"), F.col("__b")
+    parted = a["__d"] != b["__d"]
+    return placed.groupBy(*group, "__low", "__high").agg(holding("__low").alias("__a"), holding("__high").alias("__b")).select(
+        *group, a["__least"].alias("__lo"), a["__most"].alias("__hi"), a["__cnt"].alias("__n"), (F.col("__low") - a["__before"]).alias("__low"),
+        (F.col("__high") - a["__before"]).alias("__high"), F.when(parted, (a["__most"] + b["__least"]) / 2).alias("__med"))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

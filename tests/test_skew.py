@@ -127,16 +127,32 @@ def test_equal_rows_of_a_hot_key_are_spread(spark, force_split):
     assert rows(got, "k", "v", "w") == rows(facts.join(dim, "k"), "k", "v", "w")
 
 
-@pytest.mark.parametrize("margin", [-0.2, -0.4])
-def test_exact_median_widens_bounds_that_missed(spark, monkeypatch, margin):
-    df = lopsided(spark, 3000).withColumn("k", F.when(F.col("k") != 11, F.col("k") % 20))
-    monkeypatch.setattr(skew, "MEDIAN_MARGIN", margin)
-    monkeypatch.setattr(skew, "MEDIAN_WIDER", margin)
-    got = {r["k"]: r["m"] for r in skew.exact_median(df, ["k"], {"m": "v"}).collect()}
-    groups = {}
-    for r in df.collect():
-        groups.setdefault(r["k"], []).append(r["v"])
-    assert got == {k: statistics.median(v) for k, v in groups.items()}
+@pytest.mark.parametrize("digits,ranked", [(2, 1), (3, 2), (16, 5), (4096, 1)])
+def test_exact_median_narrows_by_digits(spark, monkeypatch, digits, ranked):
+    monkeypatch.setattr(skew, "MEDIAN_DIGITS", digits)
+    monkeypatch.setattr(skew, "MEDIAN_RANKED", ranked)
+    huge, tiny = 1.7e308, 5e-324
+    groups = {1: [0.0, tiny, 2 * tiny, 1.0], 2: [-huge, huge, 1.0, 2.0, 3.0], 3: [float("-inf"), 1.0, 5.0, float("inf")], 4: [7.0] * 9, 5: [-1.0, 1.0],
+              6: [2.0 ** k for k in range(-40, 41, 8)], 7: [float("-inf")] * 3 + [4.0], 8: [3.0], None: [1.0, 2.0, 2.0, 9.0], 9: [float("nan"), None]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k int, v double")
+    got = {r.k: r.m for r in skew.exact_median(df, ["k"], {"m": "v"}).collect()}
+    want = {k: statistics.median([v for v in vs if v is not None and v == v] or [None]) for k, vs in groups.items()}
+    assert got == want
+
+
+def test_no_task_sees_more_of_a_group_than_a_bound(spark, monkeypatch):
+    """One group of all rows, all distinct: what is ranked in a window is counted."""
+    monkeypatch.setattr(skew, "MEDIAN_DIGITS", 64)
+    monkeypatch.setattr(skew, "MEDIAN_RANKED", 50)
+    seen = []
+    ranked, narrowed = skew._ranked, skew._narrowed
+    monkeypatch.setattr(skew, "_ranked", lambda long, state, group, few: (seen.append(skew._left_of(long, state, group, few).count()), ranked(long, state, group, few))[1])
+    monkeypatch.setattr(skew, "_narrowed", lambda *a: (seen.append("digit"), narrowed(*a))[1])
+    df = spark.range(60_000).select(F.lit(1).alias("g"), F.exp(F.pmod(F.col("id") * 7919, F.lit(60_000)) / 4000).alias("v"))
+    got = skew.exact_median(df, ["g"], {"m": "v"}).first()["m"]
+    import math
+    assert got == pytest.approx((math.exp(29_999 / 4000) + math.exp(30_000 / 4000)) / 2)
+    assert seen.count("digit") <= 4 and seen[-1] <= 50
 
 
 def test_few_but_long_rows_are_not_small(spark):

@@ -104,6 +104,36 @@ def test_summarize_names_missing_columns(spark):
         aggregate.summarize(spark.range(1), "id", ())
 
 
+def test_summaries_of_one_table_share_an_aggregation(spark):
+    data = [(1, "a", 1.0, 10.0, None), (1, "b", None, 20.0, 3.0), (2, "a", 4.0, 30.0, 5.0), (None, "b", 2.0, 1.0, 1.0), (2, "a", 6.0, 2.0, 8.0)]
+    df = spark.createDataFrame(data, "k int, g string, m double, a double, b double")
+    parts = [
+        aggregate.Summary([Col("k", default=-1)], [AggCol("m"), AggCol("a", rename="mid", method="median")]),
+        aggregate.Summary([Col("k", default=9), Col("g", rename="grp", domain=DomainCol("D", {"a": 1}))], [AggCol("m", method="mean"), AggCol("g", rename="n", method="size")]),
+        aggregate.Summary([Col("g")], [AggCol("b", rename="mid_b", method="median")], [], Melt("L", "V", ("a", "b"), domain=DomainCol("LD", {"b": 2}))),
+        aggregate.Summary([], [AggCol("a")]),
+    ]
+    together = aggregate.summarize_all(df, parts)
+    for part, got in zip(parts, together):
+        alone = aggregate.summarize(df, *part)
+        assert got.columns == alone.columns and rows(got) == rows(alone) and got.count()
+    assert rows(together[0]) == [(-1, 2.0, 1.0), (1, 1.0, 15.0), (2, 10.0, 16.0)]
+    assert rows(together[2]) == [("a", "a", -1, 5.0, 42.0), ("a", "b", 2, 5.0, 13.0), ("b", "a", -1, 2.0, 21.0), ("b", "b", 2, 2.0, 4.0)]
+    assert rows(together[3]) == [(63.0,)]
+
+
+def test_summaries_read_their_table_once(spark, tmp_path):
+    spark.range(100).select((F.col("id") % 7).alias("k"), (F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    calls = []
+    cut, aggregate.cut = aggregate.cut, lambda d: (calls.append(d._jdf.queryExecution().executedPlan().toString()), cut(d))[1]
+    try:
+        aggregate.summarize_all(df, [aggregate.Summary([Col("k")], [AggCol("v")]), aggregate.Summary([Col("k"), Col("g")], [AggCol("v", method="mean")])])
+    finally:
+        aggregate.cut = cut
+    assert len(calls) == 1 and calls[0].count("FileScan") == 1 and calls[0].count("Exchange") == 1
+
+
 def test_summarize_takes_a_column_function(spark):
     df = spark.createDataFrame([(1, 2.0), (1, 5.0)], "g int, v double")
     out = aggregate.summarize(df, Col("g"), AggCol("v", method=lambda c: F.max(c) - F.min(c)))
