@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from arealens.functions.scalar import SQFT_PER_ACRE
 from arealens.operators.network import components
-from arealens.operators.spatial import inside_rings, ring_edges, with_box
+from arealens.operators.spatial import polygon_edges, with_box
 from arealens.session import cut
-from arealens.skew import exact_median, null_safe_join
+from arealens.skew import exact_median, null_safe_join, spread_join
 
 # Names of a cell's neighbours and where they lie, (row step, column step).
 POSITIONS = {
@@ -67,20 +68,40 @@ def cells_in_extent(cells: DataFrame, areas: DataFrame, x: str, y: str, rings: s
 
 
 def rasterise(polygons: DataFrame, key: str, rings: str, size: float, keep: Sequence[str] = ()) -> DataFrame:
-    """Cells whose centre lies in a polygon: (key, row, col). Where polygons overlap the largest key wins.
+    """Cells whose centre lies in a polygon: (key, row, col). Where polygons overlap the largest key wins."""
+    # Written, so that a polygon keeps its number; equal keys may name several polygons.
+    numbered = cut(polygons.select(key, *keep, rings).withColumn("__pid", F.monotonically_increasing_id()))
+    names = numbered.select("__pid", key, *keep)
+    cells = edge_cells(polygon_edges(numbered, "__pid", rings), "__pid", size)
+    named = spread_join(cells, names, "__pid")
+    one = named.groupBy("row", "col").agg(F.max(F.struct(key, *keep)).alias("__p"))
+    return one.select(*[F.col("__p")[c].alias(c) for c in (key, *keep)], "row", "col")
+
 
-    A polygon is opened into rows of cells, which are spread over the tasks before each
-    row is opened, so one very large polygon does not stay in one task.
+def edge_cells(edges: DataFrame, key: str, size: float, ends: Sequence[str] = ("x1", "y1", "x2", "y2")) -> DataFrame:
+    """Cells whose centre lies in a polygon, where polygons are a table of edges: (key, row, col).
+
+    Every edge becomes one row per row of cells whose middle it crosses, with the place
+    where it does. Along a row of cells, a polygon lies between its first and second crossing,
+    its third and fourth, and so on, so cells are written down without testing any against
+    an edge. Work grows with crossings and cells, and no task holds more of a polygon than
+    its crossings of one row.
     """
     s = F.lit(float(size))
-    boxed = with_box(polygons.select(key, *keep, rings), rings).withColumn("__edges", ring_edges(rings)).drop(rings)
-    strips = boxed.withColumn("row", F.explode(F.sequence(F.floor(F.col("__by1") / s), F.floor(F.col("__by2") / s))))
-    strips = strips.repartition(F.xxhash64(F.col(key), F.col("row")))
-    cells = strips.withColumn("col", F.explode(F.sequence(F.floor(F.col("__bx1") / s), F.floor(F.col("__bx2") / s))))
-    centre_x, centre_y = (F.col("col") + 0.5) * s, (F.col("row") + 0.5) * s
-    hits = cells.where(inside_rings(centre_x, centre_y, F.col("__edges")))
-    one = hits.groupBy("row", "col").agg(F.max(F.struct(key, *keep)).alias("__p"))
-    return one.select(*[F.col("__p")[c].alias(c) for c in (key, *keep)], "row", "col")
+    x1, y1, x2, y2 = (F.col(e) for e in ends)
+    # Rows are taken a little wide; whether the edge crosses the middle of one is asked exactly below.
+    first, last = F.floor(F.least(y1, y2) / s - 0.5), F.ceil(F.greatest(y1, y2) / s - 0.5)
+    lined = edges.where(y1 != y2).withColumn("row", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
+    level = (F.col("row") + 0.5) * s
+    crossed = lined.where((y1 <= level) != (y2 <= level)).select(
+        key, "row", (x1 + F.try_divide(level - y1, y2 - y1) * (x2 - x1)).alias("__at"))
+    along = Window.partitionBy(key, "row").orderBy("__at")
+    spans = crossed.select(key, "row", "__at", F.lead("__at").over(along).alias("__to"), F.row_number().over(along).alias("__i"))
+    spans = spans.where((F.col("__i") % 2 == 1) & F.col("__to").isNotNull())
+    start, stop = F.floor(F.col("__at") / s - 0.5).cast("bigint"), F.ceil(F.col("__to") / s - 0.5).cast("bigint")
+    cells = spans.withColumn("col", F.explode(F.sequence(start, stop)))
+    centre = (F.col("col") + 0.5) * s
+    return cells.where((centre >= F.col("__at")) & (centre < F.col("__to"))).select(key, "row", "col")
 
 
 def developable_parts(cells: DataFrame, mask: DataFrame, parcel: str, out: str = "part") -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,6 +27,7 @@ from arealens.skew import JoinAdvice, hot_keys, spread_join
 Box = tuple[str, str, str, str]
 LEVEL_STEP = 2
 LEAST_LEVEL = -20
+LONG_EDGES = 1024
 
 
 def _level(box: Box) -> Column:
@@ -39,16 +40,23 @@ def _cells(low: Column, high: Column, side: Column) -> Column:
     return F.sequence(F.floor(low / side), F.floor(high / side))
 
 
-def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, by: Sequence[str] = ()) -> DataFrame:
+def _box_sizes(right: DataFrame, rbox: Box, *by: Column) -> list[Row]:
+    """Number of boxes (n) and their bytes (b) per level, and per further key."""
+    boxed = right.withColumn("__rl", _level(rbox))
+    return boxed.where(F.col("__rl").isNotNull()).groupBy("__rl", *by).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(skew.row_bytes(right)).alias("b")).collect()
+
+
+def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, by: Sequence[str] = (), sizes: list[Row] | None = None) -> DataFrame:
     """All pairs of rows whose boxes overlap or touch. Column names of both sides must differ, except `by`.
 
     `left` is the longer table. Boxes of two sizes meet on the grid of the larger one, so
     a box of either side lies in at most four cells per size of the other side. The sizes
-    in use, the number of boxes at each and their bytes are read to the driver.
+    in use, the number of boxes at each and their bytes are read to the driver, unless
+    `sizes` holds them.
     """
     boxed = right.withColumn("__rl", _level(rbox))
-    counts = boxed.where(F.col("__rl").isNotNull()).groupBy("__rl").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(skew.row_bytes(right)).alias("b")).collect()
+    counts = _box_sizes(right, rbox) if sizes is None else sizes
     levels = sorted(r["__rl"] for r in counts) or [0]
     # Left boxes below the least right size need no grid of their own.
     if lbox[0] == lbox[2] and lbox[1] == lbox[3]:
@@ -119,12 +127,80 @@ def ring_edges(rings: str | Column) -> Column:
 
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, rings: str) -> DataFrame:
-    """Points joined to the polygons that hold them: one row per (point, polygon); areas may overlap."""
+    """Points joined to the polygons that hold them: one row per (point, polygon); areas may overlap.
+
+    The few edges of a small polygon travel with its row. Polygons of more than LONG_EDGES
+    vertices are taken apart into rows of edges, see `point_in_edges`.
+    """
     pts = points.withColumns({"__px": F.col(x).cast("double"), "__py": F.col(y).cast("double")})
-    boxed = with_box(polygons, rings).withColumn("__edges", ring_edges(rings)).drop(rings)
-    pairs = box_join(pts, ("__px", "__py", "__px", "__py"), boxed, ("__bx1", "__by1", "__bx2", "__by2"))
-    hits = pairs.where(inside_rings(F.col("__px"), F.col("__py"), F.col("__edges")))
-    return hits.drop("__px", "__py", "__edges", "__bx1", "__by1", "__bx2", "__by2")
+    box = ("__bx1", "__by1", "__bx2", "__by2")
+
+    def boxed(df: DataFrame) -> DataFrame:
+        return with_box(df, rings).withColumn("__edges", ring_edges(rings)).drop(rings)
+
+    is_long = F.size(F.flatten(F.col(rings))) > LONG_EDGES
+    counts = _box_sizes(boxed(polygons.withColumn("__long", is_long)), box, F.col("__long"))
+    some_long = any(r["__long"] for r in counts)
+    small = polygons.where(~is_long) if some_long else polygons
+    pairs = box_join(pts, ("__px", "__py", "__px", "__py"), boxed(small), box, sizes=[r for r in counts if not r["__long"]])
+    hits = pairs.where(inside_rings(F.col("__px"), F.col("__py"), F.col("__edges"))).drop("__edges", "__bx1", "__by1", "__bx2", "__by2")
+    if some_long:
+        # Written, so that a polygon keeps its number.
+        numbered = cut(polygons.where(is_long).withColumn("__pid", F.monotonically_increasing_id()))
+        inside = point_in_edges(pts.select("__px", "__py"), polygon_edges(numbered, "__pid", rings), "__px", "__py", "__pid")
+        place = F.struct("__px", "__py")
+        found = spread_join(inside, numbered.drop(rings), "__pid").drop("__pid").withColumn("__at", place).drop("__px", "__py")
+        found = cut(found)
+        located = pts.withColumn("__at", place)
+        both = spread_join(located, found, "__at", advice=skew.advise(located, found, "__at", unique=False)).drop("__at")
+        hits = hits.unionByName(both.select(*hits.columns))
+    return hits.drop("__px", "__py")
+
+
+def edge_slabs(edges: DataFrame, key: str, ends: Sequence[str] = ("x1", "y1", "x2", "y2")) -> tuple[DataFrame, DataFrame]:
+    """Edges once per horizontal slab they pass, (key, __slab, ends); and of each polygon its box and its slabs, (key, __b..., __h).
+
+    Slabs of a polygon are as high as its edges are on average, so they hold twice as many
+    rows as there are edges at most, and there are at most half as many slabs as edges.
+    """
+    x1, y1, x2, y2 = ends
+    sloped = edges.where(F.col(y1) != F.col(y2))
+    shapes = sloped.groupBy(key).agg(
+        F.min(F.least(x1, x2)).alias("__bx1"), F.min(F.least(y1, y2)).alias("__by1"), F.max(F.greatest(x1, x2)).alias("__bx2"),
+        F.max(F.greatest(y1, y2)).alias("__by2"), F.avg(F.abs(F.col(y2) - F.col(y1))).alias("__h"))
+    shapes = cut(shapes)
+    # A polygon may hold most of the edges; its one row of sizes is sent to all of them.
+    known = spread_join(sloped.select(key, *ends), shapes.select(key, "__by1", "__h"), key)
+    low, high = _slab(F.least(y1, y2)), _slab(F.greatest(y1, y2))
+    return known.withColumn("__slab", F.explode(F.sequence(low, high))).select(key, "__slab", *ends), shapes
+
+
+def _slab(y: Column) -> Column:
+    return F.floor((y - F.col("__by1")) / F.col("__h"))
+
+
+def crossing(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Where an edge meets the level y, if it does to the right of x, else null. Half-open, so a shared vertex counts once."""
+    at = x1 + F.try_divide(y - y1, y2 - y1) * (x2 - x1)
+    return F.when(((y1 <= y) != (y2 <= y)) & (x < at), at)
+
+
+def point_in_edges(points: DataFrame, edges: DataFrame, x: str, y: str, key: str, ends: Sequence[str] = ("x1", "y1", "x2", "y2")) -> DataFrame:
+    """Points joined to the polygons that hold them, where polygons are a table of edges: (columns of points, key).
+
+    A point meets only the edges of its own slab of a polygon; it lies inside if an odd number
+    of them cross its level to its right. Edges are rows throughout, so a polygon of any
+    length is spread over the tasks. Equal rows of `points` count as one.
+    """
+    slabs, shapes = edge_slabs(edges, key, ends)
+    around = box_join(points.distinct().withColumns({"__sx": F.col(x).cast("double"), "__sy": F.col(y).cast("double")}), ("__sx", "__sy", "__sx", "__sy"),
+                      shapes, ("__bx1", "__by1", "__bx2", "__by2"))
+    placed = cut(around.withColumn("__slab", _slab(F.col("__sy"))).drop("__bx1", "__by1", "__bx2", "__by2", "__h"))
+    slabs = cut(slabs)
+    meets = spread_join(placed, slabs, [key, "__slab"], advice=skew.advise(placed, slabs, [key, "__slab"], unique=False))
+    right = crossing(F.col("__sx"), F.col("__sy"), *[F.col(e) for e in ends])
+    counted = meets.groupBy(*points.columns, key).agg(F.count(right).alias("__n"))
+    return counted.where(F.col("__n") % 2 == 1).drop("__n")
 
 
 def centre_in_area(features: DataFrame, areas: DataFrame, x: str, y: str, rings: str, key: str) -> DataFrame:

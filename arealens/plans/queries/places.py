@@ -38,6 +38,21 @@ def point_in_polygon(spark, sf):
     return in_areas(spark, sf).select("id", "area", "cls")
 
 
+# One outline per nation: its customers around a middle place, by bearing in steps, joined in turn.
+OUTLINES = """SELECT zone, x1, y1, coalesce(lead(x1) OVER (PARTITION BY zone ORDER BY turn, id), fx) AS x2, coalesce(lead(y1) OVER (PARTITION BY zone ORDER BY turn, id), fy) AS y2 FROM (
+ SELECT *, first_value(x1) OVER (PARTITION BY zone ORDER BY turn, id) AS fx, first_value(y1) OVER (PARTITION BY zone ORDER BY turn, id) AS fy FROM (
+ SELECT c_nationkey AS zone, c_custkey AS id, CAST((c_custkey * 37) % 360 AS DOUBLE) AS turn,
+  500 + (200 + (c_custkey * 7919) % 300) * cos(((c_custkey * 37) % 360) / CAST(57.3 AS DOUBLE)) AS x1,
+  500 + (200 + (c_custkey * 7919) % 300) * sin(((c_custkey * 37) % 360) / CAST(57.3 AS DOUBLE)) AS y1 FROM customer) a) b"""
+
+
+@register("points_in_outlines", with_views("v_points", f"""
+WITH e AS ({OUTLINES}) SELECT id, zone FROM v_points JOIN e ON (y1 <= y) <> (y2 <= y) AND x < x1 + (y - y1) / (y2 - y1) * (x2 - x1)
+GROUP BY 1, 2 HAVING count(*) % 2 = 1"""))
+def points_in_outlines(spark, sf):
+    return sp.point_in_edges(view(spark, sf, "v_points").select("id", "x", "y"), run_sql(spark, sf, OUTLINES), "x", "y", "zone").select("id", "zone")
+
+
 @register("area_sums", with_views("v_points v_areas", f"""
 SELECT area, count(*) AS n, round(sum(w), 2) AS w FROM v_points JOIN v_areas ON {INSIDE} GROUP BY 1"""))
 def area_sums(spark, sf):

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from arealens.functions import geometry as geo
 from arealens.operators import raster as op
 from arealens.plans.queries import register, rounded
-from arealens.plans.queries.places import boxes
-from arealens.plans.standins import table, view, with_views
+from arealens.plans.queries.places import OUTLINES, boxes
+from arealens.plans.standins import run_sql, table, view, with_views
 
 
 def _cells(spark, sf):
@@ -77,6 +77,14 @@ def rasterised_lots(spark, sf):
     return op.rasterise(shaped, "k", "rings", 10.0).groupBy("k").agg(F.count(F.lit(1)).alias("cells"))
 
 
+@register("rasterised_outlines", f"""
+WITH e AS ({OUTLINES}), g AS (SELECT unnest(range(0, 50)) AS i), c AS (SELECT a.i AS "row", b.i AS "col", (b.i + 0.5) * CAST(20 AS DOUBLE) AS x, (a.i + 0.5) * CAST(20 AS DOUBLE) AS y FROM g a, g b)
+SELECT zone, CAST("row" AS BIGINT) AS "row", CAST("col" AS BIGINT) AS "col" FROM c JOIN e ON (y1 <= y) <> (y2 <= y) AND x < x1 + (y - y1) / (y2 - y1) * (x2 - x1)
+GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1""")
+def rasterised_outlines(spark, sf):
+    return op.edge_cells(run_sql(spark, sf, OUTLINES), "zone", 20.0)
+
+
 @register("chunk_ids", with_views("v_points", """
 WITH e AS (SELECT min(x) AS x0, min(y) AS y0, max(x) - min(x) AS ew, max(y) - min(y) AS eh FROM v_points),
  s AS (SELECT r, CAST(20 / r AS INT) AS c, row_number() OVER (ORDER BY abs(CAST(r AS DOUBLE) / (20 / r) - (SELECT eh / ew FROM e)), r) AS rn FROM (VALUES (1), (2), (4), (5), (10), (20)) t(r)),

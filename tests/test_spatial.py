@@ -218,3 +218,67 @@ def test_nearest_by_group_with_a_hot_group_and_equal_points(spark, force_split):
     items = spark.createDataFrame([(7, 1.0, 5.0, "b"), (8, 5.0, 8.0, "a"), (9, 90.0, 8.0, "a")], "t int, tx double, ty double, g string")
     got = spatial.nearest(points, items, "id", "x", "y", "tx", "ty", "t", by=["g"])
     assert rows(got.groupBy("t", "dist").count()) == [(7, 4.0, 200), (8, 3.0, 100)]
+
+
+def outline(n, seed, spikes=0.6):
+    rng = np.random.default_rng(seed)
+    turn = np.sort(rng.uniform(0, 2 * np.pi, n))
+    far = rng.uniform(1 - spikes, 1, n) * 100
+    return [(float(x), float(y)) for x, y in zip(50 + far * np.cos(turn), 50 + far * np.sin(turn))]
+
+
+def odd_crossings(x, y, rings):
+    n = 0
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            n += (y1 <= y) != (y2 <= y) and x < x1 + (y - y1) / (y2 - y1) * (x2 - x1)
+    return n % 2 == 1
+
+
+SHAPES = {1: [outline(400, 1)], 2: [outline(30, 2), outline(25, 3, 0.2)], 3: [[(0.0, 0.0), (60.0, 0.0), (60.0, 40.0), (0.0, 40.0)]],
+            4: [[(10.0, 10.0), (20.0, 10.0)]]}
+
+
+def closed(spark, name="poly"):
+    data = [(k, [[{"x": x, "y": y} for x, y in ring + ring[:1]] for ring in rings]) for k, rings in SHAPES.items()]
+    return spark.createDataFrame(data, f"{name} int, rings array<array<struct<x:double,y:double>>>")
+
+
+@pytest.mark.parametrize("limit,forced", [(10_000, False), (100, False), (0, False), (0, True)])
+def test_point_in_polygon_by_slabs(spark, request, monkeypatch, limit, forced):
+    if forced:
+        request.getfixturevalue("force_split")
+    monkeypatch.setattr(spatial, "LONG_EDGES", limit)
+    rng = np.random.default_rng(5)
+    places = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-60, 160, (150 if forced else 600, 2)))]
+    places += [(1000, 0.0, 0.0), (1001, 60.0, 40.0), (1002, 30.0, 40.0), (1002, 30.0, 0.0), (1003, 12.0, 10.0), (1004, None, 1.0)] + [(2000 + i, 20.0, 20.0) for i in range(20)]
+    pts = spark.createDataFrame(places, "id int, x double, y double")
+    got = spatial.point_in_polygon(pts, closed(spark).withColumn("label", F.lit("z")), "x", "y", "rings")
+    assert got.columns == ["id", "x", "y", "poly", "label"]
+    want = sorted((i, x, y, k) for i, x, y in places if x is not None for k, rings in SHAPES.items() if odd_crossings(x, y, rings))
+    assert sorted((r.id, r.x, r.y, r.poly) for r in got.collect()) == want
+
+
+def test_slabs_hold_two_rows_an_edge_at_most(spark):
+    ring = outline(3000, 8)
+    edges = spark.createDataFrame([(1, *a, *b) for a, b in zip(ring, ring[1:] + ring[:1])], "k int, x1 double, y1 double, x2 double, y2 double")
+    slabs, shapes = spatial.edge_slabs(edges, "k")
+    assert shapes.count() == 1 and slabs.count() <= 2 * 3000 + 2
+    # Nowhere in the plan is an edge in an array.
+    inside = spatial.point_in_edges(spark.range(500).select(F.col("id"), (F.col("id") % 25 * 8.0 - 50).alias("x"), (F.floor(F.col("id") / 25) * 10.0 - 50).alias("y")), edges, "x", "y", "k")
+    assert sorted(r.id for r in inside.collect()) == [i for i in range(500) if odd_crossings(i % 25 * 8.0 - 50, i // 25 * 10.0 - 50, [ring])]
+    assert "array<struct" not in str(slabs.schema.simpleString())
+
+
+def test_rasterise_by_crossings(spark):
+    from arealens.operators import raster
+
+    got = {(r.poly, r.row, r.col) for r in raster.rasterise(closed(spark), "poly", "rings", 7.0).collect()}
+    want = {}
+    for row in range(-12, 30):
+        for col in range(-12, 30):
+            inside = [k for k, rings in SHAPES.items() if odd_crossings((col + 0.5) * 7, (row + 0.5) * 7, rings)]
+            if inside:
+                want[row, col] = max(inside)
+    assert got == {(k, r, c) for (r, c), k in want.items()}
+    assert raster.rasterise(closed(spark).limit(0), "poly", "rings", 7.0).count() == 0
