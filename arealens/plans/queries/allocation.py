@@ -31,11 +31,59 @@ def _years(df):
     return sorted(r[0] for r in df.select("Year").distinct().collect())
 
 
-@register("fit_models")
+def _fit_sql(name: str, rows: str, response: str, two_sided: bool) -> str:
+    """CTEs that fit a response to JV, NO_BULDNG and NO_RES_UNTS: `name` holds one row of coefficients b0 to b3 and flags u1 to u3.
+
+    Predictors qualify by Student's t, whose tail is integrated by Simpson's rule; the cutoff rises
+    by 0.05 until one does. The normal equations are solved on correlations by Cramer's
+    rule, with rows of the identity for predictors that do not take part.
+    """
+    xs = ("JV", "NO_BULDNG", "NO_RES_UNTS")
+    pairs = [(i, j) for i in range(3) for j in range(i + 1, 3)]
+    stats = ", ".join([f'corr("{x}", "{response}") AS r{i}, stddev_pop("{x}") AS s{i}, avg("{x}") AS m{i}' for i, x in enumerate(xs)]
+                      + [f'corr("{xs[i]}", "{xs[j]}") AS c{i}{j}' for i, j in pairs])
+
+    def tail(i: int) -> str:
+        t = f"r{i} * sqrt(df / greatest(1 - r{i} * r{i}, 1e-300))"
+        t = f"abs({t})" if two_sided else t
+        # Beyond 60 the tail is nothing; 6,000 steps of Simpson's rule up to there.
+        end = f"least(greatest({t}, -60), 60)"
+        area = (f"list_sum(list_transform(range(0, 6001), lambda k: (CASE WHEN k = 0 OR k = 6000 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) * "
+                f"exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) * pow(1 + pow(k * {end} / 6000.0, 2) / df, -(df + 1) / 2))) * {end} / 18000.0")
+        return f"2 * (0.5 - {area}) AS p{i}"
+
+    def det(cells: list[list[str]]) -> str:
+        (a, b, c), (d, e, f), (g, h, k) = cells
+        return f"({a} * ({e} * {k} - {f} * {h}) - {b} * ({d} * {k} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+    square = [["1.0" if i == j else f"q{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+    solved = []
+    for i in range(3):
+        swapped = [[f"z{r}" if c == i else square[r][c] for c in range(3)] for r in range(3)]
+        solved.append(f"{det(swapped)} / {det(square)} * sy / s{i} AS b{i + 1}")
+    return f"""{name}_s AS (SELECT CAST(count(*) - 2 AS DOUBLE) AS df, stddev_pop("{response}") AS sy, avg("{response}") AS my, {stats} FROM ({rows})),
+ {name}_p AS (SELECT *, {', '.join(tail(i) for i in range(3))} FROM {name}_s),
+ {name}_u AS (SELECT *, {', '.join(f'p{i} <= cut AS u{i + 1}' for i in range(3))} FROM (SELECT *, 0.05 * greatest(1, ceil(least(p0, p1, p2) / 0.05)) AS cut FROM {name}_p)),
+ {name}_m AS (SELECT *, {', '.join(f'CASE WHEN u{i + 1} THEN r{i} ELSE 0.0 END AS z{i}' for i in range(3))},
+  {', '.join(f'CASE WHEN u{i + 1} AND u{j + 1} THEN c{i}{j} ELSE 0.0 END AS q{i}{j}' for i, j in pairs)} FROM {name}_u),
+ {name} AS (SELECT b1, b2, b3, u1, u2, u3, my - b1 * m0 - b2 * m1 - b3 * m2 AS b0 FROM (SELECT *, {', '.join(solved)} FROM {name}_m))"""
+
+
+_YEARS = f"""p AS ({PANEL}), y AS (SELECT max("Year") AS last, max("Year") FILTER ("Year" < (SELECT max("Year") FROM p)) AS prior FROM p)"""
+_LINE = 'greatest(0.0, b0 + b1 * "JV" + b2 * "NO_BULDNG" + b3 * "NO_RES_UNTS")'
+
+
+@register("fit_models", f"""
+WITH {_YEARS}, {_fit_sql("e", "SELECT * FROM p", "Total_Employment", False)},
+ {_fit_sql("t", 'SELECT * FROM p WHERE "Year" < (SELECT last FROM y)', "Total_Population", False)}
+""" + " UNION ALL ".join(f"""SELECT '{v}' AS "Variable", round(e.b{i}, 6) + 0.0 AS "Total_Employment", round(t.b{i}, 6) + 0.0 AS "Total_Population" FROM e, t WHERE e.u{i} OR t.u{i}"""
+                        for i, v in enumerate(INPUTS[:3], 1)))
 def fit_models(spark, sf):
     panel = _panel(spark, sf)
     years = _years(panel)
-    return rounded(model.fit_models(panel, {"Total_Employment": years, "Total_Population": years[:-1]}, INPUTS), 6)
+    fits = model.fit_models(panel, {"Total_Employment": years, "Total_Population": years[:-1]}, INPUTS)
+    # A coefficient that rounds to zero must not keep its sign.
+    return rounded(fits, 6).withColumns({c: F.col(c) + 0.0 for c in ("Total_Employment", "Total_Population")})
 
 
 @register("apply_models", f"""
@@ -55,14 +103,23 @@ def model_residuals(spark, sf):
     return rounded(model.residuals(predicted, "Pred", "Total_Employment").select("bg", "Year", "Error"))
 
 
-@register("extrapolated_years")
+@register("extrapolated_years", f"""
+WITH {_YEARS}, {_fit_sql("f1", 'SELECT * FROM p WHERE "Year" < (SELECT prior FROM y)', "Total_Employment", True)},
+ a1 AS (SELECT bg, "Year", "JV", "NO_BULDNG", "NO_RES_UNTS", "Total_Employment", "Total_Population" FROM p WHERE "Year" < (SELECT prior FROM y)
+  UNION ALL SELECT bg, "Year", "JV", "NO_BULDNG", "NO_RES_UNTS", {_LINE}, "Total_Population" FROM p, y, f1 WHERE "Year" = prior),
+ {_fit_sql("f2", "SELECT * FROM a1", "Total_Employment", True)}, {_fit_sql("f3", "SELECT * FROM a1", "Total_Population", True)},
+ z AS (SELECT p.* FROM p, y WHERE "Year" = last)
+SELECT bg, "Year", round("Total_Employment", 6) AS "Total_Employment", round("Total_Population", 6) AS "Total_Population" FROM a1
+UNION ALL SELECT z.bg, z."Year", round({_LINE.replace("b0", "f2.b0").replace("b1", "f2.b1").replace("b2", "f2.b2").replace("b3", "f2.b3")}, 6),
+ round({_LINE.replace("b0", "f3.b0").replace("b1", "f3.b1").replace("b2", "f3.b2").replace("b3", "f3.b3")}, 6) FROM z, f2, f3""")
 def extrapolated_years(spark, sf):
     panel = _panel(spark, sf)
     years = _years(panel)
     frames = {y: panel.where(F.col("Year") == y).drop("Year") for y in years}
     observed = {"Total_Employment": years[:-2], "Total_Population": years[:-1]}
     out = model.extrapolate_years(frames, observed, "bg", INPUTS)
-    return rounded(out.select("bg", "Year", "Total_Employment", "Total_Population"), 3)
+    # Populations are thousandths of money, so three places would round at ties.
+    return rounded(out.select("bg", "Year", "Total_Employment", "Total_Population"), 6)
 
 
 # --- shares ---------------------------------------------------------------
@@ -150,7 +207,8 @@ def levels_from_shares(spark, sf):
     return rounded(model.levels_from_shares(totals, shares, ["zone"], {"seg": list(SEGMENTS)}, {"seg": "total"}))
 
 
-@register("modelled_areas")
+@register("modelled_areas", with_views("v_zones", _fill_sql(3) + f""", j AS (SELECT zone, greatest(0.0, 0.001 * {" + ".join(f"c1 * {i}" for i in range(1, 21))} + 30.0) AS jobs FROM ({COUNTS}))
+SELECT j.zone, round(jobs, 4) AS "Jobs", {', '.join(f'round({c} * jobs, 4) AS {c}' for c in SEGMENTS)} FROM j JOIN f3 ON j.zone = f3.zone""".replace("0.001 * c1 * 1 +", "0.001 * (c1 * 1 +").replace("c1 * 20 + 30.0", "c1 * 20) + 30.0")))
 def modelled_areas(spark, sf):
     """Totals from fixed coefficients and shares filled from neighbours, for one year."""
     counts = _zone_counts(spark, sf)
@@ -160,7 +218,11 @@ def modelled_areas(spark, sf):
     return rounded(model.model_areas(enriched, _touch(spark, sf), coefficients, "zone", 2019, groups={"g": list(SEGMENTS)}, total_of={"g": "Jobs"}), 4)
 
 
-@register("extrapolated_shares")
+@register("extrapolated_shares", f"""
+WITH {_YEARS}, {_fit_sql("f", 'SELECT * FROM p WHERE "Year" < (SELECT last FROM y)', "Total_Employment", True)},
+ k AS (SELECT bg, "Year", {_LINE} AS total, CASE WHEN "Year" < last THEN "NO_RES_UNTS" / ("NO_RES_UNTS" + "NO_BULDNG") END AS share FROM p, f, y),
+ c AS (SELECT *, last_value(share IGNORE NULLS) OVER (PARTITION BY bg ORDER BY "Year" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS known FROM k)
+SELECT bg AS zone, "Year", round(total, 3) AS "Total_Employment", round(known * total, 3) AS sub_a, round((1 - known) * total, 3) AS sub_b FROM c""")
 def extrapolated_shares(spark, sf):
     panel = _panel(spark, sf)
     years = _years(panel)
@@ -247,20 +309,22 @@ def near_term_increment(spark, sf):
 
 @register("zone_estimates", with_views("v_points v_zones", f"""
 WITH j AS (SELECT c_custkey AS id, CAST(c_custkey % 5 AS DOUBLE) AS u, c_acctbal AS a FROM customer),
- l AS (SELECT zone, zone % 5 AS taz, sum(u) AS hh, sum(a) AS jobs, sum(u + a) AS total FROM v_points p JOIN j USING (id) JOIN v_zones ON {INSIDE} WHERE zone < 20 GROUP BY 1, 2),
- r AS (SELECT n_nationkey AS zone, n_nationkey % 5 AS taz, CAST(10 AS DOUBLE) AS hh, CAST(20 AS DOUBLE) AS jobs, CAST(30 AS DOUBLE) AS total, CAST(7 AS DOUBLE) AS enroll FROM nation),
+ l AS (SELECT zone, zone % 5 AS taz, sum(u) AS hh, sum(a) AS jobs, sum(u + a) AS total FROM v_points p JOIN j USING (id) JOIN v_zones ON {INSIDE} GROUP BY 1, 2),
+ r AS (SELECT n_nationkey + k * 5 AS zone, n_nationkey % 5 AS taz, CAST(10 AS DOUBLE) AS hh, CAST(20 AS DOUBLE) AS jobs, CAST(30 AS DOUBLE) AS total, CAST(7 AS DOUBLE) AS enroll
+  FROM nation, (SELECT 0 AS k UNION ALL SELECT 5)),
  z AS (SELECT l.zone, l.taz, l.hh, l.jobs, l.total, r.enroll FROM l JOIN r USING (zone) UNION ALL SELECT * FROM r WHERE zone NOT IN (SELECT zone FROM l))
 SELECT taz, round(sum(hh), 2) AS hh, round(sum(jobs), 2) AS jobs, round(sum(total), 2) AS total, round(sum(enroll), 2) AS enroll FROM z GROUP BY 1"""))
 def zone_estimates(spark, sf):
     """Zone sums from parcels, patched over a regional table and rolled up."""
-    zones = boxes(view(spark, sf, "v_zones").where("zone < 20"), "zone")
+    zones = boxes(view(spark, sf, "v_zones"), "zone")
     hits = point_in_polygon(view(spark, sf, "v_points"), zones, "x", "y", "rings").withColumn("taz", F.col("zone") % 5)
     jobs = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % 5).cast("double").alias("u"), F.col("c_acctbal").alias("a"))
     rows = joins.join_attributes(hits, jobs, "id", "id")
     local = summarize(rows, [rs.Col("zone"), rs.Col("taz")], [rs.AggCol("u", rename="hh"), rs.AggCol("a", rename="jobs")],
                       [rs.Consolidation("total", ("u", "a"))])
-    regional = table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias("zone"), (F.col("n_nationkey") % 5).alias("taz"), F.lit(10.0).alias("hh"), F.lit(20.0).alias("jobs"),
+    # The region has as many zones again, outside the area that the points cover.
+    regional = table(spark, sf, "nation").withColumn("k", F.explode(F.array(F.lit(0), F.lit(5)))).select(
+        (F.col("n_nationkey") + F.col("k") * 5).alias("zone"), (F.col("n_nationkey") % 5).alias("taz"), F.lit(10.0).alias("hh"), F.lit(20.0).alias("jobs"),
         F.lit(30.0).alias("total"), F.lit(7.0).alias("enroll"))
     patched = joins.patch(local, regional, "zone")
     from arealens.operators.aggregate import roll_up

@@ -94,7 +94,21 @@ def chunk_ids(spark, sf):
     return op.assign_chunks(view(spark, sf, "v_points"), "x", "y").select("id", "ChunkID")
 
 
-@register("contiguity_by_parcel")
+# Cells of each lot, without the masked ones; parts by walking to the four neighbours; then what surrounds each cell in its part.
+@register("contiguity_by_parcel", """
+WITH RECURSIVE l AS (SELECT c_custkey AS k, (c_custkey % 100) * 10 AS c0, CAST(floor(c_custkey / 100) AS BIGINT) * 10 AS r0, 40 + c_nationkey AS w FROM customer),
+ m AS (SELECT DISTINCT CAST(floor(o_custkey / 100) AS BIGINT) * 10 + o_orderkey % 6 AS r, (o_custkey % 100) * 10 + o_orderkey % 5 AS c FROM orders),
+ g AS (SELECT unnest(range(0, 10)) AS i),
+ f AS (SELECT k, r0 + a.i AS r, c0 + b.i AS c FROM l, g a, g b WHERE (a.i + 0.5) * 10 < w AND (b.i + 0.5) * 10 < w),
+ n AS (SELECT f.*, r * 1000000 + c AS id FROM f ANTI JOIN m ON m.r = f.r AND m.c = f.c),
+ walk(id, r, c, k, seen) AS (SELECT id, r, c, k, id FROM n UNION SELECT b.id, b.r, b.c, b.k, w.seen FROM walk w JOIN n b ON w.k = b.k AND abs(w.r - b.r) + abs(w.c - b.c) = 1),
+ p AS (SELECT id, any_value(r) AS r, any_value(c) AS c, any_value(k) AS k, min(seen) AS part FROM walk GROUP BY 1),
+ s AS (SELECT a.id, any_value(a.k) AS k, any_value(a.part) AS part, count(*) AS n FROM p a JOIN p b ON a.part = b.part AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 GROUP BY 1),
+ q AS (SELECT k, part, (avg(n) - 1) / 8 AS x, count(*) * 100 / 43560.0 AS a FROM s GROUP BY 1, 2),
+ o AS (SELECT l.k, coalesce(x, 0.0) AS x, coalesce(a, 0.0) AS a FROM l LEFT JOIN q ON q.k = l.k),
+ z AS (SELECT k, sum(a) AS a, min(x) AS lo, max(x) AS hi, avg(x) AS mean, median(x) AS mid FROM o GROUP BY 1)
+SELECT k AS folio, round(a, 6) AS "Developable_Area", round(lo, 6) AS "Min_Contiguity", round(hi, 6) AS "Max_Contiguity", round(mean, 6) AS "Mean_Contiguity", round(mid, 6) AS "Median_Contiguity",
+ round(a * lo, 6) AS "Min_Scaled_Area", round(a * hi, 6) AS "Max_Scaled_Area", round(a * mid, 6) AS "Median_Scaled_Area", round(a * mean, 6) AS "Mean_Scaled_Area" FROM z""")
 def contiguity_by_parcel(spark, sf):
     """Lots cut by masked cells, from shapes to parcel summary."""
     c = F.col
