@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EARTH_RADIUS_MILES = 3958.7613
+METRES_PER_MILE = 1609.344
 
 
 def _pairs(line: Column) -> Column:
@@ -37,16 +38,113 @@ def line_length(line: Column) -> Column:
     return _fold_pairs(line, lambda a, b: F.sqrt((b["x"] - a["x"]) * (b["x"] - a["x"]) + (b["y"] - a["y"]) * (b["y"] - a["y"])))
 
 
-def haversine_miles(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    p1, p2 = F.radians(lat1), F.radians(lat2)
-    dp, dl = p2 - p1, F.radians(lon2) - F.radians(lon1)
-    h = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_MILES) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is worked out once, however often it is named."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _lag(line: Column, flattening: float) -> Column:
+    """How far the longitude a line gains on the ellipsoid lags behind that on the auxiliary sphere."""
+    c = F.lit(flattening / 16) * line["cos2"] * (4 + F.lit(flattening) * (4 - 3 * line["cos2"]))
+
+    def lag(v: Column) -> Column:
+        rest = v["mid"] + v["c"] * F.cos(line["arc"]) * (2 * v["mid"] * v["mid"] - 1)
+        return (1 - v["c"]) * F.lit(flattening) * line["sin"] * (line["arc"] + v["c"] * F.sin(line["arc"]) * rest)
+
+    return let(F.struct(c.alias("c"), F.cos(line["twice"]).alias("mid")), lag)
+
+
+def _metres(line: Column, flattening: float) -> Column:
+    """Metres along a line, given its arc on the auxiliary sphere."""
+    polar = GRS80_A * (1 - flattening)
+    u2 = line["cos2"] * F.lit((GRS80_A ** 2 - polar ** 2) / polar ** 2)
+
+    def length(v: Column) -> Column:
+        big = 1 + v["u2"] / 16384 * (4096 + v["u2"] * (v["u2"] * (320 - 175 * v["u2"]) - 768))
+        small = v["u2"] / 1024 * (256 + v["u2"] * (v["u2"] * (74 - 47 * v["u2"]) - 128))
+        twice = 2 * v["mid"] * v["mid"] - 1
+        less = small * v["sin"] * (v["mid"] + small / 4 * (v["cos"] * twice - small / 6 * v["mid"] * (4 * v["sin"] * v["sin"] - 3) * (2 * twice - 1)))
+        return F.lit(polar) * big * (line["arc"] - less)
+
+    return let(F.struct(u2.alias("u2"), F.cos(line["twice"]).alias("mid"), F.sin(line["arc"]).alias("sin"), F.cos(line["arc"]).alias("cos")), length)
+
+
+def _line(sine: Column, first: Column, arc: Column) -> Column:
+    """A line by the sine of its bearing at the equator, the arc from there to its start, and its own arc."""
+    return F.struct(sine.alias("sin"), ((1 - sine) * (1 + sine)).alias("cos2"), (2 * first + arc).alias("twice"), arc.alias("arc"))
+
+
+def _around(p: Column, w: Column, then: Callable[[Column], Column]) -> Column:
+    """The line between two latitudes that gains the longitude `w` on the auxiliary sphere."""
+    def placed(q: Column) -> Column:
+        size = F.greatest(F.sqrt(q["east"] * q["east"] + q["north"] * q["north"]), F.lit(1e-300))
+        bearing = F.struct((q["east"] / size).alias("sin"), (q["north"] / size).alias("cos"), F.atan2(size, q["dot"]).alias("arc"))
+        return let(bearing, lambda r: let(_line(r["sin"] * p["c1"], F.atan2(p["s1"], r["cos"] * p["c1"]), r["arc"]), then))
+
+    return let(F.struct((p["c2"] * F.sin(w)).alias("east"), (p["c1"] * p["s2"] - p["s1"] * p["c2"] * F.cos(w)).alias("north"),
+                        (p["s1"] * p["s2"] + p["c1"] * p["c2"] * F.cos(w)).alias("dot")), placed)
+
+
+def _leaving(p: Column, v: Column, then: Callable[[Column, Column], Column]) -> Column:
+    """The line that leaves `v` south of due east and ends at the second latitude, and the longitude it gains on the auxiliary sphere."""
+    def ended(q: Column) -> Column:
+        first = F.atan2(p["s1"], q["cos"])
+        gained = F.atan2(q["sin"] * p["s2"], q["end"]) - F.atan2(q["sin"] * p["s1"], q["cos"])
+        return let(_line(q["sin"], first, F.atan2(p["s2"], q["end"]) - first), lambda line: then(line, gained))
+
+    north = -F.sin(v) * p["c1"]
+    end = F.sqrt(F.pow(F.sin(v) * p["c1"], 2) + (p["s1"] - p["s2"]) * (p["s1"] + p["s2"]))
+    return let(F.struct((F.cos(v) * p["c1"]).alias("sin"), north.alias("cos"), end.alias("end")), ended)
+
+
+def geodesic_metres(lon1: Column, lat1: Column, lon2: Column, lat2: Column, flattening: float | None = None) -> Column:
+    """Length in metres of the shortest line on the ellipsoid between two places in degrees; null where one is null.
+
+    The starting bearing is iterated on the auxiliary sphere. Nearly opposite places, where
+    that does not settle, are solved by halving the range of bearings: from the place nearer
+    to a pole, the longitude that a line gains grows as its bearing turns from north to south.
+    """
+    f = GRS80_F if flattening is None else flattening
+    # The place farther from the equator comes first, south of it; lines stay as long under such turns.
+    swap = F.abs(lat1) < F.abs(lat2)
+    far, near = F.when(swap, lat2).otherwise(lat1), F.when(swap, lat1).otherwise(lat2)
+    flip = F.when(far > 0, -1.0).otherwise(1.0)
+    turn = F.radians(F.abs(F.pmod(lon2 - lon1 + 180.0, F.lit(360.0)) - 180.0))
+    # A first place on the equator is moved south by a millionth of a metre, so that bearings order the lines.
+    b1 = F.least(F.atan(F.lit(1 - f) * F.tan(F.radians(far * flip))), F.lit(-1.5e-13))
+    b2 = F.atan(F.lit(1 - f) * F.tan(F.radians(near * flip)))
+    given = F.struct(F.sin(b1).alias("s1"), F.cos(b1).alias("c1"), F.sin(b2).alias("s2"), F.cos(b2).alias("c2"), turn.alias("turn"))
+
+    def settled(p: Column) -> Column:
+        def step(acc: Column, _: Column) -> Column:
+            new = _around(p, acc["w"], lambda line: p["turn"] + _lag(line, f))
+            return let(new, lambda w: F.struct(w.alias("w"), F.abs(w - acc["w"]).alias("change")))
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(12)), F.struct(p["turn"].alias("w"), F.lit(1.0).alias("change")), step)
+
+    def halved(p: Column) -> Column:
+        def step(acc: Column, _: Column) -> Column:
+            middle = (acc["low"] + acc["high"]) / 2
+            over = _leaving(p, middle, lambda line, gained: gained - _lag(line, f)) > p["turn"]
+            return F.when(over, F.struct(acc["low"].alias("low"), middle.alias("high"))).otherwise(F.struct(middle.alias("low"), acc["high"].alias("high")))
+
+        ends = F.struct(F.lit(-math.pi / 2).alias("low"), F.lit(math.pi / 2).alias("high"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(110)), ends, step, lambda acc: (acc["low"] + acc["high"]) / 2)
+
+    def solve(p: Column) -> Column:
+        def finish(found: Column) -> Column:
+            opposite = let(halved(p), lambda v: _leaving(p, v, lambda line, _: _metres(line, f)))
+            return F.when((found["change"] < 1e-12) & (found["w"] <= math.pi), _around(p, found["w"], lambda line: _metres(line, f))).otherwise(opposite)
+
+        return let(settled(p), finish)
+
+    known = lon1.isNotNull() & lat1.isNotNull() & lon2.isNotNull() & lat2.isNotNull()
+    return F.when(known, let(given, solve))
 
 
 def geodesic_miles(line: Column) -> Column:
-    """Length in miles of a line whose vertices are x = longitude, y = latitude."""
-    return _fold_pairs(line, lambda a, b: haversine_miles(a["x"], a["y"], b["x"], b["y"]))
+    """Length in miles, on the ellipsoid, of a line whose vertices are x = longitude, y = latitude."""
+    return _fold_pairs(line, lambda a, b: geodesic_metres(a["x"], a["y"], b["x"], b["y"]) / METRES_PER_MILE)
 
 
 def ring_cross(ring: Column) -> Column:
@@ -131,40 +229,75 @@ US_FOOT = 1200.0 / 3937.0
 
 
 def _meridian(lat, e2: float, sin):
-    """Distance along the meridian from the equator, to the sixth power of the eccentricity."""
-    e4, e6 = e2 * e2, e2 ** 3
+    """Distance along the meridian from the equator, to the eighth power of the eccentricity."""
+    e4, e6, e8 = e2 * e2, e2 ** 3, e2 ** 4
     return GRS80_A * (
-        (1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256) * lat
-        - (3 * e2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024) * sin(2 * lat)
-        + (15 * e4 / 256 + 45 * e6 / 1024) * sin(4 * lat)
-        - (35 * e6 / 3072) * sin(6 * lat)
+        (1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256 - 175 * e8 / 16384) * lat
+        - (3 * e2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024 + 105 * e8 / 4096) * sin(2 * lat)
+        + (15 * e4 / 256 + 45 * e6 / 1024 + 525 * e8 / 16384) * sin(4 * lat)
+        - (35 * e6 / 3072 + 175 * e8 / 12288) * sin(6 * lat)
+        + (315 * e8 / 131072) * sin(8 * lat)
     )
 
 
+def _radii(lat: Column) -> tuple[Column, Column]:
+    """Radii of curvature along the meridian and across it."""
+    e2 = GRS80_F * (2 - GRS80_F)
+    w = 1 - F.lit(e2) * F.pow(F.sin(lat), 2)
+    return F.lit(GRS80_A * (1 - e2)) / F.pow(w, 1.5), F.lit(GRS80_A) / F.sqrt(w)
+
+
 def transverse_mercator(lon: Column, lat: Column, lon0: float, lat0: float, k0: float, fe: float, fn: float) -> Column:
-    """Projected struct<x, y> in metres from degrees (series of Snyder's manual)."""
+    """Projected struct<x, y> in metres from degrees, by the series in the longitude to its eighth power."""
     e2 = GRS80_F * (2 - GRS80_F)
-    ep2 = e2 / (1 - e2)
-    phi = F.radians(lat)
-    n = F.lit(GRS80_A) / F.sqrt(1 - F.lit(e2) * F.pow(F.sin(phi), 2))
-    t = F.pow(F.tan(phi), 2)
-    c = F.lit(ep2) * F.pow(F.cos(phi), 2)
-    a = (F.radians(lon) - F.lit(math.radians(lon0))) * F.cos(phi)
+    phi, w = F.radians(lat), F.radians(lon) - F.lit(math.radians(lon0))
+    rho, nu = _radii(phi)
+    psi, t2 = nu / rho, F.pow(F.tan(phi), 2)
+    t4, t6, a2 = t2 * t2, t2 * t2 * t2, F.pow(w * F.cos(phi), 2)
     m = _meridian(phi, e2, F.sin)
     m0 = _meridian(math.radians(lat0), e2, math.sin)
-    x = F.lit(k0) * n * (
-        a + (1 - t + c) * F.pow(a, 3) / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * F.pow(a, 5) / 120
+    x = F.lit(k0) * nu * w * F.cos(phi) * (
+        1 + a2 / 6 * (psi - t2)
+        + a2 * a2 / 120 * (4 * F.pow(psi, 3) * (1 - 6 * t2) + F.pow(psi, 2) * (1 + 8 * t2) - 2 * psi * t2 + t4)
+        + F.pow(a2, 3) / 5040 * (61 - 479 * t2 + 179 * t4 - t6)
     )
     y = F.lit(k0) * (
         m - F.lit(m0)
-        + n * F.tan(phi) * (
-            a * a / 2 + (5 - t + 9 * c + 4 * c * c) * F.pow(a, 4) / 24
-            + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * F.pow(a, 6) / 720
+        + nu * F.tan(phi) * a2 / 2 * (
+            1 + a2 / 12 * (4 * psi * psi + psi - t2)
+            + a2 * a2 / 360 * (8 * F.pow(psi, 4) * (11 - 24 * t2) - 28 * F.pow(psi, 3) * (1 - 6 * t2) + F.pow(psi, 2) * (1 - 32 * t2) - 2 * psi * t2 + t4)
+            + F.pow(a2, 3) / 20160 * (1385 - 3111 * t2 + 543 * t4 - t6)
         )
     )
     return F.struct((x + fe).alias("x"), (y + fn).alias("y"))
 
 
+def inverse_transverse_mercator(x: Column, y: Column, lon0: float, lat0: float, k0: float, fe: float, fn: float) -> Column:
+    """Degrees struct<x, y> of a projected place in metres.
+
+    The projection itself is corrected until it meets the place: each round moves the
+    degrees by what is left, over the local scale, which takes two digits off the rest.
+    """
+    given = F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    def corrected(p: Column) -> Column:
+        start = F.lit(lat0) + F.degrees((p["y"] - fn) / F.lit(k0 * GRS80_A))
+        first = F.struct((F.lit(lon0) + F.degrees((p["x"] - fe) / (F.lit(k0 * GRS80_A) * F.cos(F.radians(start))))).alias("x"), start.alias("y"))
+
+        def step(at: Column, _: Column) -> Column:
+            met = transverse_mercator(at["x"], at["y"], lon0, lat0, k0, fe, fn)
+            rho, nu = _radii(F.radians(at["y"]))
+            # The grid is turned against the meridian by the convergence; the rest is turned back before it is taken off.
+            bend = F.radians(at["x"] - lon0) * F.sin(F.radians(at["y"]))
+            dx, dy = p["x"] - met["x"], p["y"] - met["y"]
+            return F.struct((at["x"] + F.degrees((dx * F.cos(bend) - dy * F.sin(bend)) / (F.lit(k0) * nu * F.cos(F.radians(at["y"]))))).alias("x"),
+                            (at["y"] + F.degrees((dx * F.sin(bend) + dy * F.cos(bend)) / (F.lit(k0) * rho))).alias("y"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(10)), first, step)
+
+    return F.when(x.isNotNull() & y.isNotNull(), let(given, corrected))
+
+
 def project(lon: Column, lat: Column, epsg: int) -> Column:
     """Point from degrees in one of the known reference systems: 4326, 3857, 6437 (metres), 2881 (US feet)."""
     if epsg == 4326:
@@ -180,6 +313,28 @@ def project(lon: Column, lat: Column, epsg: int) -> Column:
     raise ValueError(f"unknown reference system {epsg}")
 
 
+def unproject(x: Column, y: Column, epsg: int) -> Column:
+    """Degrees struct<x, y> of a point in one of the known reference systems."""
+    if epsg == 4326:
+        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    if epsg == 3857:
+        lat = 2 * F.atan(F.exp(y / F.lit(GRS80_A))) - F.lit(math.pi / 2)
+        return F.struct(F.degrees(x / F.lit(GRS80_A)).alias("x"), F.degrees(lat).alias("y"))
+    if epsg in (6437, 2881):
+        scale = 1.0 if epsg == 6437 else US_FOOT
+        return inverse_transverse_mercator(x * F.lit(scale), y * F.lit(scale), **FLORIDA_EAST)
+    raise ValueError(f"unknown reference system {epsg}")
+
+
+def reproject(x: Column, y: Column, from_epsg: int, to_epsg: int) -> Column:
+    """Point of one known reference system in another."""
+    if from_epsg == to_epsg:
+        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    if from_epsg == 4326:
+        return project(x, y, to_epsg)
+    return let(unproject(x, y, from_epsg), lambda p: project(p["x"], p["y"], to_epsg))
+
+
 # --- bounding boxes -------------------------------------------------------
 
 STUDY_GROWTH = 1609.34  # about a mile, so that networks are whole at the edge of a study area

@@ -14,6 +14,7 @@ from arealens.operators.joins import merge_layers, update
 from arealens.operators.aggregate import pivot_sum
 from arealens.plans.queries import register, rounded
 from arealens.plans.standins import run_sql, table, view, with_views
+from arealens.sources.writers import to_points
 
 
 def boxes(df, key: str):
@@ -197,10 +198,28 @@ def walk_geometry(spark, sf):
         F.round(c("x") * c("y") / sc.SQFT_PER_ACRE, 8).alias("acres"))
 
 
-@register("geodesic_miles", """
-SELECT s_suppkey, round(2 * 3958.7613 * asin(sqrt(least(1.0, pow(sin(radians(dlat) / 2), 2)
-  + cos(radians(25.0 + (s_suppkey % 100) / 100.0)) * cos(radians(25.0 + (s_suppkey % 100) / 100.0 + dlat)) * pow(sin(radians(dlon) / 2), 2)))), 6) AS Bike_Miles
-FROM (SELECT s_suppkey, (1 + s_suppkey % 7) / 10.0 AS dlat, (1 + s_suppkey % 11) / 10.0 AS dlon FROM supplier)""")
+# The equations of a geodesic solved by Simpson's rule on their integrals, in sixteen rounds; the operator uses series.
+_F = "(1 / CAST(298.257222101 AS DOUBLE))"
+
+
+def _simpson(body: str) -> str:
+    return (f"list_sum(list_transform(range(0, 41), lambda i: (CASE WHEN i = 0 OR i = 40 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * "
+            f"{body.replace('@', f'(k2 * pow(sin(s1 + arc * i / 40), 2))')})) * arc / 120")
+
+
+_GEODESIC = f"""
+WITH RECURSIVE l AS (SELECT s_suppkey, atan((1 - {_F}) * tan(radians(25.0 + (s_suppkey % 100) / 100.0))) AS b1,
+  atan((1 - {_F}) * tan(radians(25.0 + (s_suppkey % 100) / 100.0 + (1 + s_suppkey % 7) / 10.0))) AS b2, radians((1 + s_suppkey % 11) / 10.0) AS turn FROM supplier),
+ w(s_suppkey, b1, b2, turn, w, n, k2, s1, arc) AS (SELECT s_suppkey, b1, b2, turn, turn, 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM l UNION ALL
+  SELECT s_suppkey, b1, b2, turn, turn + {_F} * sa * {_simpson(f'(2 - {_F}) / (1 + (1 - {_F}) * sqrt(1 + @))')}, n + 1, k2, s1, arc FROM (
+   SELECT *, (1 - sa * sa) * (1 / pow(1 - {_F}, 2) - 1) AS k2, atan2(sin(b1), cos(a1) * cos(b1)) AS s1 FROM (
+    SELECT s_suppkey, b1, b2, turn, n, a1, arc, sin(a1) * cos(b1) AS sa FROM (
+     SELECT s_suppkey, b1, b2, turn, n, atan2(cos(b2) * sin(w), cos(b1) * sin(b2) - sin(b1) * cos(b2) * cos(w)) AS a1,
+      acos(sin(b1) * sin(b2) + cos(b1) * cos(b2) * cos(w)) AS arc FROM w WHERE n < 16))))
+SELECT s_suppkey, round(6378137.0 * (1 - {_F}) * {_simpson('sqrt(1 + @)')} / 1609.344, 6) AS Bike_Miles FROM w WHERE n = 16"""
+
+
+@register("geodesic_miles", _GEODESIC)
 def geodesic_miles(spark, sf):
     c = F.col
     rows = table(spark, sf, "supplier").withColumns({
@@ -217,13 +236,37 @@ def web_mercator_points(spark, sf):
     return view(spark, sf, "v_points").select("id", F.round(p["x"], 4).alias("px"), F.round(p["y"], 4).alias("py"))
 
 
-@register("state_plane_points")
+# The projection by conformal latitude and the series in the third flattening; the operator uses the series in the longitude.
+_N = "(1 / (2 * CAST(298.257222101 AS DOUBLE) - 1))"
+_KRUEGER = {1: f"{_N} / 2 - 2 * pow({_N}, 2) / 3 + 5 * pow({_N}, 3) / 16 + 41 * pow({_N}, 4) / 180", 2: f"13 * pow({_N}, 2) / 48 - 3 * pow({_N}, 3) / 5 + 557 * pow({_N}, 4) / 1440",
+            3: f"61 * pow({_N}, 3) / 240 - 103 * pow({_N}, 4) / 140", 4: f"49561 * pow({_N}, 4) / 161280"}
+_CONFORMAL = f"sinh(atanh(sin(phi)) - 2 * sqrt({_N}) / (1 + {_N}) * atanh(2 * sqrt({_N}) / (1 + {_N}) * sin(phi)))"
+_RECTIFIED = f"0.999941177 * 6378137.0 / (1 + {_N}) * (1 + pow({_N}, 2) / 4 + pow({_N}, 4) / 64)"
+_GRID = f"""SELECT id, {_RECTIFIED} * (eta + {' + '.join(f'({a}) * cos({2 * j} * xi) * sinh({2 * j} * eta)' for j, a in _KRUEGER.items())}) AS e,
+  {_RECTIFIED} * (xi + {' + '.join(f'({a}) * sin({2 * j} * xi) * cosh({2 * j} * eta)' for j, a in _KRUEGER.items())}) AS n FROM (
+ SELECT id, atan2(t, cos(w)) AS xi, atanh(sin(w) / sqrt(1 + t * t)) AS eta FROM (SELECT id, w, {_CONFORMAL} AS t FROM q))"""
+
+
+@register("state_plane_points", with_views("v_points", f"""
+WITH q AS (SELECT id, radians(x / 1000 - 80.5 + 81) AS w, radians(y / 1000 + 25) AS phi FROM v_points UNION ALL SELECT -1, 0.0, radians(24 + CAST(20 AS DOUBLE) / 60)),
+ g AS ({_GRID})
+SELECT id, round((e + 200000) * 3937 / 1200, 3) AS px, round((n - (SELECT n FROM g WHERE id = -1)) * 3937 / 1200, 3) AS py FROM g WHERE id >= 0"""))
 def state_plane_points(spark, sf):
     c = F.col
     p = geo.project(c("x") / 1000 - 80.5, c("y") / 1000 + 25, 2881)
     return view(spark, sf, "v_points").select("id", F.round(p["x"], 3).alias("px"), F.round(p["y"], 3).alias("py"))
 
 
+@register("state_plane_to_mercator", with_views("v_points", """
+SELECT id, round(radians(x / 1000 - 80.5) * 6378137.0, 4) AS px, round(ln(tan(pi() / 4 + radians(y / 1000 + 25) / 2)) * 6378137.0, 4) AS py FROM v_points"""))
+def state_plane_to_mercator(spark, sf):
+    """Points in feet of the state plane, projected on to web Mercator through the degrees they stand for."""
+    c = F.col
+    feet = view(spark, sf, "v_points").select("id", geo.project(c("x") / 1000 - 80.5, c("y") / 1000 + 25, 2881).alias("p")).select("id", "p.x", "p.y")
+    out = to_points(feet, "x", "y", 2881, 3857)
+    return out.select("id", F.round("geometry.x", 4).alias("px"), F.round("geometry.y", 4).alias("py"))
+
+
 # Clip a line to a box: the share of the line between the later entry and the earlier exit.
 CLIP = ("greatest(0.0, least(1.0, (xmax - x1) / (x2 - x1), (ymax - y1) / (y2 - y1)) - greatest(0.0, (xmin - x1) / (x2 - x1), (ymin - y1) / (y2 - y1)))"
         " * sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))")

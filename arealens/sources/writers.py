@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.functions.geometry import project
+from arealens.functions.geometry import reproject
 
 
 def write_table(df: DataFrame, path: str, overwrite: bool = False, partition_by: Sequence[str] = (),
@@ -31,14 +31,8 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def to_points(df: DataFrame, x: str, y: str, from_epsg: int = 4326, to_epsg: int = 4326, out: str = "geometry") -> DataFrame:
-    """Point column from coordinate columns, reprojected from degrees if asked."""
-    if from_epsg == to_epsg:
-        point = F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    elif from_epsg == 4326:
-        point = project(F.col(x), F.col(y), to_epsg)
-    else:
-        raise ValueError("only degrees can be reprojected")
-    return df.withColumn(out, point)
+    """Point column from coordinate columns, reprojected between any two of the known systems (4326, 3857, 6437, 2881)."""
+    return df.withColumn(out, reproject(F.col(x), F.col(y), from_epsg, to_epsg))
 
 
 def publish(tables: Mapping[str, DataFrame], path: str, year_col: str = "Year") -> None:

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,7 +114,7 @@ def test_polygon_area_and_centroid(spark):
 def test_known_map_points(spark):
     # a degree of a meridian, and the origin of the state plane zone
     degree = ring((-80.2, 25.0), (-80.2, 26.0))
-    assert one(spark, g.geodesic_miles(degree)) == pytest.approx(2 * math.pi * g.EARTH_RADIUS_MILES / 360)
+    assert one(spark, g.geodesic_miles(degree)) == pytest.approx(110780.40 / 1609.344, rel=1e-6)
     p = one(spark, g.project(num(-81.0), num(24 + 20 / 60), 6437))
     assert (p["x"], p["y"]) == (pytest.approx(200000.0), pytest.approx(0.0, abs=1e-6))
     feet = one(spark, g.project(num(-80.0), num(26.0), 2881))
@@ -171,3 +172,52 @@ def test_dates_from_text(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = df.select("i", *[c.alias(n) for n, c in s.date_parts(s.date_from_text(F.col("t"))).items()])
     assert [tuple(r)[1:] for r in got.orderBy("i").collect()] == [(7, 3, 2019)] * 7 + [(None, None, None)] * 3
+
+
+# Lines whose length is published or follows from the ellipsoid's quarter meridian (10001965.729 m) and radius (6378137 m).
+WGS84 = 1 / 298.257223563
+LINES = [
+    (144 + 25 / 60 + 29.52440 / 3600, -(37 + 57 / 60 + 3.72030 / 3600), 143 + 55 / 60 + 35.38390 / 3600, -(37 + 39 / 60 + 10.15610 / 3600), None, 54972.271),
+    (0.0, 0.0, 0.0, 90.0, None, 10001965.729), (20.0, 90.0, -110.0, -90.0, None, 20003931.459), (0.0, 0.0, 180.0, 0.0, None, 20003931.459),
+    (10.0, 0.0, 11.0, 0.0, None, 6378137 * math.pi / 180), (-170.0, 0.0, 170.0, 0.0, None, 6378137 * math.pi / 9), (5.0, 12.0, 5.0, 12.0, None, 0.0),
+    (0.0, -30.0, 179.8, 29.9, WGS84, 19989832.827610), (0.0, -30.0, 180.0, 30.0, None, 20003931.459), (0.0, 40.0, 180.0, 50.0, None, 2 * 10001965.729 - 4429529.030 - 5540847.042),
+    (0.0, 0.0, 179.0, 0.0, None, 6378137 * math.pi * 179 / 180), (-73.8, 40.6, -0.5, 51.6, WGS84, 5551759.400),
+]
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_geodesic_lines_to_a_millimetre(spark, turned):
+    data = [(i, *((x2, y2, x1, y1) if turned else (x1, y1, x2, y2)), f is not None) for i, (x1, y1, x2, y2, f, _) in enumerate(LINES)]
+    df = spark.createDataFrame(data + [(99, None, 1.0, 2.0, 3.0, False)], "i int, x1 double, y1 double, x2 double, y2 double, wgs boolean")
+    ends = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
+    got = {r.i: r.m for r in df.select("i", F.when(F.col("wgs"), g.geodesic_metres(*ends, flattening=WGS84)).otherwise(g.geodesic_metres(*ends)).alias("m")).collect()}
+    assert got.pop(99) is None
+    for i, (*_, metres) in enumerate(LINES):
+        assert got[i] == pytest.approx(metres, abs=2e-3 if i == 9 else 1e-3), LINES[i]
+
+
+def test_geodesics_add_up_along_a_line_and_keep_the_triangle(spark):
+    rng = np.random.default_rng(4)
+    pts = rng.uniform((-180, -89, -180, -89, -180, -89), (180, 89, 180, 89, 180, 89), (150, 6)).tolist()
+    df = spark.createDataFrame(pts, "ax double, ay double, bx double, by double, cx double, cy double")
+    legs = [g.geodesic_metres(*[F.col(c) for c in cs]).alias(n) for n, cs in (("ab", ("ax", "ay", "bx", "by")), ("bc", ("bx", "by", "cx", "cy")), ("ac", ("ax", "ay", "cx", "cy")), ("ba", ("bx", "by", "ax", "ay")))]
+    for r in df.select(*legs).collect():
+        assert r.ab == pytest.approx(r.ba, abs=1e-4) and r.ac <= r.ab + r.bc + 1e-3 and 0 < r.ab <= 20003931.46
+
+
+def test_any_system_into_any_other(spark):
+    from arealens.functions.geometry import project, reproject, unproject
+
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame(rng.uniform((-82.5, 24.5), (-79.5, 31.0), (60, 2)).tolist() + [[None, 25.0]], "lon double, lat double")
+    for here in (4326, 3857, 6437, 2881):
+        for there in (4326, 3857, 6437, 2881):
+            out = df.select("lon", "lat", project(F.col("lon"), F.col("lat"), here).alias("a")).select("*", reproject(F.col("a.x"), F.col("a.y"), here, there).alias("b"))
+            out = out.select("lon", "a", "b", unproject(F.col("b.x"), F.col("b.y"), there).alias("d"), reproject(F.col("b.x"), F.col("b.y"), there, here).alias("c"), "lat").collect()
+            close = 1e-6 if here != 4326 else 1e-11
+            for r in out:
+                if r.lon is not None:
+                    assert r.c.x == pytest.approx(r.a.x, abs=close, rel=0) and r.c.y == pytest.approx(r.a.y, abs=close, rel=0)
+                    assert r.d.x == pytest.approx(r.lon, abs=1e-11, rel=0) and r.d.y == pytest.approx(r.lat, abs=1e-11, rel=0)
+    with pytest.raises(ValueError):
+        reproject(F.col("lon"), F.col("lat"), 4326, 9999)

@@ -97,8 +97,10 @@ def test_points(spark):
     df = spark.createDataFrame([(-81.0, 25.0)], "lon double, lat double")
     p = writers.to_points(df, "lon", "lat", 4326, 6437).first()["geometry"]
     assert p["x"] == pytest.approx(200000.0)
+    back = writers.to_points(df.select(F.lit(200000.0).alias("x"), F.lit(p["y"]).alias("y")), "x", "y", 6437, 4326).first()["geometry"]
+    assert (back["x"], back["y"]) == (pytest.approx(-81.0), pytest.approx(25.0))
     with pytest.raises(ValueError):
-        writers.to_points(df, "lon", "lat", 3857, 6437)
+        writers.to_points(df, "lon", "lat", 1, 6437)
 
 
 @pytest.mark.parametrize("url,year,county", [
