@@ -86,11 +86,11 @@ def test_publish_replaces_only_its_years_and_keeps_the_old_on_failure(spark, tmp
     writers.publish({"t": year(2018, 1)}, path)
     writers.publish({"t": year(2019, 2)}, path)
     writers.publish({"t": year(2019, 3)}, path)
-    assert rows(spark.read.parquet(f"{path}/t").select("Year", "v")) == [(2018, 1), (2019, 3)]
+    assert rows(writers.read_published(spark, path, "t").select("Year", "v")) == [(2018, 1), (2019, 3)]
     broken = year(2019, 9).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
     with pytest.raises(Exception, match="broken"):
         writers.publish({"t": year(2018, 7), "u": broken}, path)
-    assert rows(spark.read.parquet(f"{path}/t").select("Year", "v")) == [(2018, 1), (2019, 3)]
+    assert rows(writers.read_published(spark, path, "t").select("Year", "v")) == [(2018, 1), (2019, 3)]
 
 
 def test_points(spark):
@@ -145,23 +145,74 @@ def test_codes_and_derivations(spark):
     assert catalog.derive_commute(catalog.rename_codes(none, catalog.COMMUTE_TABLE, catalog.COMMUTE_CODES)).first()["SOV_Share"] is None
 
 
-def test_publish_puts_the_old_result_back_when_a_later_write_fails(spark, tmp_path, monkeypatch):
+def test_a_driver_lost_between_any_two_steps_leaves_the_old_set(spark, tmp_path, monkeypatch):
     path, one = str(tmp_path / "out"), spark.createDataFrame([(1, 2018), (2, 2019)], "k int, Year int")
     writers.publish({"a": one, "b": one}, path)
-    replace = writers._replace
+    new = spark.createDataFrame([(9, 2019), (9, 2020)], "k int, Year int")
+    steps = {"n": 0, "stop": None}
+
+    class Lost(BaseException):
+        """The driver's end: nothing after it runs."""
+
+    def step(fn, after):
+        def run(*args, **kwargs):
+            steps["n"] += 1
+            if steps["n"] == steps["stop"] and not after:
+                raise Lost
+            out = fn(*args, **kwargs)
+            if steps["n"] == steps["stop"]:
+                raise Lost
+            return out
+        return run
+
+    from pyspark.sql.readwriter import DataFrameWriter
+    write, manifest = DataFrameWriter.parquet, writers._write_manifest
+
+    def attempt(stop, after):
+        steps.update(n=0, stop=stop)
+        monkeypatch.setattr(DataFrameWriter, "parquet", step(write, after))
+        monkeypatch.setattr(writers, "_write_manifest", step(manifest, after))
+        try:
+            writers.publish({"a": new, "b": new, "c": new}, path)
+            return False
+        except Lost:
+            return True
+        finally:
+            monkeypatch.setattr(DataFrameWriter, "parquet", write)
+            monkeypatch.setattr(writers, "_write_manifest", manifest)
+
+    def found():
+        return {n: rows(writers.read_published(spark, path, n), "k", "Year") for n in writers.published(spark, path)}
+
+    old = {n: [(1, 2018), (2, 2019)] for n in ("a", "b")}
+    # Three tables and the manifest: ended before or after each of the writes, and before the manifest.
+    for stop, after in [(1, False), (1, True), (2, False), (2, True), (3, False), (3, True), (4, False)]:
+        assert attempt(stop, after) and found() == old
+    assert not attempt(None, False)
+    changed = [(1, 2018), (9, 2019), (9, 2020)]
+    assert found() == {"a": changed, "b": changed, "c": [(9, 2019), (9, 2020)]}
+
+
+def test_a_half_written_manifest_is_not_read_and_two_writers_do_not_mix(spark, tmp_path):
+    path, one = str(tmp_path / "out"), spark.createDataFrame([(1, 2018)], "k int, Year int")
+    writers.publish({"a": one}, path)
+    (tmp_path / "out" / "manifests" / "draft-1").write_text('{"a": ')
+    assert rows(writers.read_published(spark, path, "a"), "k", "Year") == [(1, 2018)]
+    with pytest.raises(RuntimeError):
+        writers._write_manifest(spark, path, 1, {})
+    with pytest.raises(ValueError):
+        writers.read_published(spark, path, "b")
 
-    def breaks(df, target, year_col):
-        replace(df, target, year_col)
-        if target.endswith("b"):
-            raise OSError("no space")
 
-    monkeypatch.setattr(writers, "_replace", breaks)
-    new = spark.createDataFrame([(9, 2019), (9, 2020)], "k int, Year int")
-    with pytest.raises(OSError):
-        writers.publish({"a": new, "b": new, "c": new}, path)
-    for name in ("a", "b"):
-        assert rows(spark.read.parquet(f"{path}/{name}"), "k", "Year") == [(1, 2018), (2, 2019)]
-    monkeypatch.setattr(writers, "_replace", replace)
-    writers.publish({"a": new}, path)
-    assert rows(spark.read.parquet(f"{path}/a"), "k", "Year") == [(1, 2018), (9, 2019), (9, 2020)]
-    assert not [p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("_staging")]
+def test_published_tables_keep_columns_null_years_and_recent_folders(spark, tmp_path):
+    path = str(tmp_path / "out")
+    writers.publish({"a": spark.createDataFrame([(1, 2018, "x"), (2, None, "y")], "k int, Year int, old string"), "w": spark.range(3)}, path)
+    writers.publish({"a": spark.createDataFrame([(3, 2019, 0.5)], "k int, Year int, new double")}, path)
+    assert rows(writers.read_published(spark, path, "a"), "k", "Year", "old", "new") == [(1, 2018, "x", None), (2, None, "y", None), (3, 2019, None, 0.5)]
+    writers.publish({"a": spark.createDataFrame([(4, None, 1.5), (5, 2018, 2.5)], "k int, Year int, new double"), "w": spark.range(1)}, path)
+    assert rows(writers.read_published(spark, path, "a"), "k", "Year", "new") == [(3, 2019, 0.5), (4, None, 1.5), (5, 2018, 2.5)]
+    writers.publish({"w": spark.range(2)}, path)
+    assert rows(writers.read_published(spark, path, "w")) == [(0,), (1,)]
+    left = sorted(p.name for p in (tmp_path / "out" / "manifests").iterdir() if not p.name.startswith("."))
+    assert left == ["000000000003.json", "000000000004.json"]
+    writers.publish({}, path)
