@@ -9,7 +9,7 @@ from arealens.functions import scalar as sc
 from arealens.operators import areas as ar
 from arealens.operators import network as nw
 from arealens.operators import spatial as sp
-from arealens.operators.aggregate import zonal_imperviousness
+from arealens.operators.aggregate import diversity, zonal_imperviousness
 from arealens.operators.joins import merge_layers, update
 from arealens.operators.aggregate import pivot_sum
 from arealens.plans.queries import register, rounded
@@ -410,6 +410,29 @@ def floating_zones(spark, sf):
     return rounded(ar.floating_zones(view(spark, sf, "v_targets"), "target", "tx", "ty", 90.0), 6)
 
 
+_AROUND = "FROM v_points a JOIN v_points b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 150"
+
+
+def _around(spark, sf, by=()):
+    points = view(spark, sf, "v_points")
+    return ar.floating_sums(points, points, "id", "x", "y", "x", "y", 150.0, ["w"], by)
+
+
+@register("floating_zone_sums", with_views("v_points", f"SELECT a.id AS zone, round(sum(b.w), 2) AS w, count(*) AS n {_AROUND} GROUP BY 1"))
+def floating_zone_sums(spark, sf):
+    return rounded(_around(spark, sf), 2)
+
+
+@register("floating_zone_diversity", with_views("v_points", f"""
+WITH s AS (SELECT a.id AS zone, b.cls, CAST(count(*) AS DOUBLE) AS n {_AROUND} GROUP BY 1, 2), t AS (SELECT *, n / sum(n) OVER (PARTITION BY zone) AS p FROM s)
+SELECT zone, round(1 - sum(n * (n - 1)) / nullif(sum(n) * (sum(n) - 1), 0), 6) + 0.0 AS "Simpson", round(-sum(p * ln(p)) / ln(5.0), 6) + 0.0 AS "Shannon", round(1 - (max(p) - 0.2) / 0.8, 6) + 0.0 AS "BergerParker",
+ round((1 / sum(p * p) - 1) / 4.0, 6) + 0.0 AS "ENP" FROM t GROUP BY 1"""))
+def floating_zone_diversity(spark, sf):
+    """Mix of classes around every point, five classes in all."""
+    out = rounded(diversity(_around(spark, sf, ["cls"]), "zone", "cls", "n", 5), 6)
+    return out.withColumns({c: F.col(c) + 0.0 for c in ("Simpson", "Shannon", "BergerParker", "ENP")})
+
+
 @register("merged_layers", with_views("v_points v_targets", """
 SELECT 'parks' AS layer, id, x, y, cls FROM v_points UNION ALL SELECT 'stations', target, tx, ty, NULL FROM v_targets"""))
 def merged_layers(spark, sf):

@@ -282,3 +282,37 @@ def test_rasterise_by_crossings(spark):
                 want[row, col] = max(inside)
     assert got == {(k, r, c) for (r, c), k in want.items()}
     assert raster.rasterise(closed(spark).limit(0), "poly", "rings", 7.0).count() == 0
+
+
+@pytest.mark.parametrize("radius,fine,forced", [(25.0, 16, False), (25.0, 1, False), (3.0, 4, False), (400.0, 32, False), (25.0, 5, True)])
+def test_floating_sums_equal_the_list_of_pairs(spark, request, radius, fine, forced):
+    if forced:
+        request.getfixturevalue("force_split")
+    rng = np.random.default_rng(int(radius) + fine)
+    spots = [(i, float(x), float(y), float(i % 9), "abc"[i % 3]) for i, (x, y) in enumerate(rng.uniform(-50, 50, (40 if forced else 200, 2)))]
+    # Many at one place, some exactly on the edge, on cell borders, and without a place.
+    spots += [(1000 + i, 10.0, 10.0, 1.0, "a") for i in range(30)] + [(2000, 10.0 + radius, 10.0, 2.0, "b"), (2001, 10.0, 10.0 - radius, 3.0, None), (2002, 0.0, 0.0, None, "c")]
+    df = spark.createDataFrame(spots + [(3000, None, 1.0, 5.0, "a")], "id int, x double, y double, w double, cls string")
+    zones = df.where("id % 4 = 0 or id >= 2000").select(F.col("id").alias("z"), F.col("x").alias("cx"), F.col("y").alias("cy"))
+    got = {(r.zone, r.cls): (r.w, r.n) for r in areas.floating_sums(df, zones, "z", "cx", "cy", "x", "y", radius, ["w"], ["cls"], fine=fine).collect()}
+    want = {}
+    for z, zx, zy, *_ in spots:
+        if z % 4 == 0 or z >= 2000:
+            for _, x, y, w, cls in spots:
+                if math.sqrt((x - zx) ** 2 + (y - zy) ** 2) <= radius:
+                    total, n = want.get((z, cls), (None, 0))
+                    want[z, cls] = (total if w is None else (total or 0) + w, n + 1)
+    assert set(got) == set(want)
+    for k, (w, n) in want.items():
+        assert got[k][1] == n and got[k][0] == (pytest.approx(w) if w is not None else None)
+
+
+def test_few_features_are_measured(spark):
+    """Of a dense square, only features in cells on the edge of a circle are measured one by one."""
+    df = spark.range(40_000).select((F.col("id") % 200 + 0.5).alias("x"), (F.floor(F.col("id") / 200) + 0.5).alias("y"))
+    zone = spark.createDataFrame([(1, 100.0, 100.0)], "zone int, zx double, zy double")
+    cover = areas._cover(zone, 90.0, 90.0 / 32, 5).collect()
+    edge = [r for r in cover if not r.inner]
+    assert len(cover) < 1000 and len(edge) * (90 / 32) ** 2 < 0.15 * math.pi * 90 ** 2
+    assert areas.floating_sums(df, zone, "zone", "zx", "zy", "x", "y", 90.0, [], fine=32).first()["n"] == sum(
+        (i + 0.5 - 100) ** 2 + (j + 0.5 - 100) ** 2 <= 8100 for i in range(200) for j in range(200))
