@@ -57,6 +57,18 @@ def json_lists(spark, sf):
     return rd.json_table(docs, "text", T.StructType([T.StructField("id", T.LongType()), T.StructField("price", T.DoubleType())]))
 
 
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@register("flatten_maps", "SELECT c_custkey AS id, " + ", ".join(
+    f"""CASE WHEN c_mktsegment = '{s}' THEN c_nationkey END AS "by/{s}/nation", CASE WHEN c_mktsegment = '{s}' THEN c_acctbal END AS "by/{s}/sums/bal" """ for s in _SEGMENTS) + " FROM customer")
+def flatten_maps(spark, sf):
+    """A map of structs that hold maps, its keys taken from the data."""
+    entry = F.struct(F.col("c_nationkey").alias("nation"), F.create_map(F.lit("bal"), F.col("c_acctbal")).alias("sums"))
+    nested = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.create_map(F.col("c_mktsegment"), entry).alias("by"))
+    return rd.flatten_columns(nested)
+
+
 @register("flatten_paths", """SELECT c_custkey AS "id", c_nationkey AS "place/nation", c_mktsegment AS "place/market/segment" FROM customer""")
 def flatten_paths(spark, sf):
     nested = table(spark, sf, "customer").select(

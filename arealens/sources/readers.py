@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import csv
+import gzip
+import io
+import itertools
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arealens.functions.scalar import thousands
 from arealens.skew import number_rows
 
+UNPACKED_ROWS = 5_000
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
              columns: Sequence[str] | None = None, renames: Mapping[str, str] | None = None,
@@ -34,6 +41,41 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return df.withColumnsRenamed(dict(renames or {}))
 
 
+def read_sniffed_csv(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str] | None = None,
+                     renames: Mapping[str, str] | None = None, with_separators: Sequence[str] = ()) -> DataFrame:
+    """CSV files with a header, of which some may be gzip under any name, told by their first bytes.
+
+    Plain files go through `read_csv` and are split. A gzip file cannot be split: one task
+    holds its compressed bytes and unpacks them as a stream, a few thousand rows at a time.
+    Fields follow the header's names; fields a file lacks are null, others are left out.
+    """
+    files = gzip_files(spark, path).select("path", "is_gzip").collect()  # names of files only
+    plain, packed = [r["path"] for r in files if not r["is_gzip"]], [r["path"] for r in files if r["is_gzip"]]
+    parts = [read_csv(spark, plain, schema, None, None, with_separators)] if plain else []
+    if packed:
+        names = schema.names
+
+        def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kind = pa.schema([(n, pa.string()) for n in names])
+            for batch in batches:
+                for content in batch["content"]:
+                    lines = csv.reader(io.TextIOWrapper(gzip.GzipFile(fileobj=pa.BufferReader(content.as_buffer())), "utf-8-sig", newline=""))
+                    header = next(lines, [])
+                    at = [header.index(n) if n in header else None for n in names]
+                    while rows := list(itertools.islice(lines, UNPACKED_ROWS)):
+                        yield pa.RecordBatch.from_arrays([pa.array([
+                            (r[i] or None) if i is not None and i < len(r) else None for r in rows if r], pa.string()) for i in at], schema=kind)
+
+        texts = spark.read.format("binaryFile").load(packed).select("content").mapInArrow(unpack, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        parts.append(texts.select(*[
+            (thousands(F.col(f.name), f.dataType.simpleString()) if f.name in with_separators else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+            for f in schema.fields]))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = reduce(lambda a, b: a.unionByName(b), parts)
+    return (out.select(*columns) if columns else out).withColumnsRenamed(dict(renames or {}))
+
+
 def gzip_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file with a flag telling whether its content is gzip, whatever its name.
 
@@ -111,18 +153,34 @@ def screen_json(df: DataFrame, text: str, schema: T.StructType) -> tuple[DataFra
     return good, parsed.where(broken).select(*df.columns)
 
 
-def flatten_columns(df: DataFrame, separator: str = "/") -> DataFrame:
-    """Nested struct fields as top-level columns named by their path."""
-    def walk(schema: T.StructType, prefix: tuple[str, ...]):
-        for f in schema.fields:
-            path = (*prefix, f.name)
-            if isinstance(f.dataType, T.StructType):
-                yield from walk(f.dataType, path)
-            else:
-                yield path
+def flatten_columns(df: DataFrame, separator: str = "/", most_keys: int = 200) -> DataFrame:
+    """Nested struct fields and map entries as top-level columns named by their path.
 
-    paths = list(walk(df.schema, ()))
-    return df.select(*[F.col(".".join(f"`{p}`" for p in path)).alias(separator.join(path)) for path in paths])
+    The keys of a map are looked up in the data, and make a column each, in order; a map with
+    more than `most_keys` of them is refused. Keys that name a field already are refused too.
+    """
+    def keys_of(value: Column) -> list:
+        seen = df.select(F.explode(F.map_keys(value)).alias("k")).distinct().limit(most_keys + 1).collect()
+        if len(seen) > most_keys:
+            raise ValueError(f"a map holds more than {most_keys} keys")
+        return sorted(r["k"] for r in seen)
+
+    def walk(value: Column, kind: T.DataType, path: tuple[str, ...]) -> Iterator[tuple[str, Column]]:
+        if isinstance(kind, T.StructType):
+            for f in kind.fields:
+                yield from walk(value.getField(f.name), f.dataType, (*path, f.name))
+        elif isinstance(kind, T.MapType):
+            for key in keys_of(value):
+                yield from walk(F.try_element_at(value, F.lit(key)), kind.valueType, (*path, str(key)))
+        else:
+            yield separator.join(path), value
+
+    found = [pair for f in df.schema.fields for pair in walk(F.col(f"`{f.name}`"), f.dataType, (f.name,))]
+    names = [n for n, _ in found]
+    double = sorted({n for n in names if names.count(n) > 1})
+    if double:
+        raise ValueError(f"paths that name two values: {double}")
+    return df.select(*[value.alias(name) for name, value in found])
 
 
 def promote_header(sheets: Sequence[DataFrame], order: str, renames: Mapping[str, str]) -> DataFrame:

@@ -216,3 +216,37 @@ def test_published_tables_keep_columns_null_years_and_recent_folders(spark, tmp_
     left = sorted(p.name for p in (tmp_path / "out" / "manifests").iterdir() if not p.name.startswith("."))
     assert left == ["000000000003.json", "000000000004.json"]
     writers.publish({}, path)
+
+
+def test_gzip_files_under_any_name_are_read(spark, tmp_path):
+    plain = 'F_TAZ,TIME,GEOID,X\n1,"1,234.5",007,a\n2,,008,"two\nlines"\n'
+    (tmp_path / "a.csv").write_text(plain.replace('"two\nlines"', "b"))
+    for name in ("b", "c.csv", "d.dat"):
+        (tmp_path / name).write_bytes(gzip.compress(plain.encode()))
+    (tmp_path / "e").write_bytes(gzip.compress("GEOID,F_TAZ\n009,5\n\nx,oops\n".encode()))
+    (tmp_path / "f").write_bytes(gzip.compress(b""))
+    schema = T.StructType([T.StructField("F_TAZ", T.IntegerType()), T.StructField("TIME", T.DoubleType()), T.StructField("GEOID", T.StringType()), T.StructField("X", T.StringType())])
+    out = readers.read_sniffed_csv(spark, str(tmp_path), schema, ["F_TAZ", "TIME", "GEOID", "X"], {"F_TAZ": "zone"}, ["TIME"])
+    assert out.columns == ["zone", "TIME", "GEOID", "X"] and [f.dataType for f in out.schema] == [f.dataType for f in schema]
+    two = [(1, 1234.5, "007", "a"), (2, None, "008", "two\nlines")]
+    want = two * 3 + [(1, 1234.5, "007", "a"), (2, None, "008", "b"), (5, None, "009", None), (None, None, "x", None)]
+    assert sorted(rows(out), key=str) == sorted(want, key=str)
+
+
+def test_unpacking_goes_on_in_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "UNPACKED_ROWS", 7)
+    (tmp_path / "big").write_bytes(gzip.compress(("n\n" + "\n".join(map(str, range(100)))).encode()))
+    out = readers.read_sniffed_csv(spark, str(tmp_path / "big"), T.StructType([T.StructField("n", T.LongType())]))
+    assert sorted(r.n for r in out.collect()) == list(range(100))
+
+
+def test_nested_maps_become_columns(spark):
+    data = [(1, {"a": (1, {"x": 0.5}), "b": (2, None)}, {1: "u"}), (2, {"c": (3, {"y": 1.5, "x": 2.5})}, None), (3, None, {2: "v"})]
+    df = spark.createDataFrame(data, "id int, m map<string,struct<n:int,d:map<string,double>>>, k map<int,string>")
+    out = readers.flatten_columns(df)
+    assert out.columns == ["id", "m/a/n", "m/a/d/x", "m/b/n", "m/c/n", "m/c/d/x", "m/c/d/y", "k/1", "k/2"]
+    assert rows(out) == [(1, 1, 0.5, 2, None, None, None, "u", None), (2, None, None, None, 3, 2.5, 1.5, None, None), (3, None, None, None, None, None, None, None, "v")]
+    with pytest.raises(ValueError, match="more than 2 keys"):
+        readers.flatten_columns(df, most_keys=2)
+    with pytest.raises(ValueError, match="two values"):
+        readers.flatten_columns(spark.createDataFrame([(1, {"b": 2})], "`a/b` int, a map<string,int>"))
