@@ -583,12 +583,9 @@ def test_pipeline_against_stages_by_hand(spark, tmp_path):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     model = quality.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
     kept = {i for i, r in docs.items() if model.score(r.text.encode()) >= quality.THRESHOLD}
-    prints = {i: fingerprint_by_hand(docs[i].text) for i in kept}
-    root, least = roots_by_hand(set(prints.values())), {}
-    for i, p in prints.items():
-        least[root[p]] = min(least.get(root[p], i), i)
+    least = near_copies_by_hand([(i, docs[i].text) for i in sorted(kept)])
     index = decontam.Index(*zip(*[(r.item_id, decontam.normalise(r.text)[0]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]), decontam.Q, decontam.EDIT_SHARE)
-    clean = {i for i in least.values() if not list(index.search(decontam.normalise(docs[i].text)[0]))}
+    clean = {i for i in least if not list(index.search(decontam.normalise(docs[i].text)[0]))}
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} == clean
     ends = collections.defaultdict(int)
