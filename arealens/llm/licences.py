@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 LEAST = 0.8
 ANCHORS = 3
+SPAN = 1 << 24
 BROADCAST_ROWS = 50_000
 #: Words of which two in a row tell nothing of a licence.
 COMMON = frozenset("a above all an and any are as at be by copies do following for from free have has if in is it limitation may no not of on or "
@@ -85,27 +86,42 @@ def _anchors(words: list[str], least: float) -> tuple[list[int], list[int]]:
     return by[:enough], sorted({*by[:enough], *telling, *range(min(ANCHORS, size))})
 
 
-def _windows(flat: Column, templates: tuple[tuple[str, str], ...], least: float) -> list[Column]:
-    """For each template, the pieces of a text that have its length around one of its bigrams."""
-    out = []
+def _places(templates: tuple[tuple[str, str], ...], least: float) -> tuple[dict[str, list[int]], list[str]]:
+    """Where bigrams place windows, as place in the template and its length in one number; and those of which a text with a match must hold one."""
+    places: dict[str, list[int]] = {}
+    needed: set[str] = set()
     for _, text in templates:
         words = template_words(text)
-        for j in _anchors(words, least)[1]:
-            anchor = f"{words[j]} {words[j + 1]}"
-            ahead = r"(?:[^ ]++ ){0,%d}" % j if j else ""
-            pattern = rf"(?<![^ ]){ahead}{anchor}(?![^ ])(?: [^ ]++){{0,{len(words) - 2 - j}}}+"
-            out.append(F.when(F.instr(flat, anchor) > 0, F.regexp_extract_all(flat, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    return out
+        enough, every = _anchors(words, least)
+        for j in every:
+            places.setdefault(f"{words[j]} {words[j + 1]}", []).append(j * SPAN + len(words))
+        needed |= {f"{words[j]} {words[j + 1]}" for j in {*enough, *range(min(ANCHORS, len(words) - 1))}}
+    return {p: sorted(set(v)) for p, v in places.items()}, sorted(needed)
 
 
-def _anchored(templates: tuple[tuple[str, str], ...], least: float) -> str:
-    """A pattern that finds in one pass, by first word and second, a bigram that a match must hold or one of the first."""
-    after: dict[str, set[str]] = {}
-    for _, text in templates:
-        words = template_words(text)
-        for j in {*_anchors(words, least)[0], *range(min(ANCHORS, len(words) - 1))}:
-            after.setdefault(words[j], set()).add(words[j + 1])
-    return "(?<![^ ])(?:" + "|".join(f"{a} (?:{'|'.join(sorted(b))})" for a, b in sorted(after.items())) + ")(?![^ ])"
+def _windows(words: Column, templates: tuple[tuple[str, str], ...], least: float, region: Callable[[Column, Column], Column]) -> Column:
+    """The pieces of a text, given as words, that have a template's length around one of its bigrams. Its bigrams are looked up once each."""
+    places, needed = _places(templates, least)
+    known = F.create_map(*[c for p, spans in places.items() for c in (F.lit(p), F.array(*[F.lit(v).cast("long") for v in spans]))])
+
+    def of(w: Column) -> Column:
+        def pair(i: Column) -> Column:
+            return F.concat(w[i], F.lit(" "), w[i + 1])
+
+        def span(i: Column, v: Column) -> Column:
+            """First word and number of words of a window, clipped to the text, in one number."""
+            first = i - F.floor(v / SPAN)
+            start = F.greatest(first, F.lit(0))
+            return start * SPAN + F.least(first + v % SPAN, F.size(w)) - start
+
+        def around(hits: Column) -> Column:
+            spans = F.array_distinct(F.flatten(F.transform(hits, lambda i: F.transform(F.element_at(known, pair(i)), lambda v: span(i, v)))))
+            return F.transform(spans, lambda v: region(F.slice(w, (F.floor(v / SPAN) + 1).cast("int"), (v % SPAN).cast("int")), (v % SPAN - 1).cast("int")))
+
+        hits = F.filter(F.sequence(F.lit(0), F.size(w) - 2), lambda i: pair(i).isin(list(places)))
+        return F.transform(F.array(hits), lambda h: F.when(F.exists(h, lambda i: pair(i).isin(needed)), around(h)))[0]
+
+    return F.coalesce(F.when(F.size(words) > 1, F.transform(F.array(words), of)[0]), F.filter(F.array(region(words, F.lit(0))), lambda r: F.lit(False)))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES,
@@ -121,13 +137,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     plain = F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", " ")
     sizes = sorted({len(template_words(t)) - 1 for _, t in templates})
 
-    def region(line: bool) -> Callable[[Column], Column]:
-        def of(x: Column) -> Column:
-            words = F.trim(x)
-            spaces = F.char_length(words) - F.char_length(F.translate(words, " ", ""))
-            return F.struct(F.lit(line).alias("line"), words.alias("words"), spaces.alias("n"))
+    def line(x: Column) -> Column:
+        words = F.trim(x)
+        spaces = F.char_length(words) - F.char_length(F.translate(words, " ", ""))
+        return F.struct(F.lit(True).alias("line"), words.alias("words"), spaces.alias("n"))
 
-        return of
+    def window(words: Column, n: Column) -> Column:
+        return F.struct(F.lit(False).alias("line"), F.array_join(words, " ").alias("words"), n.alias("n"))
 
     def fits(r: Column) -> Column:
         """Whether some template has a size within the bounds."""
@@ -135,12 +151,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         return reduce(lambda a, b: a | b, near)
 
     def regions_of(p: Column) -> Column:
-        lines = F.transform(F.split(p, "\n"), region(True))
-        flat = F.regexp_replace(p, r" ?\n[ \n]*", " ")
-        # A value bound by a lambda is computed once, however many templates look at it.
-        windows = F.flatten(F.transform(F.array(flat), lambda f: F.when(f.rlike(_anchored(templates, least)), F.array_distinct(F.concat(*_windows(f, templates, least)))).otherwise(
-            F.array().cast("array<string>"))))
-        return F.filter(F.concat(lines, F.transform(windows, region(False))), lambda r: fits(r))
+        lines = F.transform(F.split(p, "\n"), line)
+        words = F.split(F.trim(F.regexp_replace(p, r"[ \n]+", " ")), " ")
+        return F.filter(F.concat(lines, _windows(words, templates, least, window)), lambda r: fits(r))
 
     every = F.flatten(F.transform(F.array(plain), lambda p: regions_of(p)))
     own = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), every.alias("every"))
