@@ -136,16 +136,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield from _rows(out).to_batches()
 
     def estimate(table: pa.Table) -> pa.Table:
-        """Adds up the sketches of a shard and tells each block which of its codes may be repeated."""
-        asked = [(b, s, _undeltas(x)) for b, s, x in zip(*(table[c].to_pylist() for c in ("block", "shard", "body")))]
-        every = np.concatenate([x for _, _, x in asked])
-        rows = [np.bincount(c, minlength=1 << ROW_BITS) for c in _cells(every)]
+        """Adds up the sketches of a shard, as far as two, and tells each block which of its codes may be repeated."""
+        asked = [(b, s, _undeltas(x).astype(np.uint32)) for b, s, x in zip(*(table[c].to_pylist() for c in ("block", "shard", "body")))]
+        # Only whether a cell was met twice matters, so two flags a cell do for its count.
+        twice = [np.zeros(1 << ROW_BITS, bool) for _ in range(2)]
+        for row, met in enumerate(twice):
+            once = np.zeros(1 << ROW_BITS, bool)
+            for _, _, codes in asked:
+                cells, n = np.unique(_cells(codes)[row], return_counts=True)
+                met[cells[once[cells] | (n > 1)]] = True
+                once[cells] = True
         out = []
         for block, shard, codes in asked:
             a, b = _cells(codes)
-            twice = np.minimum(rows[0][a], rows[1][b]) >= 2
-            if twice.any():
-                out.append((block, shard, np.packbits(twice).tobytes()))
+            repeated = twice[0][a] & twice[1][b]
+            if repeated.any():
+                out.append((block, shard, np.packbits(repeated).tobytes()))
         return _rows(out)
 
     def maybe(own: _Windows, answers: dict[int, bytes]) -> np.ndarray:
