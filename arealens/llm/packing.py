@@ -112,7 +112,8 @@ class Encoder:
     """Token ids of texts by a byte-level vocabulary file.
 
     Texts of ASCII and Latin letters, which both libraries class alike, go through the faster
-    of the two over the same vocabulary; any other text goes through the one the file is for.
+    of the two over the same vocabulary; any other text, and any that spells a special token,
+    goes through the one the file is for, as it is.
     """
 
     def __init__(self, path: str):
@@ -124,15 +125,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        special = set(self.tokenizer.get_added_tokens_decoder())
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.spellings = [token.content for token in special.values()]
         shown = _byte_letters()
         ranks = {bytes(shown[c] for c in token): i for token, i in self.tokenizer.get_vocab().items() if i not in special}
         self.twin = tiktoken.Encoding("twin", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a text, without special tokens, as little-endian unsigned 32-bit numbers."""
-        if PLAIN(text):
+        """Ids of a text, no special tokens added to it, as little-endian unsigned 32-bit numbers."""
+        if PLAIN(text) and not any(s in text for s in self.spellings):
             return np.array(self.twin.encode_ordinary(text), "<u4")
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 

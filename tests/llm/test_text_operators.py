@@ -73,7 +73,6 @@ def test_packing(docs, rows):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     want = []
     for i, t in rows:
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
@@ -93,6 +92,19 @@ def test_packing(docs, rows):
     assert len(sequences) <= math.ceil(sum(x[3] for x in want) / 2048) + 2
 
 
+def test_packing_takes_the_tokenizer_as_it_is(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    texts = [f"x {s} y" for s in special] + [f"é{s}{s} 日本" for s in special] + [special[0][:-1], special[0].upper(), "no mark"]
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pack_documents(table(spark, list(enumerate(texts))), path).collect()}
+    for i, t in enumerate(texts):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 0]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_packing_plan(seed):
     rng = random.Random(seed)
