@@ -4,7 +4,9 @@ Method: q-gram lemma filtering. A region of a document that is an item of length
 most e edits shares at least n - q + 1 - q * e character q-grams with it, all on diagonals
 (document position less item position) within 2e of each other. Shared q-grams are counted
 in overlapping bands of diagonals; bands that meet the bound are verified by a banded
-alignment of the whole item.
+alignment of the whole item. Grams are of ten characters; an item too short for its bound
+to be met with those takes the longest grams that leave one to share, and an item shorter
+than ten characters is one gram, found as it stands between word borders.
 
 The items are normalised and put into an index of sorted q-gram hashes. Items are handled in
 slices of at most `SLICE_CHARS` characters, one pass over the documents each, so what is
@@ -17,11 +19,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealens.llm.common import chunked, stored
+from arealens.llm.common import chunked
 
 Q = 10
 EDIT_SHARE = 0.08
@@ -64,6 +67,11 @@ def grams(points: np.ndarray, q: int) -> np.ndarray:
     return h * ODD
 
 
+def gram_size(size: int, q: int, share: float) -> int:
+    """The longest grams of at most `q` characters of which an item with all its edits still shares one."""
+    return max(1, min(q, size // (int(share * size) + 1)))
+
+
 def edits_within(item: np.ndarray, text: np.ndarray, centre: int, band: int, most: int) -> tuple[int, int, int] | None:
     """Least edits that turn `item` into a piece of `text`, on diagonals within `band` of `centre`: (edits, start, end).
 
@@ -98,14 +106,32 @@ def edits_within(item: np.ndarray, text: np.ndarray, centre: int, band: int, mos
     return (int(cost[k]), int(start[k]), int(ends[k])) if cost[k] <= most else None
 
 
-@dataclass
 class Index:
-    """Normalised items, the sorted hashes of their q-grams with item and position, and a bit filter over the hashes."""
+    """Normalised items by the size of their grams."""
+
+    def __init__(self, ids: list[int], items: list[np.ndarray], q: int, share: float):
+        self.ids, self.items = ids, items
+        sizes = np.array([gram_size(len(x), q, share) for x in items], int)
+        self.parts = []
+        for size in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == size).tolist()
+            self.parts.append((at, Grams([items[k] for k in at], size, share, q)))
+
+    def search(self, points: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(item, start, end, edits) of each item found in a normalised text, its best place only."""
+        for at, part in self.parts:
+            for k, start, end, edits in part.search(points):
+                yield at[k], start, end, edits
+
+
+@dataclass
+class Grams:
+    """Items with grams of one size: the sorted hashes of the grams with item and position, and a bit filter over the hashes."""
 
-    ids: list[int]
     items: list[np.ndarray]
     q: int
     share: float
+    whole_words: int  # items shorter than this are found between word borders only
 
     def __post_init__(self) -> None:
         hashes = [grams(x, self.q) for x in self.items]
@@ -119,15 +145,19 @@ class Index:
         size = np.array([len(x) for x in self.items])
         self.size = size
         self.most = np.floor(self.share * size).astype(int)
-        # A bound below one could not be filtered by: such items take fewer edits.
-        self.most = np.maximum(np.minimum(self.most, (size - self.q) // self.q), 0)
-        self.need = np.maximum(size - self.q + 1 - self.q * self.most, 1)
+        self.need = size - self.q + 1 - self.q * self.most  # at least one, by the choice of q
 
     def exact(self, k: int, whole: bytes) -> tuple[int, int, int] | None:
         """The first place of an item without edits, which no alignment can better."""
         body = self.items[k].tobytes()
+        space, bare = b" \0\0\0", len(self.items[k]) < self.whole_words
+
+        def inside_word(at: int) -> bool:
+            end = at + len(body)
+            return bare and (whole[max(at - 4, 0):at] not in (b"", space) or whole[end:end + 4] not in (b"", space))
+
         at = whole.find(body)
-        while at >= 0 and at % 4:
+        while at >= 0 and (at % 4 or inside_word(at)):
             at = whole.find(body, at + 1)
         return None if at < 0 else (0, at // 4, at // 4 + len(self.items[k]))
 
@@ -172,7 +202,9 @@ class Index:
             step = 2 * most + 1
             if best.get(k, (1,))[0] == 0:
                 continue
-            found = self.exact(k, whole) or edits_within(self.items[k], points, b * step + step, step + most, most)
+            found = self.exact(k, whole)
+            if not found and self.size[k] >= self.whole_words:
+                found = edits_within(self.items[k], points, b * step + step, step + most, most)
             if found and (k not in best or found < best[k]):
                 best[k] = found
         for k, (edits, start, end) in sorted(best.items()):
@@ -186,7 +218,7 @@ def slices(benchmark: DataFrame, id_col: str, text_col: str, q: int, share: floa
     items: list[np.ndarray] = []
     for row in rows.distinct().orderBy("id", "text").toLocalIterator():
         points, _ = normalise(row["text"])
-        if len(points) < q:
+        if not len(points):
             continue
         if items and sum(map(len, items)) + len(points) > limit:
             yield Index(ids, items, q, share)
@@ -203,9 +235,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     Returns (doc_id, item_id, start, end, edits), one row per row of `docs` and item found: the
     best place, in code points of the text, end exclusive. Texts are compared in lower case
-    with runs of spaces and punctuation as one space. Null and empty texts hold nothing; items
-    shorter than a q-gram are not looked for; repeated items count once; rows that share an id
-    are searched each. Empty tables give an empty table; other columns are ignored.
+    with runs of spaces and punctuation as one space. Null and empty texts hold nothing, and
+    null items and those without a letter or digit are in no text; items shorter than `q`
+    characters are found whole, between word borders; repeated items count once; rows that
+    share an id are searched each. Empty tables give an empty table; other columns are ignored.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -229,7 +262,21 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return spark.createDataFrame([], HITS) if found is None else found
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options: object) -> DataFrame:
-    """The rows of `docs`, all columns, that hold no benchmark item; rows with a null id are judged by all rows with a null id."""
-    bad = stored(find_items(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("__bad")).distinct())
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__bad")), "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                  q: int = Q, share: float = EDIT_SHARE) -> DataFrame:
+    """The rows of `docs`, all columns, that hold no benchmark item.
+
+    Rows are judged by their own text, so of rows that share an id, or have none, those without
+    an item stay. Null and empty texts stay; an empty benchmark takes nothing out.
+    """
+    for index in slices(benchmark, item_col, item_text_col, q, share):
+        sent = docs.sparkSession.sparkContext.broadcast((index.ids, index.items, q, share))  # at most SLICE_CHARS characters, or one item
+
+        @F.pandas_udf("boolean")
+        def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            own = Index(*sent.value)  # noqa: B023
+            for column in texts:
+                yield pd.Series([next(own.search(normalise(t or "")[0]), None) is None for t in column], dtype="bool")
+
+        docs = docs.where(clean(F.col(text_col).cast("string")))
+    return docs

@@ -121,7 +121,6 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float =
 
 def calibrate(positive: np.ndarray, unlabelled: np.ndarray, prior: float, bins: int = 40) -> tuple[np.ndarray, np.ndarray]:
     """Chance of a positive by score: prior times the ratio of the rows' shares in bins of equal unlabelled share, made monotone."""
-    bins = max(4, min(bins, len(unlabelled) // 25))
     cuts = np.quantile(unlabelled, np.linspace(0, 1, bins + 1))
     inner = cuts[1:-1]
     of_u = np.bincount(np.searchsorted(inner, unlabelled, "right"), minlength=bins) / max(len(unlabelled), 1)
@@ -132,12 +131,12 @@ def calibrate(positive: np.ndarray, unlabelled: np.ndarray, prior: float, bins:
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             top = pools.pop()
             pools[-1] = [x + y for x, y in zip(pools[-1], top)]
-    chances = np.concatenate([np.full(int(n), min(a / b, 1.0) if b else 0.0) for a, b, n in pools])
+    chances = np.concatenate([np.full(int(n), min(a / b, 1.0) if b else float(a > 0)) for a, b, n in pools])
     return (cuts[:-1] + cuts[1:]) / 2, chances
 
 
-def fit(stats: np.ndarray, shares: list[dict[int, float]], positive: np.ndarray, steps: int = 300) -> Model:
-    """A model from a bounded sample in memory; `positive` marks the trusted rows."""
+def fit(stats: np.ndarray, shares: list[dict[int, float]], positive: np.ndarray, ids: np.ndarray, steps: int = 300) -> Model:
+    """A model from a bounded sample in memory; `positive` marks the trusted rows, and a document may stand on both sides."""
     edges = np.quantile(stats, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
     x = np.zeros((len(stats), 1 + STATS * BINS + SHAPES))
     x[:, 0] = 1
@@ -152,8 +151,7 @@ def fit(stats: np.ndarray, shares: list[dict[int, float]], positive: np.ndarray,
 
     # Each row is scored by a first model that has not seen it, lest trusted rows look apart for being known.
     first = np.zeros(len(x))
-    fold = np.zeros(len(x), int)
-    fold[p], fold[u] = np.arange(p.sum()) % CROSS, np.arange(u.sum()) % CROSS
+    fold = np.unique(ids, return_inverse=True)[1] % CROSS
     for k in range(CROSS):
         seen = fold != k
         weight = np.where(p, 0.5 / max((p & seen).sum(), 1), 0.5 / max((u & seen).sum(), 1))[seen]
@@ -180,23 +178,23 @@ def held_out(id_col: str, folds: int = FOLDS) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:
-    """Fit a model on a sample of at most `positives` rows labelled 1 and `unlabelled` rows without a label.
+    """Fit a model on a sample of at most `positives` rows labelled 1 and `unlabelled` rows of any or no label.
 
     The sample takes the rows with the smallest hashes of the id. Of several labels of one id
-    the least counts; null labels are none. Where every row is labelled, all rows count as
-    unlabelled. Without trusted positives there is no model: None.
+    the least counts; null labels are none. The unlabelled side is drawn from all training rows,
+    so a trusted row may stand on both sides and nothing depends on how many rows lack a label.
+    Without trusted positives there is no model: None.
     """
     learn = ~held_out(id_col)
     known = labels.where(F.col(label_col).isNotNull() & learn).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label_col).alias("y"))
     ids = docs.where(learn).select(F.col(id_col).cast("long").alias("id"))
     mark = F.xxhash64("id")
     trusted = known.where("y = 1").select("id").join(ids, "id", "left_semi").orderBy(mark, "id").limit(positives)
-    others = ids.join(known, "id", "left_anti").orderBy(mark, "id").limit(unlabelled)
+    others = ids.orderBy(mark, "id").limit(unlabelled)
     sample = [(r["id"], True) for r in trusted.collect()]
     if not sample:
         return None
-    rest = others.collect() or ids.orderBy(mark, "id").limit(unlabelled).collect()
-    chosen = set(sample) | {(r["id"], False) for r in rest}
+    chosen = set(sample) | {(r["id"], False) for r in others.collect()}
     # At most positives + unlabelled ids, so the broadcast is bounded by the parameters.
     wanted = docs.sparkSession.createDataFrame(sorted(chosen), "id long, trusted boolean")
 
@@ -214,7 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # Repeated rows of a sampled id must not grow the sample.
     rows = sorted(rows.dropDuplicates(["id", "trusted"]).collect(), key=lambda r: (r["id"], r["trusted"]))
     return fit(np.array([r["stats"] for r in rows]), [dict(zip(r["places"], r["shares"])) for r in rows],
-               np.array([r["trusted"] for r in rows]))
+               np.array([r["trusted"] for r in rows]), np.array([r["id"] for r in rows]))
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", out: str = "score") -> DataFrame:

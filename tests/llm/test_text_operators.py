@@ -605,3 +605,48 @@ def test_pipeline_against_stages_by_hand(spark, tmp_path):
         ends[r.sequence_id] = max(ends[r.sequence_id], r.offset + r.length)
     assert max(ends.values()) <= 2048 and sum(ends.values()) == sum(r.length for r in out)
     assert [n for n, _ in corpus_pipeline.STAGES][1] == "near duplicates"
+
+
+def found_in(items, text):
+    index = decontam.Index(list(range(len(items))), [decontam.normalise(t)[0] for t in items], decontam.Q, decontam.EDIT_SHARE)
+    return {index.ids[k]: e for k, _, _, e in index.search(decontam.normalise(text)[0])}
+
+
+def test_short_items_take_their_edits():
+    items = ["which is larger", "what colour is the clear", "name the longest river of asia", "who wrote the play about the dane", "how many sides has a regular octagon?"]
+    rng = random.Random(8)
+    for k, item in enumerate(items):
+        wide = decontam.normalise(item)[0].tolist()
+        for _ in range(200):
+            changed = list(wide)
+            for _ in range(rng.randrange(0, 5)):
+                at = rng.randrange(len(changed))
+                changed[at:at + 1] = rng.choice([[], [ord("z")], [changed[at], ord("q")]])
+            text = "before it " + "".join(map(chr, changed)) + " and after"
+            least = edits_by_hand(wide, decontam.normalise(text)[0].tolist())
+            want = least if least <= int(decontam.EDIT_SHARE * len(wide)) else None
+            assert found_in(items, text).get(k) == want
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("Is it an Oak tree?", {0: 0}), ("a soak and an oaken bench", {}), ("soak, then oak", {0: 0}), ("oak", {0: 0}), ("x 42.", {1: 0}), ("1 420 142", {}), ("", {})])
+def test_items_below_a_gram_are_found_between_word_borders(text, want):
+    assert found_in(["oak", "42"], text) == want
+
+
+def test_decontamination_judges_rows(spark):
+    bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog by the river")], "item_id long, text string")
+    bad = "see: The quick brown fox jumps over the lazy dog, by the river."
+    rows = [(7, bad), (7, "clean text"), (None, bad), (None, "clean as well"), (8, None), (9, "")]
+    got = decontam.decontaminate(table(spark, rows), bench)
+    assert bag((r.doc_id, r.text) for r in got.collect()) == bag(r for r in rows if r[1] != bad)
+    assert got.columns == table(spark, rows).columns
+    assert decontam.decontaminate(table(spark, rows), bench.limit(0)).count() == len(rows)
+
+
+def test_one_unlabelled_row_changes_nothing(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    every = docs.selectExpr("doc_id", "cast(length(text) % 2 as int) as quality")
+    score = lambda labels: {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    gone = every.where("quality = 0 and crc32(cast(doc_id as string)) % 5 <> 0").orderBy("doc_id").first().doc_id
+    assert score(every) == score(every.where(f"doc_id <> {gone}"))
