@@ -6,6 +6,10 @@ gazetteers of words before the span, and its surroundings. Expectation-maximisat
 counts of vote patterns (at most 3 to the number of labelers, so a bounded table) estimates
 each labeler's reliability and a chance per pattern. A naive Bayes classifier over features
 of the span and its context, trained on those chances by counting, takes the decision.
+
+A text may hold very many spans. Running sums and maxima are therefore taken in two levels,
+over runs of about the square root of their number, and places are cut out of pieces of the
+text, not out of the whole.
 """
 
 from __future__ import annotations
@@ -25,6 +29,9 @@ KINDS = BASE + ADDED
 CONTEXT = 24
 LEAST_CHANCE = 0.5
 SMOOTHING = 10.0
+BUCKETS = 1024
+PIECE = 1024
+SETTLED = 1e-6
 FOUND = "array<struct<s:int,e:int,m:string>>"
 
 #: Java patterns that find what the stated ones find. Quantifiers are possessive and runs are entered at their start only
@@ -34,8 +41,8 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\s?[\[(]\s?at\s?[\])]\s?[A-Za-z0-9-]{1,63}(?:\s?[\[(]\s?dot\s?[\])]\s?|\.)[A-Za-z]{2,24}"
-SECRET = r"""(?i)(?:token|secret|passw(?:or)?d|api[_-]?key)["']?\s{0,3}[:=]\s{0,3}["']?[A-Za-z0-9+/_-]{8,512}["']?"""
+MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\s?[\[(]\s?at\s?[\])]\s?[A-Za-z0-9-]++(?:\s?[\[(]\s?dot\s?[\])]\s?|\.)[A-Za-z]{2,}+"
+SECRET = r"""(?i)(?:token|secret|passw(?:or)?d|api[_-]?key)["']?\s{0,3}[:=]\s{0,3}["']?[A-Za-z0-9+/_-]{8,}+["']?"""
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 TEL = r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
 
@@ -43,6 +50,45 @@ FOR_WORDS = r"(?i)(?:phone|tel|call|mobile|fax|card|visa|master|amex|ssn|social|
 AGAINST_WORDS = r"(?i)(?:order|invoice|isbn|issn|doi|version|page|figure|fig|table|chapter|no|nr|ref|id|build|section|vol)[^A-Za-z]{0,4}$"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(items: Column, value: Callable[[Column], Column], join: Callable[[Column, Column], Column],
+             out: Callable[[Column, Column], Column]) -> Column:
+    """`out` of each item and the join of all values before it; `join` is associative, from 0 on.
+
+    The items are taken in runs of the square root of their number, so the arrays that grow
+    step by step are short.
+    """
+    def before(start: Column, values: Column) -> Column:
+        first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("seen"))
+        return F.aggregate(values, first, lambda acc, x: F.struct(
+            join(acc["at"], x).alias("at"), F.concat(acc["seen"], F.array(acc["at"])).alias("seen")), lambda acc: acc["seen"])
+
+    def whole(xs: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(xs))).cast("int"), F.lit(1))
+        runs = _bound(size, lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(xs) / w).cast("int") - 1, F.lit(0))),
+                                                  lambda i: F.transform(F.slice(xs, i * w + 1, w), value)))
+        starts = lambda rs: before(F.lit(0), F.transform(rs, lambda r: F.aggregate(r, F.lit(0), lambda acc, x: join(acc, x))))
+        return _bound(runs, lambda rs: F.zip_with(xs, F.flatten(F.zip_with(starts(rs), rs, before)), out))
+
+    return _bound(items, whole)
+
+
+def _pieces(text: Column) -> Column:
+    """A text in pieces of `PIECE` code points, for `_cut`."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points from `start` up to `end` of a text in pieces."""
+    first = F.floor(start / PIECE).cast("int")
+    last = F.floor((F.greatest(end, start + 1) - 1) / PIECE).cast("int")
+    return F.substring(F.array_join(F.slice(pieces, first + 1, last - first + 1), ""), start - first * PIECE + 1, F.greatest(end - start, F.lit(0)))
+
+
 def _places(text: Column, pattern: str, when: Column) -> Column:
     """Matches of `pattern`, leftmost and not overlapping, as (start, end, match) in code points; none where `when` fails.
 
@@ -52,15 +98,9 @@ def _places(text: Column, pattern: str, when: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     steps = F.zip_with(found, between, lambda m, g: F.struct(m.alias("m"), F.char_length(g).alias("g"), F.char_length(m).alias("n")))
-
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["g"]
-        one = F.array(F.struct(start.alias("s"), (start + x["n"]).alias("e"), x["m"].alias("m")))
-        return F.when(x["m"].isNull(), acc).otherwise(F.struct((start + x["n"]).alias("at"), F.concat(acc["out"], one).alias("out")))
-
-    none = F.from_json(F.lit("[]"), FOUND)
-    placed = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda acc: acc["out"])
-    return F.when(when, placed).otherwise(none)
+    placed = _running(F.filter(steps, lambda x: x["m"].isNotNull()), lambda x: x["g"] + x["n"], lambda a, b: a + b,
+                      lambda x, at: F.struct((at + x["g"]).alias("s"), (at + x["g"] + x["n"]).alias("e"), x["m"].alias("m")))
+    return F.when(when, placed).otherwise(F.from_json(F.lit("[]"), FOUND))
 
 
 def _digits(m: Column) -> Column:
@@ -126,8 +166,15 @@ def annotate(docs: DataFrame, text_col: str = "text", prefix: str = "__") -> Dat
         return F.array_sort(F.concat(*[F.transform(f, of_kind(n)) for n, f in found.items()]))
 
     out = out.withColumn(f"{prefix}base", spans(base))
-    loose = F.filter(spans(added), lambda c: ~F.exists(col("base"), lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
-    out = out.withColumn(f"{prefix}cand", F.transform(loose, lambda c: _candidate(t, c)))
+    # A candidate is clear of base spans if those that start before its end have ended by its start.
+    ends = F.concat(
+        F.transform(col("base"), lambda b: F.struct(b["s"].alias("at"), F.lit(1).alias("base"), b["s"].alias("s"), b["k"].alias("k"), b["e"].alias("e"))),
+        F.transform(spans(added), lambda c: F.struct(c["e"].alias("at"), F.lit(0).alias("base"), c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e"))))
+    judged = _running(F.array_sort(ends), lambda x: F.when(x["base"] == 1, x["e"]).otherwise(0), F.greatest,
+                      lambda x, last: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), ((x["base"] == 0) & (last <= x["s"])).alias("clear")))
+    loose = F.array_sort(F.transform(F.filter(judged, lambda x: x["clear"]), lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"))))
+    pieces = lambda cs: F.when(F.size(cs) > 0, _pieces(t))
+    out = out.withColumn(f"{prefix}cand", _bound(loose, lambda cs: _bound(pieces(cs), lambda ps: F.transform(cs, lambda c: _candidate(ps, c)))))
     return out.drop(*[prefix + n for n in ("t", "email", "ip", "digits", "phone", "iban", "mail", "secret", "ssn", "tel")])
 
 
@@ -135,11 +182,14 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, "+").when(no, "-").otherwise("0")
 
 
-def _candidate(text: Column, c: Column) -> Column:
+def _candidate(pieces: Column, c: Column) -> Column:
     """A candidate with the votes of the labelers and the features of the classifier."""
-    m = F.substring(text, c["s"] + 1, c["e"] - c["s"])
-    before = F.substring(text, F.greatest(c["s"] - CONTEXT + 1, F.lit(1)), F.least(c["s"], F.lit(CONTEXT)))
-    after = F.substring(text, c["e"] + 1, F.lit(CONTEXT))
+    around = F.struct(_cut(pieces, c["s"], c["e"]).alias("m"), _cut(pieces, F.greatest(c["s"] - CONTEXT, F.lit(0)), c["s"]).alias("before"),
+                      _cut(pieces, c["e"], c["e"] + CONTEXT).alias("after"))
+    return _bound(around, lambda x: _judged(c, x["m"], x["before"], x["after"]))
+
+
+def _judged(c: Column, m: Column, before: Column, after: Column) -> Column:
     number, secret, tel, ssn = (c["k"] == KINDS.index(n) for n in ("number", "secret", "tel", "ssn"))
     digits = _digits(m)
     strict = F.when(number, digits.rlike("^(?:[0-9]{16}|3[47][0-9]{13})$")).when(secret, m.rlike("[0-9a-fA-F]{32}")).when(
@@ -160,17 +210,21 @@ def _candidate(text: Column, c: Column) -> Column:
         F.concat(F.lit("left:"), F.when(before == "", "").otherwise(F.regexp_replace(F.regexp_replace(F.right(before, F.lit(1)), r"\p{L}", "a"), "[0-9]", "9"))),
         F.concat(F.lit("right:"), F.regexp_replace(F.regexp_replace(F.left(after, F.lit(1)), r"\p{L}", "a"), "[0-9]", "9")),
     )
-    return F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e"), votes.alias("votes"), F.transform(features, lambda x: F.pmod(F.xxhash64(x), F.lit(1024)).cast("int")).alias("features"))
+    return F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e"), votes.alias("votes"), F.transform(features, lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int")).alias("features"))
+
 
+def reliabilities(patterns: dict[str, int], settled: float = SETTLED) -> tuple[float, list[tuple[float, float]], dict[str, float]]:
+    """EM over vote patterns: the share of true spans, each labeler's chance to vote for a true and a false one, each pattern's chance.
 
-def reliabilities(patterns: dict[str, int], rounds: int = 60) -> tuple[float, list[tuple[float, float]], dict[str, float]]:
-    """EM over vote patterns: the share of true spans, each labeler's chance to vote for a true and a false one, each pattern's chance."""
+    Rounds go on until no pattern's chance moves by more than `settled`.
+    """
     if not patterns:
         return 0.5, [], {}
     n = len(next(iter(patterns)))
     chance = {p: (1 + p.count("+")) / (2 + p.count("+") + p.count("-")) for p in patterns}
     share, rates = 0.5, [(0.7, 0.3)] * n
-    for _ in range(rounds):
+    moved = 1.0
+    while moved > settled:
         total = sum(patterns.values())
         share = min(max((sum(patterns[p] * chance[p] for p in patterns) + 1) / (total + 2), 0.01), 0.99)
         rates = []
@@ -182,11 +236,13 @@ def reliabilities(patterns: dict[str, int], rounds: int = 60) -> tuple[float, li
                 # A prior of ten votes keeps "for" the likelier of true spans.
                 both.append((for_it + (7 if true else 3)) / (sum(weight.values()) + 10))
             rates.append((both[0], both[1]))
+        moved = 0.0
         for p in patterns:
             odds = math.log(share / (1 - share))
             for vote, (a, b) in zip(p, rates):
                 odds += math.log(a / b) if vote == "+" else math.log((1 - a) / (1 - b)) if vote == "-" else 0
-            chance[p] = 1 / (1 + math.exp(-max(min(odds, 30), -30)))
+            now = 1 / (1 + math.exp(-max(min(odds, 30), -30)))
+            moved, chance[p] = max(moved, abs(now - chance[p])), now
     return share, rates, chance
 
 
@@ -200,8 +256,8 @@ class Classifier:
     def accepts(self, c: Column, least: float = LEAST_CHANCE) -> Column:
         if not self.weights:
             return F.lit(False)
-        table = F.create_map(*[F.lit(x) for kv in sorted(self.weights.items()) for x in kv])
-        odds = F.aggregate(c["features"], F.lit(self.prior), lambda acc, f: acc + F.coalesce(F.element_at(table, f), F.lit(0.0)))
+        table = F.array(*[F.lit(self.weights.get(f, 0.0)) for f in range(BUCKETS)])
+        odds = F.aggregate(c["features"], F.lit(self.prior), lambda acc, f: acc + F.get(table, f))
         return odds >= math.log(least / (1 - least))
 
 
@@ -258,13 +314,17 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     model = fit(known)
     text = F.col(text_col).cast("string")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    merged = F.aggregate(
-        F.array_sort(F.transform(all_spans(model), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), x["k"].alias("k")))),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, x: F.when(x["s"] < acc["at"], F.struct(F.greatest(acc["at"], -x["e"]).alias("at"), acc["out"].alias("out"))).otherwise(
-            F.struct((-x["e"]).alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.element_at(names, x["k"] + 1)).alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    clean = F.when(F.size(all_spans(model)) == 0, text).otherwise(merged)
+
+    def merged(spans: Column) -> Column:
+        """The text with the first span of each overlapping run replaced, to the end of the run's last."""
+        ordered = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), x["k"].alias("k"))))
+        heads = _running(ordered, lambda x: -x["e"], F.greatest, lambda x, last: F.struct(last.alias("from"), x["s"].alias("s"), x["k"].alias("k")))
+        end = F.aggregate(spans, F.lit(0), lambda acc, x: F.greatest(acc, x["e"]))
+        return _bound(_pieces(text), lambda ps: F.concat(
+            F.array_join(F.transform(F.filter(heads, lambda x: x["s"] >= x["from"]), lambda x: F.concat(_cut(ps, x["from"], x["s"]), F.element_at(names, x["k"] + 1))), ""),
+            _cut(ps, end, F.char_length(text))))
+
+    clean = _bound(all_spans(model), lambda spans: F.when(F.size(spans) > 0, merged(spans)).otherwise(text))
     return known.withColumn(text_col, clean).select(*docs.columns)
 
 

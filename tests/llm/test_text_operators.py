@@ -5,6 +5,7 @@ import html
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -410,7 +411,7 @@ def test_reliabilities():
     for _ in range(20_000):
         true = random.random() < 0.4
         patterns["".join("+" if random.random() < (a if true else b) else "-" for a, b in rates)] += 1
-    share, found, chance = pii.reliabilities(dict(patterns), 300)
+    share, found, chance = pii.reliabilities(dict(patterns))
     assert abs(share - 0.4) < 0.08 and all(abs(a - c) < 0.1 and abs(b - d) < 0.1 for (a, b), (c, d) in zip(rates, found))
     assert chance["+++"] > 0.9 > 0.1 > chance["---"]
 
@@ -650,3 +651,37 @@ def test_one_unlabelled_row_changes_nothing(spark):
     score = lambda labels: {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
     gone = every.where("quality = 0 and crc32(cast(doc_id as string)) % 5 <> 0").orderBy("doc_id").first().doc_id
     assert score(every) == score(every.where(f"doc_id <> {gone}"))
+
+
+def test_long_secrets_and_spelled_mail_go_whole(spark):
+    rng = random.Random(3)
+    key = "".join(rng.choices("abcdefXYZ0123456789", k=2000))
+    name = "n" * 90
+    rows = [(i, f"Set token = {key} here, or write to {name} [at] {'d' * 70} [dot] example now.") for i in range(20)]
+    rows += [(100 + i, f"api_key: {''.join(rng.choices('0123456789abcdef', k=32))} in use") for i in range(40)]
+    for r in pii.redact(table(spark, rows)).collect():
+        assert not re.search("[a-fXYZ0-9]{12}", r.text.replace("api_key", "").replace("token", "")) and "n" * 9 not in r.text
+
+
+@pytest.mark.parametrize("n", [1, 40, 20_000])
+def test_texts_with_many_spans(spark, n):
+    """Every number of a long list is found and replaced, in time that follows its length."""
+    lines = [f"é{i} call +1 (415) 555-{i % 10000:04d} or 415-555-{i % 10000:04d}; mail u{i}@example.com 𝒳" for i in range(n)]
+    text = "\n".join(lines)
+    docs = table(spark, [(1, text), (2, None), (3, "")])
+    began = time.monotonic()
+    found = {r.doc_id: r for r in pii.find_spans(docs).collect()}
+    at = lambda kind, want: [(m.start(), m.end()) for m in re.finditer(want, text)]
+    spans = collections.defaultdict(list)
+    for s, k, e in found[1].base:
+        spans[pii.KINDS[k]].append((s, e))
+    assert spans["phone"] == at("phone", r"\+1 \(415\) 555-[0-9]{4}") and spans["email"] == at("email", r"u[0-9]+@example\.com")
+    added = [(s, e) for s, k, e in found[1].spans if pii.KINDS[k] == "tel"]
+    assert set(added) <= set(at("tel", r"(?<!\) )415-555-[0-9]{4}")) and found[2].spans == found[3].spans == []
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    want, last = [], 0
+    for s, k, e in sorted((s, k, e) for s, k, e in found[1].spans):
+        want += [text[last:s], f"[{pii.KINDS[k].upper()}]"]
+        last = e
+    assert clean == {1: "".join(want) + text[last:], 2: None, 3: ""}
+    assert time.monotonic() - began < 60
