@@ -685,3 +685,26 @@ def test_texts_with_many_spans(spark, n):
         last = e
     assert clean == {1: "".join(want) + text[last:], 2: None, 3: ""}
     assert time.monotonic() - began < 60
+
+
+BODY = "The river ran high that spring and nobody in the village slept. " * 6
+
+
+@pytest.mark.parametrize("name", ["container has-sidebar", "share-page widget-area-none", "post no-comments", "col widget-free", "comments-open"])
+@pytest.mark.parametrize("tag", ["div", "section", "article"])
+def test_page_names_that_tell_of_the_layout(tag, name):
+    page = f'<body><{tag} class="{name}"><p>{BODY}</p><p>{BODY}</p></{tag}><div class="sidebar"><p>{BODY}</p></div></body>'
+    assert pages.main_text(page) == f"{BODY}{BODY}".strip()
+
+
+@pytest.mark.parametrize("name", ["left-sidebar", "site-header", "cookie-banner", "related-posts", "ad", "comments-section", "social_share", "share-page"])
+def test_page_names_that_mark_other_text(name):
+    page = f'<body><div class="content"><p>{BODY}</p><p>{BODY}</p></div><div class="{name}"><p>{BODY}</p></div></body>'
+    assert pages.main_text(page) == f"{BODY}{BODY}".strip()
+
+
+def test_page_titles_formulas_and_linked_paragraphs():
+    page = (f'<body><p>Site</p><div><div class="entry-header"><h1>A Title</h1></div><h2>Of spring</h2><p>By A. Author</p><p>{BODY}</p><p><a href="x">Read the whole report of that year</a></p>'
+            f'<p>{BODY}so <math><mi>x</mi></math> holds</p></div><ul><li><a href="1">One</a></li><li><a href="2">Two</a></li></ul></body>')
+    got = pages.main_text(page)
+    assert got == f"A Title Of spring By A. Author {BODY}Read the whole report of that year {BODY}so x holds"
