@@ -28,6 +28,10 @@ Box = tuple[str, str, str, str]
 LEVEL_STEP = 2
 LEAST_LEVEL = -20
 LONG_EDGES = 1024
+MOST_HALVINGS = 4  # of the grid's cells where points lie close together
+PAIRS_PER_CELL_ROW = 8
+TASK_PAIRS = 4_000_000
+MOST_TASKS = 10_000
 
 
 def _level(box: Box) -> Column:
@@ -47,6 +51,18 @@ def _box_sizes(right: DataFrame, rbox: Box, *by: Column) -> list[Row]:
         F.count(F.lit(1)).alias("n"), F.sum(skew.row_bytes(right)).alias("b")).collect()
 
 
+def pairs_met(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> float:
+    """How many pairs of rows have equal keys, from counts per key."""
+    a = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__a"))
+    b = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__b"))
+    return a.join(b, list(keys)).agg(F.sum(F.col("__a") * F.col("__b").cast("double"))).first()[0] or 0.0
+
+
+def tasks_for(pairs: float) -> int | None:
+    """Into how many tasks a join of so many pairs goes, or None if one will do."""
+    return min(int(pairs / TASK_PAIRS) + 1, MOST_TASKS) if pairs > TASK_PAIRS else None
+
+
 def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, by: Sequence[str] = (), sizes: list[Row] | None = None) -> DataFrame:
     """All pairs of rows whose boxes overlap or touch. Column names of both sides must differ, except `by`.
 
@@ -54,20 +70,29 @@ def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, by: Sequen
     a box of either side lies in at most four cells per size of the other side. The sizes
     in use, the number of boxes at each and their bytes are read to the driver, unless
     `sizes` holds them.
+
+    Rows that share a cell are counted first. Where `left` are points and their cells hold
+    many boxes, cells are halved up to MOST_HALVINGS times, so that most pairs that meet overlap.
+    The join runs in a task for every TASK_PAIRS pairs, however few bytes the tables have.
     """
     boxed = right.withColumn("__rl", _level(rbox))
     counts = _box_sizes(right, rbox) if sizes is None else sizes
     levels = sorted(r["__rl"] for r in counts) or [0]
+    are_points = lbox[0] == lbox[2] and lbox[1] == lbox[3]
     # Left boxes below the least right size need no grid of their own.
-    if lbox[0] == lbox[2] and lbox[1] == lbox[3]:
-        own, left_levels = F.lit(levels[0]), [levels[0]]
+    if are_points:
+        # Opened from an array: a literal among the keys would be folded, and the join would shuffle by other keys than the rows lie by.
+        own, left_levels = F.explode(F.array(F.lit(levels[0]))), [levels[0]]
     else:
         own = F.greatest(_level(lbox), F.lit(levels[0]))
         found = left.select(own.alias("v")).where(F.col("v").isNotNull()).distinct().collect()
         left_levels = sorted(r["v"] for r in found) or [levels[0]]
-    side = F.pow(F.lit(2.0), F.greatest("__ll", "__rl"))
+    keys = ["__ll", "__rl", "__cx", "__cy", *by]
 
-    def on_grid(df: DataFrame, box: Box) -> DataFrame:
+    def cell_side(halvings: int) -> Column:
+        return F.pow(F.lit(2.0), F.greatest("__ll", "__rl") - halvings)
+
+    def on_grid(df: DataFrame, box: Box, side: Column) -> DataFrame:
         x1, y1, x2, y2 = (F.col(c).cast("double") for c in box)
         return (
             df.withColumn("__cx", F.explode(_cells(x1, x2, side)))
@@ -77,16 +102,29 @@ def box_join(left: DataFrame, lbox: Box, right: DataFrame, rbox: Box, by: Sequen
     def any_of(values: Sequence[int]) -> Column:
         return F.explode(F.array(*[F.lit(v) for v in values]))
 
-    spread = on_grid(left.withColumn("__ll", own).withColumn("__rl", any_of(levels)), lbox)
-    keys = ["__ll", "__rl", "__cx", "__cy", *by]
-    boxes = on_grid(boxed.withColumn("__ll", any_of(left_levels)), rbox)
-    # At most four cells per size of the left boxes, so the counts bound the gridded table.
-    copies = 4 * len(left_levels)
-    if sum(r["n"] for r in counts) * copies <= skew.SMALL_ROWS and sum(r["b"] for r in counts) * copies <= skew.SMALL_BYTES:
+    def gridded(halvings: int) -> tuple[DataFrame, DataFrame]:
+        side = cell_side(halvings)
+        return (on_grid(left.withColumn("__ll", own).withColumn("__rl", any_of(levels)), lbox, side),
+                on_grid(boxed.withColumn("__ll", any_of(left_levels)), rbox, side))
+
+    n_boxes = sum(r["n"] for r in counts)
+    spread, boxes = gridded(0)
+    met, halvings = pairs_met(spread, boxes, keys), 0
+    if are_points:
+        while halvings < MOST_HALVINGS and n_boxes * 4 ** (halvings + 1) * PAIRS_PER_CELL_ROW <= met:
+            halvings += 1
+        if halvings:
+            spread, boxes = gridded(halvings)
+            # A box is half as wide as a cell of its level on average.
+            met *= ((0.5 + 0.5 ** halvings) / 1.5) ** 2
+    side = cell_side(halvings)
+    # At most so many cells per size of the left boxes, so the counts bound the gridded table.
+    copies = (4 if not halvings else (2 ** halvings + 1) ** 2) * len(left_levels)
+    if n_boxes * copies <= skew.SMALL_ROWS and sum(r["b"] for r in counts) * copies <= skew.SMALL_BYTES:
         advice = JoinAdvice(small=True)
     else:
         advice = JoinAdvice(hot=tuple(hot_keys(spread, keys)), hot_right=tuple(hot_keys(boxes, keys)))
-    pairs = spread_join(spread, boxes, keys, "inner", advice)
+    pairs = spread_join(spread, boxes, keys, "inner", advice, parts=tasks_for(met))
     corner_x = F.greatest(F.col(lbox[0]).cast("double"), F.col(rbox[0]).cast("double"))
     corner_y = F.greatest(F.col(lbox[1]).cast("double"), F.col(rbox[1]).cast("double"))
     overlap = (

@@ -92,7 +92,7 @@ def advise(left: DataFrame, right: DataFrame, on: str | Sequence[str], unique: b
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
-                advice: JoinAdvice | None = None, splits: int | None = None) -> DataFrame:
+                advice: JoinAdvice | None = None, splits: int | None = None, parts: int | None = None) -> DataFrame:
     """Equi-join in which hot keys are split over many tasks. The left side is the longer one.
 
     A right side of a checked, small size is broadcast. Otherwise the rows of
@@ -100,19 +100,27 @@ def spread_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     rows of that key are repeated once per salt. Salts go by a row's position in its
     written table, so equal rows are spread as well. A key hot on both sides is split on
     both, into about the square root of `splits` parts each. Other keys are not touched.
+    `parts` states the number of tasks of a join that makes many rows of few bytes.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join keeps or drops rows of the left side; {how!r} is not possible")
     advice = advise(left, right, keys) if advice is None else advice
     if advice.small:
-        return left.join(F.broadcast(right), keys, how)
+        return (left.repartition(parts) if parts else left).join(F.broadcast(right), keys, how)
     if advice.hot_right and how != "inner":
         raise ValueError("only an inner join can split the right side")
+
+    def joined(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+        if parts:
+            # The tables' estimated sizes know nothing of repeated rows, so a broadcast is ruled out.
+            a, b = a.repartition(parts, *on), b.repartition(parts, *on).hint("merge")
+        return a.join(b, list(on), how)
+
     if not advice.hot and not advice.hot_right:
-        return left.join(right, keys, how)
+        return joined(left, right, keys)
     a, b = _salted(left, right, keys, keys, advice, splits or HOT_SPLITS)
-    return a.join(b, [*keys, "__salt_l", "__salt_r"], how).drop("__salt_l", "__salt_r")
+    return joined(a, b, [*keys, "__salt_l", "__salt_r"]).drop("__salt_l", "__salt_r")
 
 
 def _salted(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], advice: JoinAdvice,

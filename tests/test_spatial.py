@@ -316,3 +316,27 @@ def test_few_features_are_measured(spark):
     assert len(cover) < 1000 and len(edge) * (90 / 32) ** 2 < 0.15 * math.pi * 90 ** 2
     assert areas.floating_sums(df, zone, "zone", "zx", "zy", "x", "y", 90.0, [], fine=32).first()["n"] == sum(
         (i + 0.5 - 100) ** 2 + (j + 0.5 - 100) ** 2 <= 8100 for i in range(200) for j in range(200))
+
+
+def by_hand(points, targets, radius):
+    return sorted((i, t) for i, x, y in points for t, tx, ty in targets if math.sqrt((x - tx) ** 2 + (y - ty) ** 2) <= radius)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_dense_pairs_go_to_many_tasks(spark, monkeypatch, small):
+    """A table of few bytes that makes many pairs is spread, on cells finer than a box, and never by an unforeseen broadcast."""
+    from arealens import skew
+
+    monkeypatch.setattr(spatial, "TASK_PAIRS", 2_000)
+    if not small:
+        monkeypatch.setattr(skew, "SMALL_ROWS", 0)
+    rng = np.random.default_rng(11)
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-60, 60, (600, 2)))] + [(900, None, 1.0), (901, -16.0, 16.0)]
+    targets = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-60, 60, (120, 2)))] + [(500, 0.0, 16.0), (501, 1.0, None)]
+    met, counted = [], spatial.pairs_met
+    monkeypatch.setattr(spatial, "pairs_met", lambda *a: met.append(counted(*a)) or met[-1])
+    left = spark.createDataFrame(points, "id int, x double, y double").coalesce(1)
+    got = spatial.within_distance(left, spark.createDataFrame(targets, "t int, tx double, ty double"), "x", "y", "tx", "ty", 16.0)
+    assert rows(got, "id", "t") == sorted(by_hand([p for p in points if p[1] is not None], [t for t in targets if t[2] is not None], 16.0), key=lambda r: tuple((False, str(v)) for v in r))
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
+    assert met[0] > 2_000 and ("Broadcast" in got._jdf.queryExecution().sparkPlan().toString()) == small
