@@ -231,14 +231,18 @@ def point_in_edges(points: DataFrame, edges: DataFrame, x: str, y: str, key: str
     length is spread over the tasks. Equal rows of `points` count as one.
     """
     slabs, shapes = edge_slabs(edges, key, ends)
-    around = box_join(points.distinct().withColumns({"__sx": F.col(x).cast("double"), "__sy": F.col(y).cast("double")}), ("__sx", "__sy", "__sx", "__sy"),
-                      shapes, ("__bx1", "__by1", "__bx2", "__by2"))
+    place = {"__sx": F.col(x).cast("double"), "__sy": F.col(y).cast("double")}
+    # Points at one place are tested once.
+    places = points.select(*[c.alias(n) for n, c in place.items()]).distinct()
+    around = box_join(places, ("__sx", "__sy", "__sx", "__sy"), shapes, ("__bx1", "__by1", "__bx2", "__by2"))
     placed = cut(around.withColumn("__slab", _slab(F.col("__sy"))).drop("__bx1", "__by1", "__bx2", "__by2", "__h"))
-    slabs = cut(slabs)
-    meets = spread_join(placed, slabs, [key, "__slab"], advice=skew.advise(placed, slabs, [key, "__slab"], unique=False))
+    slabs, keys = cut(slabs), [key, "__slab"]
+    meets = spread_join(placed, slabs, keys, advice=skew.advise(placed, slabs, keys, unique=False), parts=tasks_for(pairs_met(placed, slabs, keys)))
     right = crossing(F.col("__sx"), F.col("__sy"), *[F.col(e) for e in ends])
-    counted = meets.groupBy(*points.columns, key).agg(F.count(right).alias("__n"))
-    return counted.where(F.col("__n") % 2 == 1).drop("__n")
+    counted = meets.groupBy(*place, key).agg(F.count(right).alias("__n"))
+    found = cut(counted.where(F.col("__n") % 2 == 1).drop("__n"))
+    located = points.distinct().withColumns(place)
+    return spread_join(located, found, list(place), advice=skew.advise(located, found, list(place), unique=False)).select(*points.columns, key)
 
 
 def centre_in_area(features: DataFrame, areas: DataFrame, x: str, y: str, rings: str, key: str) -> DataFrame:

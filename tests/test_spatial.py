@@ -340,3 +340,14 @@ def test_dense_pairs_go_to_many_tasks(spark, monkeypatch, small):
     assert rows(got, "id", "t") == sorted(by_hand([p for p in points if p[1] is not None], [t for t in targets if t[2] is not None], 16.0), key=lambda r: tuple((False, str(v)) for v in r))
     assert got.select(F.spark_partition_id()).distinct().count() > 1
     assert met[0] > 2_000 and ("Broadcast" in got._jdf.queryExecution().sparkPlan().toString()) == small
+
+
+def test_points_at_one_place_are_tested_once(spark, monkeypatch):
+    met, counted = [], spatial.pairs_met
+    monkeypatch.setattr(spatial, "pairs_met", lambda *a: met.append(counted(*a)) or met[-1])
+    edges = spark.createDataFrame([(1, 0.0, 0.0, 9.0, 0.0), (1, 9.0, 0.0, 9.0, 9.0), (1, 9.0, 9.0, 0.0, 9.0), (1, 0.0, 9.0, 0.0, 0.0)],
+                                  "k int, x1 double, y1 double, x2 double, y2 double")
+    points = spark.createDataFrame([(i, 4.0 + 9 * (i % 2), 4.0) for i in range(400)] + [(0, 4.0, 4.0), (500, None, 4.0)], "id int, x double, y double")
+    got = spatial.point_in_edges(points, edges, "x", "y", "k")
+    assert got.columns == ["id", "x", "y", "k"] and sorted(r.id for r in got.collect()) == list(range(0, 400, 2))
+    assert max(met) <= 2 * 8
