@@ -377,9 +377,11 @@ def _nearest(points: DataFrame, key: str, x: str, y: str, items: DataFrame, box:
     nearest_possible = gap("__x1", "__x2", px) * gap("__x1", "__x2", px) + gap("__y1", "__y2", py) * gap("__y1", "__y2", py)
     surely_within = reach("__x1", "__x2", px) * reach("__x1", "__x2", px) + reach("__y1", "__y2", py) * reach("__y1", "__y2", py)
 
-    state = points.select(
-        F.col(key).alias("__pk"), *by, F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"),
-        F.lit(0).cast("bigint").alias("__cx"), F.lit(0).cast("bigint").alias("__cy"))
+    # Points at one place, of one group, are searched once.
+    located = points.select(F.col(key).alias("__key"), *by, F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
+    place = [*by, "__px", "__py"]
+    state = located.select(*place).distinct().select(
+        F.struct(*place).alias("__pk"), *place, F.lit(0).cast("bigint").alias("__cx"), F.lit(0).cast("bigint").alias("__cy"))
     per_point = Window.partitionBy("__pk")
 
     def descend(cells: DataFrame) -> DataFrame:
@@ -416,7 +418,10 @@ def _nearest(points: DataFrame, key: str, x: str, y: str, items: DataFrame, box:
     if radius is not None:
         found = found.where(F.col("__d") <= float(radius))
     best = found.groupBy("__pk").agg(F.min(F.struct(F.col("__d"), F.col("__item"))).alias("__w"))
-    return best.select(F.col("__pk").alias(key), *[F.col("__w.__item")[t].alias(t) for t in take], F.col("__w.__d").alias(out))
+    best = cut(best.select("__pk.*", "__w"))
+    # A key may have several places.
+    each = spread_join(located, best, place, advice=skew.advise(located, best, place)).groupBy("__key").agg(F.min("__w").alias("__w"))
+    return each.select(F.col("__key").alias(key), *[F.col("__w.__item")[t].alias(t) for t in take], F.col("__w.__d").alias(out))
 
 
 def nearest(points: DataFrame, targets: DataFrame, key: str, x: str, y: str, tx: str, ty: str, order: str,

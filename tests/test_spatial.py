@@ -351,3 +351,11 @@ def test_points_at_one_place_are_tested_once(spark, monkeypatch):
     got = spatial.point_in_edges(points, edges, "x", "y", "k")
     assert got.columns == ["id", "x", "y", "k"] and sorted(r.id for r in got.collect()) == list(range(0, 400, 2))
     assert max(met) <= 2 * 8
+
+
+def test_nearest_of_repeated_places_and_keys(spark):
+    points = spark.createDataFrame([(i, 5.0, 5.0, 1) for i in range(300)] + [(1, 0.0, 0.0, 1), (None, 1.0, 0.0, 1), (None, 5.0, 5.0, 2), (400, None, 5.0, 1), (401, 5.0, 5.0, None)],
+                                   "id int, x double, y double, g int")
+    targets = spark.createDataFrame([(1, 0.0, 0.5, 1), (2, 5.0, 7.0, 1), (3, 5.0, 7.0, 1), (4, 5.0, 6.0, 2)], "t int, tx double, ty double, g int")
+    got = {(r.id, r.t, r.dist) for r in spatial.nearest(points, targets, "id", "x", "y", "tx", "ty", "t", by=["g"]).collect()}
+    assert got == {(i, 2, 2.0) for i in range(300) if i != 1} | {(1, 1, 0.5), (None, 4, 1.0)}
