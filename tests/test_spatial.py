@@ -359,3 +359,13 @@ def test_nearest_of_repeated_places_and_keys(spark):
     targets = spark.createDataFrame([(1, 0.0, 0.5, 1), (2, 5.0, 7.0, 1), (3, 5.0, 7.0, 1), (4, 5.0, 6.0, 2)], "t int, tx double, ty double, g int")
     got = {(r.id, r.t, r.dist) for r in spatial.nearest(points, targets, "id", "x", "y", "tx", "ty", "t", by=["g"]).collect()}
     assert got == {(i, 2, 2.0) for i in range(300) if i != 1} | {(1, 1, 0.5), (None, 4, 1.0)}
+
+
+def test_station_pairs_are_made_unique_only_where_they_repeat(spark):
+    features = spark.createDataFrame([(1, 0.0, 0.0), (1, 0.0, 0.0), (2, 5.0, 0.0), (None, 0.0, 0.0)], "f int, x double, y double")
+    stations = spark.createDataFrame([(7, 0.0, 1.0), (7, 0.0, 1.0), (8, 5.0, 1.0)], "s int, sx double, sy double")
+    single = areas.station_members(features, stations, "f", "x", "y", "s", "sx", "sy", 2.0)
+    assert rows(single) == sorted([(1, 7), (2, 8), (None, 7)], key=lambda t: tuple((v is None, str(v)) for v in t))
+    assert "Aggregate" not in single._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    wide = stations.unionByName(spark.createDataFrame([(7, 1.0, 0.0)], stations.schema))
+    assert rows(areas.station_members(features, wide, "f", "x", "y", "s", "sx", "sy", 2.0)) == rows(single)
