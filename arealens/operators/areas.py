@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealens.operators.joins import merge_layers
-from arealens.operators.spatial import centre_in_area, within_distance, within_distance_of_lines
+from arealens.operators.spatial import centre_in_area, pairs_met, tasks_for, within_distance, within_distance_of_lines
 from arealens.session import cut
 from arealens.skew import advise, number_rows, spread_join
 
@@ -56,7 +56,7 @@ def floating_zones(features: DataFrame, key: str, x: str, y: str, radius: float)
 
 
 def _cover(zones: DataFrame, radius: float, side: float, depth: int) -> DataFrame:
-    """Cells that make up each zone's circle: (zone, zx, zy, level, cx, cy, inner). Cells inside it are as large as can be, those on its
+    """Cells that make up each zone's circle: (columns of zones, level, cx, cy, inner). Cells inside it are as large as can be, those on its
     edge are of the finest level. `side` is that level's; every level above doubles it."""
     wide = side * 2 ** depth
 
@@ -111,15 +111,21 @@ def floating_sums(features: DataFrame, zones: DataFrame, zone: str, zx: str, zy:
 
     centres = zones.where(F.col(zx).isNotNull() & F.col(zy).isNotNull()).select(
         F.col(zone).alias("zone"), F.col(zx).cast("double").alias("zx"), F.col(zy).cast("double").alias("zy"))
-    cover = _cover(centres, float(radius), side, depth)
-    whole, edge = cover.where("inner").select("zone", "level", "cx", "cy"), cover.where("not inner").select("zone", "zx", "zy", "cx", "cy")
-    inside = spread_join(whole, pyramid, ["level", "cx", "cy"], advice=advise(whole, pyramid, ["level", "cx", "cy"], unique=False))
-    tested = spread_join(edge, spots, ["cx", "cy"], advice=advise(edge, spots, ["cx", "cy"], unique=False))
+    # Zones at one place hold the same; their circle is made up once. A circle takes about as many cells as its edge is long.
+    places = cut(centres.select("zx", "zy").distinct())
+    cover = _cover(places.repartition(tasks_for(places.count() * 24.0 * fine) or 1), float(radius), side, depth)
+    whole, edge = cover.where("inner").select("zx", "zy", "level", "cx", "cy"), cover.where("not inner").select("zx", "zy", "cx", "cy")
+
+    def met(cells: DataFrame, sums_of: DataFrame, on: list[str]) -> DataFrame:
+        return spread_join(cells, sums_of, on, advice=advise(cells, sums_of, on, unique=False), parts=tasks_for(pairs_met(cells, sums_of, on)))
+
+    inside, tested = met(whole, pyramid, ["level", "cx", "cy"]), met(edge, spots, ["cx", "cy"])
     dx, dy = F.col("__x") - F.col("zx"), F.col("__y") - F.col("zy")
     tested = tested.where(F.sqrt(dx * dx + dy * dy) <= float(radius))
-    columns = ["zone", *keys, *measures, "__n"]
-    both = inside.select(*columns).unionByName(tested.select(*columns))
-    return both.groupBy("zone", *keys).agg(*totals).withColumnRenamed("__n", count)
+    columns = ["zx", "zy", *keys, *measures, "__n"]
+    held = cut(inside.select(*columns).unionByName(tested.select(*columns)).groupBy("zx", "zy", *keys).agg(*totals))
+    each = spread_join(centres, held, ["zx", "zy"], advice=advise(centres, held, ["zx", "zy"], unique=False))
+    return each.groupBy("zone", *keys).agg(*totals).withColumnRenamed("__n", count)
 
 
 def stations_long(stations: DataFrame, ids: Sequence[str], corridors: Sequence[str], x: str, y: str,

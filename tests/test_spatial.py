@@ -369,3 +369,13 @@ def test_station_pairs_are_made_unique_only_where_they_repeat(spark):
     assert "Aggregate" not in single._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
     wide = stations.unionByName(spark.createDataFrame([(7, 1.0, 0.0)], stations.schema))
     assert rows(areas.station_members(features, wide, "f", "x", "y", "s", "sx", "sy", 2.0)) == rows(single)
+
+
+def test_zones_at_one_place_are_made_up_once(spark, monkeypatch):
+    seen, cover = [], areas._cover
+    monkeypatch.setattr(areas, "_cover", lambda zones, *a: seen.append(zones.count()) or cover(zones, *a))
+    df = spark.createDataFrame([(i % 90, 10.0 * (i % 3), 0.0, 1.0) for i in range(120)], "id int, x double, y double, w double")
+    got = {(r.zone, r.w, r.n) for r in areas.floating_sums(df, df, "id", "x", "y", "x", "y", 10.0, ["w"]).collect()}
+    around = {0: 80, 1: 120, 2: 80}
+    assert got == {(i, float(around[i % 3] * k), around[i % 3] * k) for i in range(90) for k in [2 if i < 30 else 1]}
+    assert seen == [3]
