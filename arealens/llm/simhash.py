@@ -116,6 +116,13 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", extra: Column | None = None) -> DataFrame:
+    """(doc_id, h, root) of every row: rows of equal root are one component. h is `extra`, a long, or null."""
+    marked = stored(fingerprints(docs, id_col, text_col, extra=extra))
+    named = _components_of(stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least"))))
+    return marked.join(named.select("fp", "root"), "fp").select("doc_id", "h", "root")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """Fingerprint and component of every document: (doc_id, fp, component_id).
 

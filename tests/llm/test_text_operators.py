@@ -313,6 +313,19 @@ def test_pipeline_stage_finds_near_copies(spark):
     assert {r.doc_id for r in kept.collect()} == near_copies_by_hand(rows)
 
 
+def test_pipeline_stage_runs_fingerprints_and_checks_them(spark, monkeypatch):
+    """Fingerprints that agree propose a pair; texts that share a repeated phrase only are no copies."""
+    import corpus_pipeline
+
+    tail = lambda n: " ".join(f"w{n}x{i}" for i in range(40))
+    rows = [(n, "one two three four five six seven " * 400 + tail(n)) for n in range(4)] + [(9, "one two three four five six seven " * 400 + tail(3)), (10, None), (11, "")]
+    assert len({simhash.fingerprint(t.encode()) for _, t in rows[:5]}) < 5
+    made, pairs = [], shingles._of_groups
+    monkeypatch.setattr(shingles, "_of_groups", lambda *a: made.append(pairs(*a)) or made[-1])
+    kept = dict(corpus_pipeline.STAGES)["near duplicates"](spark, table(spark, rows), "")
+    assert {r.doc_id for r in kept.collect()} == {0, 1, 2, 3, 10} and made[0].count() > 0
+
+
 def test_quality_held_out(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     truth = {r.doc_id: r.quality for r in labels.collect()}
