@@ -1,26 +1,23 @@
 """Language-model scores by prediction by partial matching over bytes.
 
-Method: a trie of byte contexts. The longest context of a byte is the whole spelling of its
-word so far. That part of the trie is kept collapsed, as one leaf per training word: a
-word seen in training is predicted by (count - 1/2) / tokens, and any other word begins with
-an escape of (distinct words / 2) / tokens. It is then spelled byte by byte and ended by a
-space, in contexts of up to `ORDER` bytes back to the space before the word. A context
-predicts a byte it has seen with (count - 1/2) / total, and else escapes with (distinct
-bytes / 2) / total to the next shorter context, where bytes already ruled out are left out
-of counts, totals and distinct bytes. Below the empty context the bytes not seen anywhere
-share what is left. As only new words are spelled, contexts count each distinct training
-word once. The end of a text is a word of its own.
-
-This pretrained model is blended with the document's own adaptive counts: after t words, of
+Method: a text is spelled as its words, each ended by a space, and one end. Every byte is
+predicted from the `ORDER` bytes before it, across word borders; a text starts behind ends.
+A context predicts a byte it has seen with (count - 1/2) / total, and else escapes with
+(distinct bytes / 2) / total to the next shorter context, where bytes already ruled out are
+left out of counts, totals and distinct bytes. Below the empty context the bytes not seen
+anywhere share what is left. Contexts count every byte of every training text.
+
+The chance of a word is that of its bytes and its space, so it hangs on the words before it.
+It is blended with the document's own adaptive counts: after t words, of
 which k are the next word, its chance is (k + m * pretrained chance) / (t + m), that is, an
 escape of m / (t + m) from the document to the corpus. Each m of `ESCAPES` scores the
 document, and the document's chance is their mean, so repetitive texts escape seldom.
 
 Words and contexts are counted over all training texts and kept as tables. Blocks of
-documents ask shards about their distinct words; shards hold each word's count over the
-corpus and ask the trie about the distinct (context, byte) pairs of new words. So a word
-that makes up a large part of all text is one entry per block, and no table is sent whole
-to any task.
+documents ask shards about their distinct words, and about their distinct (context, byte)
+pairs; shards hold each word's and pair's count over the corpus and ask the shorter contexts
+about pairs that no training text has. So a word or pair that makes up a large part of all
+text is one entry per block, and no table is sent whole to any task.
 """
 
 from __future__ import annotations
@@ -58,10 +55,9 @@ def _held(ids: list[int | None], folds: int) -> np.ndarray:
 class _Vocabulary:
     """The distinct words of a block, the text's end among them, by shard, with their counts in training texts."""
 
-    def __init__(self, body: bytes, shards: int, folds: int):
+    def __init__(self, table: pa.Table, shards: int, folds: int):
         import xxhash
 
-        table = unpack(body)
         self.ids = table["id"].to_pylist()
         self.held = _held(self.ids, folds)
         self.counts, self.index, words = word_table(table["text"].to_pylist(), lower=True)
@@ -71,33 +67,57 @@ class _Vocabulary:
         times = np.bincount(self.index[learn], minlength=len(words))
         self.words = [*words, END]
         self.times = np.append(times, int((~self.held).sum()))
-        shard = np.array([xxhash.xxh64_intdigest(w) % shards for w in self.words], np.int64)
-        self.order = np.argsort(shard, kind="stable")
-        cuts = np.flatnonzero(np.diff(shard[self.order])) + 1
-        self.parts = [(int(shard[p[0]]), p) for p in np.split(self.order, cuts)]
+        self.parts = _by_shard(np.array([xxhash.xxh64_intdigest(w) % shards for w in self.words], np.int64))
 
 
-def _spelled(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts and bytes of the words' spellings, one after another, and where each word begins.
+class _Spelling:
+    """The bytes of a block's texts, each with the `order` bytes before it, and their distinct pairs by shard.
 
-    A context is a number: a leading 1, then its bytes.
+    A pair is a number: a leading 1, the context's bytes, the byte.
     """
-    flat = np.frombuffer(b"".join(b" " + w if w == END else b" " + w + b" " for w in words), np.uint8)
-    size = np.array([2 if w == END else len(w) + 2 for w in words], np.int64)
-    begin = np.cumsum(size) - size
-    within = np.arange(len(flat)) - np.repeat(begin, size)
-    at = np.flatnonzero(within > 0)
-    depth = np.minimum(within[at], order)
-    ctx = np.zeros(len(at), np.uint64)
-    for t in range(1, order + 1):
-        reach = depth >= t
-        ctx[reach] |= flat[at[reach] - t].astype(np.uint64) << np.uint64(8 * (t - 1))
-    ctx |= np.uint64(1) << (8 * depth).astype(np.uint64)
-    return ctx.astype(np.int64), flat[at].astype(np.int64), begin - np.arange(len(words))
 
-
-def _ranked(ctx: np.ndarray, sym: np.ndarray) -> np.ndarray:
-    return ctx.astype(np.uint64) << np.uint64(8) | sym.astype(np.uint64)
+    def __init__(self, table: pa.Table, shards: int, order: int):
+        streams = [b"".join((END * order, b" ".join(w), b" " if w else b"", END)) for w in ((x or b"").lower().split() for x in table["text"].to_pylist())]
+        size = np.array([len(x) for x in streams], np.int64)
+        flat = np.frombuffer(b"".join(streams), np.uint8)
+        wide = flat.astype(np.uint64)
+        pair = np.full(len(flat), 1 << 8 * (order + 1), np.uint64)
+        for t in range(order + 1):
+            pair[t:] |= wide[:len(flat) - t] << np.uint64(8 * t)
+        told = np.ones(len(flat), bool)
+        told[((np.cumsum(size) - size)[:, None] + np.arange(order)).ravel()] = False
+        self.all, self.size = pair[told], size - order
+        # Where the tokens begin among the bytes: at the first, and behind every space and end but the last.
+        self.begin = np.append(0, np.flatnonzero((flat[told] == ord(" ")) | (flat[told] == ord(END)))[:-1] + 1)
+        self.pairs, _ = _runs(self.all)
+        # All bytes of a context lie in one shard.
+        self.parts = _by_shard((_mixed(self.pairs >> np.uint64(8)) % np.uint64(shards)).astype(np.int64))
+
+    def times(self, held: np.ndarray) -> np.ndarray:
+        """How often each pair occurs in texts that are not held out."""
+        out = np.zeros(len(self.pairs), np.int64)
+        learnt, n = _runs(self.all[np.repeat(~held, self.size)])
+        out[np.searchsorted(self.pairs, learnt)] = n
+        return out
+
+
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, ascending, and how often each occurs."""
+    x = np.sort(x)
+    first = np.flatnonzero(np.append(True, x[1:] != x[:-1])[:len(x)])
+    return x[first], np.diff(np.append(first, len(x)))
+
+
+def _by_shard(shard: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Places of a block's entries in each shard, in their order."""
+    order = np.argsort(shard, kind="stable")
+    return [(int(shard[p[0]]), p) for p in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1)]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers spread over all 64 bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(31))
 
 
 def chances(pairs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -142,6 +162,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     Returns (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): tokens are
     words `[^\\x20\\x09-\\x0D]+` with A to Z lowered and one end; known tokens occur in training
     texts; the base score is an add-0.1 unigram model's, the score this model's, both log10.
+    The contexts of the score are `order` bytes long, at most 6.
     Null and empty texts are an end alone. A null id is held out; rows that share an id are
     scored each. An empty table gives an empty table; other columns are ignored.
     """
@@ -149,78 +170,84 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     shards = max(1, -(-size // SHARD_BYTES))
     blocks = to_blocks(docs, id_col, text_col)
 
+    # Shards of words are numbered from 0, those of pairs behind them.
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, body in zip(batch["block"].to_pylist(), batch["body"]):
-                own = _Vocabulary(body.as_py(), shards, folds)
+                table = unpack(body.as_py())
+                own = _Vocabulary(table, shards, folds)
                 rows = [(shard, block, pack(pa.table({"word": pa.array([own.words[i] for i in part.tolist()], pa.binary()), "n": own.times[part]})))
                         for shard, part in own.parts]
+                spelt = _Spelling(table, shards, order)
+                times = spelt.times(own.held)
+                rows += [(shards + shard, block, pack(pa.table({"step": np.diff(spelt.pairs[part], prepend=np.uint64(0)), "n": times[part]})))
+                         for shard, part in spelt.parts]
                 yield from _rows(rows).to_batches()
 
+    def count(table: pa.Table) -> pa.Table:
+        """Counts of the words each block asked about, in its order. Block -1 has the shard's numbers of training words and tokens."""
+        times, places = _merged([unpack(b) for b in table["body"].to_pylist()], "word")[1:]
+        rows = [(table["shard"][0].as_py(), -1, pack(pa.table({"n": np.array([(times > 0).sum(), times.sum()], np.int64)})))]
+        for shard, block, place in zip(table["shard"].to_pylist(), table["block"].to_pylist(), places):
+            rows.append((shard, block, pack(pa.table({"n": times[place]}))))
+        return _rows(rows)
+
     def pairs(table: pa.Table) -> pa.Table:
-        """Distinct (context, byte) pairs of a shard's words: in how many training words, and whether in new ones.
-
-        At byte -1 stand the shard's numbers of training words and tokens.
-        """
-        shard = table["shard"][0].as_py()
-        words, times = _merged(table["body"].to_pylist())
-        ctx, sym, begin = _spelled(words, order)
-        learnt = np.repeat(times > 0, np.diff(np.append(begin, len(ctx))))
-        keys, at = np.unique(_ranked(ctx, sym), return_inverse=True)
-        n = np.bincount(at, weights=learnt, minlength=len(keys)).astype(np.int64)
-        new = np.bincount(at, weights=~learnt, minlength=len(keys)) > 0
-        keys_ctx, keys_sym = (keys >> np.uint64(8)).astype(np.int64), (keys & np.uint64(255)).astype(np.int64)
-        return pa.table({"shard": pa.array(np.full(len(keys) + 1, shard), pa.int32()),
-                         "ctx": np.append(keys_ctx, int((times > 0).sum())), "sym": pa.array(np.append(keys_sym, -1), pa.int32()), "n": np.append(n, int(times.sum())), "new": np.append(new, False)})
+        """Distinct pairs of a shard: how often in training texts, and whether only in others."""
+        keys, n, _ = _merged([_asked(b) for b in table["body"].to_pylist()], "pair")
+        keys = keys.to_numpy()
+        return pa.table({"shard": pa.array(np.full(len(keys), table["shard"][0].as_py()), pa.int32()), "ctx": (keys >> np.uint64(8)).astype(np.int64),
+                         "sym": (keys & np.uint64(255)).astype(np.int32), "n": n, "new": n == 0})
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Counts and scores of the words each block asked about, in its order."""
+        """log10 chances of the pairs each block asked about, in its order."""
         if not left.num_rows:
             return _rows([])
-        words, times = _merged(left["body"].to_pylist())
-        scores = np.log10(np.maximum(times - 0.5, 0.5) / max(tokens, 1))
-        fresh = np.flatnonzero(times == 0)
-        if len(fresh):
-            ctx, sym, begin = _spelled([words[i] for i in fresh.tolist()], order)
-            known = _ranked(right["ctx"].to_numpy(), right["sym"].to_numpy())
-            by = np.argsort(known)
-            lp = right["lp"].to_numpy()[by][np.searchsorted(known[by], _ranked(ctx, sym))]
-            scores[fresh] = np.add.reduceat(lp, begin) + (np.log10(0.5 * kinds / tokens) if tokens else 0.0)
-        all_words = pa.array(words, pa.binary())
-        rows = []
-        import pyarrow.compute as pc
-
-        for shard, block, body in zip(*(left[c].to_pylist() for c in ("shard", "block", "body"))):
-            at = pc.index_in(unpack(body)["word"].combine_chunks(), all_words).to_numpy()
-            rows.append((shard, block, pack(pa.table({"n": times[at], "score": scores[at]}))))
-        return _rows(rows)
+        keys, n, places = _merged([_asked(b) for b in left["body"].to_pylist()], "pair")
+        pair = keys.to_numpy()
+        _, ctx = np.unique(pair >> np.uint64(8), return_inverse=True)
+        total = np.bincount(ctx, weights=n)[ctx]
+        scores = np.log10(np.maximum(n - 0.5, 0.5) / np.maximum(total, 1))
+        known = right["ctx"].to_numpy().astype(np.uint64) << np.uint64(8) | right["sym"].to_numpy().astype(np.uint64)
+        fresh, by = np.flatnonzero(n == 0), np.argsort(known)
+        scores[fresh] = right["lp"].to_numpy()[by][np.searchsorted(known[by], pair[fresh])]
+        return _rows([(shard, block, pack(pa.table({"score": scores[place]})))
+                      for shard, block, place in zip(left["shard"].to_pylist(), left["block"].to_pylist(), places)])
 
     questions = stored(blocks.mapInArrow(ask, ROWS_SQL))
-    spelled = stored(questions.groupBy("shard").applyInArrow(pairs, PAIR_SQL))
-    totals = spelled.where("sym = -1").agg(F.sum("ctx").alias("v"), F.sum("n").alias("n")).first()
-    kinds, tokens = totals["v"] or 0, totals["n"] or 0
-    asked = spelled.where("sym >= 0")
-    known = chances(asked.groupBy("ctx", "sym").agg(F.sum("n").alias("n"), F.max("new").alias("new")), order)
-    told = asked.where("new").select("shard", "ctx", "sym").join(known, ["ctx", "sym"])
-    answers = questions.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(answer, ROWS_SQL)
+    counted = stored(questions.where(F.col("shard") < shards).groupBy("shard").applyInArrow(count, ROWS_SQL))
+    sums = [unpack(r["body"])["n"].to_numpy() for r in counted.where("block = -1").collect()]  # one row a shard
+    kinds, tokens = (int(x) for x in sum(sums, np.zeros(2, np.int64)))
+    spelling = questions.where(F.col("shard") >= shards)
+    spelled = stored(spelling.groupBy("shard").applyInArrow(pairs, PAIR_SQL))
+    known = chances(spelled.select("ctx", "sym", "n", "new"), order)
+    told = spelled.where("new").select("shard", "ctx", "sym").join(known, ["ctx", "sym"])
+    answers = counted.where("block >= 0").unionByName(spelling.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(answer, ROWS_SQL))
 
     def add_up(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         replies = dict(zip(right["shard"].to_pylist(), right["body"].to_pylist()))
         for body in left["body"].to_pylist():
-            own = _Vocabulary(body, shards, folds)
-            n, scores = np.zeros(len(own.words), np.int64), np.zeros(len(own.words))
+            table = unpack(body)
+            own, spelt = _Vocabulary(table, shards, folds), _Spelling(table, shards, order)
+            n, lp = np.zeros(len(own.words), np.int64), np.zeros(len(spelt.pairs))
             for shard, part in own.parts:
-                reply = unpack(replies[shard])
-                n[part], scores[part] = reply["n"].to_numpy(), reply["score"].to_numpy()
+                n[part] = unpack(replies[shard])["n"].to_numpy()
+            for shard, part in spelt.parts:
+                lp[part] = unpack(replies[shards + shard])["score"].to_numpy()
             base = np.log10((n + 0.1) / (tokens + 0.1 * (kinds + 1)))
             size = len(own.ids)
             total = lambda x: np.bincount(own.owner, weights=x[own.index], minlength=size) + x[-1]  # noqa: E731, B023
+            coded = pa.array(spelt.all).dictionary_encode()
+            told = lp[np.searchsorted(spelt.pairs, coded.dictionary.to_numpy())][coded.indices.to_numpy()]
+            scores = np.add.reduceat(told, spelt.begin)
+            ends = np.cumsum(own.counts + 1) - 1
+            words = np.delete(scores, ends)
             before, place = _so_far(own.owner, own.index, own.counts)
-            chance = 10 ** scores[own.index]
+            # Of a word's first place only the logarithm is needed, however small its chance.
             each = np.stack([
-                np.bincount(own.owner, weights=np.log10((before + m * chance) / (place + m)), minlength=size)
-                + np.log10(m / (own.counts + m)) + scores[-1] for m in ESCAPES])
+                np.bincount(own.owner, weights=np.where(before > 0, np.log10(np.maximum(before, 1) + m * 10 ** words), np.log10(m) + words) - np.log10(place + m),
+                            minlength=size) + np.log10(m / (own.counts + m)) + scores[ends] for m in ESCAPES])
             best = each.max(axis=0)
             blended = best + np.log10((10 ** (each - best)).mean(axis=0))
             out.append(pa.table({
@@ -236,7 +263,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
 def _so_far(owner: np.ndarray, index: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each word of a block: how often its document had it before, and how many words the document had before."""
     place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    order = np.lexsort((place, index, owner))
+    # By word, then by place in the block; a document's words lie together there.
+    order = (np.sort(index << 32 | np.arange(len(index))) & 0xFFFFFFFF).astype(np.int64)
     first = np.ones(len(order), bool)
     first[1:] = (owner[order][1:] != owner[order][:-1]) | (index[order][1:] != index[order][:-1])
     run = np.arange(len(order))
@@ -250,9 +278,16 @@ def _rows(rows: list[tuple[int, int, bytes]]) -> pa.Table:
                      "body": pa.array([r[2] for r in rows], pa.binary())})
 
 
-def _merged(bodies: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Distinct words of packed tables (word, n) and the sums of n."""
-    whole = pa.concat_tables([unpack(b) for b in bodies])
-    coded = whole["word"].combine_chunks().dictionary_encode()
-    times = np.bincount(coded.indices.to_numpy(), weights=whole["n"].to_numpy(), minlength=len(coded.dictionary))
-    return coded.dictionary.to_pylist(), times.astype(np.int64)
+def _asked(body: bytes) -> pa.Table:
+    """Pairs and their counts in a packed question, where pairs are ascending and told by their steps."""
+    table = unpack(body)
+    return pa.table({"pair": np.cumsum(table["step"].to_numpy(), dtype=np.uint64), "n": table["n"]})
+
+
+def _merged(tables: list[pa.Table], key: str) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
+    """Distinct keys of tables (key, n), the sums of n, and the places of each table's keys among them."""
+    whole = pa.concat_tables(tables)
+    coded = whole[key].combine_chunks().dictionary_encode()
+    at = coded.indices.to_numpy()
+    times = np.bincount(at, weights=whole["n"].to_numpy(), minlength=len(coded.dictionary))
+    return coded.dictionary, times.astype(np.int64), np.split(at, np.cumsum([t.num_rows for t in tables])[:-1])
