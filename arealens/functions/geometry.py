@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Functions that run in tasks are sent by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 METRES_PER_MILE = 1609.344
 
 
@@ -240,36 +247,42 @@ def _meridian(lat, e2: float, sin):
     )
 
 
-def _radii(lat: Column) -> tuple[Column, Column]:
-    """Radii of curvature along the meridian and across it."""
+def _radii(lat, f):
+    """Radii of curvature along the meridian and across it; `f` has the functions, Spark's or numpy's."""
     e2 = GRS80_F * (2 - GRS80_F)
-    w = 1 - F.lit(e2) * F.pow(F.sin(lat), 2)
-    return F.lit(GRS80_A * (1 - e2)) / F.pow(w, 1.5), F.lit(GRS80_A) / F.sqrt(w)
+    w = 1 - e2 * f.pow(f.sin(lat), 2)
+    return GRS80_A * (1 - e2) / f.pow(w, 1.5), GRS80_A / f.sqrt(w)
 
 
-def transverse_mercator(lon: Column, lat: Column, lon0: float, lat0: float, k0: float, fe: float, fn: float) -> Column:
-    """Projected struct<x, y> in metres from degrees, by the series in the longitude to its eighth power."""
+def _on_grid(lon, lat, lon0: float, lat0: float, k0: float, fe: float, fn: float, f) -> tuple:
+    """Metres x, y from degrees, by the series in the longitude to its eighth power."""
     e2 = GRS80_F * (2 - GRS80_F)
-    phi, w = F.radians(lat), F.radians(lon) - F.lit(math.radians(lon0))
-    rho, nu = _radii(phi)
-    psi, t2 = nu / rho, F.pow(F.tan(phi), 2)
-    t4, t6, a2 = t2 * t2, t2 * t2 * t2, F.pow(w * F.cos(phi), 2)
-    m = _meridian(phi, e2, F.sin)
+    phi, w = f.radians(lat), f.radians(lon) - math.radians(lon0)
+    rho, nu = _radii(phi, f)
+    psi, t2 = nu / rho, f.pow(f.tan(phi), 2)
+    t4, t6, a2 = t2 * t2, t2 * t2 * t2, f.pow(w * f.cos(phi), 2)
+    m = _meridian(phi, e2, f.sin)
     m0 = _meridian(math.radians(lat0), e2, math.sin)
-    x = F.lit(k0) * nu * w * F.cos(phi) * (
+    x = k0 * nu * w * f.cos(phi) * (
         1 + a2 / 6 * (psi - t2)
-        + a2 * a2 / 120 * (4 * F.pow(psi, 3) * (1 - 6 * t2) + F.pow(psi, 2) * (1 + 8 * t2) - 2 * psi * t2 + t4)
-        + F.pow(a2, 3) / 5040 * (61 - 479 * t2 + 179 * t4 - t6)
+        + a2 * a2 / 120 * (4 * f.pow(psi, 3) * (1 - 6 * t2) + f.pow(psi, 2) * (1 + 8 * t2) - 2 * psi * t2 + t4)
+        + f.pow(a2, 3) / 5040 * (61 - 479 * t2 + 179 * t4 - t6)
     )
-    y = F.lit(k0) * (
-        m - F.lit(m0)
-        + nu * F.tan(phi) * a2 / 2 * (
+    y = k0 * (
+        m - m0
+        + nu * f.tan(phi) * a2 / 2 * (
             1 + a2 / 12 * (4 * psi * psi + psi - t2)
-            + a2 * a2 / 360 * (8 * F.pow(psi, 4) * (11 - 24 * t2) - 28 * F.pow(psi, 3) * (1 - 6 * t2) + F.pow(psi, 2) * (1 - 32 * t2) - 2 * psi * t2 + t4)
-            + F.pow(a2, 3) / 20160 * (1385 - 3111 * t2 + 543 * t4 - t6)
+            + a2 * a2 / 360 * (8 * f.pow(psi, 4) * (11 - 24 * t2) - 28 * f.pow(psi, 3) * (1 - 6 * t2) + f.pow(psi, 2) * (1 - 32 * t2) - 2 * psi * t2 + t4)
+            + f.pow(a2, 3) / 20160 * (1385 - 3111 * t2 + 543 * t4 - t6)
         )
     )
-    return F.struct((x + fe).alias("x"), (y + fn).alias("y"))
+    return x + fe, y + fn
+
+
+def transverse_mercator(lon: Column, lat: Column, lon0: float, lat0: float, k0: float, fe: float, fn: float) -> Column:
+    """Projected struct<x, y> in metres from degrees, by the series in the longitude to its eighth power."""
+    x, y = _on_grid(lon, lat, lon0, lat0, k0, fe, fn, F)
+    return F.struct(x.alias("x"), y.alias("y"))
 
 
 def inverse_transverse_mercator(x: Column, y: Column, lon0: float, lat0: float, k0: float, fe: float, fn: float) -> Column:
@@ -277,25 +290,25 @@ def inverse_transverse_mercator(x: Column, y: Column, lon0: float, lat0: float,
 
     The projection itself is corrected until it meets the place: each round moves the
     degrees by what is left, over the local scale, which takes two digits off the rest.
+    The rounds run on whole batches of places, since a fold is interpreted value by value.
     """
-    given = F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
-
-    def corrected(p: Column) -> Column:
-        start = F.lit(lat0) + F.degrees((p["y"] - fn) / F.lit(k0 * GRS80_A))
-        first = F.struct((F.lit(lon0) + F.degrees((p["x"] - fe) / (F.lit(k0 * GRS80_A) * F.cos(F.radians(start))))).alias("x"), start.alias("y"))
-
-        def step(at: Column, _: Column) -> Column:
-            met = transverse_mercator(at["x"], at["y"], lon0, lat0, k0, fe, fn)
-            rho, nu = _radii(F.radians(at["y"]))
-            # The grid is turned against the meridian by the convergence; the rest is turned back before it is taken off.
-            bend = F.radians(at["x"] - lon0) * F.sin(F.radians(at["y"]))
-            dx, dy = p["x"] - met["x"], p["y"] - met["y"]
-            return F.struct((at["x"] + F.degrees((dx * F.cos(bend) - dy * F.sin(bend)) / (F.lit(k0) * nu * F.cos(F.radians(at["y"]))))).alias("x"),
-                            (at["y"] + F.degrees((dx * F.sin(bend) + dy * F.cos(bend)) / (F.lit(k0) * rho))).alias("y"))
-
-        return F.aggregate(F.sequence(F.lit(1), F.lit(10)), first, step)
-
-    return F.when(x.isNotNull() & y.isNotNull(), let(given, corrected))
+    @F.arrow_udf("x double, y double")
+    def corrected(px: pa.Array, py: pa.Array) -> pa.Array:
+        px, py = (p.to_numpy(zero_copy_only=False).astype(float) for p in (px, py))
+        with np.errstate(all="ignore"):
+            lat = lat0 + np.degrees((py - fn) / (k0 * GRS80_A))
+            lon = lon0 + np.degrees((px - fe) / (k0 * GRS80_A * np.cos(np.radians(lat))))
+            for _ in range(10):
+                mx, my = _on_grid(lon, lat, lon0, lat0, k0, fe, fn, np)
+                rho, nu = _radii(np.radians(lat), np)
+                # The grid is turned against the meridian by the convergence; the rest is turned back before it is taken off.
+                bend = np.radians(lon - lon0) * np.sin(np.radians(lat))
+                dx, dy = px - mx, py - my
+                lon, lat = (lon + np.degrees((dx * np.cos(bend) - dy * np.sin(bend)) / (k0 * nu * np.cos(np.radians(lat)))),
+                            lat + np.degrees((dx * np.sin(bend) + dy * np.cos(bend)) / (k0 * rho)))
+        return pa.StructArray.from_arrays([pa.array(lon), pa.array(lat)], ["x", "y"])
+
+    return F.when(x.isNotNull() & y.isNotNull(), corrected(x.cast("double"), y.cast("double")))
 
 
 def project(lon: Column, lat: Column, epsg: int) -> Column:

@@ -221,3 +221,16 @@ def test_any_system_into_any_other(spark):
                     assert r.d.x == pytest.approx(r.lon, abs=1e-11, rel=0) and r.d.y == pytest.approx(r.lat, abs=1e-11, rel=0)
     with pytest.raises(ValueError):
         reproject(F.col("lon"), F.col("lat"), 4326, 9999)
+
+
+def test_many_places_are_unprojected_in_batches(spark):
+    from arealens.functions.geometry import project, unproject
+
+    df = spark.range(40_000).select("id", (F.col("id") % 300 / 100 - 82.5).alias("lon"), (F.col("id") % 641 / 100 + 24.5).alias("lat"))
+    back = df.select("lon", "lat", project(F.col("lon"), F.col("lat"), 2881).alias("p")).select("lon", "lat", unproject(F.col("p.x"), F.col("p.y"), 2881).alias("d"))
+    # A fold over rounds is interpreted, at about a millisecond a place.
+    assert "aggregate(" not in back._jdf.queryExecution().optimizedPlan().toString()
+    worst = back.agg(F.max(F.abs(F.col("d.x") - F.col("lon"))).alias("x"), F.max(F.abs(F.col("d.y") - F.col("lat"))).alias("y")).first()
+    assert worst.x < 1e-11 and worst.y < 1e-11
+    odd = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0), (1e300, float("inf"))], "a double, b double").select(unproject(F.col("a"), F.col("b"), 6437).alias("d")).collect()
+    assert odd[0].d is None and math.isnan(odd[1].d.x)
