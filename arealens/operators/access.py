@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from arealens.functions.scalar import bin_label, bin_labels, divide, finite, infinite_to_zero, recode, row_mean, row_min
 from arealens.operators.joins import merge_many, merge_outer
+from arealens.session import cut
 from arealens.skew import JoinAdvice, advise, is_small, spread_join
 
 TIME_BREAKS = (15, 30, 45, 60)
@@ -122,19 +123,20 @@ def join_legs(access: DataFrame, ride: DataFrame, origin: str = "OName", destina
         out = df.select(F.col(origin).alias(a), F.col(destination).alias(b), F.col(time).cast("double").alias(t))
         return out.where(F.col(t) <= cutoff) if cutoff is not None else out
 
-    enter = legs(access, "__o", "__board", "__t1")
-    leave = legs(access, "__d", "__alight", "__t3")
+    # Written once: both ends, the rides and the advice read them, and a skim may come from a long plan.
+    walks = cut(legs(access, "__o", "__board", "__t1").where("__board is not null"))
+    enter, leave = walks, walks.toDF("__d", "__alight", "__t3")
     if origins is not None:
         enter = enter.join(origins.select(F.col(origins.columns[0]).alias("__o")), "__o", "left_semi")
     if destinations is not None:
         leave = leave.join(destinations.select(F.col(destinations.columns[0]).alias("__d")), "__d", "left_semi")
     # Busy stops may hold much of either table, so their rows are split on both sides.
-    rides = legs(ride, "__board", "__alight", "__t2")
+    rides = cut(legs(ride, "__board", "__alight", "__t2").where("__board is not null"))
     aboard = spread_join(enter, rides, "__board", advice=advise(enter, rides, "__board", unique=False))
     best = aboard.groupBy("__o", "__alight").agg(F.min(F.col("__t1") + F.col("__t2")).alias("__t12"))
     if cutoff is not None:
         best = best.where(F.col("__t12") <= cutoff)
-    off = advise(ride.select(F.col(destination).alias("__alight")), leave, "__alight", unique=False)
+    off = advise(rides.select("__alight"), leave, "__alight", unique=False)
     through = spread_join(best, leave, "__alight", advice=off).select("__o", "__d", (F.col("__t12") + F.col("__t3")).alias(time))
     if cutoff is not None:
         through = through.where(F.col(time) <= cutoff)

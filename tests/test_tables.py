@@ -252,6 +252,21 @@ def test_join_legs(spark, request, forced):
     assert rows(access.join_legs(walk, ride, cutoff=12.0, origins=only)) == [(1, 2, 7.0)]
 
 
+def test_join_legs_reads_long_plans_once(spark):
+    skim = spark.range(400).groupBy((F.col("id") % 20).alias("OName"), (F.col("id") % 7).alias("DName"), (F.col("id") % 2).alias("k")).agg(F.min("id").alias("Minutes"))
+    out = access.join_legs(skim.where("k = 0"), skim.where("k = 1"), cutoff=300.0)
+    # Only the written legs are left in the plan, not the aggregate they come from.
+    assert "Range" not in out._jdf.queryExecution().optimizedPlan().toString()
+    known = skim.collect()
+    walk, ride = ([(r.OName, r.DName, r.Minutes) for r in known if r.k == k and r.Minutes <= 300] for k in (0, 1))
+    best = {}
+    for o, d, m in ((a[0], c[0], a[2] + b[2] + c[2]) for a in walk for b in ride if a[1] == b[0] for c in walk if b[1] == c[1]):
+        if m <= 300:
+            best[o, d] = min(best.get((o, d), m), m)
+    assert best and {(r.OName, r.DName): r.Minutes for r in out.collect()} == best
+
+
+
 def test_long_access(spark):
     df = spark.createDataFrame([(1, 5.0, None)], "id int, HH15MinW double, HH30MinW double")
     out = access.long_access(df, ["id"], ["HH"], (15, 30), "Walk", 2019)
