@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,6 +23,10 @@ POSITIONS = {
     "bottom_left": (1, -1), "bottom_center": (1, 0), "bottom_right": (1, 1),
 }
 
+# Cells of a tile's side, and rows of cells a task labels at a time.
+TILE = 64
+TILE_ROWS = 200_000
+
 
 def neighbour_weights(weights: str | Mapping[str, float]) -> dict[str, float]:
     """Weights of the nine positions: "rook" (sides), "queen" (sides count double), "nn" (all 1), or a full mapping."""
@@ -107,21 +113,83 @@ def edge_cells(edges: DataFrame, key: str, size: float, ends: Sequence[str] = ("
 def developable_parts(cells: DataFrame, mask: DataFrame, parcel: str, out: str = "part") -> DataFrame:
     """Cells outside the mask with the connected part (4 neighbours, same parcel) they belong to.
 
-    A part is named by its smallest cell id, row and column packed in one number.
+    A part is named by its smallest cell id, row and column packed in one number. Parts are
+    found tile by tile first; only what touches the edge of a tile is linked over all tiles.
+    """
+    free = cells.join(mask.select("row", "col").distinct(), ["row", "col"], "left_anti").where("row is not null and col is not null")
+    names = free.columns
+    marked = cut(tile_parts(free, parcel, out, "__seam"))
+    seam = marked.where("__seam").select("row", "col", parcel, out).distinct()
+    links = None
+    for step, line in (("row", "col"), ("col", "row")):
+        here = F.pmod(line, F.lit(TILE))
+        last = seam.where(here == TILE - 1).select(step, (F.col(line) + 1).alias(line), parcel, F.col(out).alias("src"))
+        first = seam.where(here == 0).select(step, line, parcel, F.col(out).alias("dst"))
+        met = last.join(first, [step, line, parcel]).select("src", "dst").distinct()
+        links = met if links is None else links.unionByName(met)
+    labels = cut(components(links)).withColumnsRenamed({"node": out, "component": "__whole"})
+    touching = marked.where("__seam").join(labels, out, "left").withColumn(out, F.coalesce("__whole", out))
+    return marked.where("not __seam").select(*names, out).unionByName(touching.select(*names, out))
+
+
+def tile_parts(cells: DataFrame, parcel: str, out: str, seam: str) -> DataFrame:
+    """Cells with the part of their tile they belong to, by its smallest cell id, and whether that part touches the tile's edge.
+
+    Tiles are `TILE` cells wide and high and lie whole in a partition, so a task holds about
+    `TILE_ROWS` rows at a time, or one tile.
     """
-    free = cells.join(mask.select("row", "col").distinct(), ["row", "col"], "left_anti")
-    shift = 1 << 31
-    number = F.col("row").cast("bigint") * F.lit(2 * shift) + F.col("col").cast("bigint") + F.lit(shift)
-    numbered = cut(free.withColumn("__id", number))
-    pairs = None
-    for dr, dc in ((0, 1), (1, 0)):
-        other = numbered.select((F.col("row") - dr).alias("row"), (F.col("col") - dc).alias("col"), parcel,
-                                F.col("__id").alias("dst"))
-        step = numbered.join(other, ["row", "col", parcel]).select(F.col("__id").alias("src"), "dst")
-        pairs = step if pairs is None else pairs.unionByName(step)
-    loops = numbered.select(F.col("__id").alias("src"), F.col("__id").alias("dst"))
-    labels = cut(components(pairs.unionByName(loops)))
-    return numbered.join(labels.withColumnsRenamed({"node": "__id", "component": out}), "__id").drop("__id")
+    tile, limit = TILE, TILE_ROWS
+
+    def mark(table: pa.Table) -> pa.Table:
+        row, col = (table[c].to_numpy().astype(np.int64) for c in ("row", "col"))
+        owner = table[parcel].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        nodes, at = np.unique((row << 32) + col + (1 << 31), return_inverse=True)
+        ends = []
+        for step, line in ((col, row), (row, col)):
+            # Neighbours of one parcel follow each other in this order.
+            order = np.lexsort((step, line, owner))
+            a, b = order[:-1], order[1:]
+            near = (owner[a] == owner[b]) & (owner[a] >= 0) & (line[a] == line[b]) & (line[a] // tile == line[b] // tile)
+            near &= (step[a] + 1 == step[b]) & (step[a] // tile == step[b] // tile)
+            ends.append((at[a[near]], at[b[near]]))
+        a, b = (np.concatenate(e) for e in zip(*ends))
+        least = np.arange(len(nodes))
+        while len(a):
+            # The larger of two linked names takes the smaller, and names are followed to their ends.
+            low, high = np.minimum(least[a], least[b]), np.maximum(least[a], least[b])
+            np.minimum.at(least, high, low)
+            while (least[least] != least).any():
+                least = least[least]
+            apart = least[a] != least[b]
+            a, b = a[apart], b[apart]
+        part = least[at]
+        edge = (row % tile == 0) | (row % tile == tile - 1) | (col % tile == 0) | (col % tile == tile - 1)
+        touched = np.zeros(len(nodes), bool)
+        touched[part[edge]] = True
+        return table.append_column(out, pa.array(nodes[part])).append_column(seam, pa.array(touched[part]))
+
+    def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, enough = [], 0, limit
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < enough:
+                continue
+            table = pa.Table.from_batches(held)
+            row, col = (table[c].to_numpy() // tile for c in ("row", "col"))
+            # The last tile may go on in the next batch.
+            other = np.flatnonzero((row != row[-1]) | (col != col[-1]))
+            whole = int(other[-1]) + 1 if len(other) else 0
+            if whole:
+                yield from mark(table.slice(0, whole)).to_batches()
+            held, rows = table.slice(whole).to_batches(), rows - whole
+            enough = max(limit, 2 * rows)
+        if rows:
+            yield from mark(pa.Table.from_batches(held)).to_batches()
+
+    place = [F.floor(F.col(c) / tile) for c in ("row", "col")]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema.fields)
+    return cells.repartition(*place).sortWithinPartitions(*place).mapInArrow(label, f"{kinds}, `{out}` long, `{seam}` boolean")
 
 
 # --- contiguity -----------------------------------------------------------

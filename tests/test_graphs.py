@@ -2,6 +2,7 @@
 
 import collections
 import heapq
+import random
 
 import numpy as np
 import pytest
@@ -203,6 +204,43 @@ def test_parts_and_pipeline(spark):
     assert 0 < out[1]["Min_Contiguity"] <= out[1]["Median_Contiguity"] <= out[1]["Max_Contiguity"] <= 1
 
 
+@pytest.mark.parametrize("rows_held", [1, 40, 200_000])
+def test_parts_over_tiles(spark, monkeypatch, rows_held):
+    """Parts within and across tiles, whatever a task holds at a time; cells of two parcels join those, repeated and null cells stay as they were."""
+    monkeypatch.setattr(raster, "TILE", 4)
+    monkeypatch.setattr(raster, "TILE_ROWS", rows_held)
+    draw = random.Random(5)
+    cells = [(r, c, draw.choice("ab")) for r in range(-9, 14) for c in range(-6, 17) if draw.random() < 0.75]
+    cells += draw.sample(cells, 20) + [(r, c, "z") for r, c, _ in draw.sample(cells, 8)] + [(3, 3, None), (None, 2, "a"), (2, None, "b")]
+    hidden = set(draw.sample(sorted({(r, c) for r, c, _ in cells if r is not None and c is not None}), 30))
+    kept = [x for x in cells if x[0] is not None and x[1] is not None and x[:2] not in hidden]
+    name = {x[:2]: (x[0] << 32) + x[1] + (1 << 31) for x in kept}
+    owners = {}
+    for r, c, parcel in kept:
+        if parcel is not None:
+            owners.setdefault((r, c), set()).add(parcel)
+    changed = True
+    while changed:
+        changed = False
+        for (r, c), own in owners.items():
+            for other in ((r, c + 1), (r + 1, c)):
+                if own & owners.get(other, set()) and name[r, c] != name[other]:
+                    name[r, c] = name[other] = min(name[r, c], name[other])
+                    changed = True
+    got = raster.developable_parts(spark.createDataFrame(cells, "row long, col int, folio string"), spark.createDataFrame(sorted(hidden), "row long, col int"), "folio")
+    assert got.columns == ["row", "col", "folio", "part"]
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter((*x, name[x[:2]]) for x in kept)
+
+
+def test_parts_link_few_cells(spark, monkeypatch):
+    """Links over the whole table are between parts of tiles, not between cells."""
+    linked = []
+    monkeypatch.setattr(raster, "components", lambda links: linked.append(links.count()) or network.components(links))
+    cells = spark.range(40 * 40).select((F.col("id") / 40).cast("long").alias("row"), (F.col("id") % 40).alias("col"), F.lit(1).alias("folio"))
+    parts = raster.developable_parts(cells, spark.createDataFrame([], "row long, col long"), "folio")
+    assert parts.select("part").distinct().count() == 1 and linked == [0]
+
+
 @pytest.mark.parametrize("width,height,shape", [(10, 10, (4, 5)), (100, 10, (2, 10)), (10, 100, (10, 2)), (1000, 1, (1, 20))])
 def test_grid_shape(width, height, shape):
     r, c = raster.grid_shape(width, height)
