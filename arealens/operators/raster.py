@@ -229,11 +229,14 @@ def contiguity_summary(parts: DataFrame, parcel: str, summaries: Sequence[str] =
     if unknown:
         raise ValueError(f"unknown summaries: {unknown}")
     filled = parts.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("Contiguity", "Developable_Area")})
+    if "median" in summaries:
+        # Written once, since medians read it several times and it may come from a long plan.
+        filled = cut(filled.select(parcel, "Contiguity", "Developable_Area"))
     out = filled.groupBy(parcel).agg(
         F.sum("Developable_Area").alias("Developable_Area"),
         *[named[s]("Contiguity").alias(f"{s.title()}_Contiguity") for s in summaries if s in named])
     if "median" in summaries:
-        out = null_safe_join(out, exact_median(filled, [parcel], {"Median_Contiguity": "Contiguity"}), [parcel])
+        out = null_safe_join(out, exact_median(filled, [parcel], {"Median_Contiguity": "Contiguity"}, written=True), [parcel])
     if scale_area:
         out = out.withColumns({
             f"{s.title()}_Scaled_Area": F.col("Developable_Area") * F.col(f"{s.title()}_Contiguity") for s in summaries})
