@@ -17,7 +17,8 @@ Words and contexts are counted over all training texts and kept as tables. Block
 documents ask shards about their distinct words, and about their distinct (context, byte)
 pairs; shards hold each word's and pair's count over the corpus and ask the shorter contexts
 about pairs that no training text has. So a word or pair that makes up a large part of all
-text is one entry per block, and no table is sent whole to any task.
+text is one entry per block, and no table is sent whole to any task. Pairs are answered by
+their counts, which pack into a third of the room that chances take.
 """
 
 from __future__ import annotations
@@ -200,18 +201,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
                          "sym": (keys & np.uint64(255)).astype(np.int32), "n": n, "new": n == 0})
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        """log10 chances of the pairs each block asked about, in its order."""
+        """What tells the chances of the pairs each block asked about, in its order."""
         if not left.num_rows:
             return _rows([])
         keys, n, places = _merged([_asked(b) for b in left["body"].to_pylist()], "pair")
         pair = keys.to_numpy()
         _, ctx = np.unique(pair >> np.uint64(8), return_inverse=True)
-        total = np.bincount(ctx, weights=n)[ctx]
-        scores = np.log10(np.maximum(n - 0.5, 0.5) / np.maximum(total, 1))
+        total = np.bincount(ctx, weights=n)[ctx].astype(np.int64)
+        scores = np.zeros(len(pair))
         known = right["ctx"].to_numpy().astype(np.uint64) << np.uint64(8) | right["sym"].to_numpy().astype(np.uint64)
         fresh, by = np.flatnonzero(n == 0), np.argsort(known)
         scores[fresh] = right["lp"].to_numpy()[by][np.searchsorted(known[by], pair[fresh])]
-        return _rows([(shard, block, pack(pa.table({"score": scores[place]})))
+        return _rows([(shard, block, pack(_counted(ctx[place], n[place], total[place], scores[place])))
                       for shard, block, place in zip(left["shard"].to_pylist(), left["block"].to_pylist(), places)])
 
     questions = stored(blocks.mapInArrow(ask, ROWS_SQL))
@@ -234,7 +235,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
             for shard, part in own.parts:
                 n[part] = unpack(replies[shard])["n"].to_numpy()
             for shard, part in spelt.parts:
-                lp[part] = unpack(replies[shards + shard])["score"].to_numpy()
+                lp[part] = _told(unpack(replies[shards + shard]))
             base = np.log10((n + 0.1) / (tokens + 0.1 * (kinds + 1)))
             size = len(own.ids)
             total = lambda x: np.bincount(own.owner, weights=x[own.index], minlength=size) + x[-1]  # noqa: E731, B023
@@ -278,6 +279,19 @@ def _rows(rows: list[tuple[int, int, bytes]]) -> pa.Table:
                      "body": pa.array([r[2] for r in rows], pa.binary())})
 
 
+def _counted(ctx: np.ndarray, n: np.ndarray, total: np.ndarray, score: np.ndarray) -> pa.Table:
+    """Counts of ascending pairs and their contexts' totals, more by 1 and at a context's first pair only. The score is read where the count is 0."""
+    first = np.append(True, ctx[1:] != ctx[:-1])[:len(ctx)]
+    return pa.table({"n": n, "total": np.where(first, total + 1, 0), "score": score})
+
+
+def _told(table: pa.Table) -> np.ndarray:
+    """log10 chances of the pairs of `_counted`."""
+    n, total = table["n"].to_numpy(), table["total"].to_numpy()
+    total = total[np.maximum.accumulate(np.where(total > 0, np.arange(len(total)), 0))] - 1
+    return np.where(n > 0, np.log10(np.maximum(n - 0.5, 0.5) / np.maximum(total, 1)), table["score"].to_numpy())
+
+
 def _asked(body: bytes) -> pa.Table:
     """Pairs and their counts in a packed question, where pairs are ascending and told by their steps."""
     table = unpack(body)

@@ -12,12 +12,13 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from arealens.llm import ann, decontam, licences, packing, pages, pii, ppm, quality, shingles, simhash, substring
-from arealens.llm.common import components
+from arealens.llm.common import components, pack, unpack
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -190,6 +191,18 @@ def test_ppm(docs, rows):
     assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
 
 
+def test_ppm_answers_pack_well():
+    draw = np.random.default_rng(3)
+    ctx = np.sort(draw.integers(0, 9000, 40_000))
+    n = draw.zipf(1.6, len(ctx)) % 3000 * (draw.random(len(ctx)) > 0.01)
+    total = np.bincount(ctx, weights=n)[ctx].astype(np.int64)
+    chance = np.where(n > 0, np.log10(np.maximum(n - 0.5, 0.5) / np.maximum(total, 1)), -draw.random(len(ctx)))
+    answer = pack(ppm._counted(ctx, n, total, np.where(n > 0, 0.0, chance)))
+    assert (ppm._told(unpack(answer)) == chance).all()
+    assert len(answer) < 0.6 * len(pack(pa.table({"score": chance})))
+    assert len(ppm._told(ppm._counted(ctx[:0], n[:0], total[:0], chance[:0]))) == 0
+
+
 def test_ppm_without_training_rows(spark):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
     got = ppm.score(table(spark, [(i, "a b") for i in held])).collect()
