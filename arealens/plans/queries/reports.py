@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from arealens.operators.joins import join_specs
 from arealens.operators.spatial import point_in_polygon
 from arealens.plans import report, report_specs as rs
 from arealens.plans.queries import register, rounded
 from arealens.plans.queries.places import INSIDE, boxes
 from arealens.plans.standins import run_sql, table, view, with_views
-from arealens.session import cut
+from arealens.session import cut, shelved
 
 YEAR = 2019
 K = "o_orderkey"
@@ -65,11 +66,42 @@ def _located_layers(spark, sf, layers):
     return [found.where(F.col("layer") == i).select("SummID", F.col("id").alias(key)) for i, (_, key, _, _) in enumerate(layers)]
 
 
-def build(spark, sf, outputs=None, year: int | str = YEAR, only_year: int | None = None):
-    """The snapshot of the stand-in layers and tables; `only_year` takes the parcels of one order year."""
+def _in_summary_areas(spark, sf):
+    """Census blocks, zones and stops in the summary areas."""
+    return _located_layers(spark, sf, [
+        (view(spark, sf, "v_points"), "id", "x", "y"), (view(spark, sf, "v_targets"), "target", "tx", "ty"),
+        (_read(spark, sf, TRANSIT_COLS, "part"), "TRANSIT_ID", "px", "py")])
+
+
+def _parcel_tables(spark, sf):
+    """Tables of parcels that are the same in every year."""
+    return {
+        "EconDemog_parcels": _read(spark, sf, {"FOLIO": K, **ECON_COLS}, "orders"),
+        "Contiguity_parcels": _read(spark, sf, {"FOLIO": K, **CONT_COLS}, "orders"), "Centrality_parcels": _read(spark, sf, {"FOLIO": K, **CENT_COLS}, "orders"),
+        "WalkTime_parcels": _read(spark, sf, {"FOLIO": K, **WALK_COLS}, "orders WHERE o_orderstatus <> 'P'"),
+        "WalkTimeIdeal_parcels": _read(spark, sf, {"FOLIO": K, **IDEAL_COLS}, "orders"),
+    }
+
+
+def build_years(spark, sf, outputs, years):
+    """Snapshots of the parcels of several order years. Members of areas are found once, and parcels joined to their tables once, for all of them."""
+    years = list(years)
+    chosen = _read(spark, sf, PARCEL_COLS, "orders").where(F.col("Yr").isin(years))
+    parcels = shelved(join_specs({rs.PARCELS.name: chosen}, _parcel_tables(spark, sf), [rs.PARCELS], rs.TABLES)[rs.PARCELS.name])
+    located = _in_summary_areas(spark, sf)
+    return {y: build(spark, sf, outputs, y, y, located, parcels) for y in years}
+
+
+def build(spark, sf, outputs=None, year: int | str = YEAR, only_year: int | None = None, located=None, joined=None):
+    """The snapshot of the stand-in layers and tables; `only_year` takes the parcels of one order year.
+
+    `located` are the members of `_in_summary_areas`, `joined` the parcels with the columns of `_parcel_tables`, where several snapshots share them.
+    """
     parcels = _read(spark, sf, PARCEL_COLS, "orders")
+    # Land uses and members come from the parcels as read: joins repeat those that a table holds several times.
+    layer = parcels if joined is None else joined
     if only_year is not None:
-        parcels = parcels.where(F.col("Yr") == only_year)
+        parcels, layer = (df.where(F.col("Yr") == only_year) for df in (parcels, layer))
     from arealens.sources.lookups import land_uses
 
     uses = parcels.select("FOLIO", "DOR_UC").join(F.broadcast(land_uses(spark)), "DOR_UC").select("FOLIO", "GN_VA_LU")
@@ -78,24 +110,19 @@ def build(spark, sf, outputs=None, year: int | str = YEAR, only_year: int | None
         F.col("r_regionkey").alias("SummID"), F.col("r_name").alias("Name"), F.when(F.col("r_regionkey") < 2, "Green").otherwise("North").alias("Corridor"))
     suppliers = {"MAZ": "s_suppkey"}
     stops = _read(spark, sf, TRANSIT_COLS, "part")
-    targets = view(spark, sf, "v_targets")
     layers = {
-        "Parcels": parcels, "Census_Blocks": blocks, "SummaryAreas": areas,
+        "Parcels": layer, "Census_Blocks": blocks, "SummaryAreas": areas,
         "MAZ": _read(spark, sf, suppliers, "supplier"), "TAZ": _read(spark, sf, {"TAZ": "s_suppkey"}, "supplier"),
         "nodes_bike": _read(spark, sf, {"NODE_ID": "c_custkey", "CentIdx": "CAST(c_custkey % 43 AS DOUBLE)"}, "customer"),
         "TransitRidership": stops.drop("px", "py"), "Park_points": _read(spark, sf, {"PARK_PT_ID": "s_suppkey", "TOTACRE": "s_acctbal"}, "supplier"),
     }
     tables = {
-        "EconDemog_parcels": _read(spark, sf, {"FOLIO": K, **ECON_COLS}, "orders"), "LandUseCodes_parcels": uses,
-        "Contiguity_parcels": _read(spark, sf, {"FOLIO": K, **CONT_COLS}, "orders"), "Centrality_parcels": _read(spark, sf, {"FOLIO": K, **CENT_COLS}, "orders"),
-        "WalkTime_parcels": _read(spark, sf, {"FOLIO": K, **WALK_COLS}, "orders WHERE o_orderstatus <> 'P'"),
-        "WalkTimeIdeal_parcels": _read(spark, sf, {"FOLIO": K, **IDEAL_COLS}, "orders"),
+        **({} if joined is not None else _parcel_tables(spark, sf)), "LandUseCodes_parcels": uses,
         "Imperviousness_census_blocks": _read(spark, sf, BLOCK_COLS, "customer"), "TripStats_TAZ": _read(spark, sf, {"TAZ": "s_suppkey", **TRIP_COLS}, "supplier"),
         "BikeFac_summaryareas": _read(spark, sf, {"SummID": "r_regionkey", **BIKE_COLS}, "region"),
         **{f"Access_{s}_{m}": _read(spark, sf, {s.upper(): "s_suppkey", **ACCESS}, "supplier") for s, m in (("maz", "Walk"), ("maz", "Bike"), ("taz", "Auto"), ("taz", "Transit"))},
     }
-    in_areas, near, stops_in = _located_layers(spark, sf, [
-        (view(spark, sf, "v_points"), "id", "x", "y"), (targets, "target", "tx", "ty"), (stops, "TRANSIT_ID", "px", "py")])
+    in_areas, near, stops_in = _in_summary_areas(spark, sf) if located is None else located
     by_block = parcels.select("FOLIO", F.col("cust").alias("id"))
     members = {
         ("Census_Blocks", "Parcels"): parcels.select(F.col("cust").alias("GEOID10"), "FOLIO"),
@@ -245,7 +272,7 @@ def _by_use(year: int) -> str:
 
 
 def _trend(spark, sf, name, years=(1996, 1998)):
-    return report.trend({y: build(spark, sf, [name], y, y) for y in years})
+    return report.trend(build_years(spark, sf, [name], years))
 
 
 @register("trend_attributes_diff", with_views(_VIEWS, f"""

@@ -310,3 +310,32 @@ def test_merged_layers_get_new_ids(spark):
     a = spark.createDataFrame([(2,), (1,)], "id int")
     got = joins.merge_layers({"b": a, "a": a}, "layer", "new", ["layer", "id"])
     assert rows(got, "new", "layer", "id") == [(1, "a", 1), (2, "a", 2), (3, "b", 1), (4, "b", 2)]
+
+
+def test_years_share_members_and_joins(spark, tmp_path, monkeypatch):
+    """Snapshots of several years are those built alone, also where a parcel is repeated in several years, and find members and join tables once."""
+    from arealens.plans.queries import reports, rounded
+
+    made = {
+        "region": spark.createDataFrame([(i, f"r{i}") for i in range(3)], "r_regionkey long, r_name string"),
+        "nation": spark.createDataFrame([(0,)], "n_nationkey long"),
+        "customer": spark.createDataFrame([(i, i % 5, 100.0 + i, "A") for i in range(40)], "c_custkey long, c_nationkey long, c_acctbal double, c_mktsegment string"),
+        "supplier": spark.createDataFrame([(i, i % 5, 10.0 * i) for i in range(6)], "s_suppkey long, s_nationkey long, s_acctbal double"),
+        "part": spark.createDataFrame([(i, i % 7) for i in range(9)], "p_partkey long, p_size int"),
+        "orders": spark.createDataFrame([(i % 110, (i * 7) % 40, "P" if i % 9 == 0 else "O", 1000.0 + 3 * i, f"{1996 + i % 3}-05-01 00:00:00") for i in range(120)] + [
+            (None, 3, "O", 5.0, "1996-01-01 00:00:00"), (7, None, "O", 5.0, "1997-01-01 00:00:00"), (8, 3, "O", 5.0, None)],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string").withColumn("o_orderdate", F.to_timestamp("o_orderdate")),
+    }
+    for name, df in made.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    calls = []
+    located, tables = reports._located_layers, reports._parcel_tables
+    monkeypatch.setattr(reports, "_located_layers", lambda *a: calls.append("members") or located(*a))
+    monkeypatch.setattr(reports, "_parcel_tables", lambda *a: calls.append("tables") or tables(*a))
+    together = reports.build_years(spark, str(tmp_path), ["AttrByLU"], [1996, 1997])
+    assert sorted(calls) == ["members", "tables"]
+    for year, snap in together.items():
+        alone = reports.build(spark, str(tmp_path), ["AttrByLU"], year, year)["AttrByLU"]
+        assert snap["AttrByLU"].columns == alone.columns
+        want = rows(rounded(alone))
+        assert want and rows(rounded(snap["AttrByLU"])) == want
