@@ -27,10 +27,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealens.llm.common import pack, stored, to_blocks, unpack, word_table
+from arealens.llm.common import pack, stored, to_blocks, unpack
 
 ORDER = 5
 ESCAPES = (10.0, 100.0, 1000.0, 10000.0)
@@ -53,60 +54,114 @@ def _held(ids: list[int | None], folds: int) -> np.ndarray:
     return np.array([i is None or zlib.crc32(str(i).encode()) % folds == 0 for i in ids], bool)
 
 
-class _Vocabulary:
-    """The distinct words of a block, the text's end among them, by shard, with their counts in training texts."""
+class _Texts:
+    """The tokens and bytes of a block's texts. A text is spelled as its words, each with a space behind it, and one end.
 
-    def __init__(self, table: pa.Table, shards: int, folds: int):
-        import xxhash
+    Distinct tokens are kept with the space behind them, the end as itself.
+    """
 
+    def __init__(self, table: pa.Table, order: int, folds: int):
         self.ids = table["id"].to_pylist()
         self.held = _held(self.ids, folds)
-        self.counts, self.index, words = word_table(table["text"].to_pylist(), lower=True)
-        owner = np.repeat(np.arange(len(self.ids)), self.counts)
-        self.owner = owner
-        learn = ~self.held[owner]
-        times = np.bincount(self.index[learn], minlength=len(words))
-        self.words = [*words, END]
-        self.times = np.append(times, int((~self.held).sum()))
-        self.parts = _by_shard(np.array([xxhash.xxh64_intdigest(w) % shards for w in self.words], np.int64))
-
-
-class _Spelling:
-    """The bytes of a block's texts, each with the `order` bytes before it, and their distinct pairs by shard.
-
-    A pair is a number: a leading 1, the context's bytes, the byte.
-    """
-
-    def __init__(self, table: pa.Table, shards: int, order: int):
-        streams = [b"".join((END * order, b" ".join(w), b" " if w else b"", END)) for w in ((x or b"").lower().split() for x in table["text"].to_pylist())]
+        words = ((x or b"").lower().split() for x in table["text"].to_pylist())
+        # Every text lies behind `order` ends.
+        streams = [b"".join((END * order, b" ".join(w), b" " if w else b"", END)) for w in words]
         size = np.array([len(x) for x in streams], np.int64)
-        flat = np.frombuffer(b"".join(streams), np.uint8)
-        wide = flat.astype(np.uint64)
-        pair = np.full(len(flat), 1 << 8 * (order + 1), np.uint64)
-        for t in range(order + 1):
-            pair[t:] |= wide[:len(flat) - t] << np.uint64(8 * t)
-        told = np.ones(len(flat), bool)
-        told[((np.cumsum(size) - size)[:, None] + np.arange(order)).ravel()] = False
-        self.all, self.size = pair[told], size - order
-        # Where the tokens begin among the bytes: at the first, and behind every space and end but the last.
-        self.begin = np.append(0, np.flatnonzero((flat[told] == ord(" ")) | (flat[told] == ord(END)))[:-1] + 1)
-        self.pairs, _ = _runs(self.all)
-        # All bytes of a context lie in one shard.
-        self.parts = _by_shard((_mixed(self.pairs >> np.uint64(8)) % np.uint64(shards)).astype(np.int64))
-
-    def times(self, held: np.ndarray) -> np.ndarray:
-        """How often each pair occurs in texts that are not held out."""
-        out = np.zeros(len(self.pairs), np.int64)
-        learnt, n = _runs(self.all[np.repeat(~held, self.size)])
-        out[np.searchsorted(self.pairs, learnt)] = n
-        return out
-
-
-def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct numbers, ascending, and how often each occurs."""
-    x = np.sort(x)
-    first = np.flatnonzero(np.append(True, x[1:] != x[:-1])[:len(x)])
-    return x[first], np.diff(np.append(first, len(x)))
+        self.order, self.size, self.flat = order, size - order, np.frombuffer(b"".join(streams), np.uint8)
+        self.told = np.ones(len(self.flat), bool)
+        self.told[((np.cumsum(size) - size)[:, None] + np.arange(order)).ravel()] = False
+        spelt = self.flat[self.told]
+        ends = np.flatnonzero((spelt == ord(" ")) | (spelt == ord(END))) + 1
+        at = np.append(0, ends).astype(np.int32)
+        self.begin = at[:-1]
+        tokens = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(spelt)]).dictionary_encode()
+        index = tokens.indices.to_numpy().astype(np.int64)
+        # The texts' last tokens, the ends, are all the same; the others are words.
+        self.last = np.flatnonzero(spelt[ends - 1] == ord(END))
+        self.tokens, self.end, self.index = tokens.dictionary, index[self.last[0]], np.delete(index, self.last)
+        self.counts = np.diff(self.last, prepend=-1) - 1
+        self.owner = np.repeat(np.arange(len(self.ids)), self.counts)
+
+    def token_times(self) -> np.ndarray:
+        """How often each distinct token occurs in texts that are not held out."""
+        times = np.bincount(self.index[~self.held[self.owner]], minlength=len(self.tokens))
+        times[self.end] = (~self.held).sum()
+        return times
+
+    def token_parts(self, shards: int) -> list[tuple[int, np.ndarray]]:
+        return _by_shard((_hashed(self.tokens) % np.uint64(shards)).astype(np.int64))
+
+    def _pairs(self) -> np.ndarray:
+        """Each byte with the `order` bytes before it, as a number: a leading 1, the context's bytes, the byte."""
+        # The eight bytes up to each one, read as a number where they lie; the first lie behind seven more.
+        pair = np.ndarray(len(self.flat), ">u8", bytes(7) + self.flat.tobytes(), strides=(1,)).astype(np.uint64)[self.told]
+        top = 1 << 8 * (self.order + 1)
+        pair &= np.uint64(top - 1)
+        pair |= np.uint64(top)
+        return pair
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs, ascending, and how often each occurs in texts that are not held out."""
+        # A pair takes 57 bits at most, so there is room for a mark of texts held out.
+        pair = self._pairs()
+        pair <<= np.uint64(1)
+        pair |= np.repeat(self.held, self.size)
+        pair.sort()
+        learnt = ~(pair.astype(np.uint8) & 1).view(bool)
+        pair >>= np.uint64(1)
+        first = _firsts(pair)
+        return pair[first], np.add.reduceat(learnt, first, dtype=np.int64)
+
+    def pair_places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs, ascending, and each byte's place among them."""
+        there = np.bincount(self.flat, minlength=SYMBOLS) > 0
+        kinds, n = int(there.sum()), int(self.size.sum())
+        bits = n.bit_length()
+        if kinds ** (self.order + 1) >= 1 << 64 - bits:
+            pair = self._pairs()
+            distinct = np.sort(pair)
+            distinct = distinct[_firsts(distinct)]
+            return distinct, pc.index_in(pa.array(pair), value_set=pa.array(distinct)).to_numpy()
+        # Numbers of the bytes that occur leave room for a pair's place, so that one sort of numbers finds both.
+        rank = (np.cumsum(there) - 1).astype(np.uint8)[self.flat]
+        code = np.zeros(len(rank), np.uint64)
+        for t in range(self.order, -1, -1):
+            code *= np.uint64(kinds)
+            code[t:] += rank[:len(rank) - t]
+        code = code[self.told]
+        code <<= np.uint64(bits)
+        code |= np.arange(n, dtype=np.uint64)
+        code.sort()
+        place = (code & np.uint64((1 << bits) - 1)).astype(np.int64)
+        code >>= np.uint64(bits)
+        first = _firsts(code)
+        index = np.empty(n, np.int32)
+        index[place] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, n)))
+        at = np.flatnonzero(self.told)[place[first]]
+        distinct = np.full(len(first), 1 << 8 * (self.order + 1), np.uint64)
+        for t in range(self.order + 1):
+            distinct |= self.flat[at - t].astype(np.uint64) << np.uint64(8 * t)
+        return distinct, index
+
+
+def _pair_parts(pairs: np.ndarray, shards: int) -> list[tuple[int, np.ndarray]]:
+    # All bytes of a context lie in one shard.
+    return _by_shard((_mixed(pairs >> np.uint64(8)) % np.uint64(shards)).astype(np.int64))
+
+
+def _firsts(x: np.ndarray) -> np.ndarray:
+    """Where the runs of equal numbers begin."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])[:len(x)])
+
+
+def _hashed(words: pa.Array) -> np.ndarray:
+    """Words, none of them empty, as numbers spread over all 64 bits: a polynomial of their bytes."""
+    at = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+    spelt = np.frombuffer(words.buffers()[2], np.uint8)[at[0]:at[-1]].astype(np.uint64)
+    size = np.diff(at)
+    start = at[:-1] - at[0]
+    powers = np.cumprod(np.full(size.max(), 0x9E3779B97F4A7C15, np.uint64))
+    return _mixed(np.add.reduceat((spelt + np.uint64(1)) * powers[np.arange(len(spelt)) - np.repeat(start, size)], start))
 
 
 def _by_shard(shard: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -175,14 +230,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, body in zip(batch["block"].to_pylist(), batch["body"]):
-                table = unpack(body.as_py())
-                own = _Vocabulary(table, shards, folds)
-                rows = [(shard, block, pack(pa.table({"word": pa.array([own.words[i] for i in part.tolist()], pa.binary()), "n": own.times[part]})))
-                        for shard, part in own.parts]
-                spelt = _Spelling(table, shards, order)
-                times = spelt.times(own.held)
-                rows += [(shards + shard, block, pack(pa.table({"step": np.diff(spelt.pairs[part], prepend=np.uint64(0)), "n": times[part]})))
-                         for shard, part in spelt.parts]
+                own = _Texts(unpack(body.as_py()), order, folds)
+                times = own.token_times()
+                rows = [(shard, block, pack(pa.table({"word": own.tokens.take(pa.array(part)), "n": times[part]}))) for shard, part in own.token_parts(shards)]
+                pair, times = own.pairs()
+                rows += [(shards + shard, block, pack(pa.table({"step": np.diff(pair[part], prepend=np.uint64(0)), "n": times[part]})))
+                         for shard, part in _pair_parts(pair, shards)]
                 yield from _rows(rows).to_batches()
 
     def count(table: pa.Table) -> pa.Table:
@@ -229,26 +282,30 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         out = []
         replies = dict(zip(right["shard"].to_pylist(), right["body"].to_pylist()))
         for body in left["body"].to_pylist():
-            table = unpack(body)
-            own, spelt = _Vocabulary(table, shards, folds), _Spelling(table, shards, order)
-            n, lp = np.zeros(len(own.words), np.int64), np.zeros(len(spelt.pairs))
-            for shard, part in own.parts:
+            own = _Texts(unpack(body), order, folds)
+            pair, at = own.pair_places()
+            n, lp = np.zeros(len(own.tokens), np.int64), np.zeros(len(pair))
+            for shard, part in own.token_parts(shards):
                 n[part] = unpack(replies[shard])["n"].to_numpy()
-            for shard, part in spelt.parts:
+            for shard, part in _pair_parts(pair, shards):
                 lp[part] = _told(unpack(replies[shards + shard]))
             base = np.log10((n + 0.1) / (tokens + 0.1 * (kinds + 1)))
-            size = len(own.ids)
-            total = lambda x: np.bincount(own.owner, weights=x[own.index], minlength=size) + x[-1]  # noqa: E731, B023
-            coded = pa.array(spelt.all).dictionary_encode()
-            told = lp[np.searchsorted(spelt.pairs, coded.dictionary.to_numpy())][coded.indices.to_numpy()]
-            scores = np.add.reduceat(told, spelt.begin)
-            ends = np.cumsum(own.counts + 1) - 1
+            size, ends = len(own.ids), own.last
+            total = lambda x: np.bincount(own.owner, weights=x[own.index], minlength=size) + x[own.end]  # noqa: E731, B023
+            scores = np.add.reduceat(lp[at], own.begin)
             words = np.delete(scores, ends)
             before, place = _so_far(own.owner, own.index, own.counts)
             # Of a word's first place only the logarithm is needed, however small its chance.
-            each = np.stack([
-                np.bincount(own.owner, weights=np.where(before > 0, np.log10(np.maximum(before, 1) + m * 10 ** words), np.log10(m) + words) - np.log10(place + m),
-                            minlength=size) + np.log10(m / (own.counts + m)) + scores[ends] for m in ESCAPES])
+            again = np.flatnonzero(before)
+            times, chance = before[again], 10 ** words[again]
+            longest = np.arange(own.counts.max())
+            each = []
+            for m in ESCAPES:
+                told = np.log10(m) + words
+                told[again] = np.log10(times + m * chance)
+                told -= np.log10(longest + m)[place]
+                each.append(np.bincount(own.owner, weights=told, minlength=size) + np.log10(m / (own.counts + m)) + scores[ends])
+            each = np.stack(each)
             best = each.max(axis=0)
             blended = best + np.log10((10 ** (each - best)).mean(axis=0))
             out.append(pa.table({

@@ -203,6 +203,29 @@ def test_ppm_answers_pack_well():
     assert len(ppm._told(ppm._counted(ctx[:0], n[:0], total[:0], chance[:0]))) == 0
 
 
+@pytest.mark.parametrize("texts", [[b"", None, b" a\tB  a ", b"red house red house", b"red"], [b"", bytes(range(256)) * 3, b"a b"], [None]])
+def test_ppm_numbers_the_bytes_and_tokens_of_a_block(texts):
+    order, ids = 5, [3, None, 20, 7, 8][:len(texts)]
+    own = ppm._Texts(pa.table({"id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.binary())}), order, 10)
+    words = [(x or b"").lower().split() for x in texts]
+    spelt = [b"".join(w + b" " for w in ws) + b"\n" for ws in words]
+    pairs = [int.from_bytes(b"\1" + (b"\n" * order + x)[k:k + order + 1], "big") for x in spelt for k in range(len(x))]
+    learnt = collections.Counter(p for p, held in zip(pairs, np.repeat(own.held, [len(x) for x in spelt])) if not held)
+    distinct, times = own.pairs()
+    assert distinct.tolist() == sorted(set(pairs)) and times.tolist() == [learnt[p] for p in distinct.tolist()]
+    # Few kinds of bytes are numbered by one sort, all 256 by a look-up.
+    again, place = own.pair_places()
+    assert (again == distinct).all() and again[place].tolist() == pairs
+    tokens = own.tokens.to_pylist()
+    assert [tokens[k] for k in own.index] == [w + b" " for ws in words for w in ws] and tokens[own.end] == b"\n"
+    learnt = collections.Counter(t for ws, held in zip(words, own.held) if not held for t in [*(w + b" " for w in ws), b"\n"])
+    assert own.token_times().tolist() == [learnt[t] for t in tokens]
+    parts = own.token_parts(7)
+    assert sorted(k for _, part in parts for k in part) == list(range(len(tokens)))
+    alone = {s: ppm._hashed(pa.array([tokens[k] for k in part], pa.binary())) % np.uint64(7) for s, part in parts}
+    assert all((h == s).all() for s, h in alone.items())
+
+
 def test_ppm_without_training_rows(spark):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
     got = ppm.score(table(spark, [(i, "a b") for i in held])).collect()
