@@ -17,7 +17,7 @@ from arealens.operators.aggregate import min_argmin_count
 from arealens.operators.joins import compose_edges
 from arealens.operators.paths import least_paths, total
 from arealens.operators.spatial import beyond_distance_of_lines, within_distance, within_distance_of_lines
-from arealens.session import cut
+from arealens.session import cut, shelved, tasks_for
 from arealens.skew import JoinAdvice, advise, first_per_key, hot_keys, is_small, spread_join
 
 
@@ -70,11 +70,8 @@ def od_cost(edges: DataFrame, origins: DataFrame, cutoff: float, cost: str = "co
     of the search covers; it changes the number of rounds, never the result.
     """
     sums = [cost, *carry]
-    out = least_paths(edges, origins, cutoff, sums, src, dst, width).select("origin", "node", *[total(sums, c).alias(c) for c in sums])
-    if destinations is not None:
-        out = out.join(destinations.select(F.col(destinations.columns[0]).alias("node")).distinct(), "node", "left_semi")
-        out = out.select("origin", "node", *sums)
-    return out
+    ends = None if destinations is None else destinations.select(F.col(destinations.columns[0]).alias("node")).distinct()
+    return least_paths(edges, origins, cutoff, sums, src, dst, width, ends).select("origin", "node", *[total(sums, c).alias(c) for c in sums])
 
 
 def full_skim(stop_to_stop: DataFrame, zone_to_stop: DataFrame, origins: DataFrame, zones: DataFrame, cutoff: float,
@@ -83,9 +80,10 @@ def full_skim(stop_to_stop: DataFrame, zone_to_stop: DataFrame, origins: DataFra
 
     Zones that no edge touches are not in the network and give no row.
     """
-    rides = skim_edges(stop_to_stop, origin, destination, [time], order)
-    walks = skim_edges(zone_to_stop, origin, destination, [time], order, directed=False)
-    edges = compose_edges(rides, walks)
+    with tasks_for(stop_to_stop.sparkSession, stop_to_stop.count() + zone_to_stop.count()):
+        rides = skim_edges(stop_to_stop, origin, destination, [time], order)
+        walks = skim_edges(zone_to_stop, origin, destination, [time], order, directed=False)
+        edges = shelved(compose_edges(rides, walks))
     nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
     present = origins.select(F.col(origins.columns[0]).alias("node")).join(nodes, "node", "left_semi")
     table = od_cost(edges, present, cutoff, cost=time, destinations=zones)

@@ -15,11 +15,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from arealens.session import checkpoint_dir, cut
+from arealens.session import TASK_ROWS, checkpoint_dir, cut, tasks_for
 from arealens.skew import JoinAdvice, hot_keys, is_small, spread_join
 
 PAIR = ["origin", "node"]
 SLOTS = 4
+# A bucket of paths for this many edges: pairs in reach are many times the edges, and a round's findings in a bucket are held in memory.
+BUCKET_EDGES = 50_000
 
 
 class PathFiles:
@@ -51,8 +53,10 @@ class PathFiles:
         """Rows of the last step that lie in a slot."""
         return self.rows.where((F.col("step") == self.step) & (F.col("slot") == slot)).select(*PAIR, "path")
 
-    def next_slot(self, slot: int) -> int | None:
-        return self.rows.where(F.col("slot") > slot).agg(F.min("slot")).first()[0]
+    def next_slot(self, slot: int) -> tuple[int | None, int]:
+        """The next slot that has rows, and how many."""
+        found = self.rows.where(F.col("slot") > slot).groupBy("slot").agg(F.count(F.lit(1)).alias("n")).agg(F.min(F.struct("slot", "n"))).first()[0]
+        return (None, 0) if found is None else (found["slot"], found["n"])
 
     def opened(self, slot: int) -> DataFrame:
         """Best paths of the pairs that reach a slot first: none of their paths lies in an earlier one."""
@@ -66,11 +70,14 @@ class PathFiles:
         beaten = known.join(found.hint("shuffle_hash"), PAIR).where(F.col("__known") <= F.col("path")).select(*PAIR)
         return found.join(beaten, PAIR, "left_anti")
 
-    def best(self) -> DataFrame:
-        """The best path of every pair. Ends the table: its files are read by their place, and stay for as long as results need them."""
-        schema = self.rows.select(*PAIR, "path").schema
+    def best(self, ends: DataFrame | None = None) -> DataFrame:
+        """The best path of every pair, or of those that end in `ends`, written from the buckets without a shuffle. Ends the table."""
+        rows = self.rows.select(*PAIR, "path")
+        if ends is not None:
+            rows = rows.join(ends, "node", "left_semi")
+        out = cut(rows.groupBy(*PAIR).agg(F.min("path").alias("path")))
         self.spark.sql(f"DROP TABLE {self.name}")
-        return self.spark.read.schema(schema).parquet(self.path).groupBy(*PAIR).agg(F.min("path").alias("path"))
+        return out
 
 
 def _path(sums: Sequence[str], value: Callable[[str], Column]) -> Column:
@@ -84,9 +91,10 @@ def total(sums: Sequence[str], name: str) -> Column:
 
 
 def least_paths(edges: DataFrame, origins: DataFrame, cutoff: float, sums: Sequence[str], src: str, dst: str,
-                width: float | None = None) -> DataFrame:
+                width: float | None = None, ends: DataFrame | None = None) -> DataFrame:
     """Best path from each origin to each node in reach: (origin, node, path), `path` holding the totals of `sums` (see `total`).
 
+    `ends`, a table of distinct values of `node`, keeps the paths that end there.
     Paths are compared by the first total, ties by the others. `width` is the cost covered by a
     slot; by default a quarter of the cutoff, but no less than twice the mean cost of an edge.
     """
@@ -96,6 +104,9 @@ def least_paths(edges: DataFrame, origins: DataFrame, cutoff: float, sums: Seque
     # Of parallel edges only the best can lie on a least-cost path.
     steps = cut(steps.where("__from is not null and __to is not null").groupBy("__from", "__to").agg(F.min("path").alias("path")))
     few = is_small(steps)
+    # How many edges leave a node, as an edge's end sees it.
+    out = steps.groupBy("__from").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("n"))).first()
+    count, degree = (out[0], out[1] / out[0]) if out[0] else (0, 0.0)
     # Hubs are split by the edge table. Nodes that many origins reach at once are split at run time by adaptive skew joins.
     advice = JoinAdvice(few, (), () if few else tuple(hot_keys(steps, ["__from"])))
     if width is None:
@@ -105,21 +116,33 @@ def least_paths(edges: DataFrame, origins: DataFrame, cutoff: float, sums: Seque
     edge = steps.select("__from", "__to", *[total(sums, c).alias(f"__e_{c}") for c in sums])
 
     start = origins.select(F.col(origins.columns[0]).alias("origin")).where("origin is not null").distinct()
-    files = PathFiles(start.select("origin", F.col("origin").alias("node"), _path(sums, lambda c: F.lit(0.0))))
+    first = start.select("origin", F.col("origin").alias("node"), _path(sums, lambda c: F.lit(0.0)))
+    spark = edges.sparkSession
+    with tasks_for(spark, count, BUCKET_EDGES):
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return _searched(PathFiles(first), edge, cutoff, sums, width, advice, degree, tasks, ends)
+
+
+def _searched(files: PathFiles, edge: DataFrame, cutoff: float, sums: Sequence[str], width: float, advice: JoinAdvice, degree: float, tasks: int,
+              ends: DataFrame | None) -> DataFrame:
+    """Slot by slot, until no path is left to extend. `degree` and the number of rows to extend tell how many paths a round looks at."""
     slot: int | None = 0
-    frontier = files.last(0)
+    frontier, size = files.last(0), 0
     while slot is not None:
         while True:
+            # A join's tasks go by the bytes of its sides, which say nothing of what it finds.
+            parts = -(-int(size * degree) // TASK_ROWS)
             # The filters for nulls are said outright, so that both uses of the findings are one shuffle.
             moved = spread_join(frontier.where("origin is not null and node is not null and path is not null").withColumnRenamed("node", "__from"),
-                                edge, "__from", "inner", advice)
+                                edge, "__from", "inner", advice, parts=parts if parts > tasks else None)
             moved = moved.select("origin", F.col("__to").alias("node"), _path(sums, lambda c: total(sums, c) + F.col(f"__e_{c}")))
             found = moved.where(total(sums, sums[0]) <= cutoff).groupBy(*PAIR).agg(F.min("path").alias("path")).where("path is not null")
             better = files.better(found).withColumn("slot", F.floor(total(sums, sums[0]) / F.lit(width)).cast("long"))
-            if files.append(better, slot) == 0:
+            size = files.append(better, slot)
+            if size == 0:
                 break
             frontier = files.last(slot)
-        slot = files.next_slot(slot)
+        slot, size = files.next_slot(slot)
         if slot is not None:
             frontier = files.opened(slot)
-    return files.best()
+    return files.best(ends)

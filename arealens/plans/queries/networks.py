@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from arealens.operators import network as op
 from arealens.plans.queries import register, rounded
 from arealens.plans.standins import run_sql, table, view, with_views
+from arealens.session import shelved, tasks_for
 
 CUTOFF = 14.0
 # All costs up to the cutoff from every node, by recursion over whole paths.
@@ -95,11 +96,12 @@ WITH RECURSIVE legs AS ({LEGS}), ride AS (SELECT o + 100000 AS src, d + 100000 A
   UNION SELECT w.origin, e.dst, w.cost + e.minutes FROM walk w JOIN e ON w.node = e.src WHERE w.cost + e.minutes <= {SKIM_CUT})
 SELECT origin AS "OName", node AS "DName", min(cost) AS "Minutes" FROM walk WHERE node < 100000 GROUP BY 1, 2""")
 def full_skim(spark, sf):
-    legs = run_sql(spark, sf, LEGS)
-    ride = legs.where("flag <> 'A'").groupBy((F.col("o") + 100000).alias("OName"), (F.col("d") + 100000).alias("DName")).agg(F.min("minutes").alias("Minutes"))
-    acc = legs.where("flag = 'A'").select(F.col("o").alias("OName"), (F.col("d") + 100000).alias("DName"), F.col("minutes").alias("Minutes"))
     zones = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("node"))
-    return op.full_skim(ride, acc, zones, zones, SKIM_CUT, ["Minutes"])
+    with tasks_for(spark, table(spark, sf, "lineitem").count()):
+        legs = shelved(run_sql(spark, sf, LEGS))
+        ride = legs.where("flag <> 'A'").groupBy((F.col("o") + 100000).alias("OName"), (F.col("d") + 100000).alias("DName")).agg(F.min("minutes").alias("Minutes"))
+        acc = legs.where("flag = 'A'").select(F.col("o").alias("OName"), (F.col("d") + 100000).alias("DName"), F.col("minutes").alias("Minutes"))
+        return op.full_skim(ride, acc, zones, zones, SKIM_CUT, ["Minutes"])
 
 
 @register("component_labels", """

@@ -99,6 +99,28 @@ def test_known_paths_are_not_shuffled(spark):
     files.best()
 
 
+def test_tasks_of_a_search_follow_the_edges(spark, monkeypatch):
+    from arealens.operators import paths
+
+    places = []
+    made = paths.PathFiles.__init__
+    monkeypatch.setattr(paths.PathFiles, "__init__", lambda self, first: (made(self, first), places.append(self))[0])
+    monkeypatch.setattr(paths, "BUCKET_EDGES", 10)
+    joins = []
+    joined = paths.spread_join
+    monkeypatch.setattr(paths, "spread_join", lambda *a, parts=None, **k: (joins.append(parts), joined(*a, parts=parts, **k))[1])
+    monkeypatch.setattr(paths, "TASK_ROWS", 15)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rng = np.random.default_rng(4)
+    pairs = [(int(a), int(b), 1.0) for a, b in sorted(set(zip(rng.integers(0, 60, 300).tolist(), rng.integers(0, 60, 300).tolist())))]
+    out = network.od_cost(spark.createDataFrame(pairs, "src long, dst long, cost double"), spark.range(60), 3.0, destinations=spark.range(0, 60, 2))
+    assert {(r.origin, r.node): r.cost for r in out.collect()} == {(o, n): c for o in range(60) for n, c in dijkstra(pairs, o, 3.0).items() if n % 2 == 0}
+    # A bucket for ten edges, and a task for fifteen paths that a round looks at.
+    buckets = {f.rsplit("_", 1)[1].split(".")[0] for r in spark.read.parquet(places[0].path).select(F.input_file_name().alias("f")).distinct().collect() for f in [r.f]}
+    assert max(map(int, buckets)) >= 20 and max(p or 0 for p in joins) > len(pairs) // 10
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_od_cost_to_destinations(spark, streets):
     edges = spark.createDataFrame(streets, "src long, dst long, cost double")
     out = network.od_cost(edges, spark.range(1), 12.0, destinations=spark.range(5, 9))
