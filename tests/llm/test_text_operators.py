@@ -377,6 +377,32 @@ def test_pipeline_stage_runs_fingerprints_and_checks_them(spark, monkeypatch):
     assert {r.doc_id for r in kept.collect()} == {0, 1, 2, 3, 10} and made[0].count() > 0
 
 
+def test_pipeline_stage_checks_pairs_whose_signatures_differ_much(spark):
+    """Four of five shingles are shared (0.8), but no more than 100 of 150 minima."""
+    import corpus_pipeline
+
+    texts = ["bece dfgg adch ebfa bhhe hahd ceeg beff fgff", "fegb cgbc hghd fheb gchh chdh hhbf hhec dbhf", "hfhd fcbd afbg hdfg cace gegf afgf bbce cbab"]
+    rows = [(10 * n + k, t if k else " ".join(t.split()[:8])) for n, t in enumerate(texts) for k in (0, 1)]
+    assert near_copies_by_hand(rows) == {0, 10, 20}
+    kept = dict(corpus_pipeline.STAGES)["near duplicates"](spark, table(spark, rows), "")
+    assert {r.doc_id for r in kept.collect()} == {0, 10, 20}
+
+
+def test_all_pairs_of_a_group_are_checked(spark):
+    """Most of these pairs share no band, and no more than a few are with the first of their group."""
+    rng, rows = random.Random(4), []
+    for n in range(60):
+        base = [f"w{n}x{i}" for i in range(44)]
+        rows += [(2 * n, " ".join(base[:28])), (2 * n + 1, " ".join(base[14:] + [f"y{n}z{rng.random()}"]))]
+    least = 0.24
+    assert len(near_copies_by_hand(rows, least)) == 60
+    df = table(spark, rows)
+    groups = df.select("doc_id", F.xxhash64("text").alias("h"), F.lit(1).cast("long").alias("root"))
+    assert {r.doc_id for r in shingles.keep_one(df, least=least, groups=groups).collect()} == near_copies_by_hand(rows, least)
+    # The same pairs without a group: bands alone find few of them.
+    assert shingles.keep_one(df, least=least).count() > 100
+
+
 def test_quality_held_out(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     truth = {r.doc_id: r.quality for r in labels.collect()}
