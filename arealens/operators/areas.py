@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealens.operators.joins import merge_layers
-from arealens.operators.spatial import centre_in_area, pairs_met, tasks_for, within_distance, within_distance_of_lines
+from arealens.operators.spatial import LEAST_LEVEL, centre_in_area, pairs_met, tasks_for, within_distance, within_distance_of_lines
 from arealens.session import cut
 from arealens.skew import advise, number_rows, spread_join
 
@@ -96,7 +96,7 @@ def floating_sums(features: DataFrame, zones: DataFrame, zone: str, zx: str, zy:
     cells against measured features without changing the result. Features without a place count
     nowhere; zones that hold nothing have no row.
     """
-    side, depth = float(radius) / fine, max(int(math.log2(fine)), 0)
+    side, depth = max(float(radius), 2.0 ** LEAST_LEVEL) / fine, max(int(math.log2(fine)), 0)
     keys, sums = list(by), [F.sum(F.col(m)).alias(m) for m in measures]
     placed = features.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"), *keys, *measures)

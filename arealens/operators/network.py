@@ -8,17 +8,19 @@ a lost executor costs one round at most.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealens.functions.scalar import grid_distance, straight_distance, walk_minutes, walk_time_bin
 from arealens.operators.aggregate import min_argmin_count
+from arealens.operators.areas import floating_sums
 from arealens.operators.joins import compose_edges
 from arealens.operators.paths import least_paths, total
-from arealens.operators.spatial import beyond_distance_of_lines, within_distance, within_distance_of_lines
+from arealens.operators.spatial import beyond_distance_of_lines, nearest, within_distance, within_distance_of_lines
 from arealens.session import cut, shelved, tasks_for
-from arealens.skew import JoinAdvice, advise, first_per_key, hot_keys, is_small, spread_join
+from arealens.skew import JoinAdvice, advise, first_per_key, hot_keys, is_small, null_safe_join, spread_join
 
 
 # --- edges ----------------------------------------------------------------
@@ -231,11 +233,22 @@ def feature_walk_times(features: DataFrame, lines: DataFrame, key: str, x: str,
 
 def ideal_walk_times(features: DataFrame, targets: DataFrame, key: str, x: str, y: str, name: str, tx: str, ty: str,
                      target: str, radius: float, meters_per_unit: float = 1.0, mph: float = 3.0) -> DataFrame:
-    """Straight-line walk minutes to the targets within the radius: nearest, least and number; with time bins."""
-    near = within_distance(features.select(key, x, y), targets.select(name, tx, ty), x, y, tx, ty, radius)
-    minutes = walk_minutes(F.col("dist") * F.lit(meters_per_unit), mph)
-    best = min_argmin_count(near.withColumn("__min", minutes), key, name, "__min", _time_columns(target))
-    return best.withColumn(f"bin_{target}", walk_time_bin(F.col(_time_columns(target)[1])))
+    """Straight-line walk minutes to the targets within the radius: nearest, least and number; with time bins.
+
+    The nearest is searched down a pyramid of cells and the others are counted by cells, so no list of pairs is made.
+    """
+    nearest_name, least, number = _time_columns(target)
+
+    def finite_places(df: DataFrame, *places: str) -> DataFrame:
+        return df.where(reduce(lambda a, b: a & b, [F.abs(F.col(c).cast("double")) < float("inf") for c in places]))
+
+    places, stops = finite_places(features.select(key, x, y), x, y), finite_places(targets.select(name, tx, ty), tx, ty)
+    best = nearest(places, stops, key, x, y, tx, ty, name, out="__dist", radius=radius)
+    minutes = walk_minutes(F.col("__dist") * F.lit(meters_per_unit), mph)
+    # A feature named twice counts its targets twice, as does a target.
+    counted = floating_sums(stops, places, key, x, y, tx, ty, radius, (), count=number).withColumnRenamed("zone", key)
+    found = null_safe_join(best.select(key, F.col(name).alias(nearest_name), minutes.alias(least)), counted, [key])
+    return found.withColumn(f"bin_{target}", walk_time_bin(F.col(least)))
 
 
 def grid_fallback(zones: DataFrame, stops: DataFrame, edges: DataFrame, zone: str, zx: str, zy: str, stop: str, sx: str,

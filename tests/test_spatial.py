@@ -1,6 +1,7 @@
 """Membership, distance, nearest and clipping against brute force."""
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -193,6 +194,34 @@ def test_walk_times(spark):
     assert math.isfinite(remote.first()["Minutes"])
 
 
+@pytest.mark.parametrize("radius", [0.0, 3.0, 40.0])
+def test_ideal_walk_times_list_no_pairs(spark, monkeypatch, radius):
+    """Ties, several places of a feature or a target, repeated rows, null keys, names and places."""
+    from arealens.operators import network
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("pairs are listed")
+
+    monkeypatch.setattr(network, "within_distance", refuse)
+    rng = random.Random(9)
+    place = lambda: (float(rng.randint(0, 30)), float(rng.randint(0, 30)))
+    features = [(n % 50, *place()) for n in range(70)] + [(7, 1.0, 1.0)] * 3 + [(None, 5.0, 5.0), (None, 6.0, 6.0), (90, None, 5.0), (91, 500.0, 500.0), (92, math.nan, 1.0)]
+    targets = [(f"s{n % 30}", *place()) for n in range(45)] + [("s1", 1.0, 2.0)] * 2 + [(None, 2.0, 1.0), ("far", 9000.0, 9000.0), ("odd", None, 1.0), ("nan", math.nan, 1.0)]
+    out = network.ideal_walk_times(spark.createDataFrame(features, "f long, x double, y double"), spark.createDataFrame(targets, "n string, tx double, ty double"),
+                                   "f", "x", "y", "n", "tx", "ty", "stn", radius, meters_per_unit=10.0)
+    assert out.columns == ["f", "nearest_stn", "min_time_stn", "n_stn", "bin_stn"]
+    want = {}
+    for f, x, y in features:
+        for n, tx, ty in targets:
+            if None not in (x, tx) and math.hypot(x - tx, y - ty) <= radius:
+                want.setdefault(f, []).append((math.sqrt((x - tx) ** 2 + (y - ty) ** 2), n is not None, n or ""))
+    got = {r.f: (r.min_time_stn, r.nearest_stn, r.n_stn) for r in out.collect()}
+    assert set(got) == set(want) and (want or radius == 0)
+    for f, found in want.items():
+        dist, named, name = min(found)
+        assert got[f] == (pytest.approx(dist * 10.0 * 60 / (3.0 * 1609.344)), name if named else None, len(found))
+
+
 @pytest.mark.parametrize("forced", [False, True])
 def test_very_long_line_against_tiny_polygons(spark, request, forced):
     if forced:
