@@ -267,6 +267,34 @@ def test_join_legs_reads_long_plans_once(spark):
 
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_join_legs_shuffle_no_paths(spark, monkeypatch, kind):
+    """Small blocks, null zones and times, a busy stop, equal rows; paths are reduced where they are joined."""
+    import random
+
+    for name, value in (("LEAVE_ROWS", 70), ("RUN_CELLS", 50), ("RUN_PATHS", 16), ("TASK_PAIRS", 200)):
+        monkeypatch.setattr(access, name, value)
+    rng = random.Random(3)
+    zone = lambda n: None if n == 13 else n if kind == "long" else f"z{n}"
+    minutes = lambda: rng.choice([None, *range(1, 9), 2.5, float("nan"), float("inf")])
+    walk = [(zone(rng.randrange(40)), zone(rng.choice([5, rng.randrange(30)])), m if (m := minutes()) is None else float(m)) for _ in range(400)]
+    ride = [(zone(rng.randrange(30)), zone(rng.choice([5, rng.randrange(30)])), m if (m := minutes()) is None else float(m)) for _ in range(200)]
+    schema = f"OName {kind}, DName {kind}, Minutes double"
+    out = access.join_legs(spark.createDataFrame(walk, schema), spark.createDataFrame(ride, schema), cutoff=9.0)
+    assert out.columns == ["OName", "DName", "Minutes"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan.splitlines()[0] + plan.splitlines()[1] + plan.splitlines()[2]
+    best, short = {}, lambda rows: [r for r in rows if r[2] is not None and r[2] <= 9]
+    for o, board, t1 in short(walk):
+        for start, alight, t2 in short(ride):
+            if board is not None and board == start:
+                for d, off, t3 in short(walk):
+                    if alight is not None and alight == off and t1 + t2 + t3 <= 9:
+                        best[o, d] = min(best.get((o, d), 99), t1 + t2 + t3)
+    got = out.collect()
+    assert best and len(got) == len(best) and {(r.OName, r.DName): r.Minutes for r in got} == best
+
+
 def test_long_access(spark):
     df = spark.createDataFrame([(1, 5.0, None)], "id int, HH15MinW double, HH30MinW double")
     out = access.long_access(df, ["id"], ["HH"], (15, 30), "Walk", 2019)
