@@ -171,6 +171,31 @@ def test_summary_areas_and_members(spark):
     assert sorted(got) == [(1, "q"), (2, "p"), (2, "q"), (3, "q"), (4, "p"), (5, "q"), (6, "q"), (8, "p"), (8, "q")]
 
 
+@pytest.mark.parametrize("sent", [True, False])
+def test_summary_members_write_no_station_pairs(spark, monkeypatch, sent):
+    """Pairs of features and stations, the longest table here, are not written while the areas can be sent to all tasks."""
+    written = []
+
+    def noted(write):
+        return lambda df: written.append(df.count()) or write(df)
+
+    for name in ("cut", "shelved"):
+        if hasattr(areas, name):
+            monkeypatch.setattr(areas, name, noted(getattr(areas, name)))
+    if not sent:
+        monkeypatch.setattr(areas, "MOST_SENT", 1)
+    table = spark.createDataFrame([(1, -1, "A"), (2, 0, "A"), (3, 1, "A"), (4, 1, "B"), (5, 2, "B"), (6, -2, "A"), (7, -3, "A"), (8, -2, "B"), (9, -3, "B")], "SummID long, STN_ID long, Corridor string")
+    pairs = [(f, f * k % 4) for f in range(40) for k in range(1, 9)] + [(None, 1), (3, None)]
+    within = [(f, c) for f in range(0, 50, 3) for c in "AB"] + [(None, "A")]
+    got = areas.summary_members(table, spark.createDataFrame(within, "f long, Corridor string"), spark.createDataFrame(pairs, "f long, s long"), "f")
+    of = {0: [(2, "A")], 1: [(3, "A"), (4, "B")], 2: [(5, "B")]}
+    near = {(f, c) for f, s in pairs for _, c in of.get(s, [])}
+    want = [(a, f) for f, s in pairs for a, _ in of.get(s, [])] + [(1, f) for f, c in within if c == "A"]
+    want += [({"A": 6, "B": 8}[c], f) for f, c in near] + [({"A": 7, "B": 9}[c], f) for f, c in within if f is None or (f, c) not in near]
+    assert sorted(map(str, rows(got))) == sorted(map(str, want))
+    assert (max(written) < len(pairs)) == sent
+
+
 def test_preset_areas_replace_buffers(spark):
     default = spark.createDataFrame([("p", 1), ("q", 2)], "f string, a int")
     preset = spark.createDataFrame([("z", 2)], "f string, a int")
